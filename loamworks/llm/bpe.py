@@ -2,7 +2,7 @@
 
 A piece (one match of the pre-tokenizer's pattern) is encoded as a tree: the two
 halves are encoded on their own, then joined. A join re-encodes a window around the
-boundary, two tokens from each side at first, doubled until the pairs at both window
+boundary, one token from each side at first, doubled until the pairs at both window
 edges are stable. A pair (a, b) is stable if the bytes of a followed by those of b
 encode to exactly [a, b]. A token sequence whose neighbours are all stable is the
 encoding of its bytes, so tokens outside the window are then proven final; the pairs
@@ -17,7 +17,10 @@ Null and empty texts have no ids. Equal texts have equal ids.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,27 +29,92 @@ from pyspark.sql import DataFrame
 
 from loamworks.llm.common import whole, wider
 
-#: Bytes up to which a piece is encoded directly.
-LEAF = 24
+#: Bytes up to which a piece is encoded directly; such leaves and join windows are remembered by their bytes.
+LEAF = 8
 #: Pieces that a worker keeps; then it starts anew.
-KEPT = 150_000
+KEPT = 250_000
+#: Longest leaf or window that is remembered.
+KEPT_BYTES = 24
 NO_RANK = 1 << 60
 
 
+#: Characters that ``re`` and ``regex`` put in the same classes.
+SAME = frozenset(
+    c
+    for c in map(chr, [9, 10, 13, *range(32, 127), *range(161, 0x2000)])
+    if (unicodedata.category(c)[0] == "L") == bool(re.match(r"[^\W\d_]", c)) and (unicodedata.category(c)[0] == "N") == bool(re.match(r"\d", c)) and bool(regex.match(r"\s", c)) == c.isspace()
+)
+
+
+def splitter(pattern: str):
+    """All matches of ``pattern``; texts of common characters go to the faster ``re`` with the same classes."""
+    slow = regex.compile(pattern).findall
+    if not pattern:
+        return slow
+    # among SAME, \w is a letter, a number or an underscore
+    like = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:_|[^\s\w])").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
+    if r"\p" in like:
+        return slow
+    fast = re.compile(like).findall
+    return lambda text: fast(text) if SAME.issuperset(text) else slow(text)
+
+
 class Codec:
     """Encoder and decoder over a table of token bytes -> rank."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.pieces = regex.compile(pattern).findall
+        self.pieces = splitter(pattern)
         self._stable: dict[tuple[int, int], bool] = {}
+        self._short: dict[bytes, list[int]] = {}
 
     @classmethod
+    @functools.lru_cache(maxsize=4)
     def from_file(cls, path: str, pattern: str) -> Codec:
+        """One codec for all tasks of a worker, with what it remembers."""
         with open(path, "rb") as lines:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern)
 
+    def encode_short(self, data: bytes) -> list[int]:
+        """The encoding of a leaf or window; short ones are remembered."""
+        if len(data) > KEPT_BYTES:
+            return self.merge(data)
+        found = self._short.get(data)
+        if found is None:
+            if len(self._short) >= KEPT:
+                self._short.clear()
+            found = self._short[data] = self.search(data)
+        return found
+
+    def search(self, data: bytes) -> list[int]:
+        """The one sequence of tokens whose neighbours are all stable, longest tokens tried first."""
+        ranks, stable, n = self.ranks, self._stable, len(data)
+        whole = ranks.get(data)
+        if whole is not None and (n == 1 or self.merge(data) == [whole]):
+            return [whole]
+        ids, ends, at = [], [], 0
+        end = n - 1 if n > 1 else n
+        while at < n:
+            while end > at:
+                token = ranks.get(data[at:end])
+                if token is not None:
+                    if not ids:
+                        break
+                    pair = (ids[-1], token)
+                    ok = stable.get(pair)
+                    if self.stable(*pair) if ok is None else ok:
+                        break
+                end -= 1
+            if end > at:
+                ids.append(token), ends.append(end)
+                at, end = end, n
+            else:  # nothing fits here: the token before must be shorter
+                ids.pop()
+                end = ends.pop() - 1
+                at = ends[-1] if ends else 0
+        return ids
+
     def merge(self, data: bytes) -> list[int]:
         """Direct encoding: the pair of lowest rank merges first, the leftmost of equals."""
         ranks = self.ranks
@@ -75,17 +143,17 @@ class Codec:
         """The encoding of the bytes of two encodings."""
         if not left or not right:
             return left or right
-        size = 2
+        size = 1
         while True:
             i, j = max(0, len(left) - size), min(len(right), size)
-            window = self.merge(b"".join(map(self.tokens.__getitem__, left[i:] + right[:j])))
+            window = self.encode_short(b"".join(map(self.tokens.__getitem__, left[i:] + right[:j])))
             if (not i or self.stable(left[i - 1], window[0])) and (j == len(right) or self.stable(window[-1], right[j])):
                 return left[:i] + window + right[j:]
             size *= 2
 
     def tree(self, data: bytes) -> list[int]:
         if len(data) <= LEAF:
-            return self.merge(data)
+            return self.encode_short(data)
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
