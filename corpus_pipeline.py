@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from loamworks.llm import linededup, quality, toxicity
+from loamworks.llm import linededup, packing, quality, simhash, toxicity
 from loamworks.llm.common import staged, table
 
 
@@ -28,11 +28,23 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return linededup.dedup(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: words in shingles of five, fingerprints within four bits."""
+    return simhash.near_dedup(docs, shingle=5)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every kept document in sequences of 2048 tokens."""
+    return packing.packed_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("quality_classifier", keep_quality),
     ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_copies),
+    ("best_fit_packing", pack),
 ]
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 #: Labelled rows that a classifier is fitted on at most; chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
+#: Stands for a null id where ids are ordered: after all others.
+LAST_ID = (1 << 63) - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,14 +25,13 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamworks.llm.common import shared_dir, staged, whole
+from loamworks.llm.common import LAST_ID, shared_dir, staged, whole
 
 # The blanks of the key, x20 and x09 to x0D, and the letters that are folded.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST = 10
 BATCHES, FANOUT = 4, 2
-LAST_ID = (1 << 63) - 1
 
 
 def key_of(line: Column) -> Column:

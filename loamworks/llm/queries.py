@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loamworks.llm import bpe, html, linededup, media, quality, toxicity
+from loamworks.llm import bpe, fingerprints, html, linededup, media, packing, quality, simhash, toxicity
 from loamworks.llm.common import table
 
 
@@ -22,10 +22,18 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_likeness(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,5 +42,27 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.document_media(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_byte_bpe, op5_line_dedup, op7_quality_classifier, op8_media_columns)}
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_components(table(spark, sf_dir, "documents"))
+
+
+def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.matrix_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_html_extraction,
+        op3_byte_bpe,
+        op4_fingerprints,
+        op5_line_dedup,
+        op6_best_fit_packing,
+        op7_quality_classifier,
+        op8_media_columns,
+        op9_simhash_near_dedup,
+        op10_token_matrices,
+    )
+}
 ORACLES = {"op5_line_dedup": linededup.DIGEST_SQL}
