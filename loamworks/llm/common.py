@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loamworks.session import ship
+
 #: Labelled rows that a classifier is fitted on at most; chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
 #: Stands for a null id where ids are ordered: after all others.
@@ -21,6 +23,7 @@ LAST_ID = (1 << 63) - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -3,7 +3,8 @@
 Five small transducers read a clause as a string of word classes: insult, threat,
 target, negation and reported speech. Each maps (state, class) to (state, factor,
 emission); their composition is one table over the product states. A clause scores
-the sum of what the composition emits; a document scores 1 - 2**-(sum of clauses).
+the sum of what the composition emits; a document scores 1 - 2**-(sum of clauses / half),
+where half is the sum that parts labelled toxic from clean rows with the fewest errors.
 
 The insult transducer's lexicon is learned: word beginnings of four to seven letters
 and whole words whose document counts differ between labelled toxic and clean rows
@@ -21,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ from loamworks.llm.common import TRAIN_ROWS, fold, training_rows, whole, wider
 LEXICON_ROWS = 4096
 #: Least likelihood ratio and least log odds of a lexicon entry.
 LEAST_RATIO, LEAST_ODDS = 20.0, 2.5
+#: Share of an entry's toxic documents that one longer entry may have; beyond it the longer one alone stays.
+EXPLAINED = 0.8
 #: Different entries that one worker counts before it passes them on.
 COUNTED = 200_000
 
@@ -131,12 +135,17 @@ class Words(dict):
 
 
 class Grammar:
-    """The composed transducer with a lexicon; small and picklable (LEXICON_ROWS entries at most)."""
+    """The composed transducer with a lexicon; small and picklable (LEXICON_ROWS entries at most). ``half`` is the clause sum that scores 0.5."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.lexicon = lexicon
+    def __init__(self, lexicon: dict[str, float], half: float = LEAST_ODDS):
+        self.lexicon, self.half = lexicon, half
 
     def scorer(self):
+        total, half = self.summer(), self.half
+        return lambda text: 1.0 - 2.0 ** (-total(text) / half)
+
+    def summer(self):
+        """A function from a text to the sum of its clauses' scores."""
         nexts, factors, emitted = compose(insult_machine(), threat_machine(), target_machine(), negation_machine(), report_machine())
         look = Words(self.lexicon).__getitem__
 
@@ -156,7 +165,7 @@ class Grammar:
             if total:
                 yield total
 
-        return lambda text: 1.0 - 2.0 ** -sum(clauses(text))
+        return lambda text: sum(clauses(text))
 
 
 def fit(training: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> Grammar:
@@ -189,8 +198,31 @@ def fit(training: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> Grammar:
         share = (toxic + clean) / (n_toxic + n_clean)
         ratio = 2 * sum(n * math.log(n / (m * share)) for n, m in ((toxic, n_toxic), (clean, n_clean)) if n)
         if odds >= LEAST_ODDS and ratio >= LEAST_RATIO:
-            scored.append((ratio, key, odds))
-    return Grammar({key: odds for _, key, odds in sorted(scored, reverse=True)[:lexicon_rows]})
+            scored.append((ratio, key, odds, toxic))
+    scored = sorted(scored, reverse=True)[:lexicon_rows]
+    # a beginning that owes its count to one longer entry says nothing of its own
+    explained: dict[str, int] = {}
+    for _, key, _, toxic in scored:
+        for n in range(STEMS[0], len(key)):
+            explained[key[:n]] = max(explained.get(key[:n], 0), toxic)
+    grammar = Grammar({key: odds for _, key, odds, toxic in scored if explained.get(key, 0) < EXPLAINED * toxic})
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = grammar.summer()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([total(t) for t in batch["text"].to_pylist()], pa.float64()), batch["label"]], ["total", "label"])
+
+    rows = sorted((r[0], r[1]) for r in training.mapInArrow(add_up, "total double, label int").collect())
+    totals, labels = np.array([r[0] for r in rows]), np.array([r[1] > 0 for r in rows])
+    # errors of each cut: toxic rows below it and clean rows from it on
+    cuts = np.unique(totals[totals > 0])
+    if len(cuts):
+        at = np.searchsorted(totals, cuts)
+        errors = np.r_[0, np.cumsum(labels)][at] + (~labels).sum() - np.r_[0, np.cumsum(~labels)][at]
+        best = int(errors.argmin())
+        below = totals[at[best] - 1] if at[best] else 0.0
+        grammar.half = float((max(below, cuts[best] / 2) + cuts[best]) / 2)
+    return grammar
 
 
 def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
