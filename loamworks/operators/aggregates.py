@@ -75,7 +75,7 @@ def graded_crosstab(df: DataFrame, category: Column, grade: str, grades: list[st
 def binned(value: Column, edges: list[float], labels: list[str]) -> Column:
     """The label of the half-open interval [edge, next edge); null outside."""
     out = None
-    for lo, hi, name in zip(edges, edges[1:], labels, strict=True):
+    for lo, hi, name in zip(edges[:-1], edges[1:], labels, strict=True):
         test = (value >= lo) & (value < hi)
         out = F.when(test, name) if out is None else out.when(test, name)
     return out

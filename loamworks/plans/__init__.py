@@ -1,5 +1,7 @@
 """Registered queries: operators applied to whole tables, each with its DuckDB twin."""
 
+from loamworks.plans import reports as _reports
+from loamworks.plans import scores as _scores
 from loamworks.plans import tables as _tables
 from loamworks.plans.registry import ORACLES, QUERIES
 
