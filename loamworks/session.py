@@ -1,12 +1,18 @@
-"""What a session needs to run the package's Python functions on executors."""
+"""What a session needs: the package on its executors, and staged tables in the cluster's shared folder.
+
+Staged tables are Parquet folders under the folder that the session names in
+``spark.checkpoint.dir``; all executors and the driver see it, so a lost executor
+costs a re-read and not a recomputation of the whole lineage.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +29,21 @@ def ship(spark: SparkSession) -> None:
             out.write(file, file.relative_to(top.parent))
     spark.sparkContext.addPyFile(str(path))
     _shipped.add(app)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: short lineage, no recomputation."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
