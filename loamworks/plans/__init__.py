@@ -2,6 +2,7 @@
 
 from loamworks.plans import graphs as _graphs
 from loamworks.plans import grids as _grids
+from loamworks.plans import learning as _learning
 from loamworks.plans import reports as _reports
 from loamworks.plans import scores as _scores
 from loamworks.plans import tables as _tables
