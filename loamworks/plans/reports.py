@@ -322,7 +322,6 @@ def _(t):
 # --- windows over probabilities and scores
 
 
-PARR = F.array(*P5)
 MEAN5, ENT = "(p0+p1+p2+p3+p4)/5", " + ".join(f"p{i} * ln(p{i} + 1e-9)" for i in range(5))
 
 
@@ -332,7 +331,7 @@ MEAN5, ENT = "(p0+p1+p2+p3+p4)/5", " + ".join(f"p{i} * ln(p{i} + 1e-9)" for i in
     f"SELECT a.vec_id, a.k AS first, round(a.p, 5) AS p_first, b.k AS second, round(b.p, 5) AS p_second, round(-({ENT}), 5) AS entropy FROM r a JOIN r b ON a.vec_id = b.vec_id AND a.n = 1 AND b.n = 2 JOIN probs q ON q.vec_id = a.vec_id",
 )
 def _(t):
-    top = t.probs.withColumns({"top": S.top_classes(PARR, 2), "entropy": F.round(S.entropy(PARR), 5)})
+    top = t.probs.withColumns({"top": S.top_classes(F.array(*P5), 2), "entropy": F.round(S.entropy(F.array(*P5)), 5)})
     one, two = F.get("top", F.lit(0)), F.get("top", F.lit(1))
     return top.select("vec_id", one["klass"].alias("first"), F.round(one["p"], 5).alias("p_first"), two["klass"].alias("second"), F.round(two["p"], 5).alias("p_second"), "entropy")
 
@@ -344,7 +343,7 @@ def _(t):
 def _(t):
     mean = F.expr(MEAN5)
     return t.probs.select(
-        "vec_id", F.round(1 - F.greatest(*P5), 5).alias("least_sure"), F.round(S.entropy(PARR), 5).alias("entropy"), F.round(F.expr("(p0*p0+p1*p1+p2*p2+p3*p3+p4*p4)/5") - mean * mean, 5).alias("variance")
+        "vec_id", F.round(1 - F.greatest(*P5), 5).alias("least_sure"), F.round(S.entropy(F.array(*P5)), 5).alias("entropy"), F.round(F.expr("(p0*p0+p1*p1+p2*p2+p3*p3+p4*p4)/5") - mean * mean, 5).alias("variance")
     )
 
 

@@ -9,20 +9,29 @@ from loamworks.operators import aggregates as A
 from loamworks.operators import cleaning as C
 from loamworks.operators import joins as J
 from loamworks.plans.registry import query
+from loamworks.sources import tables as T
 
 STATUS = "CASE WHEN val_txt IS NULL THEN 'Missing' WHEN TRY_CAST(val_txt AS DOUBLE) IS NULL THEN 'Dirty' WHEN TRY_CAST(val_txt AS DOUBLE) > 45 THEN 'High' ELSE 'Normal' END"
 
 
 @query("S4_common_columns", "SELECT site_id, layer FROM samples UNION ALL SELECT site_id, area_id AS layer FROM sites")
 def _(t):
-    a, b = t.samples, t.sites.withColumnRenamed("area_id", "layer")
-    common = [c for c in a.columns if c in b.columns]
-    return a.select(*common).unionByName(b.select(*common))
+    return T.union_on_common([t.samples, t.sites.withColumnRenamed("area_id", "layer")])
 
 
 @query("S5_table_to_points", "SELECT site_id, x, y, ph FROM sites WHERE x IS NOT NULL AND y IS NOT NULL")
 def _(t):
-    return t.sites.filter("x is not null and y is not null").select("site_id", "x", "y", "ph")
+    return T.points(t.sites.withColumnsRenamed({"x": "lon", "y": "lat"}), "lon", "lat").select("site_id", "x", "y", "ph")
+
+
+# words that the fixture's texts hold stand for the words of a log
+MESSAGES = r"SELECT conv_id, turn, CAST(u.n AS INT) AS line, CASE WHEN regexp_matches(u.l, '(?i)error') THEN 'error' ELSE 'warning' END AS kind, nullif(regexp_extract(u.l, '([0-9]{6})', 1), '') AS code FROM (SELECT conv_id, turn, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS n FROM (SELECT conv_id, turn, regexp_replace(regexp_replace(coalesce(text, ''), 'the ', 'Error ', 'g'), 'de ', 'WARNING 202501 ', 'g') AS t FROM conversations) w) u WHERE regexp_matches(u.l, '(?i)error') OR regexp_matches(u.l, '(?i)warning')"
+
+
+@query("S11_message_lines", MESSAGES)
+def _(t):
+    text = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), "the ", "Error "), "de ", "WARNING 202501 ")
+    return T.message_lines(t.conversations.select("conv_id", "turn", text.alias("text")), ["conv_id", "turn"], "text")
 
 
 @query("P1_subset_rename", "SELECT site_id AS ydbh, layer AS ch, val_txt AS txt FROM samples")
