@@ -58,13 +58,13 @@ def _(t):
 def merge_sql(first: str) -> str:
     # the class is taken coarse so that neighbours share it
     return (
-        f"WITH z AS (SELECT zone_id, dl % 2 AS k, n_cells AS area, {SMALL} AS small FROM zones), n AS (SELECT a AS src, b AS dst, length FROM {EDGES} e UNION ALL SELECT b, a, length FROM {EDGES} e2), "
+        f"WITH z AS (SELECT zone_id, dl % 3 AS k, n_cells AS area, {SMALL} AS small FROM zones), n AS (SELECT a AS src, b AS dst, length FROM {EDGES} e UNION ALL SELECT b, a, length FROM {EDGES} e2), "
         f"t AS (SELECT n.src AS zone_id, n.dst AS target, row_number() OVER (PARTITION BY n.src ORDER BY {first} DESC, n.dst) AS q FROM n JOIN z s ON s.zone_id = n.src AND s.small JOIN z d ON d.zone_id = n.dst AND NOT d.small AND d.k = s.k) SELECT zone_id, target FROM t WHERE q = 1"
     )
 
 
 def _targets(t, by):
-    z = t.zones.withColumn("k", F.col("dl") % 2)
+    z = t.zones.withColumn("k", F.col("dl") % 3)
     small = P.candidates(z, LIMITS, "dl", "n_cells")
     return P.merge_targets(z, P.adjacency(t.cells, "zone_id"), small, "k", "n_cells", by)
 
@@ -81,7 +81,7 @@ def _(t):
 
 @query("G4_merge_loop")
 def _(t):
-    merged = P.merge_small(t.cells.select("r", "c", "zone_id", (F.col("dl") % 2).alias("k")), "zone_id", "k", 41, pairing=True, rounds=4)
+    merged = P.merge_small(t.cells.select("r", "c", "zone_id", (F.col("dl") % 3).alias("k")), "zone_id", "k", 41, pairing=True, rounds=4)
     return merged.groupBy("zone_id").agg(F.count("*").alias("n_cells"))
 
 
