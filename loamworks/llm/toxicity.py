@@ -33,6 +33,8 @@ from loamworks.llm.common import TRAIN_ROWS, fold, training_rows, whole, wider
 LEXICON_ROWS = 4096
 #: Least likelihood ratio and least log odds of a lexicon entry.
 LEAST_RATIO, LEAST_ODDS = 20.0, 2.5
+#: Higher least odds that are tried; the one with the fewest errors on the labelled rows is taken, the highest of equals.
+ODDS_CUTS = (2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0)
 #: Share of an entry's toxic documents that one longer entry may have; beyond it the longer one alone stays.
 EXPLAINED = 0.8
 #: Different entries that one worker counts before it passes them on.
@@ -205,24 +207,35 @@ def fit(training: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> Grammar:
     for _, key, _, toxic in scored:
         for n in range(STEMS[0], len(key)):
             explained[key[:n]] = max(explained.get(key[:n], 0), toxic)
-    grammar = Grammar({key: odds for _, key, odds, toxic in scored if explained.get(key, 0) < EXPLAINED * toxic})
+    lexicon = {key: odds for _, key, odds, toxic in scored if explained.get(key, 0) < EXPLAINED * toxic}
+    grammars = [Grammar({key: odds for key, odds in lexicon.items() if odds >= cut}) for cut in ODDS_CUTS]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = grammar.summer()
+        first, *others = [g.summer() for g in grammars]
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([total(t) for t in batch["text"].to_pylist()], pa.float64()), batch["label"]], ["total", "label"])
+            sums = [[total, *(f(t) if total else 0.0 for f in others)] for t in batch["text"].to_pylist() for total in (float(first(t)),)]
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.list_(pa.float64())), batch["label"]], ["totals", "label"])
 
-    rows = sorted((r[0], r[1]) for r in training.mapInArrow(add_up, "total double, label int").collect())
-    totals, labels = np.array([r[0] for r in rows]), np.array([r[1] > 0 for r in rows])
-    # errors of each cut: toxic rows below it and clean rows from it on
+    rows = training.mapInArrow(add_up, "totals array<double>, label int").collect()
+    totals, labels = np.array([r[0] for r in rows]).reshape(len(rows), len(grammars)), np.array([r[1] > 0 for r in rows])
+    cuts = [best_cut(totals[:, k], labels) for k in range(len(grammars))]
+    best = min(range(len(grammars)), key=lambda k: (cuts[k][0], -k))
+    grammars[best].half = cuts[best][1]
+    return grammars[best]
+
+
+def best_cut(totals: np.ndarray, labels: np.ndarray) -> tuple[int, float]:
+    """(errors, cut) of the sum that parts toxic (from it on) from clean rows best; above all sums if none does."""
+    order = np.argsort(totals, kind="stable")
+    totals, labels = totals[order], labels[order]
     cuts = np.unique(totals[totals > 0])
-    if len(cuts):
-        at = np.searchsorted(totals, cuts)
-        errors = np.r_[0, np.cumsum(labels)][at] + (~labels).sum() - np.r_[0, np.cumsum(~labels)][at]
-        best = int(errors.argmin())
-        below = totals[at[best] - 1] if at[best] else 0.0
-        grammar.half = float((max(below, cuts[best] / 2) + cuts[best]) / 2)
-    return grammar
+    if not len(cuts):
+        return int(labels.sum()), LEAST_ODDS
+    at = np.searchsorted(totals, cuts)
+    errors = np.r_[0, np.cumsum(labels)][at] + (~labels).sum() - np.r_[0, np.cumsum(~labels)][at]
+    k = int(errors.argmin())
+    below = totals[at[k] - 1] if at[k] else 0.0
+    return int(errors[k]), float((max(below, cuts[k] / 2) + cuts[k]) / 2)
 
 
 def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
