@@ -1,0 +1,528 @@
+"""Each operator against brute force, an exact round trip or held-out accuracy, and on awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from conftest import DATA
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from loamworks.llm import bpe, fingerprints, html, linededup, media, packing, quality, queries, simhash, toxicity
+from loamworks.llm.common import table, training_rows
+from pyspark.sql import functions as F
+
+MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, key string, word string"
+ODD = [
+    (3, "The same long line here\nshort\nThe same long line here", "en", "a", 1, "x", "k", "w"),
+    (1, "the SAME long line here  \nother line of this text", None, None, None, None, None, None),
+    (2, None, "de", "b", 0, "x", "k", "w"),
+    (2, "", "de", "b", 0, "x", "k", "w"),
+    (5, "a b c d e f g h i j", "en", "a", 1, "x", "k", "w"),
+    (5, "a b c d e f g h i j", "en", "a", 1, "x", "k", "w"),
+    (None, "the same long line here\nünïcode line with Ä", "de", "a", 1, "x", "k", "w"),
+    (None, None, None, None, None, None, None, None),
+    (9, "word " * 30_000 + "\n" + "Üx " * 5_000, "en", "long", 1, "x", "k", "w"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    queries.table(spark, DATA, "documents")  # ships the package
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, DATA, "documents")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+# --- 1 toxicity
+
+
+def test_grammar_composes_context():
+    score = toxicity.Grammar({"idiot$": 4.0, "lowei": 5.0}, half=4.0).scorer()
+    plain, aimed = score("such an idiot."), score("you are such an idiot.")
+    assert aimed > plain > score("this is not an idiot.") > 0
+    assert plain > score("they wrote that some idiot came.")
+    assert score("you are kind. nothing here") == score("") == 0.0
+    assert score("loweisch x") > 0.5 and score("i will kill you") > score("i will kill time") == 0.0
+
+
+def test_toxicity_learns_and_holds_out(spark):
+    words = [f"w{i}" for i in range(400)]
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        t = rng.choices(words, k=40)
+        bad = i % 6 == 0
+        if bad:
+            t[5], t[20] = "zork" + rng.choice("abc"), "blarg"
+        rows.append((i, " ".join(t), int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = by_id(toxicity.scored_documents(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")))
+    assert all(found[i]["predicted"] == bad for i, _, bad in rows)
+    assert all(found[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, _, _ in rows)
+
+
+def test_toxicity_on_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (None, 1), (3, None), (5, 0)], "doc_id long, toxic int")
+    found = toxicity.scored_documents(odd, labels).collect()
+    assert len(found) == len(ODD) and all(0 <= r["score"] <= 1 for r in found)
+    kept = toxicity.score(odd, toxicity.Grammar({}))
+    assert kept.columns == [c for c in odd.columns if c != "score"] + ["score"] and kept.count() == len(ODD)
+    assert toxicity.scored_documents(odd.limit(0), labels.limit(0)).count() == 0
+
+
+def test_training_sample_is_bounded(spark, docs):
+    labels = table(spark, DATA, "labels")
+    assert training_rows(docs, labels, "toxic", F.lit(True), limit=7).count() == 7
+
+
+# --- 2 HTML extraction
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
+<header><a href=/>Home</a></header><nav><ul><li><a href=1>One</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
+<article><h1>A  title &amp; more</h1><p>First paragraph with a <b>bold</b> word and<br>a break.<p>Second &eacute; one.
+<div class="ad">Buy now</div><p>Short.</p><form><input name=q><label>Find</label></form></article>
+<aside>Related</aside><section id="comments"><p>First comment, rather long and wordy it is indeed.</p></section><footer>&copy; me</footer></body>"""
+
+
+def test_article_text():
+    assert html.main_text(PAGE) == "A title & more\nFirst paragraph with a bold word and a break.\nSecond é one.\nShort."
+
+
+def test_page_without_article():
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(8)) + "</ul>"
+    text = "<h2>Head</h2>" + "".join(f"<p>Sentence number {i} of the main text, long enough to be dense.</p>" for i in range(6))
+    found = html.main_text(f"<body>{links}<div>{text}</div>{links}</body>")
+    assert found.startswith("Head\nSentence number 0") and "Link" not in found and found.count("\n") == 6
+
+
+@given(st.text(alphabet="<>/ab=\"'&; pdiv!-", max_size=80))
+@settings(max_examples=150, deadline=None)
+def test_any_markup_is_survived(page):
+    assert isinstance(html.main_text(page), str)
+
+
+def test_html_on_odd_rows(spark, odd):
+    pages = spark.createDataFrame([(1, "u", PAGE, "old"), (2, None, None, None), (None, "v", "", "x"), (1, "u", PAGE, "old")], "page_id long, url string, html string, text string")
+    found = html.extract(pages).collect()
+    assert [len(r["text"]) > 0 for r in sorted(found, key=lambda r: str(r["url"]))] == [False, True, True, False]
+    assert html.extract(pages.limit(0)).count() == 0
+
+
+# --- 3 byte-level BPE
+
+
+@pytest.fixture(scope="module")
+def codecs():
+    import tiktoken
+
+    own = bpe.Codec.from_file(MULTI, public_tokenizers.PATTERN)
+    return own, tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+
+
+@given(st.text(max_size=200))
+@settings(max_examples=300, deadline=None)
+def test_bpe_equals_the_library(codecs, text):
+    own, lib = codecs
+    ids = own.encode(text)
+    assert ids == lib.encode_ordinary(text) and own.decode(ids) == text.encode()
+
+
+@given(st.text(alphabet="abetionsch éß中", min_size=1, max_size=400))
+@settings(max_examples=200, deadline=None)
+def test_joining_halves_anywhere_is_encoding(codecs, text):
+    own, _ = codecs
+    data = text.replace(" ", "").encode() or b"a"
+    whole = own.merge(data)
+    for at in {0, 1, len(data) // 3, len(data) // 2, len(data)}:
+        assert own.join(own.tree(data[:at]) if at else [], own.tree(data[at:]) if at < len(data) else []) == whole
+    assert own.tree(data) == whole
+
+
+def test_bpe_long_piece(codecs):
+    own, lib = codecs
+    piece = "".join(random.Random(3).choices("abcdefgé", k=20_000))
+    assert own.encode_piece(piece.encode()) == lib._core_bpe.encode_single_piece(piece.encode())
+
+
+def test_bpe_query_on_all(spark, docs, texts, codecs):
+    _, lib = codecs
+    found = by_id(bpe.round_trip(docs, MULTI, public_tokenizers.PATTERN))
+    for i, t in texts.items():
+        ids = lib.encode_ordinary(t)
+        assert found[i]["n_tokens"] == len(ids)
+        assert found[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert found[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_bpe_frames_on_odd_rows(odd):
+    back = bpe.decode(bpe.encode(odd, MULTI, public_tokenizers.PATTERN), MULTI).collect()
+    assert [bytes(r["decoded"]).decode() for r in back] == [r["text"] or "" for r in back]
+    assert bpe.round_trip(odd.limit(0), MULTI, public_tokenizers.PATTERN).count() == 0
+
+
+# --- 4 fingerprints
+
+
+def brute_fingerprint(text):
+    votes, total = [0] * 64, 0
+    for w in dict.fromkeys(re.split(r"\s+", text.lower())):
+        h, weight = xxhash.xxh64_intdigest(w.encode(), 42), min(15, len(w))
+        total += weight
+        for b in range(64):
+            votes[b] += weight * (h >> b & 1)
+    return sum(1 << b for b in range(64) if votes[b] * 2 > total)
+
+
+def differing(a, b):
+    return bin(a ^ b).count("1")
+
+
+def test_fingerprints_and_next_documents(docs, texts):
+    found, order = by_id(fingerprints.edit_likeness(docs)), sorted(texts, reverse=True)
+    fp = {i: brute_fingerprint(t) for i, t in texts.items()}
+    for k, i in enumerate(order):
+        t, after = texts[i], order[(k + 1) % len(order)]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + texts[after][:half]
+        r = found[i]
+        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert (int(r["fingerprint"], 16), int(r["edited_fingerprint"], 16)) == (fp[i], brute_fingerprint(edited))
+        assert r["near_next"] == 1 - differing(fp[i], fp[after]) / 64
+        assert r["near_edited"] == 1 - differing(fp[i], brute_fingerprint(edited)) / 64
+
+
+def test_long_text_in_parts(spark):
+    text = " ".join(f"w{i}" for i in range(3 * fingerprints.PART + 7))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert int(fingerprints.edit_likeness(df).first()["fingerprint"], 16) == brute_fingerprint(text)
+
+
+def test_fingerprints_on_odd_rows(odd):
+    found = fingerprints.edit_likeness(odd).collect()
+    assert len(found) == len(ODD)
+    assert {r["fingerprint"] for r in found if not r["n_chars"]} == {"0" * 16}
+    assert fingerprints.edit_likeness(odd.limit(0)).count() == 0
+    assert fingerprints.edit_likeness(odd.filter("doc_id = 1")).first()["near_next"] == 1.0
+
+
+def test_block_tables_find_all(spark):
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(60)]
+    many = base + [b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 5))) for b in base] + [base[0]]
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in many] + [(None,)]
+    df = spark.createDataFrame(signed, "fp long")
+    found = {(r["query"] % (1 << 64), r["found"] % (1 << 64)) for r in fingerprints.near(df, df, 3).collect()}
+    assert found == {(a, b) for a in set(many) for b in set(many) if differing(a, b) <= 3}
+
+
+# --- 5 line dedup
+
+
+def brute_lines(rows, least=10):
+    fold = str.maketrans(linededup.UPPER, linededup.LOWER)
+    key = lambda line: line.strip(linededup.BLANKS).translate(fold)
+    first, last = {}, {}
+    at = lambda i: float("inf") if i is None else i
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            k = key(line)
+            if len(k) >= least:
+                first[k], last[k] = min(first.get(k, float("inf")), at(i)), max(last.get(k, -1), at(i))
+    return [(i, [x for x in (t or "").split("\n") if not (key(x) in first and first[key(x)] < last[key(x)] and at(i) > first[key(x)])]) for i, t in rows]
+
+
+@pytest.mark.parametrize("batches", [1, 4, 7])
+def test_line_dedup_by_brute_force(odd, docs, batches):
+    some = odd.select("doc_id", "text").unionAll(docs.select(F.col("doc_id") + 100, "text"))
+    rows = [(r["doc_id"], r["text"]) for r in some.collect()]
+    expected = sorted((str(i), "\n".join(kept)) for i, kept in brute_lines(rows))
+    found = linededup.mark(some, batches).collect()
+    assert sorted((str(r["doc_id"]), "\n".join(r["kept_lines"])) for r in found) == expected
+    assert all(r["n_lines"] - r["n_dropped"] == len(r["kept_lines"]) for r in found)
+
+
+def test_line_dedup_keeps_columns(odd):
+    found = linededup.dedup(odd)
+    assert found.columns == odd.columns and found.count() == len(ODD)
+    assert all(r["n_chars"] == len(r["text"] or "") for r in found.collect())
+    assert linededup.dedup(odd.limit(0)).count() == 0
+
+
+# --- 6 and 10 packing
+
+
+def pattern_of(slots, histogram):
+    """Sequences as lists of (offset, length) from a plan."""
+    out = {}
+    for length, _, n, first, offset in slots.rows:
+        for k in range(n):
+            out.setdefault(first + k, []).append((offset, length))
+    used = np.zeros_like(histogram)
+    for held in out.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+            used[length] += 1
+        assert at <= len(histogram) - 1
+    assert (used == histogram).all()
+    return out
+
+
+@given(st.lists(st.integers(1, 40), max_size=200))
+@settings(max_examples=150, deadline=None)
+def test_plans_place_everything_once(lengths):
+    histogram = np.bincount(lengths, minlength=41)
+    for plan in (packing.best_two_fit, packing.best_fit_decreasing):
+        n = len(pattern_of(plan(histogram), histogram))
+        assert -(-sum(lengths) // 40) <= n <= 2 * (-(-sum(lengths) // 40)) + 1
+
+
+@given(st.lists(st.integers(1, 30), max_size=120))
+@settings(max_examples=100, deadline=None)
+def test_best_fit_decreasing_one_by_one(lengths):
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fits = [r for r in rooms if r >= length]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - length)
+        else:
+            rooms.append(30 - length)
+    histogram = np.bincount(lengths, minlength=31)
+    found = pattern_of(packing.best_fit_decreasing(histogram), histogram)
+    assert sorted(30 - sum(x for _, x in held) for held in found.values()) == sorted(rooms)
+
+
+def test_encoder_equals_tokenizers(texts):
+    from tokenizers import Tokenizer
+
+    lib, own = Tokenizer.from_file(JSON), packing.encoder(JSON)
+    for t in [*list(texts.values())[:60], "a <|endoftext|> b", "", "\x00 ÿ 中文 😀"]:
+        assert own(t).tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
+def check_pieces(found, ids):
+    at, places = {}, {}
+    for r in sorted(found, key=lambda r: r["piece"]):
+        assert r["start"] == at.get(r["doc_id"], 0) and (r["piece"] == 0 or r["length"] == 2048)
+        at[r["doc_id"]] = r["start"] + r["length"]
+        part = np.array(ids[r["doc_id"]][r["start"] : at[r["doc_id"]]], "<u4")
+        assert r["ids_crc32"] == zlib.crc32(part.tobytes())
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert at == {i: len(x) for i, x in ids.items()}
+    for held in places.values():
+        end = 0
+        for offset, length in sorted(held):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    return len(places)
+
+
+def test_packing_is_whole_and_tight(docs, texts):
+    encode = packing.encoder(JSON)
+    ids = {i: [*encode(t).tolist(), 0] for i, t in texts.items()}
+    n = check_pieces(packing.packed_pieces(docs, JSON).collect(), ids)
+    least = -(-sum(map(len, ids.values())) // 2048)
+    assert n <= least * 1.02 + 1
+
+
+def test_matrices_hold_the_ids(docs, texts):
+    encode = packing.encoder(JSON)
+    back = {}
+    for r in packing.matrices(docs, JSON).collect():
+        row, positions, ends = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["positions"], "<u4"), r["cu_seqlens"]
+        assert len(row) == 2048 and ends[0] == 0 and ends[-1] == r["n_tokens"] and len(ends) == r["n_segments"] + 1
+        for i, piece, a, b in zip(r["doc_ids"], r["pieces"], ends, ends[1:], strict=False):
+            back[i, piece] = row[a:b].tolist()
+            assert positions[a:b].tolist() == list(range(b - a))
+        assert not row[r["n_tokens"] :].any()
+    for i, t in texts.items():
+        n = max(p for d, p in back if d == i)
+        assert [x for p in range(n + 1) for x in back[i, p]] == [*encode(t).tolist(), 0]
+
+
+def test_packing_on_odd_rows(odd):
+    assert packing.packed_pieces(odd, JSON).filter("piece = 0").count() == len(ODD)
+    assert packing.matrices(odd, JSON).agg(F.sum("n_segments")).first()[0] == packing.packed_pieces(odd, JSON).count()
+    assert packing.packed_pieces(odd.limit(0), JSON).count() == packing.matrices(odd.limit(0), JSON).count() == 0
+
+
+# --- 7 quality
+
+
+def test_boosting_learns_a_rule():
+    rng = np.random.default_rng(0)
+    x = rng.random((1500, 4))
+    y = ((x[:, 0] > 0.6) ^ (x[:, 2] < 0.3)).astype(float)
+    trees = quality.boost(x[:1000], y[:1000])
+    assert ((trees.probability(x[1000:]) > 0.5) == y[1000:]).mean() > 0.97
+
+
+def test_flat_traversal_equals_walking():
+    rng = np.random.default_rng(1)
+    x = rng.random((300, 3))
+    trees = quality.boost(x, (x[:, 1] > 0.5).astype(float), trees=5)
+
+    def walk(row):
+        total = trees.start
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = trees.left[node] + (row[trees.feature[node]] > trees.threshold[node])
+            total += trees.value[node]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(trees.probability(x), [walk(r) for r in x])
+
+
+def test_quality_held_out(spark):
+    found = by_id(queries.op7_quality_classifier(spark, "/root/testdata/sf0.01"))
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
+    held = [i for i in labels if i in found and found[i]["held_out"]]
+    assert np.mean([found[i]["predicted"] == labels[i] for i in held]) > 0.95
+
+
+def test_quality_on_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (None, 1), (3, None), (5, 0)], "doc_id long, quality int")
+    assert quality.scored_documents(odd, labels).count() == len(ODD)
+    assert quality.scored_documents(odd.limit(0), labels.limit(0)).count() == 0
+
+
+# --- 8 media columns
+
+
+@given(st.binary(max_size=2000))
+@settings(max_examples=150, deadline=None)
+def test_png_round_trip(data):
+    pixels = media.payload_of(data)
+    image = media.write_png(pixels)
+    assert (media.read_png(image) == pixels).all() and pixels.tobytes().startswith(data)
+
+
+@given(st.lists(st.integers(0, 4), min_size=1, max_size=12), st.integers(0, 1 << 30))
+@settings(max_examples=60, deadline=None)
+def test_all_filters_are_undone(kinds, seed):
+    pixels = np.random.default_rng(seed).integers(0, 256, (len(kinds), 9)).astype(np.int64)
+    raw = np.zeros((len(kinds), 10), np.uint8)
+    for y, kind in enumerate(kinds):
+        raw[y, 0] = kind
+        for x in range(9):
+            a, b = (pixels[y, x - 1] if x else 0), (pixels[y - 1, x] if y else 0)
+            c = pixels[y - 1, x - 1] if x and y else 0
+            p = a + b - c
+            paeth = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c
+            raw[y, x + 1] = (pixels[y, x] - [0, a, b, (a + b) // 2, paeth][kind]) % 256
+    assert (media.unfilter(raw) == pixels).all()
+
+
+def test_damage_is_noticed():
+    image = bytearray(media.write_png(media.payload_of(b"hello world" * 30)))
+    image[50] ^= 1
+    with pytest.raises(ValueError, match="damaged"):
+        media.read_png(bytes(image))
+    with pytest.raises(ValueError):
+        media.read_png(b"no image")
+
+
+def test_media_on_odd_rows(odd):
+    found = media.document_media(odd).collect()
+    assert len(found) == len(ODD) and all(r["payload_bytes"] == max(1, -(-r["n_bytes"] // 64)) * 64 for r in found)
+    assert len({r["media_sha256"] for r in found if not r["n_bytes"]}) == 1
+    assert media.document_media(odd.limit(0)).count() == 0
+
+
+# --- 9 SimHash near-dedup
+
+
+def brute_simhash(text, n=4):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[k : k + n]).encode(), 42) for k in range(max(1, len(words) - n + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@given(st.text(alphabet="aB é\n\t中", max_size=80))
+@settings(max_examples=150, deadline=None)
+def test_simhash_by_brute_force(text):
+    assert simhash.fingerprint(text) == brute_simhash(text)
+
+
+def brute_classes(fps, radius=4):
+    """Smallest index of each component."""
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if differing(fps[i], fps[j]) <= radius:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(fps))]
+
+
+@pytest.mark.parametrize("stripe", [4, 4096])
+def test_links_connect_what_is_near(spark, odd, stripe):
+    rng = random.Random(7)
+    fps = [rng.getrandbits(64) for _ in range(25)]
+    for _ in range(120):  # chains of near copies
+        fps.append(rng.choice(fps) ^ sum(1 << k for k in rng.sample(range(64), rng.randint(1, 6))))
+    fps = list(dict.fromkeys(fps))
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    labels = {r["node"]: r["label"] for r in simhash.components(simhash.links(df, 4, stripe)).collect()}
+    named = [labels.get(x, x) for x in signed]
+    expected = brute_classes(fps)
+    assert len(set(zip(named, expected, strict=True))) == len(set(named)) == len(set(expected))
+
+
+def test_tiles_skip_nothing():
+    rng = np.random.default_rng(2)
+    a = np.unique(rng.integers(0, 1 << 63, 700, dtype=np.uint64))
+    b = a[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    x, y = simhash.compare(a, b, 1, tile=16)
+    assert set(b.tolist()) - set(a.tolist()) <= set(x.tolist()) | set(y.tolist())
+
+
+def test_components_of_documents(docs, texts):
+    found = by_id(simhash.document_components(docs))
+    order = sorted(texts)
+    fps = [brute_simhash(texts[i]) for i in order]
+    assert [int(found[i]["fingerprint"], 16) for i in order] == fps
+    assert [found[i]["component_id"] for i in order] == [order[k] for k in brute_classes(fps)]
+
+
+def test_near_dedup_on_odd_rows(odd):
+    found = simhash.document_components(odd)
+    assert found.count() == len(ODD)
+    kept = simhash.near_dedup(odd)
+    assert kept.columns == odd.columns
+    assert kept.filter("doc_id = 5").count() == 1 and kept.filter("coalesce(text, '') = ''").count() == 1
+    assert simhash.near_dedup(odd.limit(0)).count() == simhash.document_components(odd.limit(0)).count() == 0
