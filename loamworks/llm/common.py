@@ -1,20 +1,14 @@
-"""What the operators of this subpackage share: table access, staged tables and label samples.
-
-Staged tables are Parquet folders under the folder that the session names in
-``spark.checkpoint.dir``; all executors and the driver see it, so a lost executor
-costs a re-read and not a recomputation of the whole lineage.
-"""
+"""What the operators of this subpackage share: table access, folds and label samples."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loamworks.session import ship
+from loamworks.session import shared_dir, ship, staged
+
+__all__ = ["LAST_ID", "TRAIN_ROWS", "fold", "shared_dir", "staged", "table", "training_rows", "whole", "wider"]
 
 #: Labelled rows that a classifier is fitted on at most; chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
@@ -27,24 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: short lineage, no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def whole(text: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(text), F.lit(""))

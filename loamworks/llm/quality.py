@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from loamworks.llm.common import TRAIN_ROWS, fold, training_rows, whole, wider
 
 STATISTICS = (
-    "chars words mean_word long_words short_words distinct_words top_word repeated_neighbours distinct_lines line_chars short_lines "
+    "chars words mean_word long_words short_words distinct_words words_per_distinct repeated_neighbours distinct_lines line_chars short_lines "
     "ended_lines upper lower digits spaces stops marks symbols bars bangs wide_bytes distinct_bytes byte_entropy"
 ).split()
 
@@ -52,7 +52,6 @@ def statistics(text: str) -> list[float]:
     n, m = max(1, len(words)), len(lines)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     distinct = set(words)
-    # The share of the commonest among the first words of each repetition: cheap, and exact for short texts.
     doubles = sum(map(operator.eq, words, words[1:]))
     data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     histogram = np.bincount(data, minlength=256)

@@ -10,8 +10,8 @@ into tiles, skips tile pairs whose population counts differ by more than the rad
 counts. It emits a spanning forest of the links it found and never the pairs, so a
 large group of near copies gives no more rows than it has members.
 
-Components of the links are found by label propagation with hooking to smaller
-labels and pointer jumping, in rounds that are written to the shared folder.
+Components of the links come from alternating large-star and small-star steps, each
+round written to the shared folder.
 
 Texts are lower-cased for A-Z and split at ASCII blanks. A text of fewer words than a
 shingle is one shingle; a text without words (null, empty, blank) has fingerprint
@@ -21,7 +21,6 @@ Repeated rows are all classed; near_dedup keeps one.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamworks.llm.common import LAST_ID, staged, whole, wider
+from loamworks.operators.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Distinct fingerprints per stripe where there is one stripe, and rows of a tile.
 STRIPE, TILE = 4096, 256
 
 # What separates words, and the letters that are folded.
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-BLANKS = b" \t\n\x0b\x0c\r"
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
@@ -157,33 +155,6 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, stripe: int = STRIPE) -
     return sent.repartition(tasks, "item").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label): the smallest node of each component of the edges; nodes are longs.
-
-    Each round every node takes the smallest label among itself and its neighbours,
-    tells its old label of it (hooking), and then the label's label (jumping). A hub's
-    messages are summed up before the exchange; rounds grow with the logarithm of the
-    longest chain. Null ends are left out.
-    """
-    edges = staged(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b").distinct(), "edges")
-    while True:
-        # large-star: greater neighbours of a node hang on the smallest of its neighbourhood
-        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("x"), F.col("m").alias("y"))
-        large = large.filter("x != y").distinct()
-        # small-star: a node's smaller neighbours and itself hang on the smallest of them
-        low = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = large.join(low, "x").select(F.col("y").alias("b"), F.col("m").alias("a")).unionAll(low.select(F.col("x").alias("b"), F.col("m").alias("a")))
-        new = staged(small.filter("a < b").select("a", "b").distinct(), "edges")
-        same = new.count() == edges.count() and new.join(edges, ["a", "b"], "left_anti").isEmpty()
-        edges = new
-        if same:
-            break
-    stars = edges.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "node")
-    return stars.unionAll(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
-
-
 def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """id, row_hash, fp, component for every row: components of documents whose fingerprints link, named by the smallest id (LAST_ID: null)."""
     named = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), whole().alias("text"), F.xxhash64(whole()).alias("row_hash"))
