@@ -236,7 +236,7 @@ def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int
     table = plan(histogram).table()
     before = counts.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     ranked = salted.withColumn("within", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(F.broadcast(before), ["length", "salt"])  # capacity x SALTS rows at most
+    ranked = ranked.join(before.hint("shuffle_hash"), ["length", "salt"])  # the window's partitioning serves the join
     ranked = ranked.withColumn("rank", F.col("within") + F.col("before")).select(*found.columns, "rank")
     schema = wider(found, "sequence_id long, offset long")
     keys = table[:, 0] * (1 << 40) + table[:, 1]
