@@ -38,7 +38,9 @@ ODDS_CUTS = (2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0)
 #: Share of an entry's toxic documents that one longer entry may have; beyond it the longer one alone stays.
 EXPLAINED = 0.8
 #: Different entries that one worker counts before it passes them on.
-COUNTED = 200_000
+COUNTED = 100_000
+#: Words whose class one worker remembers.
+REMEMBERED = 50_000
 
 # Word classes.
 NEUTRAL, INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK, QUOTE = range(8)
@@ -51,6 +53,8 @@ REPORTS = "said says claimed quoted wrote reported called sagte schrieb behaupte
 THREATS = "kill murder hurt stab shoot strangle destroy töten ermorden tuer assassiner matar asesinar"
 THREAT_WEIGHT = 3.0
 
+#: What words outside the lexicon are, by class; shared by all of them.
+PLAIN = [(c, 1.0) for c in range(CLASSES)]
 TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;\n]|[\"“”«»]")
 WORD = re.compile(r"[^\W_]{3,}")
 STEMS = (4, 5, 6, 7)
@@ -117,7 +121,7 @@ def compose(*machines) -> tuple[list[list[int]], list[list[float]], list[list[fl
 class Words(dict):
     """Word -> (class, weight), filled on demand and emptied when it holds ``most`` words."""
 
-    def __init__(self, lexicon: dict[str, float], most: int = COUNTED):
+    def __init__(self, lexicon: dict[str, float], most: int = REMEMBERED):
         super().__init__()
         self.lexicon, self.most = lexicon, most
         self.closed = {w: c for text, c in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT)) for w in text.split()}
@@ -131,7 +135,7 @@ class Words(dict):
             found = (QUOTE, 0.0)
         else:
             weight = max((self.lexicon[k] for k in keys_of(word) if k in self.lexicon), default=0.0)
-            found = (INSULT, weight) if weight else (self.closed.get(word, NEUTRAL), 1.0)
+            found = (INSULT, weight) if weight else PLAIN[self.closed.get(word, NEUTRAL)]
         self[word] = found
         return found
 
@@ -144,20 +148,17 @@ class Grammar:
 
     def scorer(self):
         total, half = self.summer(), self.half
-        return lambda text: 1.0 - 2.0 ** (-total(text) / half)
+        return lambda text: 1.0 - 2.0 ** (-total(text)[0] / half)
 
-    def summer(self):
-        """A function from a text to the sum of its clauses' scores."""
+    def summer(self, cuts: tuple[float, ...] = (0.0,)):
+        """A function from a text to the sums of its clauses' scores, one for each least odds of the lexicon's entries."""
         nexts, factors, emitted = compose(insult_machine(), threat_machine(), target_machine(), negation_machine(), report_machine())
-        look = Words(self.lexicon).__getitem__
+        words = Words(self.lexicon)
+        look = words.__getitem__
 
-        def clauses(text: str) -> Iterator[float]:
+        def clauses(found: list[tuple[int, float]]) -> Iterator[float]:
             """The scores of the clauses in which something matches."""
-            found = list(map(look, TOKEN.findall(text.lower())))
             state, total = 0, 0.0
-            live = {c for c, _ in set(found)}
-            if INSULT not in live and THREAT not in live:
-                return
             for c, weight in found:
                 total += emitted[state][c] * factors[state][c] * weight
                 state = nexts[state][c]
@@ -167,7 +168,20 @@ class Grammar:
             if total:
                 yield total
 
-        return lambda text: sum(clauses(text))
+        def sums(text: str) -> list[float]:
+            tokens = TOKEN.findall(text.lower())
+            found = list(map(look, tokens))
+            live = {c for c, _ in set(found)}
+            if INSULT not in live and THREAT not in live:
+                return [0.0] * len(cuts)
+            out = []
+            for cut in cuts:
+                if cut:  # entries below the cut are read as if the lexicon did not have them
+                    found = [PLAIN[words.closed.get(t, NEUTRAL)] if c == INSULT and weight < cut else (c, weight) for t, (c, weight) in zip(tokens, found, strict=True)]
+                out.append(sum(clauses(found)))
+            return out
+
+        return sums
 
 
 def fit(training: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> Grammar:
@@ -208,20 +222,18 @@ def fit(training: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> Grammar:
         for n in range(STEMS[0], len(key)):
             explained[key[:n]] = max(explained.get(key[:n], 0), toxic)
     lexicon = {key: odds for _, key, odds, toxic in scored if explained.get(key, 0) < EXPLAINED * toxic}
-    grammars = [Grammar({key: odds for key, odds in lexicon.items() if odds >= cut}) for cut in ODDS_CUTS]
+    grammar = Grammar(lexicon)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, *others = [g.summer() for g in grammars]
+        sums = grammar.summer(ODDS_CUTS)
         for batch in batches:
-            sums = [[total, *(f(t) if total else 0.0 for f in others)] for t in batch["text"].to_pylist() for total in (float(first(t)),)]
-            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.list_(pa.float64())), batch["label"]], ["totals", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array([sums(t) for t in batch["text"].to_pylist()], pa.list_(pa.float64())), batch["label"]], ["totals", "label"])
 
     rows = training.mapInArrow(add_up, "totals array<double>, label int").collect()
-    totals, labels = np.array([r[0] for r in rows]).reshape(len(rows), len(grammars)), np.array([r[1] > 0 for r in rows])
-    cuts = [best_cut(totals[:, k], labels) for k in range(len(grammars))]
-    best = min(range(len(grammars)), key=lambda k: (cuts[k][0], -k))
-    grammars[best].half = cuts[best][1]
-    return grammars[best]
+    totals, labels = np.array([r[0] for r in rows]).reshape(len(rows), len(ODDS_CUTS)), np.array([r[1] > 0 for r in rows])
+    cuts = [best_cut(totals[:, k], labels) for k in range(len(ODDS_CUTS))]
+    best = min(range(len(ODDS_CUTS)), key=lambda k: (cuts[k][0], -k))
+    return Grammar({key: odds for key, odds in lexicon.items() if odds >= ODDS_CUTS[best]}, cuts[best][1])
 
 
 def best_cut(totals: np.ndarray, labels: np.ndarray) -> tuple[int, float]:
