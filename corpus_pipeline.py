@@ -29,8 +29,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: words in shingles of five, fingerprints within four bits."""
-    return simhash.near_dedup(docs, shingle=5)
+    """One document of each component of near copies: five-word shingles, a similarity of about 0.8 or more."""
+    return simhash.near_dedup(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -508,7 +508,30 @@ def test_tiles_skip_nothing():
     a = np.unique(rng.integers(0, 1 << 63, 700, dtype=np.uint64))
     b = a[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
     x, y = simhash.compare(a, b, 1, tile=16)
-    assert set(b.tolist()) - set(a.tolist()) <= set(x.tolist()) | set(y.tolist())
+    assert {k + len(a) for k, v in enumerate(b.tolist()) if v not in set(a.tolist())} <= set(x.tolist()) | set(y.tolist())
+
+
+def test_near_copies_by_similarity(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = [rng.choices(vocabulary, k=400) for _ in range(40)]
+    rows, similar, other = [], {}, {}
+    for i, words in enumerate(base):
+        rows.append((i, " ".join(words)))
+        for into, changes, at in ((similar, 5, 100), (other, 40, 200)):  # similarities of about 0.88 and 0.45
+            copy = list(words)
+            for k in rng.sample(range(400), changes):
+                copy[k] = rng.choice(vocabulary)
+            rows.append((at + i, " ".join(copy)))
+            into[at + i] = i
+    kept = {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {*range(40), *other}
+
+
+def test_first_word_is_the_fingerprint():
+    for t in ("", "one", "a b c d e f g", "x " * 500):
+        words = np.frombuffer(simhash.wide_fingerprint(t), "<u8")
+        assert len(words) == simhash.WIDE and int(words[0]) == simhash.fingerprint(t)
 
 
 def test_components_of_documents(docs, texts):
