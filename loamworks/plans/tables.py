@@ -2,18 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamworks.operators import aggregates as A
 from loamworks.operators import cleaning as C
 from loamworks.operators import joins as J
 from loamworks.plans.registry import query
+from loamworks.session import shared_dir
 from loamworks.sources import tables as T
 
 STATUS = "CASE WHEN val_txt IS NULL THEN 'Missing' WHEN TRY_CAST(val_txt AS DOUBLE) IS NULL THEN 'Dirty' WHEN TRY_CAST(val_txt AS DOUBLE) > 45 THEN 'High' ELSE 'Normal' END"
 
 
+SITES = "SELECT site_id, x, y, ph FROM sites"
+SITE_SCHEMA = "site_id long, x double, y double, ph double"
+
+
+def written(df: DataFrame, label: str) -> str:
+    """A folder in the shared folder that holds the frame as CSV files of one name part."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.csv(path, header=True)
+    return path
+
+
+@query("S1_read_csv", SITES)
+def _(t):
+    return T.read_csv(t.spark, written(t.sites.select("site_id", "cls", "x", "y", "ph"), "csv"), "site_id long, cls string, x double, y double, ph double", ["site_id", "x", "y", "ph"])
+
+
+@query("S2_read_table", "SELECT site_id, cls FROM sites")
+def _(t):
+    name = f"sites_{uuid.uuid4().hex}"
+    T.replace_table(t.sites.select("site_id", "cls"), name, f"{shared_dir(t.spark)}/{name}")
+    assert name in T.tables_of(t.spark)
+    return T.read_table(t.spark, name)
+
+
+@query("S3_read_named", SITES)
+def _(t):
+    return T.read_named(t.spark, written(t.sites.select("site_id", "x", "y", "ph"), "named"), "part-", SITE_SCHEMA)
+
+
+@query("S8_write_grid", "SELECT r, c, b2 FROM cells WHERE r >= 3 AND r < 12 AND c >= 20 AND c < 95")
+def _(t):
+    path = f"{shared_dir(t.spark)}/grid-{uuid.uuid4().hex}"
+    T.write_grid(t.cells.select("r", "c", "b2"), path, 25)
+    return T.read_grid(t.spark, path, 3, 12, 20, 95, 25)
+
+
+@query("S9_write_reports", "SELECT 'sites' AS report, cls AS k, count(*) AS n FROM sites GROUP BY 2 UNION ALL SELECT 'units', land, count(*) FROM units GROUP BY 2")
+def _(t):
+    top = f"{shared_dir(t.spark)}/reports-{uuid.uuid4().hex}"
+    T.write_reports({n: df.groupBy(F.col(c).alias("k")).agg(F.count("*").alias("n")) for n, df, c in (("sites", t.sites, "cls"), ("units", t.units, "land"))}, top)
+    back = [T.read_csv(t.spark, f"{top}/{n}", "k string, n long").select(F.lit(n).alias("report"), "k", "n") for n in ("sites", "units")]
+    return back[0].unionByName(back[1])
+
+
+@query("S10_replace_table", "SELECT land, sum(area) AS area FROM units GROUP BY 1")
+def _(t):
+    name, path = f"units_{uuid.uuid4().hex}", f"{shared_dir(t.spark)}/units-{uuid.uuid4().hex}"
+    sums = t.units.groupBy("land").agg(F.sum("area").alias("area"))
+    T.replace_table(sums.withColumn("area", F.lit(0.0)), name, path)
+    T.replace_table(sums, name, path)
+    return T.read_table(t.spark, name)
+
+
+@query("P2_tidy_names", "SELECT zone_id, round(avg(b2), 4) AS b2, max(pos) AS position FROM cells GROUP BY 1")
+def _(t):
+    wide = t.cells.groupBy("zone_id").agg(F.round(F.avg("b2"), 4).alias("b2_mean"), F.max("pos").alias("pos_majority"))
+    return C.tidy_names(wide, renamed={"pos": "position"})
+
+
 @query("S4_common_columns", "SELECT site_id, layer FROM samples UNION ALL SELECT site_id, area_id AS layer FROM sites")
 def _(t):
     return T.union_on_common([t.samples, t.sites.withColumnRenamed("area_id", "layer")])

@@ -67,9 +67,10 @@ def write_reports(reports: dict[str, DataFrame], top: str, form: str = "csv") ->
         writer.csv(f"{top}/{name}", header=True) if form == "csv" else writer.parquet(f"{top}/{name}")
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """A catalog table created from a frame, or replaced by it."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """A catalog table created from a frame, or replaced by it; its files lie at ``path`` or in the warehouse."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def message_kind(line: Column) -> Column:
