@@ -206,7 +206,10 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, stripe: int = STRIPE, w
 
 
 def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_radius: int | None = None) -> DataFrame:
-    """id, row_hash, node, component for every row: components of documents whose fingerprints link, named by the smallest id (LAST_ID: null)."""
+    """id, row_hash, fp, node, label, component for every row: components of documents whose fingerprints link.
+
+    ``label``, the smallest node, is unique; ``component``, the smallest id (LAST_ID: null), is not where ids repeat or are null.
+    """
     named = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), whole().alias("text"), F.xxhash64(whole()).alias("row_hash"))
     if wide_radius is None:
         fps = with_fingerprints(named, "id", "row_hash", shingle=shingle).withColumn("node", F.col("fp"))
@@ -218,7 +221,7 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_
     least = fps.groupBy("node").agg(F.min("id").alias("first"))
     joined = least.join(groups, least.node == groups.member, "left").select("node", "first", F.coalesce("label", "node").alias("label"))
     smallest = joined.groupBy("label").agg(F.min("first").alias("component"))
-    return fps.select("id", "row_hash", "fp", "node").join(staged(joined.join(smallest, "label").select("node", "component"), "by-node"), "node")
+    return fps.select("id", "row_hash", "fp", "node").join(staged(joined.join(smallest, "label").select("node", "label", "component"), "by-node"), "node")
 
 
 def near_dedup(docs: DataFrame, radius: int = FIRST_RADIUS, shingle: int = 5, wide_radius: int | None = WIDE_RADIUS) -> DataFrame:
@@ -228,7 +231,7 @@ def near_dedup(docs: DataFrame, radius: int = FIRST_RADIUS, shingle: int = 5, wi
     ``wide_radius`` None at ``radius`` differing bits of the 64-bit fingerprints.
     """
     found = staged(classes(docs, radius, shingle, wide_radius), "classes")
-    first = found.filter("id = component").groupBy("component").agg(F.min("row_hash").alias("row_hash")).select(F.col("component").alias("_id"), F.col("row_hash").alias("_row_hash"))
+    first = found.groupBy("label").agg(F.min(F.struct("id", "row_hash")).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.row_hash").alias("_row_hash"))
     keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(LAST_ID)), "_row_hash": F.xxhash64(whole())})
     kept = keyed.join(first.hint("shuffle_hash"), ["_id", "_row_hash"], "left_semi")
     if not found.groupBy("id", "row_hash").count().filter("count > 1").isEmpty():

@@ -549,3 +549,10 @@ def test_near_dedup_on_odd_rows(odd):
     assert kept.columns == odd.columns
     assert kept.filter("doc_id = 5").count() == 1 and kept.filter("coalesce(text, '') = ''").count() == 1
     assert simhash.near_dedup(odd.limit(0)).count() == simhash.document_components(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("wide_radius", [None, simhash.WIDE_RADIUS])
+def test_near_dedup_keeps_different_texts_of_one_id(spark, wide_radius):
+    rows = [(i, " ".join(f"{name}{k}" for k in range(60))) for i, name in ((None, "a"), (None, "b"), (None, "c"), (7, "d"), (7, "e"), (8, "f"))]
+    kept = simhash.near_dedup(spark.createDataFrame([*rows, rows[0], rows[3]], "doc_id long, text string"), wide_radius=wide_radius, radius=4 if wide_radius is None else simhash.FIRST_RADIUS)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
