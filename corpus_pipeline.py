@@ -29,7 +29,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: five-word shingles, a similarity of about 0.8 or more."""
+    """One document of each component of near copies: five-word shingles, a similarity of 0.8 or more."""
     return simhash.near_dedup(docs)
 
 

@@ -10,6 +10,10 @@ into tiles, skips tile pairs whose population counts differ by more than the rad
 counts. It emits a spanning forest of the links it found and never the pairs, so a
 large group of near copies gives no more rows than it has members.
 
+For copies by similarity the tiles only find candidates. Nodes are distinct sets of
+shingle hashes, and all pairs inside a component of candidates are tested by the exact
+Jaccard similarity of their sets: a task holds two blocks of one component.
+
 Components of the links come from alternating large-star and small-star steps, each
 round written to the shared folder.
 
@@ -33,9 +37,15 @@ from loamworks.llm.common import LAST_ID, staged, whole, wider
 from loamworks.operators.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: For copies by similarity: words of a wide fingerprint, the radius of its first word, and that of all words together.
-#: Two sets of similarity j differ in about acos(2j / (1 + j)) / pi of the bits: 78 of 512 at 0.8, with a deviation of 8.
-WIDE, FIRST_RADIUS, WIDE_RADIUS = 8, 16, 84
+#: For candidates by similarity: words of a wide fingerprint, the radius of its first word, and that of all words together.
+#: Two sets of similarity j differ in about acos(2j / (1 + j)) / pi of the bits: 78 of 512 at 0.8, with a deviation of 8
+#: and 9.7 of 64, with a deviation of 2.9: both radii lie four deviations above or more. For sets of 4 and 5 it is 96 of 512,
+#: and the radius lies 2.7 deviations above, so about 1 in 300 such pairs is not met.
+WIDE, FIRST_RADIUS, WIDE_RADIUS = 8, 22, 120
+#: Candidates are copies at 4 / 5 or more, in whole numbers.
+SIMILAR, OF = 4, 5
+#: Sets per block, and shingles per block, of a component of candidates.
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: Distinct fingerprints per stripe where there is one stripe, and rows of a tile.
 STRIPE, TILE = 4096, 256
 
@@ -71,7 +81,11 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def wide_fingerprint(text: str, shingle: int = SHINGLE, words: int = WIDE) -> bytes:
     """Several fingerprints of one text as little-endian words: the first is its fingerprint, the others come from remixed hashes."""
-    hashes = shingle_hashes(text, shingle)
+    return widened(shingle_hashes(text, shingle), words)
+
+
+def widened(hashes: np.ndarray, words: int = WIDE) -> bytes:
+    """The wide fingerprint of these hashes."""
     out = [majority(hashes)]
     for k in range(1, words):
         mixed = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -94,14 +108,16 @@ def with_fingerprints(docs: DataFrame, *keep: str, shingle: int = SHINGLE) -> Da
 
 
 def with_wide_fingerprints(docs: DataFrame, *keep: str, shingle: int = SHINGLE) -> DataFrame:
-    """``keep`` columns, ``wide`` (binary, WIDE words) and ``fp`` (its first word) of each whole text."""
-    schema = wider(docs.select(*keep), "wide binary, fp long")
+    """``keep`` columns and, of the set of each whole text's shingles, ``node`` (its hash), ``wide`` (binary, WIDE words) and ``fp`` (the first word)."""
+    schema = wider(docs.select(*keep), "node long, wide binary, fp long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [wide_fingerprint(t or "", shingle) for t in batch["text"].to_pylist()]
+            sets = [np.unique(shingle_hashes(t or "", shingle)) for t in batch["text"].to_pylist()]
+            nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            found = [widened(x) for x in sets]
             first = np.array([np.frombuffer(w, "<i8", 1)[0] for w in found], np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keep), pa.array(found, pa.binary()), pa.array(first)], [*keep, "wide", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keep), pa.array(nodes), pa.array(found, pa.binary()), pa.array(first)], [*keep, "node", "wide", "fp"])
 
     return docs.mapInArrow(run, schema)
 
@@ -205,6 +221,88 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, stripe: int = STRIPE, w
     return sent.repartition(tasks, "item").mapInArrow(run, "a long, b long")
 
 
+def similar(sets: list[np.ndarray], first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect all sets (sorted hashes) with a Jaccard similarity of SIMILAR / OF or more as (from, to) positions: a forest.
+
+    With ``first`` only the pairs of one of the first sets and one of the others are compared.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    ends = np.cumsum(sizes)
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    marked, forest = np.zeros(len(names), bool), Forest(n)
+    for i in range(n if first is None else first):
+        others = np.arange(i + 1 if first is None else first, n)
+        others = others[forest.root[others] != forest.root[i]]  # pairs that are connected already need no look
+        low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        others = others[low * OF >= high * SIMILAR]
+        if not len(others):
+            continue
+        mine = flat[ends[i] - sizes[i] : ends[i]]
+        marked[mine] = True
+        if len(others) * 8 < n:
+            shared = np.array([np.count_nonzero(marked[flat[ends[j] - sizes[j] : ends[j]]]) for j in others.tolist()], np.int64)
+        else:
+            counted = np.concatenate([[0], np.cumsum(marked[flat])])
+            shared = counted[ends[others]] - counted[ends[others] - sizes[others]]
+        marked[mine] = False
+        others = others[shared * OF >= (sizes[i] + sizes[others] - shared) * SIMILAR]
+        forest.link(np.full(len(others), i), others)
+    moved = np.flatnonzero(forest.root != np.arange(n))
+    return moved, forest.root[moved]
+
+
+def similar_links(docs: DataFrame, fps: DataFrame, groups: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
+    """(a, b) links between nodes that connect all that are similar inside the components ``groups`` (member, label) of candidates.
+
+    ``docs`` has id, row_hash and text, ``fps`` id, row_hash and node. The text of one document stands for a node.
+    Components of more than ``block`` sets are cut into stripes, and each pair of stripes is compared by itself.
+    """
+    least = fps.groupBy("node").agg(F.min(F.struct("id", "row_hash")).alias("first"))
+    chosen = least.join(groups, least.node == groups.member).select("node", "label", "first.id", "first.row_hash")
+    texts = docs.join(chosen.hint("shuffle_hash"), ["id", "row_hash"]).groupBy("node", "label").agg(F.first("text").alias("text"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, shingle)) for t in batch["text"].to_pylist()]
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["label"], pa.array([x.tobytes() for x in sets], pa.binary()), sizes], ["node", "label", "hashes", "size"])
+
+    sets = staged(texts.mapInArrow(read, "node long, label long, hashes binary, size long"), "sets")
+    stripes = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    # at most one row for each block of sets or shingles
+    large = sets.groupBy("label").agg(stripes.alias("stripes")).filter("stripes > 1")
+    dealt = sets.join(F.broadcast(large), "label", "left").withColumn("stripes", F.coalesce("stripes", F.lit(1)))
+    dealt = dealt.withColumn("s", F.expr("cast(pmod(xxhash64(node), stripes) as int)")).withColumn("t", F.explode(F.expr("sequence(0, stripes - 1)")))
+    item = ["label", "low", "high"]
+    sent = dealt.select("label", F.least("s", "t").alias("low"), F.greatest("s", "t").alias("high"), "s", "node", "hashes")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compared(rows: list[tuple]) -> list[tuple[int, int]]:
+        rows.sort(key=lambda r: r[0])
+        n = sum(r[0] == rows[0][0] for r in rows)
+        a, b = similar([np.frombuffer(r[2], np.uint64) for r in rows], n if n < len(rows) else None)
+        return [(rows[i][1], rows[j][1]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            found = []
+            for key, *row in zip(zip(*(batch[c].to_pylist() for c in item), strict=True), *(batch[c].to_pylist() for c in ("s", "node", "hashes")), strict=True):
+                if key != now:
+                    found += compared(held) if held else []
+                    now, held = key, []
+                held.append(row)
+            yield out(found)
+        if held:
+            yield out(compared(held))
+
+    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return sent.repartition(tasks, *item).sortWithinPartitions(*item).mapInArrow(run, "a long, b long")
+
+
 def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_radius: int | None = None) -> DataFrame:
     """id, row_hash, fp, node, label, component for every row: components of documents whose fingerprints link.
 
@@ -214,9 +312,11 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_
     if wide_radius is None:
         fps = with_fingerprints(named, "id", "row_hash", shingle=shingle).withColumn("node", F.col("fp"))
     else:
-        fps = with_wide_fingerprints(named, "id", "row_hash", shingle=shingle).withColumn("node", F.xxhash64("wide"))
+        fps = with_wide_fingerprints(named, "id", "row_hash", shingle=shingle)
     fps = staged(fps, "doc-fps")
     groups = components(links(fps, radius, wide_radius=wide_radius)).withColumnRenamed("node", "member")
+    if wide_radius is not None:
+        groups = components(similar_links(named, fps, groups, shingle)).withColumnRenamed("node", "member")
     # the smallest id is found over nodes, one row each, and then brought to the documents
     least = fps.groupBy("node").agg(F.min("id").alias("first"))
     joined = least.join(groups, least.node == groups.member, "left").select("node", "first", F.coalesce("label", "node").alias("label"))
@@ -227,8 +327,8 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_
 def near_dedup(docs: DataFrame, radius: int = FIRST_RADIUS, shingle: int = 5, wide_radius: int | None = WIDE_RADIUS) -> DataFrame:
     """One row of each component: that with the smallest id (of several texts under this id, the one of smallest hash).
 
-    By default documents link at a similarity of about 0.8 of their five-word shingles, told by wide fingerprints; with
-    ``wide_radius`` None at ``radius`` differing bits of the 64-bit fingerprints.
+    By default documents link at a Jaccard similarity of 0.8 or more of their sets of five-word shingles; candidates are
+    found by wide fingerprints. With ``wide_radius`` None they link at ``radius`` differing bits of the 64-bit fingerprints.
     """
     found = staged(classes(docs, radius, shingle, wide_radius), "classes")
     first = found.groupBy("label").agg(F.min(F.struct("id", "row_hash")).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.row_hash").alias("_row_hash"))

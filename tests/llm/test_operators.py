@@ -556,3 +556,42 @@ def test_near_dedup_keeps_different_texts_of_one_id(spark, wide_radius):
     rows = [(i, " ".join(f"{name}{k}" for k in range(60))) for i, name in ((None, "a"), (None, "b"), (None, "c"), (7, "d"), (7, "e"), (8, "f"))]
     kept = simhash.near_dedup(spark.createDataFrame([*rows, rows[0], rows[3]], "doc_id long, text string"), wide_radius=wide_radius, radius=4 if wide_radius is None else simhash.FIRST_RADIUS)
     assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_near_copies_at_the_limit(spark):
+    rng = random.Random(3)
+    rows, kept = [], []
+    for i in range(30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(404)]
+        # the last k words are in k of 400 shingles: similarities of 356 / 444 and 355 / 445
+        for at, k, stays in ((0, 0, True), (100, 44, False), (200, 45, True)):
+            rows.append((at + i, " ".join(words[: 404 - k] + [f"v{at + i}x{j}" for j in range(k)])))
+            kept += [at + i] if stays else []
+    zeros = "0 " * 600
+    for i in (300, 301):  # one shingle is most of both
+        rows.append((i, zeros + " ".join(f"z{i}x{j}" for j in range(80))))
+        kept.append(i)
+    words = " ".join(f"y{j}" for j in range(200))  # the same shingles, repeated in one
+    rows += [(400, "1 1 1 1 1 1 " + words), (401, "1 " * 900 + words)]
+    kept.append(400)
+    found = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(kept)
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_similar_sets_by_brute_force(spark, block):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[: 60 - rng.randrange(20)] + [f"v{rng.randrange(40)}" for _ in range(rng.randrange(30))]) for _ in range(60)]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, row_hash long, text string")
+    groups = spark.createDataFrame([(i, 0) for i in range(60)], "member long, label long")
+    links = simhash.similar_links(docs, docs.selectExpr("id", "row_hash", "id as node"), groups, 5, block)
+    found = {r["node"]: r["label"] for r in simhash.components(links).collect()}
+    label = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert [found.get(i, i) for i in range(60)] == label and len(set(label)) > 1
