@@ -7,11 +7,13 @@ and blocks whose class, id or role names a menu, advert, notice, sidebar or comm
 are left out as they stream by. Each line gets its text-to-tag ratio; the ratios are
 smoothed with a Gaussian along the page and split into two clusters. Lines of the
 upper cluster mark content regions: a region is the article or main element around
-such a line, or else the run of unlinked lines around it in the body, headings before
-it included. Every line of a region is kept, short ones too.
+such a line, or else the run of lines around it in the body up to the next block of
+links, headings before it included. Every line of a region is kept, short ones too.
+A form is left out unless it holds most of the page's text.
 
 Null and empty pages give an empty text. White space inside a block (line breaks by
-``br`` too) becomes one space. Unclosed and crossed tags are closed with their parent.
+``br`` too) becomes one space. Ends that HTML implies (of head, paragraphs, list items
+and table cells) are set; other unclosed and crossed tags are closed with their parent.
 """
 
 from __future__ import annotations
@@ -32,40 +34,54 @@ BLOCKS = frozenset(
     "legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LEFT_OUT = frozenset("head title script style noscript template nav header footer aside form button select textarea iframe object svg canvas audio video map dialog".split())
+LEFT_OUT = frozenset("head title script style noscript template nav header footer aside button select textarea iframe object svg canvas audio video map dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEFT_OUT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|sidebar|side-bar|widget|menu|nav|navbar|navigation"
     r"|breadcrumbs?|pagination|pager|toolbar|header|masthead|footer|copyright|comments?|commentlist|replies|respond|disqus|share|sharing|social|related|recommended|login|search)(?:$|[\s_-])",
     re.I,
 )
+#: Class words that tell what a container has or lacks, and blocks that hold an article's title.
+NOT_NAMES = re.compile(r"(?:no|not|has|have|with|without)[_-]|(?:post|entry|article|story|content)[_-]header$", re.I)
+IN_HEAD = frozenset("head title script style noscript template meta link base".split())
+#: Starts that end an open paragraph, and what keeps an open one out of their reach.
+ENDS_P = BLOCKS - frozenset("body caption html legend option tbody td tfoot th thead tr".split())
+P_SCOPE = frozenset("html body table caption td th button object template".split())
+#: Starts that end open elements of these names, sought up to the nearest of those.
+_ITEM_SCOPE = BLOCKS - frozenset("address div p".split())
+ENDS = (
+    {"li": (frozenset(["li"]), _ITEM_SCOPE), "option": (frozenset(["option"]), frozenset(["select"]))}
+    | dict.fromkeys(("dt", "dd"), (frozenset(["dt", "dd"]), _ITEM_SCOPE))
+    | dict.fromkeys(("td", "th"), (frozenset(["td", "th"]), frozenset(["tr", "table"])))
+    | {"tr": (frozenset(["tr"]), frozenset(["table"]))}
+    | dict.fromkeys(("thead", "tbody", "tfoot"), (frozenset(["thead", "tbody", "tfoot"]), frozenset(["table"])))
+)
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Smoothing width in lines, and pages with fewer body lines are kept whole.
+#: Smoothing width in lines; pages of no more body lines are kept whole, and fewer linked lines do not end a run.
 SIGMA, FEW = 1.5, 3
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, linked characters, region, heading) for each block in page order."""
+    """Collects (text, tags, linked characters, region, heading, form) for each block in page order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # name, left out, region
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.open: list[tuple[str, bool, int, int]] = []  # name, left out, region, form
+        self.lines: list[tuple[str, int, int, int, bool, int]] = []
         self.parts: list[str] = []
-        self.tags = self.linked = self.regions = 0
+        self.tags = self.linked = self.regions = self.forms = 0
         self.heading = False
 
     def end_line(self) -> None:
         if text := " ".join("".join(self.parts).split()):
-            self.lines.append((text, self.tags, self.linked, self.open[-1][2] if self.open else 0, self.heading))
+            self.lines.append((text, self.tags, self.linked, self.open[-1][2] if self.open else 0, self.heading, self.open[-1][3] if self.open else 0))
         self.parts, self.tags, self.linked, self.heading = [], 0, 0, False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        out, region = self.open[-1][1:] if self.open else (False, 0)
         if tag in BLOCKS:
             self.end_line()
-            if tag == "p" and self.open and self.open[-1][0] == "p":
-                self.open.pop()
+        self.imply_ends(tag)
+        out, region, form = self.open[-1][1:] if self.open else (False, 0, 0)
         if tag == "br":
             self.parts.append(" ")
         self.tags += 1
@@ -74,16 +90,38 @@ class Lines(HTMLParser):
         if tag in ("article", "main") and not out:
             self.regions += 1
             region = region or self.regions
+        if tag == "form" and not form:
+            self.forms += 1
+            form = self.forms
         out = out or tag in LEFT_OUT and not (tag == "header" and region) or self.named_out(tag, attrs)
         self.heading = self.heading or tag in HEADINGS
-        self.open.append((tag, out, region))
+        self.open.append((tag, out, region, form))
+
+    def imply_ends(self, tag: str) -> None:
+        """Closes what HTML ends before this start tag."""
+        if tag == "body" or tag not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self.close_to(frozenset(["head"]), frozenset())
+        if tag in ENDS_P:
+            self.close_to(frozenset(["p"]), P_SCOPE)
+        if tag in ENDS:
+            self.close_to(*ENDS[tag])
+
+    def close_to(self, names: frozenset[str], scope: frozenset[str]) -> None:
+        """Closes the innermost open element of these names, if none of ``scope`` is nearer; links go on behind it."""
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] in names:
+                around = self.open[at - 1][1:] if at else (False, 0, 0)
+                self.open[at:] = [("a", *around) for x in self.open[at:] if x[0] == "a"]
+                return
+            if self.open[at][0] in scope:
+                return
 
     @staticmethod
     def named_out(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in ("html", "body", "article", "main"):
             return False
         for name, value in attrs:
-            if name in ("class", "id") and value and LEFT_OUT_NAMES.search(value) or name == "role" and value in LEFT_OUT_ROLES:
+            if name in ("class", "id") and value and LEFT_OUT_NAMES.search(" ".join(w for w in value.split() if not NOT_NAMES.match(w))) or name == "role" and value in LEFT_OUT_ROLES:
                 return True
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and re.search(r"display\s*:\s*none", value):
                 return True
@@ -107,6 +145,8 @@ class Lines(HTMLParser):
                 del self.open[at]
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.open.pop()  # text ends the head
         if self.open and self.open[-1][1]:
             return
         self.parts.append(data)
@@ -146,6 +186,8 @@ def main_text(html: str) -> str:
     parser.close()
     parser.end_line()
     lines = parser.lines
+    in_form = np.bincount([line[5] for line in lines], [len(line[0]) for line in lines], parser.forms + 1)
+    lines = [line for line in lines if not line[5] or 2 * in_form[line[5]] > in_form.sum()]
     if not lines:
         return ""
     ratios = np.array([len(text) / (1 + tags) for text, tags, *_ in lines])
@@ -159,7 +201,11 @@ def main_text(html: str) -> str:
     elif len(lines) <= FEW:
         keep = ~linked
     else:
-        # runs of lines between link blocks; a run with a content line is kept whole
+        # a few linked lines among others are text; runs of lines between link blocks, and one with a content line is kept whole
+        starts = np.flatnonzero(np.r_[True, linked[1:] != linked[:-1]])
+        for start, end in zip(starts[1:-1], starts[2:], strict=True):
+            if end - start < FEW:
+                linked[start:end] = False
         run = np.cumsum(np.r_[True, linked[1:] != linked[:-1]])
         keep = np.isin(run, run[content & ~linked]) & ~linked
         if not keep.any():

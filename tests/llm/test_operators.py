@@ -123,6 +123,29 @@ def test_any_markup_is_survived(page):
     assert isinstance(html.main_text(page), str)
 
 
+SENTENCES = [f"Sentence number {i} of the main text, long enough to be dense." for i in range(6)]
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in SENTENCES)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><meta charset=utf-8><body>" + PARAGRAPHS + "</body></html>",
+        "<head><title>T</title><div>" + PARAGRAPHS + "</div>",
+        "<head><title>T</title></head><body><p class=ad>Buy<div>" + PARAGRAPHS + "</div>",
+        "<body><p class=ad><b>Buy<div>" + PARAGRAPHS + "</div>",
+        "<body><ul><li class=ad>Buy" + "".join(f"<li>{x}" for x in SENTENCES) + "</ul>",
+        "<body><form id=aspnetForm><input name=q>" + PARAGRAPHS + "</form>",
+        "<body><div class='content no-sidebar'>" + PARAGRAPHS + "</div>",
+        "<body><div class='has-sidebar wide'>" + PARAGRAPHS + "</div><div class=sidebar>Other</div>",
+        f"<article><div class=post-header><h1>{SENTENCES[0]}</h1></div>" + "".join(f"<p>{x}</p>" for x in SENTENCES[1:]) + "</article>",
+        "<body>" + "".join(f"<p>{x}</p>" for x in SENTENCES[:3]) + f"<p><a href=/>{SENTENCES[3]}</a></p>" + "".join(f"<p>{x}</p>" for x in SENTENCES[4:]),
+    ],
+)
+def test_implied_ends_and_containers_keep_the_text(page):
+    assert html.main_text(page).split("\n") == SENTENCES
+
+
 def test_html_on_odd_rows(spark, odd):
     pages = spark.createDataFrame([(1, "u", PAGE, "old"), (2, None, None, None), (None, "v", "", "x"), (1, "u", PAGE, "old")], "page_id long, url string, html string, text string")
     found = html.extract(pages).collect()
