@@ -13,13 +13,12 @@ rest, so no piece but the first is shorter. Full pieces are sequences of their o
   again; then its smallest document is replaced with the two unpacked ones that fill
   the gap it leaves more tightly, if there are such. The same filling is repeated as
   often as the counts allow it.
-* ``best_fit_decreasing`` (written as matrices, task by task): lengths from long to short, each into the open bin with the
+* ``best_fit_decreasing`` (written as matrices): lengths from long to short, each into the open bin with the
   least room that holds it. A segment tree over room values finds that room; bins of
   equal room and history are handled as an interval of sequence numbers.
 
 Null and empty texts are one token (the end mark 0). Repeated rows are packed each. Ids
-may repeat or be null. Extra columns are dropped by the digests and kept by nothing
-else here.
+may repeat or be null. Extra columns are kept by nothing here.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +38,6 @@ CAPACITY = 2048
 #: Parts into which the pieces of one length are dealt for ranking.
 SALTS = 64
 END = 0
-#: Tokens that a task packs into matrix rows at a time.
-WINDOW = 2_000_000
 
 
 # --- plans: a slot row is (length, rank from, bins, sequence from, offset): ranks [from, from + bins) of the length go to as many sequences
@@ -204,9 +200,9 @@ def cut(ids: np.ndarray, capacity: int) -> list[tuple[int, int]]:
     return list(zip([0, *range(first, len(ids), capacity)], range(first, len(ids) + 1, capacity), strict=True))
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of each document's pieces."""
-    schema = wider(docs.select("doc_id"), "piece int, start long, length long, ids_crc32 long")
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 of each document's pieces, and their ids (binary, little-endian uint32) if asked for."""
+    schema = wider(docs.select("doc_id"), "piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -214,10 +210,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             rows = []
             for k, text in enumerate(batch["text"].to_pylist()):
                 ids = np.append(encode(text), np.uint32(END)).astype("<u4")
-                rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end])) for piece, (start, end) in enumerate(cut(ids, capacity))]
+                rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end]), ids[start:end].tobytes() if with_ids else None) for piece, (start, end) in enumerate(cut(ids, capacity))]
             if rows:
-                k, piece, *longs = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(k, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in longs)], schema.names)
+                k, piece, *longs, held = zip(*rows, strict=True)
+                more = [pa.array(held, pa.binary())] if with_ids else []
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(k, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in longs), *more], schema.names)
 
     return docs.select("doc_id", whole().alias("text")).mapInArrow(run, schema)
 
@@ -257,64 +254,50 @@ def packed_pieces(docs: DataFrame, path: str, plan: Callable[[np.ndarray], Slots
     return placed(staged(pieces(docs, path, capacity), "pieces"), plan, capacity)
 
 
-def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = WINDOW) -> DataFrame:
+def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per sequence: its padded row of the id matrix and what delimits its segments.
 
     sequence_id, n_tokens, n_segments, doc_ids, pieces (arrays in order of offset), cu_seqlens (array of
     int, from 0 to n_tokens), ids (binary, ``capacity`` little-endian uint32, padded with the end mark) and
     positions (binary, as many uint32: they restart at 0 with each segment, and at the padding).
 
-    A task packs its own rows, ``window`` tokens at a time, so ids never cross the network and memory does
-    not grow with the input; each window leaves a few sequences that are not full. sequence_id is the
-    partition's number times 2**33 plus the sequence's number in it.
+    All documents are packed by one plan. Rows are put together by sequence, at most ``capacity`` tokens each.
     """
     schema = "sequence_id long, n_tokens long, n_segments int, doc_ids array<long>, pieces array<int>, cu_seqlens array<int>, ids binary, positions binary"
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in schema.split(", ")]
 
     def assemble(number: int, held: list[tuple]) -> tuple:
-        sizes = np.array([len(h[2]) for h in held], np.int64)
+        sizes = np.array([len(h[2]) // 4 for h in held], np.int64)
         ends = np.cumsum(sizes)
         total = int(ends[-1])
         ids = np.full(capacity, END, "<u4")
-        ids[:total] = np.concatenate([h[2] for h in held])
+        ids[:total] = np.frombuffer(b"".join(h[2] for h in held), "<u4")
         starts = np.repeat(np.append(ends - sizes, total), np.append(sizes, capacity - total))
         return number, total, len(held), [h[0] for h in held], [h[1] for h in held], [0, *ends.tolist()], ids.tobytes(), (np.arange(capacity) - starts).astype("<u4").tobytes()
 
-    def packed(held: list[tuple], number: int) -> Iterator[tuple]:
-        by_length: dict[int, list[tuple]] = {}
-        for h in held:
-            by_length.setdefault(len(h[2]), []).append(h)
-        table = best_fit_decreasing(np.bincount([len(h[2]) for h in held], minlength=capacity + 1)).rows
-        bins: dict[int, list[tuple]] = {}
-        for length, rank, n, first, _ in table:  # slots of a sequence come in order of offset
-            for k in range(n):
-                bins.setdefault(first + k, []).append(by_length[length][rank + k])
-        for k in sorted(bins):
-            yield assemble(number + k, bins[k])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number, held, size = encoder(path), TaskContext.get().partitionId() << 33, [], 0
+        now, held, rows = None, [], []
 
-        def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows[at : at + 256], strict=True), kinds, strict=True)], names)
+        def out() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            rows.clear()
+            return found
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = np.append(encode(text), np.uint32(END))
-                held += [(doc_id, piece, ids[start:end]) for piece, (start, end) in enumerate(cut(ids, capacity))]
-                size += len(ids)
-                if size >= window:
-                    done = list(packed(held, number))
-                    number, held, size = number + len(done), [], 0
-                    yield from out(done)
+            for number, *piece in zip(*(batch[c].to_pylist() for c in ("sequence_id", "doc_id", "piece", "ids")), strict=True):
+                if number != now:
+                    if held:
+                        rows.append(assemble(now, held))
+                    now, held = number, []
+                    if len(rows) == 256:
+                        yield out()
+                held.append(piece)
         if held:
-            yield from out(list(packed(held, number)))
-
-    return docs.select("doc_id", whole().alias("text")).mapInArrow(run, schema)
-
+            rows.append(assemble(now, held))
+            yield out()
 
-def matrix_digest(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """One row per sequence with its segments and checksums of its matrix rows."""
-    return matrices(docs, path, capacity).select("sequence_id", "n_tokens", "n_segments", "doc_ids", "pieces", "cu_seqlens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"))
+    found = placed(staged(pieces(docs, path, capacity, with_ids=True), "pieces"), best_fit_decreasing, capacity)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = found.select("sequence_id", "offset", "doc_id", "piece", "ids").repartition(tasks, "sequence_id").sortWithinPartitions("sequence_id", "offset")
+    return sent.mapInArrow(run, schema)

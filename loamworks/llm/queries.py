@@ -47,7 +47,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.matrix_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.matrices(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {

@@ -388,6 +388,13 @@ def test_matrices_hold_the_ids(docs, texts):
         assert [x for p in range(n + 1) for x in back[i, p]] == [*encode(t).tolist(), 0]
 
 
+def test_matrices_are_packed_by_one_plan(docs):
+    found = packing.matrices(docs.repartition(40), JSON).collect()
+    histogram = np.bincount([r["length"] for r in packing.pieces(docs, JSON).select("length").collect()], minlength=2049)
+    assert len(found) == packing.best_fit_decreasing(histogram).sequences == len({r["sequence_id"] for r in found})
+    assert {"ids", "positions"} <= set(queries.op10_token_matrices(docs.sparkSession, DATA).columns)
+
+
 def test_packing_on_odd_rows(odd):
     assert packing.packed_pieces(odd, JSON).filter("piece = 0").count() == len(ODD)
     assert packing.matrices(odd, JSON).agg(F.sum("n_segments")).first()[0] == packing.packed_pieces(odd, JSON).count()
