@@ -59,14 +59,14 @@ FROM cells GROUP BY zone_id""",
     "climate": "SELECT user_id % 10 AS area_id, date_trunc('month', ts) AS month, value FROM events",
 }
 
-#: Array functions differ between the engines, so this one is written for each.
+#: Array functions differ between the engines, so this one is written for each. Shares are divided as doubles: engines differ on floats.
 PROBS = "SELECT vec_id, label % 5 AS truth, {columns} FROM (SELECT vec_id, label, {firsts} FROM embeddings) e"
 
 
 def probs_sql(element: str) -> str:
-    firsts = ", ".join(f"abs({element}(embedding, {i + 1})) AS a{i}" for i in range(5))
+    firsts = ", ".join(f"CAST(abs({element}(embedding, {i + 1})) AS DOUBLE) AS a{i}" for i in range(5))
     total = " + ".join(f"a{i}" for i in range(5))
-    return PROBS.format(columns=", ".join(f"CAST(a{i}/({total}) AS DOUBLE) AS p{i}" for i in range(5)), firsts=firsts)
+    return PROBS.format(columns=", ".join(f"a{i}/({total}) AS p{i}" for i in range(5)), firsts=firsts)
 
 
 def mentioned(sql: str, names) -> list[str]:
