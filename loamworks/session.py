@@ -7,6 +7,7 @@ costs a re-read and not a recomputation of the whole lineage.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -32,9 +33,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
+    """The cluster's shared folder. Only a local session that names none (tests) gets a temporary one; on a cluster that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -42,8 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: short lineage, no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
