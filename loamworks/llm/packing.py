@@ -4,10 +4,12 @@ How documents are packed depends only on how many there are of each length, and
 are at most ``capacity`` lengths. So tasks count lengths, the driver packs the histogram
 (``capacity`` numbers whatever the input's size) into a plan of slots, and tasks look
 up each piece's slot by its length and its rank among the pieces of that length. Ranks
-come from counts per (length, salt): no length's pieces meet in one task.
+come from counts per (length, salt), and a length has as many salts as its count needs:
+no length's pieces meet in one task.
 
 Documents longer than the capacity are cut into full pieces; the first piece takes the
-rest, so no piece but the first is shorter. Full pieces are sequences of their own.
+rest, so no piece but the first is shorter. Full pieces are sequences of their own: they
+need no rank and no shuffle, and are numbered where they are, behind the plan's sequences.
 
 * ``best_two_fit``: a bin is filled greedily with the longest that fits, again and
   again; then its smallest document is replaced with the two unpacked ones that fill
@@ -17,8 +19,11 @@ rest, so no piece but the first is shorter. Full pieces are sequences of their o
   least room that holds it. A segment tree over room values finds that room; bins of
   equal room and history are handled as an interval of sequence numbers.
 
-Null and empty texts are one token (the end mark 0). Repeated rows are packed each. Ids
-may repeat or be null. Extra columns are kept by nothing here.
+Null and empty texts are one token (the end mark 0). Very long texts are encoded whole and
+give many pieces. Repeated rows are packed each; ids may repeat or be null, and which of
+two pieces alike in length, id, number and tokens goes where does not matter. An empty
+table gives no pieces and no sequences. Other columns of the documents are not read, so
+none can clash.
 """
 
 from __future__ import annotations
@@ -35,8 +40,8 @@ from pyspark.sql import functions as F
 from loamworks.llm.common import staged, whole, wider
 
 CAPACITY = 2048
-#: Parts into which the pieces of one length are dealt for ranking.
-SALTS = 64
+#: Pieces of one length that are ranked together, about.
+RANKED = 16_384
 END = 0
 
 
@@ -174,6 +179,14 @@ def best_fit_decreasing(histogram: np.ndarray) -> Slots:
 # --- tokens
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> int:
+    """The greatest id of a tokenizer file, plus one."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab().values()) + 1
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str):
     """An encoder of the ids that a byte-level BPE file of ``tokenizers`` gives: its own vocabulary as byte ranks.
@@ -200,17 +213,22 @@ def cut(ids: np.ndarray, capacity: int) -> list[tuple[int, int]]:
     return list(zip([0, *range(first, len(ids), capacity)], range(first, len(ids) + 1, capacity), strict=True))
 
 
+def id_type(path: str) -> str:
+    """The narrowest little-endian type that holds all ids of a tokenizer file."""
+    return "<u2" if vocabulary(path) <= 1 << 16 else "<u4"
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of each document's pieces, and their ids (binary, little-endian uint32) if asked for."""
+    """doc_id, piece, start, length and ids_crc32 of each document's pieces, and their ids (binary, of ``id_type``) if asked for."""
     schema = wider(docs.select("doc_id"), "piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode, narrow = encoder(path), id_type(path)
         for batch in batches:
             rows = []
             for k, text in enumerate(batch["text"].to_pylist()):
                 ids = np.append(encode(text), np.uint32(END)).astype("<u4")
-                rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end]), ids[start:end].tobytes() if with_ids else None) for piece, (start, end) in enumerate(cut(ids, capacity))]
+                rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end]), ids[start:end].astype(narrow).tobytes() if with_ids else None) for piece, (start, end) in enumerate(cut(ids, capacity))]
             if rows:
                 k, piece, *longs, held = zip(*rows, strict=True)
                 more = [pa.array(held, pa.binary())] if with_ids else []
@@ -219,22 +237,25 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     return docs.select("doc_id", whole().alias("text")).mapInArrow(run, schema)
 
 
-def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int = CAPACITY) -> DataFrame:
-    """``found`` (written pieces with doc_id, piece, length) with sequence_id and offset.
+def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int = CAPACITY, ranked: int = RANKED) -> tuple[DataFrame, DataFrame]:
+    """``found`` (written pieces with doc_id, piece, length, ids_crc32) with sequence_id and offset: those below the capacity, and the full ones.
 
-    The driver gets capacity numbers and sends back the slot table, a few rows per
-    length. Ranks are by (salt, doc_id, piece) within a length, ties in any order.
+    The driver gets capacity numbers and sends back the slot table, a few rows per length. Ranks are by
+    (salt, doc_id, piece, ids_crc32) within a length.
     """
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    counts = staged(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
+    spark, part = found.sparkSession, found.filter(F.col("length") < capacity)
     histogram = np.zeros(capacity + 1, np.int64)
-    for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():
-        histogram[r["length"]] = r["n"]
-    table = plan(histogram).table()
+    for r in part.groupBy("length").count().collect():
+        histogram[r["length"]] = r["count"]
+    slots = plan(histogram)
+    table = slots.table()
+    salts = spark.createDataFrame([(n, -(-int(histogram[n]) // ranked)) for n in np.flatnonzero(histogram).tolist()], "length long, salts long")
+    salted = part.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts"))
+    counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = counts.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
-    ranked = salted.withColumn("within", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(before.hint("shuffle_hash"), ["length", "salt"])  # the window's partitioning serves the join
-    ranked = ranked.withColumn("rank", F.col("within") + F.col("before")).select(*found.columns, "rank")
+    within = salted.withColumn("within", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
+    within = within.join(before.hint("shuffle_hash"), ["length", "salt"])  # the window's partitioning serves the join
+    numbered = within.withColumn("rank", F.col("within") + F.col("before")).select(*found.columns, "rank")
     schema = wider(found, "sequence_id long, offset long")
     keys = table[:, 0] * (1 << 40) + table[:, 1]
 
@@ -246,12 +267,14 @@ def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int
                 [*(batch[n] for n in batch.schema.names if n != "rank"), pa.array(slot[:, 3] + rank - slot[:, 1]), pa.array(slot[:, 4])], schema.names
             )
 
-    return ranked.mapInArrow(run, schema)
+    full = found.filter(F.col("length") == capacity).withColumns({"sequence_id": F.monotonically_increasing_id() + slots.sequences, "offset": F.lit(0).cast("long")})
+    return numbered.mapInArrow(run, schema), full
 
 
 def packed_pieces(docs: DataFrame, path: str, plan: Callable[[np.ndarray], Slots] = best_two_fit, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
-    return placed(staged(pieces(docs, path, capacity), "pieces"), plan, capacity)
+    part, full = placed(staged(pieces(docs, path, capacity), "pieces"), plan, capacity)
+    return part.unionByName(full)
 
 
 def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -261,23 +284,26 @@ def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     int, from 0 to n_tokens), ids (binary, ``capacity`` little-endian uint32, padded with the end mark) and
     positions (binary, as many uint32: they restart at 0 with each segment, and at the padding).
 
-    All documents are packed by one plan. Rows are put together by sequence, at most ``capacity`` tokens each.
+    All documents are packed by one plan. Rows are put together by sequence, at most ``capacity`` tokens each;
+    until then ids are as narrow as the vocabulary allows.
     """
     schema = "sequence_id long, n_tokens long, n_segments int, doc_ids array<long>, pieces array<int>, cu_seqlens array<int>, ids binary, positions binary"
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in schema.split(", ")]
+    every = np.arange(capacity, dtype=np.int64)
 
-    def assemble(number: int, held: list[tuple]) -> tuple:
-        sizes = np.array([len(h[2]) // 4 for h in held], np.int64)
+    def assemble(number: int, held: list[tuple], narrow: str) -> tuple:
+        parts = [np.frombuffer(h[2], narrow) for h in held]
+        sizes = np.array([len(x) for x in parts], np.int64)
         ends = np.cumsum(sizes)
         total = int(ends[-1])
         ids = np.full(capacity, END, "<u4")
-        ids[:total] = np.frombuffer(b"".join(h[2] for h in held), "<u4")
+        ids[:total] = np.concatenate(parts)
         starts = np.repeat(np.append(ends - sizes, total), np.append(sizes, capacity - total))
-        return number, total, len(held), [h[0] for h in held], [h[1] for h in held], [0, *ends.tolist()], ids.tobytes(), (np.arange(capacity) - starts).astype("<u4").tobytes()
+        return number, total, len(held), [h[0] for h in held], [h[1] for h in held], [0, *ends.tolist()], ids.tobytes(), (every - starts).astype("<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, rows = None, [], []
+        now, held, rows, narrow = None, [], [], id_type(path)
 
         def out() -> pa.RecordBatch:
             found = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -288,16 +314,29 @@ def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             for number, *piece in zip(*(batch[c].to_pylist() for c in ("sequence_id", "doc_id", "piece", "ids")), strict=True):
                 if number != now:
                     if held:
-                        rows.append(assemble(now, held))
+                        rows.append(assemble(now, held, narrow))
                     now, held = number, []
                     if len(rows) == 256:
                         yield out()
                 held.append(piece)
         if held:
-            rows.append(assemble(now, held))
+            rows.append(assemble(now, held, narrow))
+        if rows:
             yield out()
 
-    found = placed(staged(pieces(docs, path, capacity, with_ids=True), "pieces"), best_fit_decreasing, capacity)
+    part, full = placed(staged(pieces(docs, path, capacity, with_ids=True), "pieces", compression="zstd"), best_fit_decreasing, capacity)
+    columns = ["sequence_id", "offset", "doc_id", "piece", "ids"]
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = found.select("sequence_id", "offset", "doc_id", "piece", "ids").repartition(tasks, "sequence_id").sortWithinPartitions("sequence_id", "offset")
-    return sent.mapInArrow(run, schema)
+    sent = part.select(*columns).repartition(tasks, "sequence_id").sortWithinPartitions("sequence_id", "offset")
+    return sent.unionByName(full.select(*columns)).mapInArrow(run, schema)
+
+
+def write_matrices(found: DataFrame, path: str) -> None:
+    """``matrices`` as Parquet shards, one per task: rows of ids and positions as they lie in memory. An existing folder is replaced."""
+    found.write.mode("overwrite").parquet(path)
+
+
+def as_matrix(batch: pa.RecordBatch, column: str = "ids") -> np.ndarray:
+    """A column of packed rows (ids or positions) of a shard's batch as one uint32 matrix, one row per sequence."""
+    rows = batch[column].to_pylist()
+    return np.frombuffer(b"".join(rows), "<u4").reshape(len(rows), -1)
