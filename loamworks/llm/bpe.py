@@ -2,8 +2,8 @@
 
 A piece (one match of the pre-tokenizer's pattern) is encoded as a tree: the two
 halves are encoded on their own, then joined. A join re-encodes a window around the
-boundary, one token from each side at first, doubled until the pairs at both window
-edges are stable. A pair (a, b) is stable if the bytes of a followed by those of b
+boundary, one token from each side at first; a side is doubled until the pair at its
+edge is stable. A pair (a, b) is stable if the bytes of a followed by those of b
 encode to exactly [a, b]. A token sequence whose neighbours are all stable is the
 encoding of its bytes, so tokens outside the window are then proven final; the pairs
 inside the halves are stable because the halves are encodings.
@@ -11,7 +11,10 @@ inside the halves are stable because the halves are encodings.
 Pieces themselves are joined without re-encoding, as the pattern keeps them apart.
 Decoding concatenates token bytes up the same tree.
 
-Null and empty texts have no ids. Equal texts have equal ids.
+Null and empty texts have no ids. Equal texts and repeated rows have equal ids. A very long
+text or piece (a line of 100,000 equal characters) is encoded whole, in time in proportion
+to its length times its logarithm at worst. Empty tables give no rows. Other columns pass
+through ``encode`` and ``decode`` unchanged; a column with the name of the result is replaced.
 """
 
 from __future__ import annotations
@@ -66,6 +69,12 @@ class Codec:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.pieces = splitter(pattern)
+        # the lengths of the tokens that begin with these two bytes, longest first
+        begun: dict[bytes, set[int]] = {}
+        for token in ranks:
+            begun.setdefault(token[:2], set()).add(len(token))
+        singles = [token for token in ranks if len(token) == 1]
+        self.lengths = {a + b: tuple(sorted(begun.get(a + b, set()) | {1}, reverse=True)) for a in singles for b in [b"", *singles]}
         self._stable: dict[tuple[int, int], bool] = {}
         self._short: dict[bytes, list[int]] = {}
 
@@ -79,7 +88,7 @@ class Codec:
     def encode_short(self, data: bytes) -> list[int]:
         """The encoding of a leaf or window; short ones are remembered."""
         if len(data) > KEPT_BYTES:
-            return self.merge(data)
+            return self.search(data)
         found = self._short.get(data)
         if found is None:
             if len(self._short) >= KEPT:
@@ -88,35 +97,41 @@ class Codec:
         return found
 
     def search(self, data: bytes) -> list[int]:
-        """The one sequence of tokens whose neighbours are all stable, longest tokens tried first."""
-        ranks, stable, n = self.ranks, self._stable, len(data)
+        """The one sequence of tokens whose neighbours are all stable, longest tokens tried first.
+
+        Such a sequence is the encoding of its bytes, so an end is only ever reached by one chain; an end from which the
+        chain cannot go on is never tried again. The time grows with the bytes times the lengths that tokens have.
+        """
+        ranks, known, lengths, n = self.ranks, self._stable, self.lengths, len(data)
         whole = ranks.get(data)
         if whole is not None and (n == 1 or self.merge(data) == [whole]):
             return [whole]
-        ids, ends, at = [], [], 0
-        end = n - 1 if n > 1 else n
+        ids, ends, at, limit, dead = [], [], 0, n - 1 if n > 1 else n, set()
         while at < n:
-            while end > at:
+            for length in lengths[data[at : at + 2]]:
+                end = at + length
+                if end > limit or end in dead:
+                    continue
                 token = ranks.get(data[at:end])
-                if token is not None:
-                    if not ids:
-                        break
+                if token is None:
+                    continue
+                if ids:
                     pair = (ids[-1], token)
-                    ok = stable.get(pair)
-                    if self.stable(*pair) if ok is None else ok:
-                        break
-                end -= 1
-            if end > at:
+                    ok = known.get(pair)
+                    if not (self.stable(*pair) if ok is None else ok):
+                        continue
                 ids.append(token), ends.append(end)
-                at, end = end, n
+                at, limit = end, n
+                break
             else:  # nothing fits here: the token before must be shorter
+                dead.add(at)
                 ids.pop()
-                end = ends.pop() - 1
+                limit = ends.pop() - 1
                 at = ends[-1] if ends else 0
         return ids
 
     def merge(self, data: bytes) -> list[int]:
-        """Direct encoding: the pair of lowest rank merges first, the leftmost of equals."""
+        """Direct encoding of a few tokens' bytes: the pair of lowest rank merges first, the leftmost of equals."""
         ranks = self.ranks
         parts = [data[i : i + 1] for i in range(len(data))]
         scores = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
@@ -143,18 +158,21 @@ class Codec:
         """The encoding of the bytes of two encodings."""
         if not left or not right:
             return left or right
-        size = 1
+        before = after = 1
         while True:
-            i, j = max(0, len(left) - size), min(len(right), size)
+            i, j = max(0, len(left) - before), min(len(right), after)
             window = self.encode_short(b"".join(map(self.tokens.__getitem__, left[i:] + right[:j])))
-            if (not i or self.stable(left[i - 1], window[0])) and (j == len(right) or self.stable(window[-1], right[j])):
+            left_final = not i or self.stable(left[i - 1], window[0])
+            right_final = j == len(right) or self.stable(window[-1], right[j])
+            if left_final and right_final:
                 return left[:i] + window + right[j:]
-            size *= 2
+            before, after = before * (1 if left_final else 2), after * (1 if right_final else 2)
 
     def tree(self, data: bytes) -> list[int]:
+        """Cut at the greatest power of two below the length: runs of one character then mostly join at token ends."""
         if len(data) <= LEAF:
             return self.encode_short(data)
-        half = len(data) // 2
+        half = 1 << (len(data) - 1).bit_length() - 1
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
     def encode_piece(self, data: bytes) -> list[int]:

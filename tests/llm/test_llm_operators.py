@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -189,6 +190,17 @@ def test_bpe_long_piece(codecs):
     assert own.encode_piece(piece.encode()) == lib._core_bpe.encode_single_piece(piece.encode())
 
 
+@pytest.mark.parametrize("unit", ["-", "a", " ", "\n", "ab", "=-", "é", "中", "的是", "aab"])
+def test_bpe_long_runs_take_little_time(codecs, unit):
+    own, lib = codecs
+    data = (unit * 100_000).encode()[:100_001]
+    began = time.process_time()
+    found = own.tree(data)
+    assert time.process_time() - began < 2 and found == lib._core_bpe.encode_single_piece(data)
+    text = unit * 20_000
+    assert own.encode(text) == lib.encode_ordinary(text)
+
+
 def test_bpe_query_on_all(spark, docs, texts, codecs):
     _, lib = codecs
     found = by_id(bpe.round_trip(docs, MULTI, public_tokenizers.PATTERN))
