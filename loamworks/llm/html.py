@@ -1,19 +1,26 @@
 """Main text of HTML pages by text density.
 
 The standard library's parser is fed the page and its events build lines: a line is
-the text of one block element, with the number of tags and of linked characters met
-in it. Elements that never hold article text (scripts, navigation, forms, footers,
-and blocks whose class, id or role names a menu, advert, notice, sidebar or comment)
-are left out as they stream by. Each line gets its text-to-tag ratio; the ratios are
-smoothed with a Gaussian along the page and split into two clusters. Lines of the
-upper cluster mark content regions: a region is the article or main element around
-such a line, or else the run of lines around it in the body up to the next block of
-links, headings before it included. Every line of a region is kept, short ones too.
-A form is left out unless it holds most of the page's text.
-
-Null and empty pages give an empty text. White space inside a block (line breaks by
-``br`` too) becomes one space. Ends that HTML implies (of head, paragraphs, list items
-and table cells) are set; other unclosed and crossed tags are closed with their parent.
+the text of one block element, with the number of tags and of linked characters met in
+it. Its ratio is its unlinked characters by tags. Tag and class names only weigh: in
+blocks that they mark (navigation, footers, asides, forms; class, id or role of a menu,
+advert, notice, sidebar or comment) a line's ratio is 0, and so it is outside article
+and main on pages that have one of these, and in blocks of links on pages without. The
+ratios are smoothed with a Gaussian along the page and split into two clusters. A line
+is dense if its own ratio and the smoothed one both belong to the upper cluster.
+
+Dense lines select content regions, which are kept with their short lines. A region is
+a marked element, or the article (else main) element around a line. Without these it is
+the smallest container around a dense line that holds other lines too, without what is
+marked or in blocks of links. Nothing else decides: without dense lines there is no text.
+A form is a marked element unless it holds most of the page's unmarked text.
+
+Null and empty pages give an empty text, and so do pages of nothing but menus. Very long
+pages are parsed whole; time grows with their length. Repeated rows and equal pages give
+equal texts. An empty table gives no rows. Other columns stay as they are; one named as
+the result is replaced. White space inside a block (line breaks by ``br`` too) becomes one
+space. Ends that HTML implies (of head, paragraphs, list items and table cells) are set;
+other unclosed and crossed tags are closed with their parent.
 """
 
 from __future__ import annotations
@@ -21,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +42,20 @@ BLOCKS = frozenset(
     "legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LEFT_OUT = frozenset("head title script style noscript template nav header footer aside button select textarea iframe object svg canvas audio video map dialog".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-LEFT_OUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|sidebar|side-bar|widget|menu|nav|navbar|navigation"
-    r"|breadcrumbs?|pagination|pager|toolbar|header|masthead|footer|copyright|comments?|commentlist|replies|respond|disqus|share|sharing|social|related|recommended|login|search)(?:$|[\s_-])",
-    re.I,
+TEXTLESS = frozenset("title script style noscript template button select textarea iframe object svg canvas audio video map".split())
+MARKED = frozenset("nav header footer aside dialog".split())
+#: Words of a class or id that name a block beside the article, and those that only tell how its name is meant.
+MARKED_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adsense banner sponsor sponsors sponsored promo promos promotion cookie cookies consent gdpr notice notices alert alerts popup modal newsletter subscribe subscription signup "
+    "sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead header footer copyright comment comments commentlist reply replies respond disqus "
+    "share sharing social related recommended recommendations login search".split()
 )
-#: Class words that tell what a container has or lacks, and blocks that hold an article's title.
-NOT_NAMES = re.compile(r"(?:no|not|has|have|with|without)[_-]|(?:post|entry|article|story|content)[_-]header$", re.I)
+TELLING_WORDS = frozenset("no not non has have with without free open closed off enabled disabled hide show".split())
+#: What may be called a header and holds a title all the same, and the marks that an article element itself may bear.
+TITLED_WORDS = frozenset("post entry article story content title page".split())
+OTHER_ARTICLES = frozenset("ad ads advert advertisement sponsored promo comment reply related recommended".split())
+CONTAINERS = frozenset("body div section td th center article main".split())
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 IN_HEAD = frozenset("head title script style noscript template meta link base".split())
 #: Starts that end an open paragraph, and what keeps an open one out of their reach.
 ENDS_P = BLOCKS - frozenset("body caption html legend option tbody td tfoot th thead tr".split())
@@ -56,50 +69,101 @@ ENDS = (
     | {"tr": (frozenset(["tr"]), frozenset(["table"]))}
     | dict.fromkeys(("thead", "tbody", "tfoot"), (frozenset(["thead", "tbody", "tfoot"]), frozenset(["table"])))
 )
-LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Smoothing width in lines; pages of no more body lines are kept whole, and fewer linked lines do not end a run.
-SIGMA, FEW = 1.5, 3
+MARKED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Smoothing width in lines.
+SIGMA = 1.5
+
+
+def marks(value: str, titled: bool) -> bool:
+    """Whether a class or id value names a block beside the article; ``titled``: inside an article, where headers hold titles.
+
+    A name is judged by its first and its last word, whole: ``cookie-notice`` and ``sidebar_left`` name such a block,
+    ``has-sidebar``, ``page-with-sidebar``, ``ad-free`` and ``leading`` do not.
+    """
+    for name in value.split():
+        words = [w.lower() for w in WORDS.findall(name)]
+        if not words or TELLING_WORDS.intersection(words):
+            continue
+        found = MARKED_WORDS.intersection((words[0], words[-1]))
+        if found == {"header"} and (titled or TITLED_WORDS.intersection(words)):
+            continue
+        if found:
+            return True
+    return False
+
+
+class Open(NamedTuple):
+    """What holds inside an open element: its name, whether text counts, the region, whether that is marked, the form, the container."""
+
+    name: str
+    textless: bool = False
+    region: int = 0
+    marked: bool = False
+    article: bool = False
+    form: int = 0
+    container: int = 0
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    linked: int
+    region: int
+    marked: bool
+    form: int
+    container: int
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, linked characters, region, heading, form) for each block in page order."""
+    """Collects a Line for each block in page order. Regions and forms count from 1; container 0 is the page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, int]] = []  # name, left out, region, form
-        self.lines: list[tuple[str, int, int, int, bool, int]] = []
+        self.open: list[Open] = []
+        self.lines: list[Line] = []
         self.parts: list[str] = []
+        self.parents = [0]
         self.tags = self.linked = self.regions = self.forms = 0
-        self.heading = False
+
+    def here(self) -> Open:
+        return self.open[-1] if self.open else Open("")
 
     def end_line(self) -> None:
         if text := " ".join("".join(self.parts).split()):
-            self.lines.append((text, self.tags, self.linked, self.open[-1][2] if self.open else 0, self.heading, self.open[-1][3] if self.open else 0))
-        self.parts, self.tags, self.linked, self.heading = [], 0, 0, False
+            here = self.here()
+            self.lines.append(Line(text, self.tags, self.linked, here.region, here.marked, here.form, here.container))
+        self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_line()
         self.imply_ends(tag)
-        out, region, form = self.open[-1][1:] if self.open else (False, 0, 0)
+        around = self.here()
         if tag == "br":
             self.parts.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        if tag in ("article", "main") and not out:
-            self.regions += 1
-            region = region or self.regions
-        if tag == "form" and not form:
+        now = around._replace(name=tag, textless=around.textless or tag in TEXTLESS)
+        if tag in CONTAINERS:
+            self.parents.append(around.container)
+            now = now._replace(container=len(self.parents) - 1)
+        if tag == "form" and not around.form:
             self.forms += 1
-            form = self.forms
-        out = out or tag in LEFT_OUT and not (tag == "header" and region) or self.named_out(tag, attrs)
-        self.heading = self.heading or tag in HEADINGS
-        self.open.append((tag, out, region, form))
+            now = now._replace(form=self.forms)
+        if not around.marked:
+            if self.is_marked(tag, attrs, around):
+                self.regions += 1
+                now = now._replace(region=self.regions, marked=True)
+            elif tag == "article" and not around.article or tag == "main" and not around.region:
+                self.regions += 1
+                now = now._replace(region=self.regions, article=tag == "article")
+        self.open.append(now)
 
     def imply_ends(self, tag: str) -> None:
         """Closes what HTML ends before this start tag."""
-        if tag == "body" or tag not in IN_HEAD and self.open and self.open[-1][0] == "head":
+        if tag == "body" or tag not in IN_HEAD and self.here().name == "head":
             self.close_to(frozenset(["head"]), frozenset())
         if tag in ENDS_P:
             self.close_to(frozenset(["p"]), P_SCOPE)
@@ -109,21 +173,27 @@ class Lines(HTMLParser):
     def close_to(self, names: frozenset[str], scope: frozenset[str]) -> None:
         """Closes the innermost open element of these names, if none of ``scope`` is nearer; links go on behind it."""
         for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in names:
-                around = self.open[at - 1][1:] if at else (False, 0, 0)
-                self.open[at:] = [("a", *around) for x in self.open[at:] if x[0] == "a"]
+            if self.open[at].name in names:
+                around = self.open[at - 1] if at else Open("")
+                self.open[at:] = [around._replace(name="a") for x in self.open[at:] if x.name == "a"]
                 return
-            if self.open[at][0] in scope:
+            if self.open[at].name in scope:
                 return
 
     @staticmethod
-    def named_out(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in ("html", "body", "article", "main"):
+    def is_marked(tag: str, attrs: list[tuple[str, str | None]], around: Open) -> bool:
+        """Whether the element, by its name or attributes, is none of the article's."""
+        if tag in ("html", "body", "main"):
             return False
+        if tag == "article":
+            names = [token.lower().replace("_", "-").split("-") for name, value in attrs if name in ("class", "id") and value for token in value.split()]
+            return any(words[0] in OTHER_ARTICLES and not TELLING_WORDS.intersection(words) for words in names)
+        if tag in MARKED and not (tag == "header" and around.region):
+            return True
         for name, value in attrs:
-            if name in ("class", "id") and value and LEFT_OUT_NAMES.search(" ".join(w for w in value.split() if not NOT_NAMES.match(w))) or name == "role" and value in LEFT_OUT_ROLES:
+            if name in ("class", "id") and value and marks(value, bool(around.region)) or name == "role" and value in MARKED_ROLES:
                 return True
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and re.search(r"display\s*:\s*none", value):
+            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and HIDDEN.search(value):
                 return True
         return False
 
@@ -134,23 +204,23 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i].name == tag), None)
         if tag in BLOCKS:
             self.end_line()
         if at is not None:
             # an inline end tag does not close the blocks inside which it was crossed
-            if tag in BLOCKS or tag in LEFT_OUT or not any(x[0] in BLOCKS for x in self.open[at + 1 :]):
+            if tag in BLOCKS or tag in TEXTLESS or not any(x.name in BLOCKS for x in self.open[at + 1 :]):
                 del self.open[at:]
             else:
                 del self.open[at]
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][0] == "head" and data.strip():
+        if self.here().name == "head" and data.strip():
             self.open.pop()  # text ends the head
-        if self.open and self.open[-1][1]:
+        if self.here().textless:
             return
         self.parts.append(data)
-        if any(x[0] == "a" for x in self.open[-3:]):
+        if any(x.name == "a" for x in self.open[-3:]):
             self.linked += len(data)
 
 
@@ -163,18 +233,18 @@ def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Between the two clusters of one-dimensional 2-means."""
+    """Between the two clusters of one-dimensional 2-means; of equal values, all are in the upper one, but zeros are in none."""
     low, high = float(values.min()), float(values.max())
-    for _ in range(50):
-        middle = (low + high) / 2
-        upper = values > middle
-        if not upper.any() or upper.all():
-            return middle
+    if low == high:
+        return low if low > 0 else np.inf
+    while True:
+        upper = values > (low + high) / 2
+        if not upper.any():
+            return high
         new = float(values[~upper].mean()), float(values[upper].mean())
         if new == (low, high):
-            break
+            return (low + high) / 2
         low, high = new
-    return (low + high) / 2
 
 
 def main_text(html: str) -> str:
@@ -186,31 +256,42 @@ def main_text(html: str) -> str:
     parser.close()
     parser.end_line()
     lines = parser.lines
-    in_form = np.bincount([line[5] for line in lines], [len(line[0]) for line in lines], parser.forms + 1)
-    lines = [line for line in lines if not line[5] or 2 * in_form[line[5]] > in_form.sum()]
     if not lines:
         return ""
-    ratios = np.array([len(text) / (1 + tags) for text, tags, *_ in lines])
-    content = smooth(ratios) >= threshold(smooth(ratios))
-    regions = np.array([line[3] for line in lines])
-    linked = np.array([line[2] > 0.5 * len(line[0]) for line in lines])
-    keep = np.zeros(len(lines), bool)
-    if regions.any():
-        marked = set(regions[content & (regions > 0)].tolist()) or set(regions[regions > 0].tolist())
-        keep = np.isin(regions, list(marked))
-    elif len(lines) <= FEW:
-        keep = ~linked
+    sizes = np.array([len(x.text) for x in lines])
+    marked = np.array([x.marked for x in lines])
+    forms = np.array([x.form for x in lines])
+    in_form = np.bincount(forms, sizes * ~marked, parser.forms + 1)
+    marked |= (forms > 0) & (2 * in_form[forms] <= in_form.sum())
+    region = np.array([x.region for x in lines])
+    region[(region == 0) & marked] = parser.regions + 1
+    named = bool((~marked & (region > 0)).any())
+    linked = np.array([x.linked for x in lines])
+    aside = marked | ((region == 0) if named else smooth(np.minimum(1.0, linked / sizes)) > 0.5)
+    ratios = np.where(aside, 0.0, (sizes - np.minimum(linked, sizes)) / (1 + np.array([x.tags for x in lines])))
+    smoothed = smooth(ratios)
+    least = threshold(smoothed)
+    dense = (smoothed >= least) & (ratios >= least)
+    if named:
+        keep = np.isin(region, region[dense]) & (~marked | dense)
     else:
-        # a few linked lines among others are text; runs of lines between link blocks, and one with a content line is kept whole
-        starts = np.flatnonzero(np.r_[True, linked[1:] != linked[:-1]])
-        for start, end in zip(starts[1:-1], starts[2:], strict=True):
-            if end - start < FEW:
-                linked[start:end] = False
-        run = np.cumsum(np.r_[True, linked[1:] != linked[:-1]])
-        keep = np.isin(run, run[content & ~linked]) & ~linked
-        if not keep.any():
-            keep = ~linked
-    return "\n".join(line[0] for line, k in zip(lines, keep, strict=True) if k)
+        keep = dense | under(np.array([x.container for x in lines]), dense, parser.parents) & ~aside
+    return "\n".join(x.text for x, k in zip(lines, keep, strict=True) if k)
+
+
+def under(container: np.ndarray, dense: np.ndarray, parents: list[int]) -> np.ndarray:
+    """Which lines lie in the smallest container around a dense line that holds other lines too; each line's container, and each container's, are given."""
+    held = np.bincount(container, minlength=len(parents))
+    for k in range(len(parents) - 1, 0, -1):  # a container comes after the one around it
+        held[parents[k]] += held[k]
+    chosen = np.zeros(len(parents), bool)
+    for k in set(container[dense].tolist()):
+        while k and held[k] == 1:
+            k = parents[k]
+        chosen[k] = True
+    for k in range(1, len(parents)):
+        chosen[k] |= chosen[parents[k]]
+    return chosen[container]
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -140,6 +140,13 @@ PARAGRAPHS = "".join(f"<p>{x}</p>" for x in SENTENCES)
         "<body><div class='content no-sidebar'>" + PARAGRAPHS + "</div>",
         "<body><div class='has-sidebar wide'>" + PARAGRAPHS + "</div><div class=sidebar>Other</div>",
         f"<article><div class=post-header><h1>{SENTENCES[0]}</h1></div>" + "".join(f"<p>{x}</p>" for x in SENTENCES[1:]) + "</article>",
+        "<body><div class='page has-sidebar'>" + PARAGRAPHS + "</div>",
+        "<body><div class='page-with-sidebar ad-free'><article>" + PARAGRAPHS + "</article></div>",
+        "<article><p class=notice>Careful<h2>" + SENTENCES[0] + "</h2>" + "".join(f"<p>{x}" for x in SENTENCES[1:]) + "</article>",
+        "<article><ul><li class=ad>Buy" + "".join(f"<li>{x}" for x in SENTENCES) + "</ul></article>",
+        "<article class='post comments-open'>" + PARAGRAPHS + "<article class=comment-body><p>A reader says a lot of things about this, at length.</p></article></article>",
+        "<main><nav>Up Down</nav><article>" + PARAGRAPHS + "</article></main><div>Beside the article stands this rather long and dense unmarked block.</div>",
+        "<body><table><tr><td>Home<td>" + PARAGRAPHS + "<td>Soon</table>",
         "<body>" + "".join(f"<p>{x}</p>" for x in SENTENCES[:3]) + f"<p><a href=/>{SENTENCES[3]}</a></p>" + "".join(f"<p>{x}</p>" for x in SENTENCES[4:]),
     ],
 )
@@ -147,6 +154,56 @@ def test_implied_ends_and_containers_keep_the_text(page):
     assert html.main_text(page).split("\n") == SENTENCES
 
 
+def made_page(rng):
+    """(page, its article): blocks of known kinds around and inside an article of known lines."""
+    words = lambda a, b: " ".join(rng.choices(VOCABULARY, k=rng.randint(a, b)))
+    lines = [words(2, 9), *(words(1, 4) if rng.random() < 0.2 else words(12, 90) for _ in range(rng.randint(3, 12)))]
+    inner = [f"<h1>{lines[0]}</h1>"] + [rng.choice(["<p>{}</p>", "<p>{}", "<div>{}</div>", "<blockquote>{}</blockquote>", "<p><b>{}</b></p>", "<ul><li>{}</ul>"]).format(x) for x in lines[1:]]
+    junk = [
+        lambda: f"<nav><ul>{''.join(f'<li><a href=/{i}>{words(1, 3)}</a></li>' for i in range(rng.randint(2, 9)))}</ul></nav>",
+        lambda: f"<div class='{rng.choice(['ad', 'ad-banner', 'cookie-notice', 'sidebar left', 'newsletter', 'relatedPosts'])}'><p>{words(5, 60)}</p></div>",
+        lambda: f"<footer>&copy; {words(2, 40)}</footer>",
+        lambda: f"<section id=comments><p>{words(5, 60)}</p><p>{words(1, 9)}</p></section>",
+        lambda: f"<form><label>{words(1, 3)}</label><input><select><option>{words(1, 2)}</select></form>",
+        lambda: f"<script>var a = '<p>{words(3, 9)}</p>';</script><style>p {{}}</style>",
+        lambda: f"<div>{words(1, 3)}</div>",
+    ]
+    for _ in range(rng.randint(0, 3)):
+        inner.insert(rng.randint(1, len(inner)), rng.choice(junk[1:6])())
+    before, after = ("".join(rng.choice(junk)() for _ in range(rng.randint(0, 3))) for _ in range(2))
+    around = rng.choice([("<article>", "</article>"), ("<main>", "</main>"), ("<main><article class='post no-sidebar'>", "</article></main>"), ("<div class='page has-sidebar'><article>", "</article></div>")])
+    return f"<html><head><title>{words(2, 5)}</title></head><body>{before}{around[0]}{''.join(inner)}{around[1]}{after}</body></html>", "\n".join(lines)
+
+
+VOCABULARY = "the a of river stone walks under winter lights Ärger été mañana über long windows &amp; speak slowly again".split()
+
+
+def test_made_pages_give_their_article():
+    rng = random.Random(4)
+    for _ in range(400):
+        page, article = made_page(rng)
+        assert html.main_text(page) == article.replace("&amp;", "&")
+
+
+def test_pages_of_containers_give_their_article():
+    rng = random.Random(6)
+    for _ in range(200):
+        lines = [" ".join(rng.choices(VOCABULARY[:15], k=rng.choice([3, 20, 60]))) for _ in range(rng.randint(4, 9))] + [" ".join(VOCABULARY[:15])]
+        links = "<ul>" + "".join(f"<li><a href=/>{w}</a>" for w in VOCABULARY[:9]) + "</ul>"
+        page = f"<body><div>{links}</div><div id=x>" + "".join(f"<p>{x}" for x in lines) + f"</div><div>Soon</div><div class=menu>{links}</div>"
+        assert html.main_text(page) == "\n".join(lines)
+
+
+@pytest.mark.parametrize(("forced", "lines"), [(-1.0, "all"), (1e9, "none")])
+def test_the_clusters_decide_every_page(spark, monkeypatch, forced, lines):
+    pages = [r["html"] for r in table(spark, DATA, "pages").select("html").collect()]
+    own = [html.main_text(p) for p in pages]
+    monkeypatch.setattr(html, "threshold", lambda values: forced)
+    changed = [html.main_text(p) for p in pages]
+    assert all(a != b for a, b in zip(own, changed, strict=True) if a) and any(own)
+    assert all(not b if lines == "none" else len(b) > len(a) for a, b in zip(own, changed, strict=True) if a)
+
+
 def test_html_on_odd_rows(spark, odd):
     pages = spark.createDataFrame([(1, "u", PAGE, "old"), (2, None, None, None), (None, "v", "", "x"), (1, "u", PAGE, "old")], "page_id long, url string, html string, text string")
     found = html.extract(pages).collect()
