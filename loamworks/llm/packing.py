@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from loamworks.llm.common import staged, whole, wider
 
 CAPACITY = 2048
-#: Pieces of one length that are ranked together, about.
-RANKED = 16_384
+#: Pieces of one length that are ranked together, about: the most and the least, between which it is an eighth of a shuffle partition.
+RANKED, RANKED_LEAST = 16_384, 256
 END = 0
 
 
@@ -237,7 +237,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     return docs.select("doc_id", whole().alias("text")).mapInArrow(run, schema)
 
 
-def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int = CAPACITY, ranked: int = RANKED) -> tuple[DataFrame, DataFrame]:
+def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int = CAPACITY, ranked: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``found`` (written pieces with doc_id, piece, length, ids_crc32) with sequence_id and offset: those below the capacity, and the full ones.
 
     The driver gets capacity numbers and sends back the slot table, a few rows per length. Ranks are by
@@ -247,6 +247,7 @@ def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int
     histogram = np.zeros(capacity + 1, np.int64)
     for r in part.groupBy("length").count().collect():
         histogram[r["length"]] = r["count"]
+    ranked = ranked or min(RANKED, max(RANKED_LEAST, int(histogram.sum()) // (8 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
     slots = plan(histogram)
     table = slots.table()
     salts = spark.createDataFrame([(n, -(-int(histogram[n]) // ranked)) for n in np.flatnonzero(histogram).tolist()], "length long, salts long")
