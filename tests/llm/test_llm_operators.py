@@ -59,13 +59,48 @@ def by_id(df):
 # --- 1 toxicity
 
 
-def test_grammar_composes_context():
-    score = toxicity.Grammar({"idiot$": 4.0, "lowei": 5.0}, half=4.0).scorer()
+GRAMMAR = toxicity.Grammar({"idiot$": 4.0, "lowei": 5.0}, half=4.0)
+
+
+def test_only_matched_clauses_score():
+    score = GRAMMAR.scorer()
+    for text in ("", "you are kind. nothing here", "the word idiot is a noun", "idiot is a noun", "this is not an idiot", "she said some idiot came", 'an "idiot" in quotes', "i will kill time", "they killed him", "i will not kill you"):
+        assert score(text) == 0, text
     plain, aimed = score("such an idiot."), score("you are such an idiot.")
-    assert aimed > plain > score("this is not an idiot.") > 0
-    assert plain > score("they wrote that some idiot came.")
-    assert score("you are kind. nothing here") == score("") == 0.0
-    assert score("loweisch x") > 0.5 and score("i will kill you") > score("i will kill time") == 0.0
+    assert aimed == score("idiot, that is what you are.") > plain > 0
+    assert score("you are an idiot and an idiot and an idiot") == aimed < score("you are an idiot. you are an idiot.")
+    assert score("he kills you") == score("killing them now") >= 0.5 and score("loweisch x") > 0.5
+    assert score("she said nothing. such an idiot") == score("not him! idiot") == score('the word "x". idiot') == plain
+
+
+@pytest.mark.parametrize(
+    ("left_out", "text"),
+    [(0, "such an idiot"), (1, "i will kill you"), (2, "you are an idiot"), (3, "you are no idiot"), (4, "he wrote that idiot came")],
+)
+def test_each_transducer_changes_what_it_is_for(left_out, text):
+    machines = GRAMMAR.machines()
+    assert GRAMMAR.scorer(machines[:left_out] + machines[left_out + 1 :])(text) != GRAMMAR.scorer()(text)
+
+
+@given(st.lists(st.tuples(st.integers(0, toxicity.CLASSES - 1), st.floats(0.1, 5)), max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_composed_table_equals_five_walks(word_classes):
+    machines, (nexts, emitted, finals) = GRAMMAR.machines(), toxicity.compose(GRAMMAR.machines())
+    state, states, total, walked = 0, [0] * len(machines), 0.0, 0.0
+    for c, weight in word_classes:
+        total += emitted[state][c] * weight
+        state = nexts[state][c]
+        moves = [m.step(s, c) for s, m in zip(states, machines, strict=True)]
+        walked += weight * np.prod([x[1] for x in moves]) * sum(x[2] for x in moves)
+        states = [x[0] for x in moves]
+    assert np.isclose(total * finals[state], walked * np.prod([m.final(s) for s, m in zip(states, machines, strict=True)]))
+
+
+def test_toxicity_held_out(spark):
+    found = by_id(queries.op1_toxicity(spark, "/root/testdata/sf0.1"))
+    labels = {r["doc_id"]: r["toxic"] for r in table(spark, "/root/testdata/sf0.1", "labels").collect()}
+    held = [i for i in labels if i in found and found[i]["held_out"]]
+    assert sum(found[i]["predicted"] != labels[i] for i in held) <= 9 and len(held) > 800
 
 
 def test_toxicity_learns_and_holds_out(spark):
