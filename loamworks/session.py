@@ -45,8 +45,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: short lineage, no recomputation."""
+def staged(df: DataFrame, label: str, partition: str | None = None, **options: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, in folders by ``partition`` if one is named, and read back: short lineage, no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a staged table that nothing reads any more, through the file system that holds it."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
