@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loamworks.session import shared_dir, ship, staged
+from loamworks.session import discard, shared_dir, ship, staged
 
-__all__ = ["LAST_ID", "TRAIN_ROWS", "fold", "shared_dir", "staged", "table", "training_rows", "whole", "wider"]
+__all__ = ["LAST_ID", "TRAIN_ROWS", "discard", "fold", "shared_dir", "spare", "staged", "table", "training_rows", "whole", "wider"]
 
 #: Labelled rows that a classifier is fitted on at most; chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
@@ -26,6 +26,17 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """These names, each lengthened by underscores until no column of ``df`` has it: helper columns that clash with nothing."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n

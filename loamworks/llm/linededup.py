@@ -4,7 +4,7 @@ A line's key is the line with blanks stripped at both ends and A-Z lower-cased.
 of at least ``LEAST`` code points that several documents hold lose all their lines
 except those in the document with the smallest id.
 
-The lines' 128-bit key hashes are staged once. Batches of ascending id ranges then go
+The lines' 128-bit key hashes are staged once, by batch. Batches of ascending id ranges go
 through the runs: a batch's distinct keys anti-join the runs of the batches before it;
 keys that are left form a new run, sorted by hash. When a level holds ``FANOUT`` runs
 they are merged into one run of the next level, so a batch meets few runs. Since ids
@@ -14,24 +14,27 @@ A hot line is summed up before any exchange (one row per key and task), and the
 that brings the verdict back to its lines is an equi-join that Spark splits when skewed.
 
 Null text: one empty line. Null ids count as one document after all others. Rows with
-an equal id are one document. Repeated rows are all kept, each with the same lines.
-Other columns stay as they are.
+an equal id are one document. Repeated rows are all kept, each with the same lines; a
+tie, the key in several lines of its first document, keeps them all. A very long text is
+one row of many lines. An empty table gives no rows. Other columns stay as they are,
+whatever their names.
 """
 
 from __future__ import annotations
 
-import uuid
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamworks.llm.common import LAST_ID, shared_dir, staged, whole
+from loamworks.llm.common import LAST_ID, discard, spare, staged, whole
 
 # The blanks of the key, x20 and x09 to x0D, and the letters that are folded.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST = 10
-BATCHES, FANOUT = 4, 2
+#: Batches at least, documents of a batch at most (about), and runs of a level.
+BATCHES, BATCH_ROWS, FANOUT = 4, 50_000_000, 2
 
 
 def key_of(line: Column) -> Column:
@@ -49,70 +52,69 @@ class Runs:
 
     def __init__(self, spark, fanout: int = FANOUT):
         self.spark, self.fanout, self.levels = spark, fanout, []
-        self.top = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
-        self.written = 0
-
-    def _write(self, run: DataFrame) -> str:
-        path = f"{self.top}/{self.written}"
-        self.written += 1
-        run.sortWithinPartitions("h1", "h2").write.parquet(path)
-        return path
 
     def all(self) -> list[DataFrame]:
-        return [self.spark.read.parquet(p) for level in self.levels for p in level]
+        return [run for level in self.levels for run in level]
 
     def add(self, run: DataFrame) -> None:
-        """A new run at the lowest level; full levels are compacted into the next."""
-        at, path = 0, self._write(run)
+        """A new run at the lowest level; full levels are compacted into the next and their runs deleted."""
+        at, new = 0, staged(run.sortWithinPartitions("h1", "h2"), "run")
         while True:
             if at == len(self.levels):
                 self.levels.append([])
-            self.levels[at].append(path)
+            self.levels[at].append(new)
             if len(self.levels[at]) < self.fanout:
                 return
             full, self.levels[at] = self.levels[at], []
-            path = self._write(self.spark.read.parquet(*full).repartition("h1", "h2"))
+            new = staged(union(full).repartition("h1", "h2").sortWithinPartitions("h1", "h2"), "run")
+            for old in full:
+                discard(old)
             at += 1
 
 
-def verdicts(docs: DataFrame, batches: int = BATCHES, least: int = LEAST) -> DataFrame:
-    """(id, row_hash, pos, dropped) for every line of at least ``least`` code points whose key several documents hold."""
+def union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
+def edges_of(docs: DataFrame, batches: int) -> list[int]:
+    """Upper ids of the batches but the last: quantiles of the ids, at most ``batches`` - 1 numbers."""
+    found = docs.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(LAST_ID)), [i / batches for i in range(1, batches)], 10_000)).first()[0]
+    return sorted(set(found or []))
+
+
+def verdicts(docs: DataFrame, batches: int | None = None, least: int = LEAST) -> DataFrame:
+    """(id, row_hash, pos) for every line of at least ``least`` code points whose key a document of smaller id holds."""
+    if batches is None:
+        batches = max(BATCHES, -(-docs.count() // BATCH_ROWS))
+    edges = edges_of(docs, batches)
     split = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64(whole()).alias("row_hash"), lines_of(whole()).alias("lines"))
     row = split.select("id", "row_hash", F.posexplode("lines").alias("pos", "line"))
     keyed = row.select("id", "row_hash", "pos", key_of(F.col("line")).alias("key")).filter(F.char_length("key") >= least)
-    lines = staged(keyed.select("id", "row_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2")), "lines")
-    bounds = lines.agg(F.percentile_approx("id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
-    edges = [None, *dict.fromkeys(bounds), None]
+    hashed = keyed.select("id", "row_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"))
+    # a batch's lines lie in a folder of their own: a batch reads no others
+    number = F.expr(f"aggregate(array({', '.join(f'{e}L' for e in edges)}), 0, (m, e) -> m + cast(id > e as int))") if edges else F.lit(0)
+    lines = staged(hashed.withColumn("batch", number), "lines", partition="batch")
     runs, parts = Runs(docs.sparkSession), []
-    for low, high in zip(edges, edges[1:], strict=False):
-        batch = lines
-        if low is not None:
-            batch = batch.filter(F.col("id") > low)
-        if high is not None:
-            batch = batch.filter(F.col("id") <= high)
+    for k in range(len(edges) + 1):
+        batch = lines.filter(F.col("batch") == k)
         keys = batch.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
         older = [r.withColumnRenamed("first", "seen") for r in runs.all()]
         if older:
-            seen = older[0]
-            for r in older[1:]:
-                seen = seen.unionAll(r)
-            keys = keys.join(seen, ["h1", "h2"], "left")  # a key is in one run at most
+            keys = keys.join(union(older), ["h1", "h2"], "left")  # a key is in one run at most
         else:
             keys = keys.withColumn("seen", F.lit(None).cast("long"))
         keys = staged(keys.withColumn("first", F.coalesce("seen", "low")), "keys")
-        if high is not None:
+        if k < len(edges):
             runs.add(keys.filter("seen is null").select("h1", "h2", "first"))
         shared = keys.filter("first < high").select("h1", "h2", "first")
-        parts.append(batch.join(shared, ["h1", "h2"]).select("id", "row_hash", "pos", (F.col("id") > F.col("first")).alias("dropped")))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
-    return found.filter("dropped")
+        parts.append(batch.join(shared, ["h1", "h2"]).filter("id > first").select("id", "row_hash", "pos"))
+    return union(parts)
 
 
-def mark(docs: DataFrame, batches: int = BATCHES, least: int = LEAST) -> DataFrame:
-    """All columns of ``docs`` and ``kept_lines`` (array), ``n_lines``, ``n_dropped``; columns of those names are replaced."""
-    docs = docs.drop("kept_lines", "n_lines", "n_dropped", "_id", "_row_hash", "_drops")
+def mark(docs: DataFrame, batches: int | None = None, least: int = LEAST, kept: str = "kept_lines", lines: str = "n_lines", dropped: str = "n_dropped") -> DataFrame:
+    """All columns of ``docs``, the kept lines (array) and the numbers of lines and of dropped lines; columns of these three names are replaced, no others."""
+    docs = docs.drop(kept, lines, dropped)
+    id_, hash_, drops_ = spare(docs, "_id", "_row_hash", "_drops")
     # One bit per line in words of 64: little comes back to a document, and a line's test takes constant time.
     drops = (
         verdicts(docs, batches, least)
@@ -121,25 +123,21 @@ def mark(docs: DataFrame, batches: int = BATCHES, least: int = LEAST) -> DataFra
         .groupBy("id", "row_hash")
         .agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("sparse"))
         .select(
-            F.col("id").alias("_id"),
-            F.col("row_hash").alias("_row_hash"),
-            F.expr("aggregate(sparse, cast(array() as array<bigint>), (a, x) -> concat(a, array_repeat(0L, x.word - size(a)), array(x.bits)))").alias("_drops"),
+            F.col("id").alias(id_),
+            F.col("row_hash").alias(hash_),
+            F.expr("aggregate(sparse, cast(array() as array<bigint>), (a, x) -> concat(a, array_repeat(0L, x.word - size(a)), array(x.bits)))").alias(drops_),
         )
     )
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(LAST_ID)), "_row_hash": F.xxhash64(whole())})
-    joined = keyed.join(drops.hint("shuffle_hash"), ["_id", "_row_hash"], "left").withColumn("kept_lines", lines_of(whole()))
-    kept = F.expr("CASE WHEN _drops IS NULL THEN kept_lines ELSE filter(kept_lines, (x, i) -> coalesce(getbit(get(_drops, cast(i div 64 as int)), i % 64), 0) = 0) END")
-    return (
-        joined.withColumn("n_lines", F.size("kept_lines").cast("long"))
-        .withColumn("kept_lines", kept)
-        .withColumn("n_dropped", F.col("n_lines") - F.size("kept_lines"))
-        .drop("_id", "_row_hash", "_drops")
-    )
+    keyed = docs.withColumns({id_: F.coalesce("doc_id", F.lit(LAST_ID)), hash_: F.xxhash64(whole())})
+    joined = keyed.join(drops.hint("shuffle_hash"), [id_, hash_], "left").withColumn(kept, lines_of(whole()))
+    left = F.expr(f"CASE WHEN `{drops_}` IS NULL THEN `{kept}` ELSE filter(`{kept}`, (x, i) -> coalesce(getbit(get(`{drops_}`, cast(i div 64 as int)), i % 64), 0) = 0) END")
+    return joined.withColumn(lines, F.size(kept).cast("long")).withColumn(kept, left).withColumn(dropped, F.col(lines) - F.size(kept)).drop(id_, hash_, drops_)
 
 
-def dedup(docs: DataFrame, batches: int = BATCHES, least: int = LEAST) -> DataFrame:
-    """``docs`` with the kept lines as ``text`` (null stays null) and, where there is such a column, ``n_chars`` counted anew."""
-    found = mark(docs, batches, least).withColumn("text", F.when(F.col("text").isNotNull(), F.array_join("kept_lines", "\n")))
+def dedup(docs: DataFrame, batches: int | None = None, least: int = LEAST) -> DataFrame:
+    """``docs`` with the kept lines as ``text`` (null stays null) and, where there is such a column, ``n_chars`` counted anew; all other columns as they are."""
+    kept, lines, dropped = spare(docs, "kept_lines", "n_lines", "n_dropped")
+    found = mark(docs, batches, least, kept, lines, dropped).withColumn("text", F.when(F.col("text").isNotNull(), F.array_join(kept, "\n")))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.char_length(whole()).cast("long"))
     return found.select(*docs.columns)

@@ -166,16 +166,16 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Trees:
     return boost(x, np.array([float(r["label"] > 0) for r in rows]))
 
 
-def score(docs: DataFrame, trees: Trees) -> DataFrame:
-    """All columns of ``docs`` kept in place, with ``score`` (0 to 1) added; a column of that name is replaced."""
-    kept = docs.drop("score")
-    schema = wider(kept, "score double")
+def score(docs: DataFrame, trees: Trees, into: str = "score") -> DataFrame:
+    """All columns of ``docs`` kept in place, with ``into`` (0 to 1) added; a column of that name is replaced."""
+    kept = docs.drop(into)
+    schema = wider(kept, f"`{into}` double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x = np.array([statistics(t or "") for t in batch["text"].to_pylist()])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(trees.probability(x))], [*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(trees.probability(x))], [*batch.schema.names, into])
 
     return kept.mapInArrow(run, schema)
 

@@ -19,8 +19,10 @@ round written to the shared folder.
 
 Texts are lower-cased for A-Z and split at ASCII blanks. A text of fewer words than a
 shingle is one shingle; a text without words (null, empty, blank) has fingerprint
-zero, and such documents link to each other. Null ids count as one id after all others.
-Repeated rows are all classed; near_dedup keeps one.
+zero, and such documents link to each other. Null ids count as one id after all others,
+and so does the greatest long. Very long texts are hashed whole. Of ties in the smallest
+id the text of smallest hash stays. Repeated rows are all classed; near_dedup keeps one.
+An empty table gives no rows. Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamworks.llm.common import LAST_ID, staged, whole, wider
+from loamworks.llm.common import LAST_ID, spare, staged, whole, wider
 from loamworks.operators.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -46,6 +48,8 @@ WIDE, FIRST_RADIUS, WIDE_RADIUS = 8, 22, 120
 SIMILAR, OF = 4, 5
 #: Sets per block, and shingles per block, of a component of candidates.
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
+#: Parts into which the nodes of a component are dealt.
+PARTS = 16
 #: Distinct fingerprints per stripe where there is one stripe, and rows of a tile.
 STRIPE, TILE = 4096, 256
 
@@ -108,16 +112,16 @@ def with_fingerprints(docs: DataFrame, *keep: str, shingle: int = SHINGLE) -> Da
 
 
 def with_wide_fingerprints(docs: DataFrame, *keep: str, shingle: int = SHINGLE) -> DataFrame:
-    """``keep`` columns and, of the set of each whole text's shingles, ``node`` (its hash), ``wide`` (binary, WIDE words) and ``fp`` (the first word)."""
-    schema = wider(docs.select(*keep), "node long, wide binary, fp long")
+    """``keep`` columns and, of the set of each whole text's shingles, ``name`` (its 128-bit hash), ``wide`` (binary, WIDE words) and ``fp`` (the first word)."""
+    schema = wider(docs.select(*keep), "name binary, wide binary, fp long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(shingle_hashes(t or "", shingle)) for t in batch["text"].to_pylist()]
-            nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            names = pa.array([xxhash.xxh3_128_digest(x.tobytes(), SEED) for x in sets], pa.binary())
             found = [widened(x) for x in sets]
             first = np.array([np.frombuffer(w, "<i8", 1)[0] for w in found], np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keep), pa.array(nodes), pa.array(found, pa.binary()), pa.array(first)], [*keep, "node", "wide", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keep), names, pa.array(found, pa.binary()), pa.array(first)], [*keep, "name", "wide", "fp"])
 
     return docs.mapInArrow(run, schema)
 
@@ -186,11 +190,11 @@ def compare(a: np.ndarray, b: np.ndarray | None, radius: int, tile: int = TILE,
 def links(fingerprints: DataFrame, radius: int = RADIUS, stripe: int = STRIPE, wide_radius: int | None = None) -> DataFrame:
     """(a, b) links between nodes that connect all distinct fingerprints within ``radius``.
 
-    A node is the distinct ``fp`` value. With ``wide_radius`` the frame has ``node`` and ``wide`` beside ``fp``, and what
-    is linked are nodes whose wide fingerprints are within that radius, too.
+    A node is the distinct ``fp`` value. With ``wide_radius`` the frame is a written one of distinct ``node`` with ``wide``
+    beside ``fp``, and what is linked are nodes whose wide fingerprints are within that radius, too.
     """
     wide = wide_radius is not None
-    distinct = staged(fingerprints.select("node", "fp", "wide").distinct() if wide else fingerprints.select("fp").distinct(), "fps")
+    distinct = fingerprints.select("node", "fp", "wide") if wide else staged(fingerprints.select("fp").distinct(), "fps")
     node = "node" if wide else "fp"
     stripes = max(1, round((distinct.count() / stripe) ** 0.5))
     tasks = stripes * (stripes + 1) // 2
@@ -310,18 +314,24 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_
     """
     named = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), whole().alias("text"), F.xxhash64(whole()).alias("row_hash"))
     if wide_radius is None:
-        fps = with_fingerprints(named, "id", "row_hash", shingle=shingle).withColumn("node", F.col("fp"))
+        nodes = fps = staged(with_fingerprints(named, "id", "row_hash", shingle=shingle).withColumn("node", F.col("fp")), "doc-fps")
     else:
-        fps = with_wide_fingerprints(named, "id", "row_hash", shingle=shingle)
-    fps = staged(fps, "doc-fps")
-    groups = components(links(fps, radius, wide_radius=wide_radius)).withColumnRenamed("node", "member")
+        # a set is named by 128 bits, and its node is a number, so that no two sets share one
+        fps = staged(with_wide_fingerprints(named, "id", "row_hash", shingle=shingle), "doc-fps")
+        nodes = staged(fps.select("name", "fp", "wide").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
+        fps = staged(fps.select("id", "row_hash", "fp", "name").join(nodes.select("name", "node"), "name").drop("name"), "doc-nodes")
+    groups = components(links(nodes, radius, wide_radius=wide_radius)).withColumnRenamed("node", "member")
     if wide_radius is not None:
         groups = components(similar_links(named, fps, groups, shingle)).withColumnRenamed("node", "member")
     # the smallest id is found over nodes, one row each, and then brought to the documents
     least = fps.groupBy("node").agg(F.min("id").alias("first"))
-    joined = least.join(groups, least.node == groups.member, "left").select("node", "first", F.coalesce("label", "node").alias("label"))
-    smallest = joined.groupBy("label").agg(F.min("first").alias("component"))
-    return fps.select("id", "row_hash", "fp", "node").join(staged(joined.join(smallest, "label").select("node", "label", "component"), "by-node"), "node")
+    joined = staged(least.join(groups, least.node == groups.member, "left").select("node", "first", "label"), "labels")
+    alone = joined.filter("label is null").select("node", F.col("node").alias("label"), F.col("first").alias("component"))
+    # a large component's label is one key: its nodes are dealt into parts, and each part gets its smallest id
+    parted = joined.filter("label is not null").withColumn("part", F.pmod(F.xxhash64("node"), F.lit(PARTS)))
+    smallest = parted.groupBy("label").agg(F.min("first").alias("component")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    together = parted.join(smallest, ["label", "part"]).select("node", "label", "component")
+    return fps.select("id", "row_hash", "fp", "node").join(staged(alone.unionByName(together), "by-node"), "node")
 
 
 def near_dedup(docs: DataFrame, radius: int = FIRST_RADIUS, shingle: int = 5, wide_radius: int | None = WIDE_RADIUS) -> DataFrame:
@@ -331,11 +341,12 @@ def near_dedup(docs: DataFrame, radius: int = FIRST_RADIUS, shingle: int = 5, wi
     found by wide fingerprints. With ``wide_radius`` None they link at ``radius`` differing bits of the 64-bit fingerprints.
     """
     found = staged(classes(docs, radius, shingle, wide_radius), "classes")
-    first = found.groupBy("label").agg(F.min(F.struct("id", "row_hash")).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.row_hash").alias("_row_hash"))
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(LAST_ID)), "_row_hash": F.xxhash64(whole())})
-    kept = keyed.join(first.hint("shuffle_hash"), ["_id", "_row_hash"], "left_semi")
+    id_, hash_ = spare(docs, "_id", "_row_hash")
+    first = found.groupBy("label").agg(F.min(F.struct("id", "row_hash")).alias("first")).select(F.col("first.id").alias(id_), F.col("first.row_hash").alias(hash_))
+    keyed = docs.withColumns({id_: F.coalesce("doc_id", F.lit(LAST_ID)), hash_: F.xxhash64(whole())})
+    kept = keyed.join(first.hint("shuffle_hash"), [id_, hash_], "left_semi")
     if not found.groupBy("id", "row_hash").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_id", "_row_hash"])  # rows repeated with their id
+        kept = kept.dropDuplicates([id_, hash_])  # rows repeated with their id
     return kept.select(*docs.columns)
 
 

@@ -307,16 +307,16 @@ def best_cut(totals: np.ndarray, labels: np.ndarray) -> tuple[int, float]:
     return int(errors[k]), float((max(below, cuts[k] / 2) + cuts[k]) / 2)
 
 
-def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """All columns of ``docs`` kept in place, with ``score`` (0 to 1) added; a column of that name is replaced."""
-    kept = docs.drop("score")
-    schema = wider(kept, "score double")
+def score(docs: DataFrame, grammar: Grammar, into: str = "score") -> DataFrame:
+    """All columns of ``docs`` kept in place, with ``into`` (0 to 1) added; a column of that name is replaced."""
+    kept = docs.drop(into)
+    schema = wider(kept, f"`{into}` double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = grammar.scorer()
         for batch in batches:
             scores = pa.array([one(t) if t else 0.0 for t in batch["text"].to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, into])
 
     return kept.mapInArrow(run, schema)
 

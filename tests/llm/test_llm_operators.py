@@ -397,6 +397,11 @@ def test_line_dedup_keeps_columns(odd):
     assert linededup.dedup(odd.limit(0)).count() == 0
 
 
+def test_batches_read_their_own_lines(odd):
+    found = linededup.verdicts(odd, 4)
+    assert found.filter("pos is null").count() == 0 and linededup.edges_of(odd.filter("doc_id is null"), 4) == [(1 << 63) - 1]
+
+
 # --- 6 and 10 packing
 
 
