@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamworks.session import staged
+from loamworks.operators.grid import _along, majority_filter, nearest_source, padded
+from loamworks.session import discard, staged
 
 #: A cell's number is its row times this plus its column.
 ROW = 1 << 31
@@ -32,6 +33,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "x").select(F.col("y").alias("b"), F.col("m").alias("a")).unionAll(low.select(F.col("x").alias("b"), F.col("m").alias("a")))
         new = staged(small.filter("a < b").select("a", "b").distinct(), "edges")
         same = new.count() == edges.count() and new.join(edges, ["a", "b"], "left_anti").isEmpty()
+        discard(edges)
         edges = new
         if same:
             break
@@ -51,14 +53,15 @@ def _runs(cells: DataFrame, value: str) -> DataFrame:
 def regions(cells: DataFrame, value: str, eight: bool = False) -> DataFrame:
     """(r, c, v, label): connected regions of equal value, named by their smallest cell number; nulls form regions too."""
     runs = staged(_runs(cells, value), "runs")
-    col = Window.partitionBy("c").orderBy("r").rangeBetween(-1, -1)
-    row = lambda i: Window.partitionBy("r").orderBy("c").rangeBetween(i, i)
-    above = runs.withColumns({"_v0": F.max("v").over(col), "_run0": F.max("run").over(col)})
-    found = above.filter(F.col("_run0").isNotNull() & F.col("_v0").eqNullSafe(F.col("v"))).select(F.col("run").alias("a"), F.col("_run0").alias("b"))
+    above = runs.withColumn("_up", F.max(F.struct("run", "v")).over(_along("c", -1, -1)))
+    touch = above.select("run", "v", F.col("_up").alias("n"))
     if eight:
-        for i in (-1, 1):
-            side = above.select("r", "c", "v", "run", F.max("_v0").over(row(i)).alias("_v1"), F.max("_run0").over(row(i)).alias("_run1"))
-            found = found.unionAll(side.filter(F.col("_run1").isNotNull() & F.col("_v1").eqNullSafe(F.col("v"))).select(F.col("run").alias("a"), F.col("_run1").alias("b")))
+        # a run's ends stand for its cells: the ends' neighbours in the row are seen from the row below
+        wide = padded(runs, 1, 1).withColumn("_x", F.when(F.col("_own"), F.struct("run", "v")))
+        wide = wide.withColumns({"_e": F.max("_x").over(_along("r", 1, 1)), "_w": F.max("_x").over(_along("r", -1, -1))})
+        wide = wide.withColumns({k: F.max(k).over(_along("c", -1, -1)) for k in ("_e", "_w")}).filter("_own")
+        touch = touch.unionAll(wide.select("run", "v", F.explode(F.array("_e", "_w")).alias("n")))
+    found = touch.filter(F.col("n").isNotNull() & F.col("n.v").eqNullSafe(F.col("v"))).select(F.col("run").alias("a"), F.col("n.run").alias("b"))
     labels = components(found)
     return runs.join(labels, runs.run == labels.node, "left").select("r", "c", "v", F.coalesce("label", "run").alias("label"))
 
@@ -69,14 +72,12 @@ def region_sizes(found: DataFrame) -> DataFrame:
 
 def adjacency(cells: DataFrame, zone: str, size: float = 1.0, corners: bool = False) -> DataFrame:
     """(a, b, length): touching zones, a < b, with their shared boundary; corner contact counts with length 0 if asked for."""
-    right = F.max(zone).over(Window.partitionBy("r").orderBy("c").rangeBetween(1, 1))
-    low = F.max(zone).over(Window.partitionBy("c").orderBy("r").rangeBetween(1, 1))
-    sides = cells.select("r", "c", F.col(zone).alias("z"), right.alias("_e"), low.alias("_s"))
-    touch = [F.struct(F.col("_e").alias("n"), F.lit(size).alias("l")), F.struct(F.col("_s").alias("n"), F.lit(size).alias("l"))]
+    sides = cells.select("r", "c", F.col(zone).alias("z"), F.max(zone).over(_along("r", 1, 1)).alias("_e"), F.max(zone).over(_along("c", 1, 1)).alias("_s"))
+    touch = [F.struct(F.col(k).alias("n"), F.lit(size).alias("l")) for k in ("_e", "_s")]
     if corners:
-        below = Window.partitionBy("c").orderBy("r").rangeBetween(1, 1)
-        left = F.max(zone).over(Window.partitionBy("r").orderBy("c").rangeBetween(-1, -1))
-        sides = sides.join(cells.select("r", "c", left.alias("_w")), ["r", "c"]).withColumns({"_se": F.max("_e").over(below), "_sw": F.max("_w").over(below)})
+        wide = padded(sides, 1, 1).withColumn("_z", F.when(F.col("_own"), F.col("z")))
+        wide = wide.withColumns({"_se": F.max("_z").over(_along("r", 1, 1)), "_sw": F.max("_z").over(_along("r", -1, -1))})
+        sides = wide.withColumns({k: F.max(k).over(_along("c", 1, 1)) for k in ("_se", "_sw")}).filter("_own")
         touch += [F.struct(F.col(k).alias("n"), F.lit(0.0).alias("l")) for k in ("_se", "_sw")]
     pairs = sides.select("z", F.inline(F.array(*touch))).filter("n is not null and z is not null and n <> z")
     return pairs.groupBy(F.least("z", "n").alias("a"), F.greatest("z", "n").alias("b")).agg(F.sum("l").alias("length"))
@@ -110,9 +111,13 @@ def merge_targets(zones: DataFrame, edges: DataFrame, small: DataFrame, klass: s
     return n.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(F.col("src").alias("zone_id"), F.col("dst").alias("target"))
 
 
-def merge_small(cells: DataFrame, zone: str, klass: str, least: float, by: str = "area", rounds: int = 10, pairing: bool = False) -> DataFrame:
-    """Cells with zones below ``least`` cells merged into same-class neighbours, round after round until none can move."""
-    for _ in range(rounds):
+def merge_small(cells: DataFrame, zone: str, klass: str, least: float, by: str = "area", pairing: bool = False) -> DataFrame:
+    """Cells with zones below ``least`` cells merged into same-class neighbours, round after round until none can move.
+
+    Each round that goes on leaves fewer zones, so rounds end.
+    """
+    first = cells
+    while True:
         zones = cells.groupBy(F.col(zone).alias("zone_id")).agg(F.min(klass).alias("k"), F.count("*").cast("double").alias("area"))
         small = zones.filter(F.col("area") < least)
         moves = staged(merge_targets(zones, adjacency(cells, zone), small, "k", "area", by, pairing), "moves")
@@ -122,8 +127,10 @@ def merge_small(cells: DataFrame, zone: str, klass: str, least: float, by: str =
             labels = components(moves.select(F.col("zone_id").alias("a"), F.col("target").alias("b")))
             moves = labels.select(F.col("node").alias("zone_id"), F.col("label").alias("target")).filter("zone_id <> target")
         kind = dict(cells.dtypes)[zone]
-        cells = staged(cells.join(moves.select(F.col("zone_id").alias(zone), F.col("target").cast(kind).alias("_t")), zone, "left").withColumn(zone, F.coalesce("_t", zone)).drop("_t"), "cells")
-    return cells
+        new = staged(cells.join(moves.select(F.col("zone_id").alias(zone), F.col("target").cast(kind).alias("_t")), zone, "left").withColumn(zone, F.coalesce("_t", zone)).drop("_t"), "cells")
+        if cells is not first:
+            discard(cells)
+        cells = new
 
 
 def merge_groups(cells: DataFrame, zone: str, least: float) -> DataFrame:
@@ -138,18 +145,25 @@ def merge_groups(cells: DataFrame, zone: str, least: float) -> DataFrame:
     return groups.select(F.col("node").alias("zone_id"), F.col("label").alias("target")).unionByName(merge_targets(one, edges, alone, "k", "area", pairing=True))
 
 
-def split_oversized(cells: DataFrame, zone: str, most: float, rounds: int = 12) -> DataFrame:
-    """``part``: zones above ``most`` cells halved across their longer side, and the parts again, until none is above."""
-    out = cells.withColumn("part", F.lit(1).cast("long"))
-    for _ in range(rounds):
+def split_oversized(cells: DataFrame, zone: str, most: float) -> DataFrame:
+    """``part``: zones above ``most`` cells halved across their longer side, and the parts again, until none is above.
+
+    A part is named by the halves that led to it: 1, then 2 and 3, and so on; names of more than 62 halvings are
+    hashed. Halves are never empty, as a part of several cells has a side longer than one; cells at one place stay together.
+    """
+    out, old = cells.withColumn("part", F.lit(1).cast("long")), None
+    while True:
         w = Window.partitionBy(zone, "part")
         n, dr, dc = F.count("*").over(w), F.max("r").over(w) - F.min("r").over(w), F.max("c").over(w) - F.min("c").over(w)
         upper = F.when(dc >= dr, F.col("c") * 2 > F.min("c").over(w) + F.max("c").over(w)).otherwise(F.col("r") * 2 > F.min("r").over(w) + F.max("r").over(w))
-        out = staged(out.withColumn("_big", n > most).withColumn("part", F.when(F.col("_big"), 2 * F.col("part") + upper.cast("long")).otherwise(F.col("part"))), "parts")
-        if out.filter("_big").isEmpty():
-            break
-        out = out.drop("_big")
-    return out.drop("_big")
+        big = (n > most) & (dr + dc > 0)
+        below = F.when((F.col("part") > 0) & (F.col("part") < 1 << 61), 2 * F.col("part") + upper.cast("long")).otherwise(-F.abs(F.xxhash64("part", upper)))
+        new = staged(out.withColumn("_big", big).withColumn("part", F.when(F.col("_big"), below).otherwise(F.col("part"))), "parts")
+        if old is not None:
+            discard(old)
+        out, old = new.drop("_big"), new
+        if new.filter("_big").isEmpty():
+            return out
 
 
 def fill_holes(cells: DataFrame, zone: str) -> DataFrame:
@@ -175,19 +189,12 @@ def drop_small_regions(cells: DataFrame, value: str, least: int, eight: bool = F
 
 def nearest_value(cells: DataFrame, known: Column, value: str, reach: int) -> DataFrame:
     """Cells with ``value`` replaced, where it is not ``known``, by that of the nearest known cell within ``reach`` (ties: smallest cell number)."""
-    from loamworks.operators.joins import near_pairs
-
-    at = lambda df: df.select("r", "c", F.col(value).alias("v"), F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"))
-    pairs = near_pairs(at(cells.filter(~known)), at(cells.filter(known)), float(reach))
-    w = Window.partitionBy("r", "c").orderBy("dist2", "n_r", "n_c")
-    best = pairs.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("r", "c", F.col("n_v").alias("_v"))
-    return cells.join(best, ["r", "c"], "left").withColumn(value, F.coalesce("_v", value)).drop("_v")
+    found = nearest_source(cells, known, reach, F.col(value))
+    return found.withColumn(value, F.when(known, F.col(value)).otherwise(F.coalesce("_held", value))).drop("_d2", "_held")
 
 
 def generalise(cells: DataFrame, value: str, least: int, reach: int) -> DataFrame:
     """Majority filter, then regions below ``least`` cells refilled from the nearest kept region."""
-    from loamworks.operators.grid import majority_filter
-
     smooth = staged(majority_filter(cells.select("r", "c", value), value), "smooth")
     kept = drop_small_regions(smooth, value, least).select("r", "c", F.lit(True).alias("_kept"))
     return nearest_value(smooth.join(kept, ["r", "c"], "left").withColumn("_kept", F.coalesce("_kept", F.lit(False))), F.col("_kept"), value, reach).drop("_kept")

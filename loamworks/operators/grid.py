@@ -1,26 +1,52 @@
 """Neighbourhood operators on the cell table (r, c, bands...).
 
-A focal box is separable: sums, counts, minima and maxima pass along rows, then along
-columns, each pass one window over a row or a column. Nothing is exploded by the box.
-Cells that are not in the table, and null values, count for nothing.
+A focal box is separable: sums, minima and maxima pass along rows, then along columns,
+each pass one window over a row or a column. Nothing is exploded by the box.
+Cells that are not in the table, and null values, count for nothing. So that what lies
+in a row reaches the rows beside it where a column's cell is absent, gaps within rows are
+first filled with helper cells, as far as the box reaches; they hold no values and do not
+come out. A grid without gaps gets helpers at the ends of its rows only.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def _along(axis: str, k: int):
-    return Window.partitionBy(axis).orderBy("c" if axis == "r" else "r").rangeBetween(-k, k)
+def _along(axis: str, low: int, high: int):
+    return Window.partitionBy(axis).orderBy("c" if axis == "r" else "r").rangeBetween(low, high)
+
+
+def padded(cells: DataFrame, left: int, right: int) -> DataFrame:
+    """The cells (``_own`` true) and helper cells at the places of their rows that are absent, up to ``left`` columns before and ``right`` after a cell.
+
+    A helper repeats its cell's other columns: whoever sums anything up asks for ``_own``.
+    """
+    w = Window.partitionBy("r").orderBy("c")
+    spaced = cells.withColumns({"_before": F.lag("c").over(w), "_after": F.lead("c").over(w)})
+    c, end = F.col("c"), F.least(F.col("c") + right, F.coalesce(F.col("_after") - 1, F.col("c") + right))
+    start = F.greatest(F.col("c") - left, F.coalesce(F.col("_before") + right + 1, F.col("c") - left))
+    places = lambda low, high: F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    found = F.concat(F.array(c), places(start.cast("int"), (c - 1).cast("int")), places((c + 1).cast("int"), end.cast("int")))
+    kept = [x for x in cells.columns if x != "c"]
+    return spaced.select(*kept, "c", F.explode(found.cast("array<int>")).alias("_place")).select(*kept, F.col("_place").alias("c"), (F.col("_place") == c).alias("_own"))
+
+
+def boxed(cells: DataFrame, values: dict[str, tuple[Callable, Column]], low: int, high: int) -> DataFrame:
+    """The cells with, for each name, an aggregate (sum, min or max) of an expression over the box from ``low`` to ``high`` in both directions."""
+    start = padded(cells, high, -low).withColumns({n: F.when(F.col("_own"), v) for n, (_, v) in values.items()})
+    rows = start.withColumns({n: f(n).over(_along("r", low, high)) for n, (f, _) in values.items()})
+    out = rows.withColumns({n: f(n).over(_along("c", low, high)) for n, (f, _) in values.items()})
+    return out.filter("_own").select(*cells.columns, *(n for n in values if n not in cells.columns))
 
 
 def focal_sums(cells: DataFrame, values: dict[str, Column], k: int) -> DataFrame:
     """The cells with, for each name, the sum of its expression over the (2k + 1) x (2k + 1) box."""
-    first = cells.withColumns({f"_{n}": v for n, v in values.items()}).withColumns({f"_{n}": F.sum(f"_{n}").over(_along("r", k)) for n in values})
-    return first.withColumns({n: F.sum(f"_{n}").over(_along("c", k)) for n in values}).drop(*(f"_{n}" for n in values))
+    return boxed(cells, {n: (F.sum, v) for n, v in values.items()}, -k, k)
 
 
 def focal_statistics(cells: DataFrame, band: str, k: int, prefix: str = "focal") -> DataFrame:
@@ -34,14 +60,17 @@ def focal_statistics(cells: DataFrame, band: str, k: int, prefix: str = "focal")
 
 def focal_extreme(cells: DataFrame, band: str, k: int, which: str, into: str) -> DataFrame:
     """Least or greatest value in the box."""
-    f = {"min": F.min, "max": F.max}[which]
-    return cells.withColumn("_x", f(band).over(_along("r", k))).withColumn(into, f("_x").over(_along("c", k))).drop("_x")
+    found = boxed(cells, {"_x": ({"min": F.min, "max": F.max}[which], F.col(band))}, -k, k)
+    return found.withColumn(into, F.col("_x")).drop("_x")
+
+
+def _extremes(cells: DataFrame, band: str, k: int) -> DataFrame:
+    return boxed(cells, {"_lo": (F.min, F.col(band)), "_hi": (F.max, F.col(band))}, -k, k)
 
 
 def relief(cells: DataFrame, band: str, k: int, into: str = "relief") -> DataFrame:
     """Greatest minus least value in the box."""
-    out = focal_extreme(focal_extreme(cells, band, k, "max", "_hi"), band, k, "min", "_lo")
-    return out.withColumn(into, F.col("_hi") - F.col("_lo")).drop("_hi", "_lo")
+    return _extremes(cells, band, k).withColumn(into, F.col("_hi") - F.col("_lo")).drop("_hi", "_lo")
 
 
 def tpi(cells: DataFrame, band: str, k: int, ratio: bool = False, into: str = "tpi") -> DataFrame:
@@ -89,12 +118,12 @@ def neighbours(cells: DataFrame, band: str, prefix: str = "n") -> DataFrame:
 
     Values beside and above come by lag and lead along one axis each; diagonals are the column neighbours' own side values.
     """
-    row = Window.partitionBy("r").orderBy("c").rangeBetween
-    col = Window.partitionBy("c").orderBy("r").rangeBetween
-    at = lambda w, step, v: F.max(v).over(w(step, step))  # noqa: E731  one row at most in the frame
-    out = cells.withColumns({"_e": at(row, 1, band), "_w": at(row, -1, band)})
-    found = {"n0": F.col("_e"), "n1": at(col, 1, "_e"), "n2": at(col, 1, band), "n3": at(col, 1, "_w"), "n4": F.col("_w"), "n5": at(col, -1, "_w"), "n6": at(col, -1, band), "n7": at(col, -1, "_e")}
-    return out.withColumns({k.replace("n", prefix, 1): v for k, v in found.items()}).drop("_e", "_w")
+    at = lambda axis, step, v: F.max(v).over(_along(axis, step, step))  # noqa: E731  one row at most in the frame
+    out = padded(cells, 1, 1).withColumn("_v", F.when(F.col("_own"), F.col(band)))
+    out = out.withColumns({"_e": at("r", 1, "_v"), "_w": at("r", -1, "_v")})
+    found = {"n0": F.col("_e"), "n1": at("c", 1, "_e"), "n2": at("c", 1, "_v"), "n3": at("c", 1, "_w"), "n4": F.col("_w"), "n5": at("c", -1, "_w"), "n6": at("c", -1, "_v"), "n7": at("c", -1, "_e")}
+    out = out.withColumns({k.replace("n", prefix, 1): v for k, v in found.items()}).filter("_own")
+    return out.select(*cells.columns, *(f"{prefix}{i}" for i in range(8) if f"{prefix}{i}" not in cells.columns))
 
 
 def slope_aspect(cells: DataFrame, band: str, size: float = 1.0) -> DataFrame:
@@ -149,43 +178,49 @@ def convergence(cells: DataFrame, aspect: str) -> DataFrame:
 
 def relative_position(cells: DataFrame, band: str, k: int) -> DataFrame:
     """Where the value stands between the least and greatest of its box, 0 to 1."""
-    out = focal_extreme(focal_extreme(cells, band, k, "max", "_hi"), band, k, "min", "_lo")
+    out = _extremes(cells, band, k)
     return out.withColumn("position", F.try_divide(F.col(band) - F.col("_lo"), F.col("_hi") - F.col("_lo"))).drop("_hi", "_lo")
 
 
-def distance(cells: DataFrame, source: Column, reach: int, into: str = "distance") -> DataFrame:
-    """Distance in cells to the nearest source cell, null beyond ``reach``.
+def nearest_source(cells: DataFrame, source: Column, reach: int, held: Column | None = None) -> DataFrame:
+    """The cells with ``_d2``, the squared distance to the nearest source cell (ties: smallest row, then column), and ``_held``, that cell's ``held``; null beyond ``reach``.
 
-    First the nearest source within the column, by windows up and down; then the least over the columns within reach.
+    First the nearest source within the column, by windows up and down; then the least over the columns within reach,
+    by one window along the row.
     """
     up = Window.partitionBy("c").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy("c").orderBy("r").rowsBetween(0, Window.unboundedFollowing)
-    at = F.when(source, F.col("r"))
-    g = cells.withColumn("_g", F.least(F.col("r") - F.last(at, ignorenulls=True).over(up), F.first(at, ignorenulls=True).over(down) - F.col("r")))
-    g = g.withColumn("_g", F.when(F.col("_g") <= reach, F.col("_g")))
-    along = Window.partitionBy("r").orderBy("c").rangeBetween
-    best = None
-    for step in range(-reach, reach + 1):
-        gap = F.max("_g").over(along(step, step))
-        d = gap * gap + step * step
-        best = d if best is None else F.least(best, d)
-    return g.withColumn("_d", best).withColumn(into, F.when(F.col("_d") <= reach * reach, F.sqrt(F.col("_d").cast("double")))).drop("_g", "_d")
+    at = F.when(F.col("_own") & source, F.struct(F.col("r").alias("r"), (F.lit(None).cast("int") if held is None else held).alias("held")))
+    found = padded(cells, reach, reach).withColumn("_at", at)
+    found = found.withColumns({"_above": F.last("_at", ignorenulls=True).over(up), "_below": F.first("_at", ignorenulls=True).over(down)})
+    nearer = F.when(F.col("_below").isNull() | (F.col("r") - F.col("_above.r") <= F.col("_below.r") - F.col("r")), F.col("_above")).otherwise(F.col("_below"))
+    found = found.withColumn("_near", nearer).withColumn("_near", F.when(F.abs(F.col("_near.r") - F.col("r")) <= reach, F.struct(F.col("_near.r").alias("r"), F.col("c").alias("c"), F.col("_near.held").alias("held"))))
+    found = found.withColumn("_all", F.collect_list("_near").over(_along("r", -reach, reach))).filter("_own")
+    d2 = lambda x: (x["r"] - F.col("r")) * (x["r"] - F.col("r")) + (x["c"] - F.col("c")) * (x["c"] - F.col("c"))
+    least = F.array_min(F.transform("_all", lambda x: F.struct(d2(x).alias("d2"), x["r"].alias("r"), x["c"].alias("c"), x["held"].alias("held"))))
+    found = found.withColumn("_least", least).withColumn("_least", F.when(F.col("_least.d2") <= reach * reach, F.col("_least")))
+    return found.select(*cells.columns, F.col("_least.d2").alias("_d2"), F.col("_least.held").alias("_held"))
+
+
+def distance(cells: DataFrame, source: Column, reach: int, into: str = "distance") -> DataFrame:
+    """Distance in cells to the nearest source cell, null beyond ``reach``."""
+    found = nearest_source(cells, source, reach)
+    return found.withColumn(into, F.sqrt(F.col("_d2").cast("double"))).drop("_d2", "_held")
 
 
 def gaussian_density(cells: DataFrame, mask: Column, sigma: float, truncate: float = 4.0, into: str = "density") -> DataFrame:
     """Gaussian density of a mask, scaled by its greatest value; cells off the grid count as empty."""
     k = int(truncate * sigma + 0.5)
     weights = [math.exp(-0.5 * (i / sigma) ** 2) for i in range(-k, k + 1)]
-    weights = [w / sum(weights) for w in weights]
+    table = F.array(*(F.lit(w / sum(weights)) for w in weights))
 
     def smear(df: DataFrame, axis: str, column: str) -> DataFrame:
-        w = Window.partitionBy(axis).orderBy("c" if axis == "r" else "r").rangeBetween
-        total = F.lit(0.0)
-        for step, weight in zip(range(-k, k + 1), weights, strict=True):
-            total = total + F.coalesce(F.max(column).over(w(step, step)), F.lit(0.0)) * weight
-        return df.withColumn(column, total)
+        at = "c" if axis == "r" else "r"
+        seen = df.withColumn("_all", F.collect_list(F.when(F.col(column) != 0, F.struct(F.col(at).alias("at"), F.col(column).alias("m")))).over(_along(axis, -k, k)))
+        return seen.withColumn(column, F.aggregate("_all", F.lit(0.0), lambda total, x: total + x["m"] * F.get(table, x["at"] - F.col(at) + k))).drop("_all")
 
-    out = smear(smear(cells.withColumn("_m", mask.cast("double")), "r", "_m"), "c", "_m")
+    start = padded(cells, k, k).withColumn("_m", F.when(F.col("_own"), mask.cast("double")))
+    out = smear(smear(start, "r", "_m"), "c", "_m").filter("_own").select(*cells.columns, "_m")
     most = out.agg(F.max("_m").alias("_most"))
     return out.crossJoin(F.broadcast(most)).withColumn(into, F.coalesce(F.try_divide("_m", "_most"), F.lit(0.0))).drop("_m", "_most")
 
@@ -226,10 +261,17 @@ def with_coordinates(cells: DataFrame, x0: float, y0: float, size: float) -> Dat
     return cells.withColumns({"x": x0 + (F.col("c") + 0.5) * size, "y": y0 - (F.col("r") + 0.5) * size})
 
 
+def _shape(spark: SparkSession, rows: int, columns: int) -> DataFrame:
+    """All places of a grid; rows are dealt to tasks."""
+    places = F.sequence(F.lit(0), F.lit(columns - 1)) if columns > 0 else F.array().cast("array<int>")
+    return spark.range(rows).select(F.col("id").cast("int").alias("r"), F.explode(places).alias("c"))
+
+
 def resample_nearest(cells: DataFrame, band: str, factor: float) -> DataFrame:
     """The grid at another cell size (``factor`` old cells wide), each new cell with the old cell under its centre."""
-    extent = cells.agg(F.max("r").alias("_r1"), F.max("c").alias("_c1"))
-    new = extent.select(F.explode(F.sequence(F.lit(0), F.floor((F.col("_r1") + 1) / factor).cast("int") - 1)).alias("r"), "_c1").select("r", F.explode(F.sequence(F.lit(0), F.floor((F.col("_c1") + 1) / factor).cast("int") - 1)).alias("c"))
+    extent = cells.agg(F.max("r").alias("_r1"), F.max("c").alias("_c1")).first()
+    rows, columns = (0 if x is None else int((x + 1) // factor) for x in extent)
+    new = _shape(cells.sparkSession, rows, columns)
     at = new.select("r", "c", F.floor((F.col("r") + 0.5) * factor).cast("int").alias("_r"), F.floor((F.col("c") + 0.5) * factor).cast("int").alias("_c"))
     return at.join(cells.select(F.col("r").alias("_r"), F.col("c").alias("_c"), band), ["_r", "_c"], "left").select("r", "c", band)
 
@@ -292,16 +334,27 @@ def threshold_clean(value: Column, low: float, high: float, code: float) -> Colu
 
 
 def texture(cells: DataFrame, band: str, levels: int = 256) -> DataFrame:
-    """Co-occurrence of diagonal neighbours in 3 x 3 windows after scaling to 0..levels-1: contrast, dissimilarity, homogeneity."""
+    """Co-occurrence of diagonal neighbours in 3 x 3 windows after scaling to 0..levels-1.
+
+    ``contrast``, ``dissimilarity`` and ``homogeneity`` are means over a window's pairs of grey levels; ``energy`` is the
+    root of the summed squared shares of its different pairs, ``correlation`` that of the two levels (1 where they do not vary).
+    """
     stats = cells.agg(F.min(band).alias("_lo"), F.max(band).alias("_hi"))
     g = cells.crossJoin(F.broadcast(stats)).withColumn("_g", F.floor((F.col(band) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * (levels - 1)).cast("int")).drop("_lo", "_hi")
-    n = neighbours(g.select("r", "c", "_g"), "_g")
-    pair = F.col("n1") - F.col("_g")  # a pair is counted at its upper left cell
-    box = lambda a: Window.partitionBy(a).orderBy("c" if a == "r" else "r").rangeBetween(-1, 0)
-    out = n.select("r", "c", (pair * pair).alias("contrast"), F.abs(pair).alias("dissimilarity"), (1.0 / (1 + pair * pair)).alias("homogeneity"), pair.isNotNull().cast("int").alias("_k"))
-    names = ["contrast", "dissimilarity", "homogeneity", "_k"]
-    out = out.withColumns({x: F.sum(x).over(box("r")) for x in names}).withColumns({x: F.sum(x).over(box("c")) for x in names})
-    return out.select("r", "c", *((F.col(x) / F.col("_k")).alias(x) for x in names[:3])).filter(F.col("contrast").isNotNull())
+    n = neighbours(g.select("r", "c", "_g"), "_g").withColumn("_h", F.col("n1"))
+    a, b = F.when(F.col("_h").isNotNull(), F.col("_g")), F.when(F.col("_g").isNotNull(), F.col("_h"))  # a pair is counted at its upper left cell
+    gap = b - a
+    sums = {"contrast": gap * gap, "dissimilarity": F.abs(gap), "homogeneity": 1.0 / (1 + gap * gap), "_k": F.when(gap.isNotNull(), 1).otherwise(0), "_a": a, "_b": b, "_aa": a * a, "_bb": b * b, "_ab": a * b}
+    # a window has four pairs at most: both rows' pairs are put side by side and compared with each other
+    pair = F.when(gap.isNotNull(), a.cast("long") * levels + b)
+    start = padded(n.select("r", "c", "_g", "_h"), 0, 1).withColumns({x: F.when(F.col("_own"), v) for x, v in (sums | {"_p": pair}).items()})
+    rows = start.withColumns({x: F.sum(x).over(_along("r", -1, 0)) for x in sums} | {"_p": F.collect_list("_p").over(_along("r", -1, 0))})
+    out = rows.withColumns({x: F.sum(x).over(_along("c", -1, 0)) for x in sums} | {"_p": F.flatten(F.collect_list("_p").over(_along("c", -1, 0)))}).filter("_own")
+    k = F.col("_k")
+    same = F.aggregate("_p", F.lit(0), lambda total, x: total + F.size(F.filter("_p", lambda y: y == x)))  # the sum of squared counts
+    va, vb = k * F.col("_aa") - F.col("_a") * F.col("_a"), k * F.col("_bb") - F.col("_b") * F.col("_b")
+    correlation = F.when((va == 0) | (vb == 0), 1.0).otherwise((k * F.col("_ab") - F.col("_a") * F.col("_b")) / F.sqrt(va.cast("double") * vb))
+    return out.filter(k > 0).select("r", "c", *((F.col(x) / k).alias(x) for x in ("contrast", "dissimilarity", "homogeneity")), (F.sqrt(same.cast("double")) / k).alias("energy"), correlation.alias("correlation"))
 
 
 def hillshade(slope: Column, aspect: Column, suns: list[tuple[float, float]]) -> Column:
@@ -316,8 +369,7 @@ def hillshade(slope: Column, aspect: Column, suns: list[tuple[float, float]]) ->
 
 def resize(cells: DataFrame, band: str, rows: int, columns: int, fill: float) -> DataFrame:
     """The grid cut or padded to a shape; missing cells and nulls take the fill value."""
-    spark = cells.sparkSession
-    shape = spark.range(rows).select(F.col("id").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("c"))
+    shape = _shape(cells.sparkSession, rows, columns)
     return shape.join(cells.select("r", "c", band), ["r", "c"], "left").withColumn(band, F.coalesce(band, F.lit(fill)))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loamworks.operators.grid import AROUND, neighbours
 from loamworks.operators.graph import ROW
-from loamworks.session import ship, staged
+from loamworks.session import discard, ship, staged
 
 # The codes of the eight flow directions, clockwise from the east.
 CODES = [1, 2, 4, 8, 16, 32, 64, 128]
@@ -58,7 +58,8 @@ def accumulate(links: DataFrame) -> DataFrame:
     """(node, acc, basin): cells upstream, itself included, and the pit that the flow ends in."""
     state = staged(links.select("node", "down", F.lit(1).cast("long").alias("acc"), F.when(F.col("down").isNull(), F.col("node")).alias("root")), "flow")
     while not state.filter("down is not null").isEmpty():
-        state = staged(_doubled(state), "flow")
+        old, state = state, staged(_doubled(state), "flow")
+        discard(old)
     return state.select("node", "acc", F.coalesce("root", "node").alias("basin"))
 
 
@@ -73,6 +74,24 @@ def channels(flow: DataFrame, least: int) -> DataFrame:
     return flow.filter(F.col("acc") >= least)
 
 
+def channel_relief(cells: DataFrame, band: str, least: int) -> DataFrame:
+    """(r, c, base_level, above, valley_depth) of every cell with a value.
+
+    ``base_level`` is the elevation of the first channel cell (with at least ``least`` cells upstream) on the cell's flow,
+    or of the pit it ends in; ``above`` is the height over it; ``valley_depth`` is how far the cell lies below the highest
+    cell of its basin.
+    """
+    node = F.col("r").cast("long") * ROW + F.col("c")
+    z = staged(cells.filter(F.col(band).isNotNull()).select("r", "c", node.alias("node"), F.col(band).alias("z")), "levels")
+    links = staged(downstream(flow_direction(cells, band)), "links")
+    flow = staged(accumulate(links), "flow")
+    channel = flow.filter(F.col("acc") >= least).select("node", F.lit(True).alias("_channel"))
+    first = accumulate(links.join(channel, "node", "left").select("node", F.when(F.col("_channel").isNull(), F.col("down")).alias("down"))).select("node", F.col("basin").alias("_base"))
+    tops = flow.select("node", "basin").join(z.select("node", "z"), "node").groupBy("basin").agg(F.max("z").alias("_top"))
+    found = z.join(first, "node").join(z.select(F.col("node").alias("_base"), F.col("z").alias("base_level")), "_base").join(flow.select("node", "basin"), "node").join(tops, "basin")
+    return found.select("r", "c", "base_level", (F.col("z") - F.col("base_level")).alias("above"), (F.col("_top") - F.col("z")).alias("valley_depth"))
+
+
 def fill_sinks(cells: DataFrame, band: str, tile: int = 64) -> DataFrame:
     """``filled``: the least level at which water from a cell reaches the grid's edge (or a cell beside nulls).
 

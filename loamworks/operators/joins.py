@@ -7,9 +7,14 @@ whose candidates are near by construction; the exact test is a filter on them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamworks.operators.grid import nearest_source
+from loamworks.session import staged
+
 
 def chain(left: DataFrame, rights: list[tuple[DataFrame, list[str]]], how: str = "left") -> DataFrame:
     """Joins one after the other; each right side is reduced to one row per key by its own smallest row first."""
@@ -48,25 +53,41 @@ def near_pairs(left: DataFrame, right: DataFrame, radius: float, x: str = "x", y
     return a.join(b, ["_gx", "_gy"]).withColumn("dist2", dx * dx + dy * dy).filter(F.col("dist2") <= radius * radius).drop("_gx", "_gy")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, radius: float, right_key: str, k: int = 1, rounds: int = 1, other: bool = False) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, right_key: str, k: int = 1, other: bool = False, bounded: bool = False) -> DataFrame:
     """The ``k`` nearest right points of each left point, as ``rank`` 1 to k (ties by the right key).
 
-    Points that have fewer than ``k`` within ``radius`` are looked up again with the doubled radius, ``rounds`` times
-    at most; those left over have fewer rows. With ``other`` a point is not its own neighbour.
+    The search begins within ``radius``; points that have fewer than ``k`` there are looked up again with the doubled
+    radius, until each has ``k`` or has met every right point. ``bounded`` searches within ``radius`` only; those who
+    find fewer then have fewer rows. With ``other`` a point is not its own neighbour. Without ``radius`` the first one
+    is that of a disc that would hold k points if they were spread evenly. Points without coordinates find nothing.
+
+    Rounds: each is written before the next, and only open points go on. At the radius of a round, only left points
+    in thin places are open, so a round's pairs stay near k times the open points unless the right side is uneven.
     """
     w = Window.partitionBy(key).orderBy("dist2", f"n_{right_key}")
-    found, open_ = None, left
-    for attempt in range(rounds):
-        pairs = near_pairs(open_, right, radius * 2**attempt)
+    placed = right.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    open_ = left.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    if radius is None or not bounded:
+        n, *box = placed.agg(F.count("*"), F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+        low_x, high_x, low_y, high_y = open_.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+        wide = 0.0 if not n or low_x is None else float(max(high_x, box[1]) - min(low_x, box[0]) + max(high_y, box[3]) - min(low_y, box[2]))
+        radius = radius or max(wide * math.sqrt(k / max(1, n)), 1e-9)
+    found, size = None, radius
+    while True:
+        pairs = near_pairs(open_, placed, size)
         if other:
             pairs = pairs.filter(F.col(key) != F.col(f"n_{right_key}"))
         ranked = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        if attempt < rounds - 1:
-            full = ranked.groupBy(key).count().filter(F.col("count") == k).select(key)
-            open_ = open_.join(full, key, "left_anti")
-            ranked = ranked.join(full, key, "left_semi")
-        found = ranked if found is None else found.unionByName(ranked)
-    return found
+        if bounded or size >= wide:  # every right point was met
+            return ranked if found is None else found.unionByName(ranked)
+        ranked = staged(ranked, "nearest")
+        full = ranked.groupBy(key).count().filter(F.col("count") == k).select(key)
+        done = ranked.join(full, key, "left_semi")
+        found = done if found is None else found.unionByName(done)
+        open_ = staged(open_.join(full, key, "left_anti"), "open")
+        if open_.isEmpty():
+            return found
+        size *= 2
 
 
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
@@ -153,8 +174,5 @@ def along_line(lines: DataFrame, cells: DataFrame, key: str, vertices: str, band
 
 def height_above(cells: DataFrame, source: Column, band: str, reach: int) -> DataFrame:
     """``hand``: band minus the band of the nearest source cell within ``reach`` cells (ties: smallest row, then column), else null."""
-    points = cells.select("r", "c", F.col(band).alias("z"), F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"))
-    rivers = cells.filter(source & F.col(band).isNotNull()).select("r", "c", F.col(band).alias("z"), F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"))
-    w = Window.partitionBy("r", "c").orderBy("dist2", "n_r", "n_c")
-    found = near_pairs(points, rivers, float(reach)).withColumn("_n", F.row_number().over(w)).filter("_n = 1")
-    return points.select("r", "c", "z").join(found.select("r", "c", F.col("n_z").alias("_river")), ["r", "c"], "left").select("r", "c", (F.col("z") - F.col("_river")).alias("hand"))
+    found = nearest_source(cells.select("*"), source & F.col(band).isNotNull(), reach, F.col(band))
+    return found.select("r", "c", (F.col(band) - F.col("_held")).alias("hand"))

@@ -81,7 +81,7 @@ def _(t):
 
 @query("G4_merge_loop")
 def _(t):
-    merged = P.merge_small(t.cells.select("r", "c", "zone_id", (F.col("dl") % 3).alias("k")), "zone_id", "k", 41, pairing=True, rounds=4)
+    merged = P.merge_small(t.cells.select("r", "c", "zone_id", (F.col("dl") % 3).alias("k")), "zone_id", "k", 41, pairing=True)
     return merged.groupBy("zone_id").agg(F.count("*").alias("n_cells"))
 
 
@@ -138,23 +138,26 @@ def _(t):
 @query(
     "G10_sample_edges",
     "SELECT DISTINCT a, b FROM (SELECT p.site_id AS a, q.site_id AS b FROM sites p JOIN sites q ON p.site_id < q.site_id AND (p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y) <= 4 "
-    "UNION ALL SELECT p.site_id, q.site_id FROM sites p JOIN sites q ON p.site_id < q.site_id AND p.cls = q.cls AND p.area_id = q.area_id) e",
+    "UNION ALL SELECT first, site_id FROM (SELECT site_id, min(site_id) OVER (PARTITION BY cls, area_id) AS first FROM sites) g WHERE first < site_id) e",
 )
 def _(t):
     s = t.sites.select("site_id", "x", "y", "cls", "area_id")
     near = J.near_pairs(s, s, 2.0).filter("site_id < n_site_id").select(F.col("site_id").alias("a"), F.col("n_site_id").alias("b"))
-    other = s.select(F.col("site_id").alias("b"), "cls", "area_id")
-    same = s.join(other, ["cls", "area_id"]).filter("site_id < b").select(F.col("site_id").alias("a"), "b")
+    # a class is linked as a star: all of it hangs on its smallest site, and edges grow with the sites
+    first = s.groupBy("cls", "area_id").agg(F.min("site_id").alias("a"))
+    same = s.join(first, ["cls", "area_id"]).filter("a < site_id").select("a", F.col("site_id").alias("b"))
     return near.unionByName(same).distinct()
 
 
 @query(
     "G11_gower_pairs",
     "WITH m AS (SELECT max(ph) - min(ph) AS p, max(val) - min(val) AS v FROM sites) SELECT a.site_id AS a, b.site_id AS b, round(1 - (abs(a.ph / p - b.ph / p) + abs(a.val / v - b.val / v) + CASE WHEN a.cls <> b.cls THEN 1 ELSE 0 END) / 3, 4) AS similarity "
-    "FROM sites a JOIN sites b ON a.area_id = b.area_id AND a.site_id < b.site_id, m WHERE 1 - (abs(a.ph / p - b.ph / p) + abs(a.val / v - b.val / v) + CASE WHEN a.cls <> b.cls THEN 1 ELSE 0 END) / 3 >= 0.9",
+    "FROM sites a JOIN sites b ON floor(a.x / 10) = floor(b.x / 10) AND floor(a.y / 10) = floor(b.y / 10) AND a.site_id < b.site_id, m WHERE 1 - (abs(a.ph / p - b.ph / p) + abs(a.val / v - b.val / v) + CASE WHEN a.cls <> b.cls THEN 1 ELSE 0 END) / 3 >= 0.9",
 )
 def _(t):
-    return rounded(P.gower_pairs(t.sites, "site_id", "area_id", ["ph", "val"], ["cls"], 0.9), "similarity")
+    # pairs are sought among neighbours: squares hold about as many sites however many there are
+    s = t.sites.withColumn("square", F.concat_ws(",", F.floor(F.col("x") / 10), F.floor(F.col("y") / 10)))
+    return rounded(P.gower_pairs(s, "site_id", "square", ["ph", "val"], ["cls"], 0.9), "similarity")
 
 
 ZV = "z AS (SELECT zone_id, avg(b2) AS v FROM cells GROUP BY 1), l AS (SELECT DISTINCT a.zone_id AS s, n.zone_id AS d FROM cells a JOIN cells n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 WHERE a.zone_id <> n.zone_id)"
@@ -249,6 +252,17 @@ def _(t):
     return H.flow_accumulation(t.cells, "dem").groupBy("basin").agg(F.count("*").alias("n_cells"))
 
 
+@query(
+    "H4_channel_relief",
+    f"{FLOW}, chan AS (SELECT node FROM walk GROUP BY node HAVING count(*) >= 12), k AS (SELECT g.node, CASE WHEN chan.node IS NULL THEN down END AS down FROM g LEFT JOIN chan ON chan.node = g.node), "
+    "stop AS (SELECT node AS start, node, down FROM k UNION ALL SELECT stop.start, k.node, k.down FROM stop JOIN k ON k.node = stop.down), "
+    f"z AS (SELECT r, c, CAST(r AS BIGINT) * {ROW} + c AS node, dem FROM cells WHERE dem IS NOT NULL), pit AS (SELECT start, node AS pit FROM walk WHERE down IS NULL), top AS (SELECT pit, max(dem) AS top FROM pit JOIN z ON z.node = start GROUP BY 1) "
+    "SELECT z.r, z.c, b.dem AS base_level, z.dem - b.dem AS above, top - z.dem AS valley_depth FROM z JOIN stop ON stop.start = z.node AND stop.down IS NULL JOIN z b ON b.node = stop.node JOIN pit ON pit.start = z.node JOIN top ON top.pit = pit.pit",
+)
+def _(t):
+    return H.channel_relief(t.cells, "dem", 12)
+
+
 @query("F26_ridge_valley")
 def _(t):
     return H.ridge_valley(t.cells.select("r", "c", "dem"), "dem", 3)

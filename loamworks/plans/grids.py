@@ -272,22 +272,32 @@ def _(t):
 
 @query(
     "F24_texture",
-    "WITH q AS (SELECT min(b2) AS lo, max(b2) AS hi FROM cells), g AS (SELECT r, c, CAST(floor((b2 - lo) / (hi - lo) * 255) AS INT) AS g FROM cells, q), p AS (SELECT a.r, a.c, n.g - a.g AS d FROM g a JOIN g n ON n.r = a.r + 1 AND n.c = a.c + 1) "
-    "SELECT g.r, g.c, round(avg(d * d), 4) AS contrast, round(avg(abs(d)), 4) AS dissimilarity, round(avg(1.0::DOUBLE / (1 + d * d)), 5) AS homogeneity FROM g JOIN p ON p.r BETWEEN g.r - 1 AND g.r AND p.c BETWEEN g.c - 1 AND g.c GROUP BY 1, 2",
+    "WITH q AS (SELECT min(b2) AS lo, max(b2) AS hi FROM cells), g AS (SELECT r, c, CAST(floor((b2 - lo) / (hi - lo) * 255) AS INT) AS g FROM cells, q), p AS (SELECT a.r, a.c, a.g AS a, n.g AS b, n.g - a.g AS d FROM g a JOIN g n ON n.r = a.r + 1 AND n.c = a.c + 1), w AS (SELECT g.r, g.c, a, b, d FROM g JOIN p ON p.r BETWEEN g.r - 1 AND g.r AND p.c BETWEEN g.c - 1 AND g.c), "
+    "e AS (SELECT r, c, sqrt(sum(n * n)) / sum(n) AS energy FROM (SELECT r, c, a, b, count(*) AS n FROM w GROUP BY 1, 2, 3, 4) q GROUP BY 1, 2), s AS (SELECT r, c, avg(d * d) AS contrast, avg(abs(d)) AS dissimilarity, avg(1.0::DOUBLE / (1 + d * d)) AS homogeneity, count(*) AS k, sum(a) AS sa, sum(b) AS sb, count(*) * sum(a * a) - sum(a) * sum(a) AS va, count(*) * sum(b * b) - sum(b) * sum(b) AS vb, sum(a * b) AS ab FROM w GROUP BY 1, 2) "
+    "SELECT s.r, s.c, round(contrast, 4) AS contrast, round(dissimilarity, 4) AS dissimilarity, round(homogeneity, 5) AS homogeneity, round(energy, 5) AS energy, round(CASE WHEN va = 0 OR vb = 0 THEN 1 ELSE (k * ab - sa * sb) / sqrt(CAST(va AS DOUBLE) * CAST(vb AS DOUBLE)) END, 5) + 0.0 AS correlation FROM s JOIN e ON s.r = e.r AND s.c = e.c",
 )
 def _(t):
-    return rounded(rounded(G.texture(t.cells, "b2"), "contrast", "dissimilarity"), "homogeneity", digits=5)
+    return rounded(rounded(G.texture(t.cells, "b2"), "contrast", "dissimilarity"), "homogeneity", "energy", "correlation", digits=5).withColumn("correlation", F.col("correlation") + 0.0)
 
 
 @query(
     "F25_object_features",
-    "SELECT zone_id, round(avg(b4), 4) AS b4_mean, round(stddev_pop(b4), 4) AS b4_std, round(avg(b3), 4) AS b3_mean, round(stddev_pop(b3), 4) AS b3_std, round(avg(2 * b3 - b4 - b2), 4) AS exg, round(avg(coalesce((b3 - b4) / nullif(b3 + b4 - b2, 0), 0)), 4) AS vari, round(avg(greatest(b2, b3, b4)), 4) AS brightness FROM cells GROUP BY 1",
+    "SELECT zone_id, round(avg(b4), 4) AS b4_mean, round(stddev_pop(b4), 4) AS b4_std, round(avg(b3), 4) AS b3_mean, round(stddev_pop(b3), 4) AS b3_std, round(avg(2 * b3 - b4 - b2), 4) AS exg, round(avg(coalesce((b3 - b4) / nullif(b3 + b4 - b2, 0), 0)), 4) AS vari, round(avg(greatest(b2, b3, b4)), 4) AS brightness, "
+    "round(avg(hue), 3) AS hue, round(avg(saturation), 5) AS saturation, round(avg(dg * dg), 3) AS contrast FROM (SELECT s.*, n.b3 - s.b3 AS dg, coalesce((greatest(s.b2, s.b3, s.b4) - least(s.b2, s.b3, s.b4)) / nullif(greatest(s.b2, s.b3, s.b4), 0), 0) AS saturation, "
+    "CASE WHEN greatest(s.b2, s.b3, s.b4) = least(s.b2, s.b3, s.b4) THEN 0 WHEN s.b4 >= s.b3 AND s.b4 >= s.b2 THEN (360 + 60 * (s.b3 - s.b2) / (s.b4 - least(s.b2, s.b3))) % 360 WHEN s.b3 >= s.b2 THEN 120 + 60 * (s.b2 - s.b4) / (s.b3 - least(s.b2, s.b4)) ELSE 240 + 60 * (s.b4 - s.b3) / (s.b2 - least(s.b3, s.b4)) END AS hue "
+    "FROM cells s LEFT JOIN cells n ON n.r = s.r + 1 AND n.c = s.c + 1 AND n.zone_id = s.zone_id) q GROUP BY 1",
 )
 def _(t):
-    c = t.cells.withColumns({"exg": F.expr("2 * b3 - b4 - b2"), "vari": S.index("vari", blue=F.col("b2"), green=F.col("b3"), red=F.col("b4")), "brightness": F.greatest("b2", "b3", "b4")})
-    z = A.zonal(c, "zone_id", {"b4": ["mean", "std"], "b3": ["mean", "std"], "exg": ["mean"], "vari": ["mean"], "brightness": ["mean"]})
-    z = z.withColumnsRenamed({"exg_mean": "exg", "vari_mean": "vari", "brightness_mean": "brightness"})
-    return rounded(z, *(x for x in z.columns if x != "zone_id"))
+    c = t.cells.withColumns({"exg": F.expr("2 * b3 - b4 - b2"), "vari": S.index("vari", blue=F.col("b2"), green=F.col("b3"), red=F.col("b4")), "brightness": F.greatest("b2", "b3", "b4")} | S.hue_saturation(F.col("b4"), F.col("b3"), F.col("b2")))
+    # an object's texture: squared differences of diagonal neighbours that both lie in it
+    n = G.neighbours(c.select("r", "c", F.struct("zone_id", "b3").alias("_z")), "_z").select("r", "c", F.when(F.col("n1.zone_id") == F.col("_z.zone_id"), (F.col("n1.b3") - F.col("_z.b3")) ** 2).alias("contrast"))
+    singles = ("exg", "vari", "brightness", "hue", "saturation", "contrast")
+    z = A.zonal(c.join(n, ["r", "c"]), "zone_id", {"b4": ["mean", "std"], "b3": ["mean", "std"]} | {x: ["mean"] for x in singles})
+    z = z.withColumnsRenamed({f"{x}_mean": x for x in singles})
+    fine = {"hue": 3, "saturation": 5, "contrast": 3}
+    for x, digits in fine.items():
+        z = rounded(z, x, digits=digits)
+    return rounded(z, *(x for x in z.columns if x not in ("zone_id", *fine)))
 
 
 @query(
@@ -312,9 +322,14 @@ def _(t):
     return t.cells.select("r", "c", F.round(G.hillshade(F.col("b2") / 4, F.col("b3") * 3.5, SUNS), 3).alias("shade"))
 
 
-@query("F29_resize", "SELECT CAST(i AS INT) AS r, CAST(j AS INT) AS c, coalesce(dem, -1) AS dem FROM range(0, 30) x(i) CROSS JOIN range(0, 120) y(j) LEFT JOIN cells ON r = i AND c = j")
+@query(
+    "F29_resize",
+    "WITH e AS (SELECT max(r) - 4 AS nr, max(c) + 21 AS nc FROM cells), x AS (SELECT unnest(range(0, nr)) AS i FROM e), y AS (SELECT unnest(range(0, nc)) AS j FROM e) SELECT CAST(i AS INT) AS r, CAST(j AS INT) AS c, coalesce(dem, -1) AS dem FROM x CROSS JOIN y LEFT JOIN cells ON r = i AND c = j",
+)
 def _(t):
-    return G.resize(t.cells, "dem", 30, 120, -1.0)
+    # a reference that is five rows shorter and twenty columns wider
+    rows, columns = t.cells.agg(F.max("r") - 4, F.max("c") + 21).first()
+    return G.resize(t.cells, "dem", rows, columns, -1.0)
 
 
 @query(

@@ -28,6 +28,8 @@ FROM (SELECT k, ck, r, c, CAST(floor(r/5.0) AS INT) AS r5, CAST(floor(c/8.0) AS
       FROM (SELECT o_orderkey AS k, o_custkey AS ck,
                    CAST(floor(o_orderkey/100.0) AS INT) AS r, CAST(o_orderkey % 100 AS INT) AS c
             FROM orders) a) b""",
+    # the same grid with cells missing here and there
+    "thin": "SELECT * FROM cells WHERE (r*7 + c*13 + r*c) % 7 NOT IN (2, 5)",
     "sites": """
 SELECT c_custkey AS site_id,
   CAST((c_custkey*37) % 1000 AS DOUBLE)/10 AS x, CAST(c_custkey AS DOUBLE)/10 AS y,
@@ -76,7 +78,7 @@ def mentioned(sql: str, names) -> list[str]:
 def needed(sql: str) -> list[str]:
     """The fixtures that a text mentions, with those they depend on, in order."""
     found = set(mentioned(sql, [*FIXTURES, "probs"]))
-    if "zones" in found:
+    if found & {"zones", "thin"}:
         found.add("cells")
     return [n for n in [*FIXTURES, "probs"] if n in found]
 
@@ -105,7 +107,7 @@ class Tables:
         if name not in FIXTURES and name != "probs":
             raise AttributeError(name)
         sql = probs_sql("element_at") if name == "probs" else FIXTURES[name]
-        if name == "zones":
+        if name in ("zones", "thin"):
             sql = sql.replace("FROM cells", f"FROM ({FIXTURES['cells']}) cells")
         for base in BASE:
             sql = re.sub(rf"\b(FROM|JOIN) {base}\b", rf"\1 parquet.`{self.sf_dir}/{base}.parquet` AS {base}", sql)
