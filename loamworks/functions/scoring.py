@@ -377,6 +377,14 @@ def natural_breaks(df: DataFrame, column: str, k: int = 5, seed: int = 42, digit
     return [low, *(round((a + b) / 2, digits) for a, b in zip(centres, centres[1:], strict=False)), high]
 
 
+def hue_saturation(red: Column, green: Column, blue: Column) -> dict[str, Column]:
+    """Hue in degrees (0 for grey) and saturation 0 to 1; of equal greatest bands red comes first, then green."""
+    most, least = F.greatest(red, green, blue), F.least(red, green, blue)
+    span = most - least
+    hue = F.when(span == 0, 0.0).when(red == most, (360 + 60 * (green - blue) / span) % 360).when(green == most, 120 + 60 * (blue - red) / span).otherwise(240 + 60 * (red - green) / span)
+    return {"hue": hue, "saturation": F.coalesce(F.try_divide(span, most), F.lit(0.0))}
+
+
 def entropy(probabilities: Column) -> Column:
     """-sum p ln(p + 1e-9)."""
     return -F.aggregate(probabilities, F.lit(0.0), lambda s, p: s + p * F.log(p + 1e-9))

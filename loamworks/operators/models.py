@@ -16,11 +16,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamworks.operators.aggregates import regression_report
 from loamworks.operators.joins import near_pairs, nearest
 from loamworks.operators.sampling import hash_split
-from loamworks.session import ship
+from loamworks.session import ship, staged
 
 
 def assembled(df: DataFrame, features: list[str]) -> DataFrame:
@@ -189,17 +190,23 @@ def variogram(points: DataFrame, key: str, value: str, reach: float, bins: int)
     return pairs.select(at.alias("bin"), d.alias("d"), half.alias("g")).groupBy("bin").agg(F.count("*").alias("n"), F.avg("d").alias("distance"), F.avg("g").alias("gamma"))
 
 
-def inverse_distance(targets: DataFrame, sites: DataFrame, key: str, site: str, value: str, radius: float, k: int = 8) -> DataFrame:
-    """``idw``: inverse squared distance mean of the k nearest sites; a site at the spot gives its own value; null without sites in reach."""
-    near = nearest(targets, sites, key, radius, site, k=k)
+def inverse_distance(targets: DataFrame, sites: DataFrame, key: str, site: str, value: str, radius: float | None = None, k: int = 8, other: bool = False) -> DataFrame:
+    """``idw``: inverse squared distance mean of the k nearest sites, sought from ``radius`` on; a site at the spot gives its own value.
+
+    With ``other`` a target is left out of its own sites; null without any.
+    """
+    near = nearest(targets, sites, key, radius, site, k=k, other=other)
     w = 1 / F.greatest(F.col("dist2"), F.lit(1e-12))
     return targets.join(near.groupBy(key).agg((F.sum(w * F.col(f"n_{value}")) / F.sum(w)).alias("idw")), key, "left")
 
 
-def kriging(targets: DataFrame, sites: DataFrame, key: str, site: str, value: str, radius: float, sill: float, scale: float, nugget: float = 0.0, k: int = 8) -> DataFrame:
-    """``kriged``: ordinary kriging from the k nearest sites under an exponential variogram; one small linear system per target."""
+def kriging(targets: DataFrame, sites: DataFrame, key: str, site: str, value: str, radius: float | None, sill: float, scale: float, nugget: float = 0.0, k: int = 8, other: bool = False) -> DataFrame:
+    """``kriged``: ordinary kriging from the k nearest sites, sought from ``radius`` on, under an exponential variogram; one small linear system per target.
+
+    With ``other`` a target is left out of its own sites.
+    """
     ship(targets.sparkSession)
-    near = nearest(targets, sites, key, radius, site, k=k)
+    near = nearest(targets, sites, key, radius, site, k=k, other=other)
     grouped = near.groupBy(key, "x", "y").agg(F.sort_array(F.collect_list(F.struct("rank", "n_x", "n_y", F.col(f"n_{value}").alias("v")))).alias("s"))
 
     def gamma(h: np.ndarray) -> np.ndarray:
@@ -272,19 +279,33 @@ def elbow(costs: list[tuple[int, float]]) -> int:
     return costs[far.index(max(far))][0]
 
 
-def representatives(df: DataFrame, key: str, by: str, features: list[str], k: int, seed: int = 42) -> DataFrame:
-    """The row nearest to each cluster centre of each class."""
-    out = None
-    for (name,) in sorted(df.select(by).distinct().collect()):
-        part = assembled(df.filter(F.col(by) == name), features)
-        model = KMeans(k=k, seed=seed).fit(part)
-        centres = F.array(*(F.array(*map(F.lit, map(float, c))) for c in model.clusterCenters()))
-        centre = F.get(centres, F.col("prediction"))
-        d = sum(((F.col(f) - F.get(centre, F.lit(i))) ** 2 for i, f in enumerate(features)), F.lit(0.0))
-        w = Window.partitionBy("prediction").orderBy("_d", key)
-        found = model.transform(part).withColumn("_d", d).withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(key, by, F.col("prediction").alias("cluster"))
-        out = found if out is None else out.unionByName(found)
-    return out
+def representatives(df: DataFrame, key: str, by: str, features: list[str], k: int, seed: int = 42, rounds: int = 20) -> DataFrame:
+    """The row nearest to each cluster centre of each class: k-means of all classes at once, one aggregate a round.
+
+    Centres, k rows per class, go through the driver; ``rounds`` ends k-means as MLlib's maxIter does. A class of fewer
+    rows has fewer clusters; rows with a null feature are in none.
+    """
+    spark, rows = df.sparkSession, staged(df.select(key, by, *(F.col(f).cast("double").alias(f) for f in features)).dropna(), "points")
+    w = Window.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), key), key)
+    first = rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k)
+    centres = [(r[by], r["_n"] - 1, [r[f] for f in features]) for r in first.collect()]
+    schema = T.StructType([T.StructField(by, df.schema[by].dataType), *T.StructType.fromDDL("cluster int, at array<double>").fields])
+
+    def assigned() -> DataFrame:
+        table = spark.createDataFrame(centres, schema).groupBy(by).agg(F.collect_list(F.struct("cluster", "at")).alias("_centres"))
+        d = lambda x: sum(((F.col(f) - F.get(x["at"], F.lit(i))) ** 2 for i, f in enumerate(features)), F.lit(0.0))
+        least = F.array_min(F.transform("_centres", lambda x: F.struct(d(x).alias("d"), x["cluster"].alias("cluster"))))
+        return rows.join(F.broadcast(table), by).withColumn("_least", least).select(key, by, *features, F.col("_least.d").alias("_d"), F.col("_least.cluster").alias("cluster"))
+
+    for _ in range(rounds):
+        means = assigned().groupBy(by, "cluster").agg(F.array(*(F.avg(f) for f in features)).alias("at")).collect()
+        new = [(r[by], r["cluster"], r["at"]) for r in means]
+        still = {c[:2]: c[2] for c in centres} == {c[:2]: c[2] for c in new}
+        centres = new
+        if still:
+            break
+    best = Window.partitionBy(by, "cluster").orderBy("_d", key)
+    return assigned().withColumn("_n", F.row_number().over(best)).filter("_n = 1").select(key, by, "cluster")
 
 
 def lagged_regression(df: DataFrame, features: list[str], label: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,14 +17,14 @@ from loamworks.session import ship, staged
 LABELS = ("Normal", "GlobalHighOutlier", "GlobalLowOutlier", "LocalHighOutlier", "LocalLowOutlier")
 
 
-def outlier_status(points: DataFrame, key: str, value: str, radius: float, global_k: float = 5.0, local_k: float = 3.0, k: int = 8, rounds: int = 4) -> DataFrame:
+def outlier_status(points: DataFrame, key: str, value: str, radius: float | None = None, global_k: float = 5.0, local_k: float = 3.0, k: int = 8) -> DataFrame:
     """``status``: beyond mean +- global_k deviations of all, else beyond mean +- local_k deviations of the k nearest.
 
-    With fewer than k + 1 values all are normal; null values have no status. Searches double the radius ``rounds`` times.
+    With fewer than k + 1 values all are normal; null values have no status. Neighbours are sought however far they are; ``radius`` is where the search begins.
     """
     has = points.filter(F.col(value).isNotNull())
     stats = has.agg(F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s"), F.count("*").alias("_n"))
-    near = nearest(has, has, key, radius, key, k=k, rounds=rounds, other=True)
+    near = nearest(has, has, key, radius, key, k=k, other=True)
     local = near.groupBy(key).agg(F.avg(f"n_{value}").alias("_lm"), F.stddev_pop(f"n_{value}").alias("_ls"))
     v = F.col(value)
     status = (
@@ -43,9 +45,11 @@ def radius_outliers(points: DataFrame, key: str, value: str, radius: float, k: f
     return points.join(stats, key).withColumn("outlier", ((F.col("_n") > 1) & (F.abs(F.col(value) - F.col("_m")) > k * F.col("_s"))).cast("int")).drop("_m", "_s", "_n")
 
 
-def point_net(extent: tuple[float, float, float, float], size: float, polygons: DataFrame, bucket: float) -> DataFrame:
-    """Regular points inside polygons, with their attributes; x0, y0, x1, y1 is the extent."""
-    x0, y0, x1, y1 = extent
+def point_net(size: float, polygons: DataFrame, bucket: float, extent: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Regular points inside polygons, with their attributes; x0, y0, x1, y1 is the extent, by default that of all polygons."""
+    x0, y0, x1, y1 = extent or polygons.agg(F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")).first()
+    if x0 is None:
+        x0 = y0 = x1 = y1 = 0.0
     nx, ny = int((x1 - x0) / size), int((y1 - y0) / size)
     net = polygons.sparkSession.range(nx * ny).select((x0 + (F.col("id") % nx + 0.5) * size).alias("x"), (y0 + (F.floor(F.col("id") / nx) + 0.5) * size).alias("y"))
     return points_in_polygons(net, polygons, bucket)
@@ -62,6 +66,8 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+#: Parts into which a class's rows are dealt before they are ranked.
+PARTS = 64
 #: Rows of a stripe where there is one stripe; the number of stripes grows with the square root of the rows.
 STRIPE = 4096
 
@@ -107,9 +113,9 @@ def similar_members(df: DataFrame, key: str, vector: str, by: str, least: float
 def modal_bin_rows(df: DataFrame, key: str, by: str, features: list[str], bins: int, hits: int) -> DataFrame:
     """Rows that lie in the modal bin of their class for at least ``hits`` features (ties: the lowest bin)."""
     long = df.unpivot([key, by], features, "feature", "v")
-    w = Window.partitionBy(by, "feature")
-    low, high = F.min("v").over(w), F.max("v").over(w)
-    binned = long.withColumn("bin", F.least(F.floor(F.coalesce(F.try_divide(F.col("v") - low, high - low), F.lit(0.0)) * bins).cast("int"), F.lit(bins - 1)))
+    span = long.groupBy(by, "feature").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    share = F.coalesce(F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    binned = long.join(span, [by, "feature"]).withColumn("bin", F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1)))
     counts = binned.groupBy(by, "feature", "bin").agg(F.count("*").alias("n"))
     modal = counts.withColumn("_r", F.row_number().over(Window.partitionBy(by, "feature").orderBy(F.col("n").desc(), "bin"))).filter("_r = 1").select(by, "feature", "bin")
     return binned.join(modal, [by, "feature", "bin"]).groupBy(key, by).agg(F.count("*").alias("hits")).filter(F.col("hits") >= hits)
@@ -155,8 +161,12 @@ def class_targets(df: DataFrame, by: str, target: int, low: int, high: int) -> D
 
 def balance(df: DataFrame, by: str, targets: DataFrame, order: list) -> DataFrame:
     """The first rows of each class in order, as many as its goal."""
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
-    return ranked.join(targets.select(by, "goal"), by).filter(F.col("_r") <= F.col("goal")).drop("_r", "goal")
+    aimed = df.join(targets.select(by, "goal"), by)
+    # a class is cut in two steps: no part gives more than the whole may, and what the parts leave is ranked once more
+    columns = [x for x in df.columns if x != by]
+    parted = aimed.withColumn("_part", F.pmod(F.xxhash64(*columns), F.lit(PARTS)))
+    few = parted.withColumn("_r", F.row_number().over(Window.partitionBy(by, "_part").orderBy(*order))).filter(F.col("_r") <= F.col("goal"))
+    return few.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col("_r") <= F.col("goal")).select(*df.columns)
 
 
 def copy_small_groups(df: DataFrame, by: list[str], least: int) -> DataFrame:
@@ -190,14 +200,39 @@ def interpolate(df: DataFrame, key: str, by: str, features: list[str], radius: f
     return picked.filter(F.sqrt("dist2") * F.col("_u") >= apart).select(key, by, F.col("_i").alias("copy"), *((F.col(f) + F.col("_u") * (F.col(f"n_{f}") - F.col(f))).alias(f) for f in features))
 
 
+def uniform_samples(df: DataFrame, by: str, features: list[str], each: int, seed: int = 42) -> DataFrame:
+    """``each`` synthetic rows per class, every feature drawn evenly between the class's least and greatest value; nulls count for nothing."""
+    span = df.groupBy(by).agg(*(f(c).alias(f"_{n}_{c}") for c in features for n, f in (("lo", F.min), ("hi", F.max))))
+    made = span.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(each))))
+    return made.select(by, "copy", *((F.col(f"_lo_{c}") + _even(seed, by, "copy", F.lit(c)) * (F.col(f"_hi_{c}") - F.col(f"_lo_{c}"))).alias(c) for c in features))
+
+
+def samples_around(df: DataFrame, key: str, by: str, features: list[str], share: float, each: int, apart: float = 0.0, seed: int = 42) -> DataFrame:
+    """``each`` synthetic rows around every row, every feature moved by at most ``share`` of its class's range.
+
+    Valid ones are kept: inside the class's range in all features, and moved by at least ``apart`` of the range in one.
+    """
+    span = df.groupBy(by).agg(*(f(c).alias(f"_{n}_{c}") for c in features for n, f in (("lo", F.min), ("hi", F.max))))
+    made = df.join(span, by).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(each))))
+    moved = made.withColumns({f"_new_{c}": F.col(c) + (2 * _even(seed, key, "copy", F.lit(c)) - 1) * share * (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) for c in features})
+    inside = functools.reduce(Column.__and__, (F.col(f"_new_{c}").between(F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in features))
+    far = F.greatest(F.lit(0.0), *(F.abs(F.col(f"_new_{c}") - F.col(c)) - apart * (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) for c in features)) > 0
+    return moved.filter(inside & (far if apart else F.lit(True))).select(key, by, "copy", *(F.col(f"_new_{c}").alias(c) for c in features))
+
+
+def _even(seed: int, *of) -> Column:
+    """Evenly between 0 and 1 by a hash, so that reruns agree."""
+    return (F.pmod(F.xxhash64(F.lit(seed), *of), F.lit(1_000_003)) + 0.5) / 1_000_003
+
+
 def count_parameters(df: DataFrame, by: str) -> DataFrame:
     """Suggested bounds from the class sizes: lower quartile, median and upper quartile, and their spread."""
     n = df.groupBy(by).agg(F.count("*").alias("n"))
     return n.agg(F.percentile("n", 0.25).alias("low"), F.percentile("n", 0.5).alias("target"), F.percentile("n", 0.75).alias("high"), F.max("n").alias("most"), F.count("*").alias("classes"))
 
 
-def density_features(points: DataFrame, key: str, size: float, radius: float, k: int = 4) -> DataFrame:
-    """``cell_n``: points in the same square of ``size``; ``density``: 1 / mean distance to the k nearest within ``radius``."""
+def density_features(points: DataFrame, key: str, size: float, radius: float | None = None, k: int = 4) -> DataFrame:
+    """``cell_n``: points in the same square of ``size``; ``density``: 1 / mean distance to the k nearest, sought from ``radius`` on."""
     square = [F.floor(F.col("x") / size), F.floor(F.col("y") / size)]
     w = Window.partitionBy(*square)
     near = nearest(points, points, key, radius, key, k=k, other=True).groupBy(key).agg(F.try_divide(F.lit(1.0), F.avg(F.sqrt("dist2"))).alias("density"))
@@ -215,8 +250,8 @@ def density_clusters(points: DataFrame, key: str, eps: float, least: int) -> Dat
     return points.join(best.select(F.col("a").alias(key), "cluster"), key, "left")
 
 
-def local_outlier_factor(points: DataFrame, key: str, k: int, radius: float) -> DataFrame:
-    """``lof``: how much thinner the place of a point is than those of its k nearest; null without k neighbours in ``radius``."""
+def local_outlier_factor(points: DataFrame, key: str, k: int, radius: float | None = None) -> DataFrame:
+    """``lof``: how much thinner the place of a point is than those of its k nearest, sought from ``radius`` on; null where there are no k others."""
     near = nearest(points, points, key, radius, key, k=k, other=True).select(F.col(key).alias("a"), F.col(f"n_{key}").alias("b"), F.sqrt("dist2").alias("d"))
     full = near.groupBy("a").agg(F.count("*").alias("n"), F.max("d").alias("kd")).filter(F.col("n") == k)
     reach = near.join(full.select(F.col("a").alias("b"), "kd"), "b").withColumn("r", F.greatest("d", "kd"))

@@ -20,7 +20,7 @@ D2 = "(a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)"
     "WHEN val > l.m + 2 * l.s THEN 'LocalHighOutlier' WHEN val < l.m - 2 * l.s THEN 'LocalLowOutlier' ELSE 'Normal' END AS status FROM v JOIN l ON v.site_id = l.site_id, g",
 )
 def _(t):
-    return B.outlier_status(t.sites, "site_id", "val", 8.0, 1.5, 2.0).select("site_id", "status")
+    return B.outlier_status(t.sites, "site_id", "val", None, 1.5, 2.0).select("site_id", "status")
 
 
 @query("B2_radius_outliers", f"SELECT a.site_id, CASE WHEN count(*) > 1 AND abs(any_value(a.val) - avg(b.val)) > 1.5 * stddev_pop(b.val) THEN 1 ELSE 0 END AS outlier FROM sites a JOIN sites b ON {D2} <= 36 GROUP BY 1")
@@ -30,14 +30,12 @@ def _(t):
 
 @query(
     "B3_point_net",
-    "SELECT (i + 0.5) * 3 AS x, (j + 0.5) * 3 AS y, zone_id FROM range(0, 33) u(i) CROSS JOIN range(0, 4) v(j) JOIN zones ON (i + 0.5) * 3 >= x0 AND (i + 0.5) * 3 < x1 AND (j + 0.5) * 3 >= y0 AND (j + 0.5) * 3 < y1",
+    "WITH e AS (SELECT CAST(floor(max(x1) / 3) AS INT) AS nx, CAST(floor(max(y1) / 3) AS INT) AS ny FROM zones), u AS (SELECT unnest(range(0, nx)) AS i FROM e), v AS (SELECT unnest(range(0, ny)) AS j FROM e) "
+    "SELECT (i + 0.5) * 3 AS x, (j + 0.5) * 3 AS y, zone_id FROM u CROSS JOIN v JOIN zones ON (i + 0.5) * 3 >= x0 AND (i + 0.5) * 3 < x1 AND (j + 0.5) * 3 >= y0 AND (j + 0.5) * 3 < y1",
 )
 def _(t):
     z = t.zones.withColumn("ring", J.box_ring("x0", "y0", "x1", "y1"))
-    return B.point_net((0.0, 0.0, 100.0, 14.0), 3.0, z, 10.0).select("x", "y", "zone_id")
-
-
-UNIT = "WITH u AS (SELECT vec_id, label, embedding AS e, sqrt(list_dot_product(embedding, embedding)) AS n FROM embeddings WHERE vec_id % 4 = 0)"
+    return B.point_net(3.0, z, 10.0).select("x", "y", "zone_id")
 
 
 @query(
@@ -99,17 +97,15 @@ def _(t):
 
 @query(
     "B9_copy_small_groups",
-    "WITH n AS (SELECT layer, flag, count(*) AS n FROM samples WHERE lab_id % 7 = 0 GROUP BY 1, 2), m AS (SELECT layer, flag, n, CAST(greatest(1, ceil(900.0 / n)) AS INT) AS k FROM n) SELECT layer, flag, copy, n FROM m, (SELECT CAST(i AS INT) AS copy FROM range(1, 1000) u(i)) q WHERE copy <= k",
+    "WITH n AS (SELECT layer, flag, count(*) AS n FROM samples GROUP BY 1, 2), m AS (SELECT layer, flag, n, CAST(greatest(1, ceil(5000.0 / n)) AS INT) AS k FROM n) SELECT layer, flag, copy, n FROM m, (SELECT CAST(i AS INT) AS copy FROM range(1, 1000) u(i)) q WHERE copy <= k",
 )
 def _(t):
-    s = t.samples.filter("lab_id % 7 = 0")
-    return B.copy_small_groups(s, ["layer", "flag"], 900).groupBy("layer", "flag", "copy").agg(F.count("*").alias("n"))
+    return B.copy_small_groups(t.samples, ["layer", "flag"], 5000).groupBy("layer", "flag", "copy").agg(F.count("*").alias("n"))
 
 
 @query("B9_resample_small_groups")
 def _(t):
-    s = t.samples.filter("lab_id % 7 = 0")
-    return B.resample_small_groups(s, ["layer", "flag"], 900, ["site_id", "lab_id", "run_id", "ord"]).groupBy("layer", "flag").agg(F.count("*").alias("n"))
+    return B.resample_small_groups(t.samples, ["layer", "flag"], 5000, ["site_id", "lab_id", "run_id", "ord"]).groupBy("layer", "flag").agg(F.count("*").alias("n"))
 
 
 @query("B10_drop_small_classes", "WITH n AS (SELECT lab_id FROM samples GROUP BY 1 HAVING count(*) >= 30) SELECT site_id, layer, lab_id FROM samples WHERE lab_id IN (SELECT lab_id FROM n) AND lab_id NOT IN (1, 2)")
@@ -122,6 +118,21 @@ def _(t):
     return B.interpolate(t.sites, "site_id", "cls", ["x", "y", "ph"], 6.0, 3, 2)
 
 
+RANGED = "WITH s AS (SELECT cls, min(ph) AS lo, max(ph) AS hi, count(*) AS n FROM sites GROUP BY 1) "
+
+
+@query("B11_uniform_samples", RANGED + "SELECT cls, 40 AS n, true AS inside FROM s")
+def _(t):
+    made = B.uniform_samples(t.sites, "cls", ["x", "y", "ph"], 40)
+    span = t.sites.groupBy("cls").agg(F.min("ph").alias("lo"), F.max("ph").alias("hi"))
+    return made.join(span, "cls").groupBy("cls").agg(F.count("*").cast("int").alias("n"), F.every(F.col("ph").between(F.col("lo"), F.col("hi"))).alias("inside"))
+
+
+@query("B11_samples_around")
+def _(t):
+    return B.samples_around(t.sites, "site_id", "cls", ["x", "y", "ph"], 0.05, 3, apart=0.01)
+
+
 @query("B12_count_parameters", "WITH n AS (SELECT dl, count(*) AS n FROM cells GROUP BY 1) SELECT quantile_cont(n, 0.25) AS low, quantile_cont(n, 0.5) AS target, quantile_cont(n, 0.75) AS high, max(n) AS most, count(*) AS classes FROM n")
 def _(t):
     return B.count_parameters(t.cells, "dl")
@@ -129,11 +140,11 @@ def _(t):
 
 @query(
     "B13_density_features",
-    f"WITH c AS (SELECT CAST(floor(x / 10) AS INT) AS i, CAST(floor(y / 10) AS INT) AS j, count(*) AS n FROM sites GROUP BY 1, 2), p AS (SELECT a.site_id, sqrt({D2}) AS d, row_number() OVER (PARTITION BY a.site_id ORDER BY {D2}, b.site_id) AS k FROM sites a JOIN sites b ON a.site_id <> b.site_id AND {D2} <= 64), "
+    f"WITH c AS (SELECT CAST(floor(x / 10) AS INT) AS i, CAST(floor(y / 10) AS INT) AS j, count(*) AS n FROM sites GROUP BY 1, 2), p AS (SELECT a.site_id, sqrt({D2}) AS d, row_number() OVER (PARTITION BY a.site_id ORDER BY {D2}, b.site_id) AS k FROM sites a JOIN sites b ON a.site_id <> b.site_id), "
     "l AS (SELECT site_id, 1 / avg(d) AS density FROM p WHERE k <= 4 GROUP BY 1) SELECT s.site_id, n AS cell_n, round(density, 5) AS density FROM sites s JOIN c ON i = CAST(floor(x / 10) AS INT) AND j = CAST(floor(y / 10) AS INT) LEFT JOIN l ON l.site_id = s.site_id",
 )
 def _(t):
-    return rounded(B.density_features(t.sites, "site_id", 10.0, 8.0).select("site_id", "cell_n", "density"), "density", digits=5)
+    return rounded(B.density_features(t.sites, "site_id", 10.0).select("site_id", "cell_n", "density"), "density", digits=5)
 
 
 @query(
@@ -146,9 +157,13 @@ def _(t):
     return B.density_clusters(t.sites, "site_id", 2.0, 3).select("site_id", "cluster")
 
 
-@query("B15_local_outlier_factor")
+@query(
+    "B15_local_outlier_factor",
+    f"WITH n AS (SELECT * FROM (SELECT a.site_id AS a, b.site_id AS b, sqrt({D2}) AS d, row_number() OVER (PARTITION BY a.site_id ORDER BY {D2}, b.site_id) AS k FROM sites a JOIN sites b ON a.site_id <> b.site_id) q WHERE k <= 5), kd AS (SELECT a, max(d) AS kd FROM n GROUP BY 1), "
+    "lrd AS (SELECT n.a, 1 / avg(greatest(d, kd.kd)) AS lrd FROM n JOIN kd ON kd.a = n.b GROUP BY 1), m AS (SELECT n.a, avg(o.lrd) AS m FROM n JOIN lrd o ON o.a = n.b GROUP BY 1) SELECT m.a AS site_id, round(m / lrd, 4) AS lof FROM m JOIN lrd ON lrd.a = m.a",
+)
 def _(t):
-    return rounded(B.local_outlier_factor(t.sites, "site_id", 5, 8.0).select("site_id", "lof"), "lof")
+    return rounded(B.local_outlier_factor(t.sites, "site_id", 5).select("site_id", "lof"), "lof")
 
 
 @query("B16_clusters_elbow")
@@ -160,7 +175,7 @@ def _(t):
 
 @query("B17_representatives")
 def _(t):
-    return L.representatives(keyed(t).filter("dz <= 3"), "id", "dz", ["b2", "b3"], 4)
+    return L.representatives(keyed(t), "id", "dz", ["b2", "b3"], 4)
 
 
 @query("B18_hash_split")
@@ -265,13 +280,13 @@ def _(t):
 
 @query("L10_grid_inference")
 def _(t):
-    model = L.forest(t.cells.filter("r % 4 = 0"), ["b2", "b3", "dem"], "b4", 6, 4)
+    model = L.forest(t.cells, ["b2", "b3", "dem"], "b4", 6, 4)
     return L.predict(model, t.cells, ["b2", "b3", "dem"]).select("r", "c", F.round("prediction", 4).alias("prediction"))
 
 
 @query("L11_tree_spread")
 def _(t):
-    model = L.forest(t.cells.filter("r % 4 = 0"), ["b2", "b3"], "b4", 6, 4)
+    model = L.forest(t.cells, ["b2", "b3"], "b4", 6, 4)
     return rounded(L.tree_spread(model, t.cells, ["b2", "b3"]).select("r", "c", "mean", "std", "low", "high"), "mean", "std", "low", "high")
 
 
@@ -288,18 +303,18 @@ IDW = "1 / greatest(d2, 1e-12)"
 
 @query(
     "L12_inverse_distance",
-    f"WITH q AS (SELECT * FROM sites WHERE site_id % 5 = 0), p AS (SELECT a.site_id, b.ph, {D2} AS d2, row_number() OVER (PARTITION BY a.site_id ORDER BY {D2}, b.site_id) AS k FROM q a JOIN sites b ON b.site_id % 5 <> 0 AND {D2} <= 100), "
-    f"w AS (SELECT site_id, sum({IDW} * ph) / sum({IDW}) AS idw FROM p WHERE k <= 8 GROUP BY 1) SELECT q.site_id, round(idw, 4) AS idw FROM q LEFT JOIN w ON q.site_id = w.site_id",
+    f"WITH p AS (SELECT a.site_id, b.ph, {D2} AS d2, row_number() OVER (PARTITION BY a.site_id ORDER BY {D2}, b.site_id) AS k FROM sites a JOIN sites b ON a.site_id <> b.site_id), "
+    f"w AS (SELECT site_id, sum({IDW} * ph) / sum({IDW}) AS idw FROM p WHERE k <= 8 GROUP BY 1) SELECT q.site_id, round(idw, 4) AS idw FROM sites q LEFT JOIN w ON q.site_id = w.site_id",
 )
 def _(t):
-    s = t.sites.filter("site_id % 5 <> 0").select(F.col("site_id").alias("s_id"), "x", "y", "ph")
-    return rounded(L.inverse_distance(t.sites.filter("site_id % 5 = 0").select("site_id", "x", "y"), s, "site_id", "s_id", "ph", 10.0).select("site_id", "idw"), "idw")
+    s = t.sites.select(F.col("site_id").alias("s_id"), "x", "y", "ph")
+    return rounded(L.inverse_distance(t.sites.select("site_id", "x", "y"), s, "site_id", "s_id", "ph", other=True).select("site_id", "idw"), "idw")
 
 
 @query("L12_kriging")
 def _(t):
-    s = t.sites.filter("site_id % 5 <> 0").select(F.col("site_id").alias("s_id"), "x", "y", "ph")
-    return rounded(L.kriging(t.sites.filter("site_id % 5 = 0").select("site_id", "x", "y"), s, "site_id", "s_id", "ph", 10.0, 2.0, 5.0).select("site_id", "kriged"), "kriged")
+    s = t.sites.select(F.col("site_id").alias("s_id"), "x", "y", "ph")
+    return rounded(L.kriging(t.sites.select("site_id", "x", "y"), s, "site_id", "s_id", "ph", None, 2.0, 5.0, other=True).select("site_id", "kriged"), "kriged")
 
 
 @query("L12_regression_kriging")
@@ -322,7 +337,7 @@ def _(t):
 
 @query("L15_two_models")
 def _(t):
-    train = t.cells.filter("r % 4 = 0").withColumn("k", (F.col("dz") % 3).cast("double"))
+    train = t.cells.withColumn("k", (F.col("dz") % 3).cast("double"))
     one, two = (L.forest(train, ["b2", "b3"], "k", n, 4, classify=True) for n in (4, 6))
     return L.two_models(one, two, t.cells, ["b2", "b3"], F.col("water") == 1).select("r", "c", "merged", "agree")
 

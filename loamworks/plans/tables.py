@@ -324,12 +324,11 @@ def _(t):
 
 @query(
     "J3_outer_by_pivot",
-    "WITH l AS (SELECT zone_id, pos, avg(b2) AS v FROM cells GROUP BY 1, 2), a AS (SELECT zone_id, v FROM l WHERE pos = 1), b AS (SELECT zone_id, v FROM l WHERE pos = 2), c AS (SELECT zone_id, v FROM l WHERE pos = 3) "
-    "SELECT coalesce(a.zone_id, b.zone_id, c.zone_id) AS zone_id, round(a.v, 4) AS \"1\", round(b.v, 4) AS \"2\", round(c.v, 4) AS \"3\" FROM a FULL JOIN b ON a.zone_id = b.zone_id FULL JOIN c ON coalesce(a.zone_id, b.zone_id) = c.zone_id",
+    "WITH l AS (SELECT zone_id, pos, avg(b2) AS v FROM cells GROUP BY 1, 2) SELECT zone_id, " + ", ".join(f'round(v{p}, 4) AS "{p}"' for p in range(1, 7)) + " FROM " + " FULL JOIN ".join(f"(SELECT zone_id, v AS v{p} FROM l WHERE pos = {p}) t{p}" + (" USING (zone_id)" if p > 1 else "") for p in range(1, 7)),
 )
 def _(t):
-    long = t.cells.filter("pos <= 3").groupBy("zone_id", F.col("pos").cast("string").alias("pos")).agg(F.round(F.avg("b2"), 4).alias("v"))
-    return J.outer_by_pivot(long, "zone_id", "pos", ["1", "2", "3"], "v")
+    long = t.cells.groupBy("zone_id", F.col("pos").cast("string").alias("pos")).agg(F.round(F.avg("b2"), 4).alias("v"))
+    return J.outer_by_pivot(long, "zone_id", "pos", [str(p) for p in range(1, 7)], "v")
 
 
 @query("J4_right", "SELECT n_name, s.site_id FROM (SELECT * FROM sites WHERE ph > 6) s RIGHT JOIN nation ON area_id = n_nationkey")
@@ -356,22 +355,22 @@ def _(t):
 
 @query(
     "J6_nearest_point",
-    "WITH q AS (SELECT * FROM sites WHERE site_id % 5 = 0), p AS (SELECT q.site_id, n.site_id AS n_site_id, n.ph AS n_ph, (q.x-n.x)*(q.x-n.x)+(q.y-n.y)*(q.y-n.y) AS d2 FROM q JOIN sites n ON n.cls <> 'BUILDING' AND n.site_id % 5 <> 0 AND (q.x-n.x)*(q.x-n.x)+(q.y-n.y)*(q.y-n.y) <= 64), "
-    "b AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY d2, n_site_id) AS k FROM p) SELECT q.site_id, n_site_id, n_ph, round(sqrt(d2), 4) AS dist FROM q LEFT JOIN b ON q.site_id = b.site_id AND k = 1",
+    "WITH p AS (SELECT q.site_id, n.site_id AS n_site_id, n.ph AS n_ph, (q.x-n.x)*(q.x-n.x)+(q.y-n.y)*(q.y-n.y) AS d2 FROM sites q JOIN sites n ON n.cls <> 'BUILDING' AND n.site_id <> q.site_id), "
+    "b AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY d2, n_site_id) AS k FROM p) SELECT q.site_id, n_site_id, n_ph, round(sqrt(d2), 4) AS dist FROM sites q LEFT JOIN b ON q.site_id = b.site_id AND k = 1",
 )
 def _(t):
-    q, s = t.sites.filter("site_id % 5 = 0"), t.sites.filter("cls <> 'BUILDING' AND site_id % 5 <> 0")
-    found = J.nearest(q, s, "site_id", 8.0, "site_id").select("site_id", "n_site_id", "n_ph", F.round(F.sqrt("dist2"), 4).alias("dist"))
+    q, s = t.sites, t.sites.filter("cls <> 'BUILDING'")
+    found = J.nearest(q, s, "site_id", None, "site_id", other=True).select("site_id", "n_site_id", "n_ph", F.round(F.sqrt("dist2"), 4).alias("dist"))
     return q.select("site_id").join(found, "site_id", "left")
 
 
 @query(
     "J7_k_nearest",
-    "WITH p AS (SELECT a.site_id, b.site_id AS n_site_id, (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y) AS d2 FROM sites a JOIN sites b ON a.site_id <> b.site_id AND (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y) <= 144) "
+    "WITH p AS (SELECT a.site_id, b.site_id AS n_site_id, (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y) AS d2 FROM sites a JOIN sites b ON a.site_id <> b.site_id) "
     "SELECT site_id, n_site_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY d2, n_site_id) AS rank FROM p) WHERE rank <= 8",
 )
 def _(t):
-    return J.nearest(t.sites, t.sites, "site_id", 12.0, "site_id", k=8, other=True).select("site_id", "n_site_id", "rank")
+    return J.nearest(t.sites, t.sites, "site_id", None, "site_id", k=8, other=True).select("site_id", "n_site_id", "rank")
 
 
 @query(

@@ -73,8 +73,49 @@ def test_point_on_no_polygon_and_concave_ring(spark):
 def test_nearest_grows_its_radius(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0)], "id int, x double, y double")
     b = spark.createDataFrame([(7, 5.0, 0.0), (8, 50.0, 0.0)], "id int, x double, y double")
-    assert J.nearest(a, b, "id", 1.0, "id").count() == 0
-    assert J.nearest(a, b, "id", 1.0, "id", rounds=4).select("n_id").first()[0] == 7
+    assert J.nearest(a, b, "id", 1.0, "id", bounded=True).count() == 0
+    assert J.nearest(a, b, "id", 1.0, "id").select("n_id").first()[0] == 7
+    assert [r["n_id"] for r in J.nearest(a, b, "id", None, "id", k=5).orderBy("rank").collect()] == [7, 8]
+    assert J.nearest(a, b.limit(0), "id", None, "id").count() == J.nearest(a.limit(0), b, "id", 1.0, "id").count() == 0
+
+
+def test_far_points_have_neighbours_too(spark):
+    p = spark.createDataFrame([(i, float(i % 5), float(i // 5), float(i % 3)) for i in range(25)] + [(99, 1e6, 1e6, 50.0)], "id int, x double, y double, v double")
+    near = J.nearest(p, p, "id", 0.5, "id", k=8, other=True)
+    assert near.groupBy("id").count().filter("count = 8").count() == 26
+    assert B.outlier_status(p, "id", "v", 0.5, 1e9, 3.0).filter("id = 99").first()["status"] == "LocalHighOutlier"
+    assert B.local_outlier_factor(p, "id", 4).filter("lof is null").count() == 0
+
+
+def test_absent_cells_hide_nothing(spark):
+    g = spark.createDataFrame([(0, 0, 3.0), (1, 1, 5.0)], "r int, c int, v double")
+    assert [r["focal_n"] for r in G.focal_statistics(g, "v", 1).collect()] == [2, 2]
+    assert {(r["n1"], r["n5"]) for r in G.neighbours(g, "v").collect()} == {(5.0, None), (None, 3.0)}
+    assert P.regions(g.withColumn("v", F.lit(1)), "v", eight=True).select("label").distinct().count() == 1
+    assert sorted(r["distance"] for r in G.distance(g, F.col("v") == 3, 3).collect()) == [0.0, 2**0.5]
+    assert P.adjacency(g.withColumn("z", F.col("v").cast("int")), "z", corners=True).count() == 1
+    assert G.gaussian_density(g, F.col("v") == 3, 1.0).filter("density > 0").count() == 2
+    assert G.padded(g, 2, 2).filter("not _own").count() == 8
+
+
+def test_helpers_fill_gaps_only(spark):
+    g = spark.range(100).selectExpr("cast(id div 10 as int) AS r", "cast(id % 10 as int) AS c")
+    assert G.padded(g.filter("c <> 4"), 3, 3).groupBy("r", "c").count().filter("count > 1").count() == 0
+    assert G.padded(g, 3, 3).count() == 100 + 10 * 6
+
+
+def test_synthetic_samples_stay_in_range(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2], float(i), float(-i)) for i in range(20)] + [(20, "a", None, 1.0)], "id int, k string, p double, q double")
+    made = B.uniform_samples(df, "k", ["p", "q"], 50).groupBy("k").agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).collect()
+    assert {r["n"] for r in made} == {50} and all(0 <= r["lo"] < r["hi"] <= 19 for r in made)
+    near = B.samples_around(df, "id", "k", ["p", "q"], 0.1, 4, apart=0.02).join(df.select("id", F.col("p").alias("_p")), "id").collect()
+    assert near and all(abs(r["p"] - r["_p"]) <= 1.8 and 0 <= r["p"] <= 19 for r in near)
+
+
+def test_representatives_of_all_classes(spark):
+    df = spark.createDataFrame([(i, i % 3, float(i % 7 // 4 * 100 + i % 2), 0.0) for i in range(60)], "id int, k int, p double, q double")
+    found = L.representatives(df, "id", "k", ["p", "q"], 2)
+    assert found.groupBy("k").count().filter("count = 2").count() == 3 and found.columns == ["id", "k", "cluster"]
 
 
 def test_slope_of_a_plane(spark):
