@@ -11,26 +11,32 @@ code, mostly before the exchange.
 Fingerprints within a Hamming radius are found by permuted block tables: the 64 bits
 are cut into ``radius + 3`` blocks; any two that differ in at most ``radius`` bits
 agree in three blocks at least, so a table for each choice of three blocks, joined on
-those blocks, meets every such pair.
+those blocks, meets every such pair. Keys that many values share are cut again in the
+bits that they leave open.
 
-Null texts count as empty; without terms the fingerprint is zero. Ids may repeat or be
-null (null: after all others). Rows that are alike in id and text follow each other.
-Other columns are not read.
+Null texts count as empty; without terms the fingerprint is zero. A very long text is
+counted in parts. Ids may repeat or be null (null: after all others); equal ids follow
+each other by the hash of their texts. Repeated rows have equal fingerprints. An empty
+table gives no rows. Other columns are not read, so none can clash.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamworks.llm.common import LAST_ID, staged, whole
+from loamworks.operators.graph import components
 
 HEAVIEST, PART = 15, 4096
 LANES, LANE_MASK, HALF_MASK = 16, 0x0001000100010001, 0x0000FFFF0000FFFF
 #: Ranges of ids per shuffle partition; a window finds the next document within a range.
 RANGES_EACH = 4
+#: Values that may share a block key before it is cut again.
+HOT = 512
 
 
 def terms(text: Column) -> Column:
@@ -67,57 +73,99 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / 64
 
 
-def near(queries: DataFrame, corpus: DataFrame, radius: int = 3, fp: str = "fp") -> DataFrame:
+def masks(radius: int, within: int = (1 << 64) - 1, blocks: int | None = None) -> list[int]:
+    """The block tables for the bits of ``within``: for each choice of blocks that stay equal, their bits.
+
+    The bits are cut into ``radius + 3`` blocks and a table takes three of them, so two values within ``radius`` bits
+    agree in one table at least.
+    """
+    places = [k for k in range(64) if within >> k & 1]
+    blocks = blocks or radius + 3
+    cuts = [sum(1 << k for k in places[len(places) * i // blocks : len(places) * (i + 1) // blocks]) for i in range(blocks)]
+    return [sum(c) for c in combinations(cuts, blocks - radius)]
+
+
+def near(queries: DataFrame, corpus: DataFrame, radius: int = 3, fp: str = "fp", hot: int = HOT) -> DataFrame:
     """(query, found, distance): all pairs of a distinct query value and a distinct corpus value within ``radius`` bits.
 
     Equal values are pairs too; null values are in none. Copies are put together first, so a group of copies is one value.
+    A key that more than ``hot`` values share is cut again: block tables of the bits that it leaves open, in which two of
+    its values agree on all but a few bits. A pair that meets in several tables is taken in the first of them.
     """
-    blocks = radius + 3
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    block = [F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
-    chosen = list(combinations(range(blocks), blocks - radius))
-    tables = F.array(*(F.struct(F.lit(n).alias("table"), F.array(*(block[i] for i in c)).alias("key")) for n, c in enumerate(chosen)))
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    coarse = masks(radius)
+    finer = [[m | x for x in masks(radius, ~m & (1 << 64) - 1)] for m in coarse]
+    rough = F.array(*(F.lit(signed(m)) for m in coarse))
+    fine = F.array(*(F.array(*(F.lit(signed(m)) for m in row)) for row in finer))
 
     def keyed(df: DataFrame, name: str) -> DataFrame:
-        values = df.select(F.col(fp).alias("fp")).filter("fp is not null").distinct()
-        return values.select(F.col("fp").alias(name), F.inline(tables))
-
-    met = keyed(queries, "query").join(keyed(corpus, "found"), ["table", "key"])
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
-    return met.filter(distance <= radius).select("query", "found").distinct().withColumn("distance", F.bit_count(F.col("query").bitwiseXOR(F.col("found"))))
+        values = df.select(F.col(fp).alias(name)).filter(F.col(name).isNotNull()).distinct()
+        return values.select(name, F.posexplode(rough).alias("table", "mask")).select(name, "table", F.col(name).bitwiseAND(F.col("mask")).alias("key"))
+
+    def split(df: DataFrame, name: str) -> DataFrame:
+        """Values whose key others share, hot keys cut again (``sub`` -1: not cut)."""
+        shared = keyed(df, name).join(sizes, ["table", "key"])
+        whole_ = F.array(F.struct(F.lit(-1).alias("sub"), F.col("key").alias("key")))
+        cut = F.transform(F.get(fine, F.col("table")), lambda m, i: F.struct(i.alias("sub"), F.col(name).bitwiseAND(m).alias("key")))
+        return shared.select(name, "table", F.inline(F.when(F.col("n") > hot, cut).otherwise(whole_)).alias("sub", "part"))
+
+    same = queries is corpus
+    both = keyed(queries, "fp") if same else keyed(queries, "fp").withColumn("q", F.lit(1)).unionByName(keyed(corpus, "fp").withColumn("q", F.lit(0)))
+    n = both.groupBy("table", "key").agg(F.count("*").alias("n"), *(() if same else (F.min("q").alias("a"), F.max("q").alias("b"))))
+    sizes = staged((n.filter("n > 1") if same else n.filter("a < b")).select("table", "key", "n"), "keys")
+    met = split(queries, "query").join(split(corpus, "found"), ["table", "sub", "part"])
+    gap = F.col("query").bitwiseXOR(F.col("found"))
+    first = lambda table: F.array_position(F.transform(table, lambda m: gap.bitwiseAND(m) == 0), True) - 1
+    once = (F.col("table") == first(rough)) & ((F.col("sub") < 0) | (F.col("sub") == first(F.get(fine, F.col("table")))))
+    pairs = met.filter((F.bit_count(gap) <= radius) & once).select("query", "found", F.bit_count(gap).alias("distance"))
+    if not same:
+        return pairs
+    return pairs.filter("query <> found").unionByName(queries.select(F.col(fp).alias("query")).filter("query is not null").distinct().select("query", F.col("query").alias("found"), F.lit(0).alias("distance")))
+
+
+def near_classes(values: DataFrame, radius: int = 3, fp: str = "fp") -> DataFrame:
+    """(fp, n_near, near_class) of each distinct value that has others within ``radius`` bits: how many, and the smallest value (as a signed long) that is reached over such neighbours."""
+    pairs = staged(near(values, values, radius, fp).filter("distance > 0").select("query", "found"), "near")
+    counts = pairs.groupBy(F.col("query").alias("fp")).agg(F.count("*").alias("n_near"))
+    labels = components(pairs, "query", "found")
+    return counts.join(labels, counts.fp == labels.node).select("fp", "n_near", F.col("label").alias("near_class"))
 
 
 def following(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text, range, nth, last: each document with the text after it in descending id, the last with the first.
+    """doc_id, text, next_text, range, nth, last: each document with the text after it in descending id (equal ids: ascending hash), the last with the first.
 
-    Ids are cut into ranges by approximate quantiles and a window finds the next row within a range. A range's first
-    rows are also sent, as guests, to the range before it, where they sort behind its own. Only ids of those first rows,
-    one per range, reach the driver. (range, nth) is unique; ``last`` marks the last row of a range.
+    Ids are cut into ranges by approximate quantiles and a window finds the next row within a range. An id that fills more
+    than a range gets ranges of its own, cut by the texts' hashes. A range's first row is also sent, as a guest, to the
+    range before it, where it sorts behind its own. Only the first rows' ids and hashes, one per range, reach the driver.
+    (range, nth) is unique; ``last`` marks the last row of a range.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(-LAST_ID - 1)).alias("id"), whole().alias("text"))
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(-LAST_ID - 1)).alias("id"), whole().alias("text")).withColumn("hash", F.xxhash64("text"))
     n = RANGES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = sorted(set(rows.agg(F.percentile_approx("id", [k / n for k in range(1, n)], 10 * n)).first()[0] or []))
-
-    def number(of: str) -> Column:
-        steps = f"aggregate(array({', '.join(f'{e}L' for e in edges)}), 0, (m, e) -> m + cast({of} > e as int))" if edges else "0"
-        return F.expr(steps)
-
-    heads = sorted(rows.select(number("id").alias("range"), "id").groupBy("range").agg(F.max("id").alias("id")).collect())
+    quantiles = Counter(rows.agg(F.percentile_approx("id", [k / n for k in range(1, n)], 10 * n)).first()[0] or [])
+    hot = {i: times + 1 for i, times in quantiles.items() if times > 1}  # id -> ranges
+    edges = sorted({*quantiles, *(i - 1 for i in hot if i > -LAST_ID - 1)})
+    number = f"aggregate(array({', '.join(f'{e}L' if e > -LAST_ID - 1 else 'bigint(-9223372036854775808)' for e in edges)}), 0, (m, e) -> m + cast(id > e as int))" if edges else "0"
+    part = F.lit(0)
+    for i, ranges in hot.items():
+        part = F.when(F.col("id") == i, F.least(F.lit(ranges - 1), ((F.col("hash").cast("double") / 2.0**64 + 0.5) * ranges).cast("int"))).otherwise(part)
+    ranged = rows.withColumns({"range": F.expr(number).cast("long") * (n + 2) + (n + 1) - part, "guest": F.lit(0)})
+    heads = sorted(ranged.groupBy("range").agg(F.min(F.struct(F.bitwise_not("id").alias("down"), "hash")).alias("first")).select("range", F.bitwise_not("first.down"), "first.hash").collect())
     # a head is the guest of the next range up; the highest range's head comes after the lowest range
-    host = {head["id"]: heads[(k + 1) % len(heads)]["range"] for k, head in enumerate(heads)}
-    guests = spark.createDataFrame(list(host.items()), "id long, host int")
-    ranged = rows.withColumns({"range": number("id"), "guest": F.lit(0)})
-    both = ranged.unionByName(rows.join(F.broadcast(guests), "id").withColumnRenamed("host", "range").withColumn("guest", F.lit(1)))
-    order = Window.partitionBy("range").orderBy("guest", F.col("id").desc(), F.xxhash64("text"))
+    sent = [(i, h, heads[(k + 1) % len(heads)][0]) for k, (_, i, h) in enumerate(heads)]
+    guests = spark.createDataFrame(sent, "id long, hash long, host long")
+    guest_rows = rows.join(F.broadcast(guests), ["id", "hash"]).dropDuplicates(["host"]).withColumnRenamed("host", "range").withColumn("guest", F.lit(1))
+    order = Window.partitionBy("range").orderBy("guest", F.col("id").desc(), "hash")
+    both = ranged.unionByName(guest_rows)
     found = both.withColumns({"nth": F.row_number().over(order), "next_text": F.lead("text").over(order), "last": F.lead("guest").over(order) == 1})
     return found.filter("guest = 0").select("doc_id", "text", "next_text", "range", "nth", "last")
 
 
 def edit_likeness(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every document.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near, near_class for every document.
 
-    The edited text has its last half, rounded down, replaced by the beginning of the next document's text.
+    The edited text has its last half, rounded down, replaced by the beginning of the next document's text. ``n_near`` is
+    the number of other fingerprints in the table within three bits, ``near_class`` names the class that these links make.
     """
     half = F.expr("cast(n_chars div 2 as int)")
     texts = following(docs).withColumn("n_chars", F.char_length("text").cast("long"))
@@ -131,6 +179,7 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     after = heads.select(F.lead("range").over(Window.orderBy("range")).alias("above"), F.min("range").over(Window.partitionBy()).alias("bottom"), "fp")
     first = after.select(F.coalesce("above", "bottom").alias("range"), F.col("fp").alias("beyond"))
     joined = ahead.join(F.broadcast(first), "range").withColumn("next_fp", F.when(F.col("last"), F.col("beyond")).otherwise(F.col("within")))
+    joined = joined.join(staged(near_classes(found), "near"), "fp", "left")
     return joined.select(
         "doc_id",
         "n_chars",
@@ -139,4 +188,6 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
         hexed(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        hexed(F.coalesce("near_class", "fp")).alias("near_class"),
     )

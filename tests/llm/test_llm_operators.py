@@ -337,6 +337,7 @@ def test_fingerprints_and_next_documents(docs, texts):
         assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert (int(r["fingerprint"], 16), int(r["edited_fingerprint"], 16)) == (fp[i], brute_fingerprint(edited))
         assert r["near_next"] == 1 - differing(fp[i], fp[after]) / 64
+        assert r["n_near"] == sum(0 < differing(fp[i], x) <= 3 for x in set(fp.values()))
         assert r["near_edited"] == 1 - differing(fp[i], brute_fingerprint(edited)) / 64
 
 
@@ -360,8 +361,29 @@ def test_block_tables_find_all(spark):
     many = base + [b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 5))) for b in base] + [base[0]]
     signed = [(x - (1 << 64) if x >> 63 else x,) for x in many] + [(None,)]
     df = spark.createDataFrame(signed, "fp long")
-    found = {(r["query"] % (1 << 64), r["found"] % (1 << 64)) for r in fingerprints.near(df, df, 3).collect()}
-    assert found == {(a, b) for a in set(many) for b in set(many) if differing(a, b) <= 3}
+    expected = sorted((a, b) for a in set(many) for b in set(many) if differing(a, b) <= 3)
+    for hot in (1, 512):  # with 1, every shared key is cut again
+        for other in (df, df.select("fp")):
+            assert sorted((r["query"] % (1 << 64), r["found"] % (1 << 64)) for r in fingerprints.near(df, other, 3, hot=hot).collect()) == expected
+    some = spark.createDataFrame(signed[:5], "fp long")
+    assert sorted((r["query"] % (1 << 64), r["found"] % (1 << 64)) for r in fingerprints.near(some, df, 3).collect()) == [x for x in expected if x[0] in many[:5]]
+    classes = {r["fp"] % (1 << 64): (r["n_near"], r["near_class"] % (1 << 64)) for r in fingerprints.near_classes(df).collect()}
+    values = sorted(set(many), key=lambda x: x - (1 << 64) if x >> 63 else x)
+    root = brute_classes(values, 3)
+    for k, x in enumerate(values):
+        n = sum(a == x for a, _ in expected) - 1
+        assert classes.get(x, (0, x)) == (n, values[root[k]])
+
+
+def test_one_id_is_cut_into_ranges(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " + "x" * (i % 11)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = df.withColumn("h", F.xxhash64("text")).collect()
+    order = sorted(hashed, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["h"]))
+    found = fingerprints.following(df).collect()
+    assert {r["text"]: r["next_text"] for r in found} == {a["text"]: b["text"] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+    sizes = sorted(fingerprints.following(df).groupBy("range").count().collect(), key=lambda r: r["count"])
+    assert len(found) == 600 and sizes[-1]["count"] < 120
 
 
 # --- 5 line dedup
