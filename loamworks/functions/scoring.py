@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamworks.operators.quantiles import medians, quantiles
+
 UNDEFINED = "未定义"
 
 
@@ -235,14 +237,15 @@ def index(name: str, **b: Column) -> Column:
 
 def tame_extremes(df: DataFrame, bands: list[str], most: float = 100.0) -> DataFrame:
     """Values above ``most`` replaced by the band's exact median."""
-    medians = df.agg(*(F.median(b).alias(f"_{b}") for b in bands))
-    out = df.crossJoin(F.broadcast(medians)).withColumns({b: F.when(F.col(b) > most, F.col(f"_{b}")).otherwise(F.col(b)) for b in bands})
+    half = medians(df, {f"_{b}": b for b in bands})
+    out = df.crossJoin(F.broadcast(half)).withColumns({b: F.when(F.col(b) > most, F.col(f"_{b}")).otherwise(F.col(b)) for b in bands})
     return out.drop(*(f"_{b}" for b in bands))
 
 
 def treat_outliers(df: DataFrame, column: str, k: float, method: str) -> DataFrame:
     """Values beyond mean +- k deviations cut to that bound, or replaced by the mean or the median."""
-    stats = df.agg(F.avg(column).alias("_m"), F.stddev_pop(column).alias("_s"), F.median(column).alias("_med"))
+    stats = df.agg(F.avg(column).alias("_m"), F.stddev_pop(column).alias("_s"))
+    stats = stats.crossJoin(F.broadcast(medians(df, {"_med": column}))) if method == "median" else stats.withColumn("_med", F.lit(None).cast("double"))
     v, low, high = F.col(column), F.col("_m") - k * F.col("_s"), F.col("_m") + k * F.col("_s")
     out = {"truncate": F.greatest(F.least(v, high), low), "mean": F.when((v < low) | (v > high), F.col("_m")).otherwise(v), "median": F.when((v < low) | (v > high), F.col("_med")).otherwise(v)}[method]
     return df.crossJoin(F.broadcast(stats)).withColumn(column, F.when(v.isNotNull(), out)).drop("_m", "_s", "_med")
@@ -289,7 +292,8 @@ def products(columns: list[str]) -> dict[str, Column]:
 
 def stretch(df: DataFrame, bands: list[str], low: float = 0.01, high: float = 0.99, top: float = 1.0) -> DataFrame:
     """Bands cut at two exact percentiles and scaled to 0..top; a constant band gives 0."""
-    stats = df.agg(*(F.percentile(b, q).alias(f"_{b}{n}") for b in bands for n, q in ((0, low), (1, high))))
+    ends = low == 0.0 and high == 1.0
+    stats = df.agg(*(f(b).alias(f"_{b}{n}") for b in bands for n, f in ((0, F.min), (1, F.max)))) if ends else quantiles(df, {f"_{b}{n}": (b, q) for b in bands for n, q in ((0, low), (1, high))})
     out = {b: F.coalesce(F.try_divide(F.greatest(F.least(F.col(b), F.col(f"_{b}1")), F.col(f"_{b}0")) - F.col(f"_{b}0"), F.col(f"_{b}1") - F.col(f"_{b}0")), F.lit(0.0)) * top for b in bands}
     return df.crossJoin(F.broadcast(stats)).withColumns({b: F.when(F.col(b).isNotNull(), v) for b, v in out.items()}).drop(*(f"_{b}{n}" for b in bands for n in (0, 1)))
 
@@ -299,11 +303,11 @@ def scale_to_range(df: DataFrame, bands: list[str]) -> DataFrame:
     return stretch(df, bands, 0.0, 1.0)
 
 
-def quantile_classes(df: DataFrame, band: str, quantiles: list[float], into: str) -> DataFrame:
+def quantile_classes(df: DataFrame, band: str, shares: list[float], into: str) -> DataFrame:
     """How many of the exact quantiles the value reaches."""
-    stats = df.agg(*(F.percentile(band, q).alias(f"_q{i}") for i, q in enumerate(quantiles)))
-    count = sum((F.col(band) >= F.col(f"_q{i}")).cast("int") for i in range(len(quantiles)))
-    return df.crossJoin(F.broadcast(stats)).withColumn(into, count).drop(*(f"_q{i}" for i in range(len(quantiles))))
+    stats = quantiles(df, {f"_q{i}": (band, q) for i, q in enumerate(shares)})
+    count = sum((F.col(band) >= F.col(f"_q{i}")).cast("int") for i in range(len(shares)))
+    return df.crossJoin(F.broadcast(stats)).withColumn(into, count).drop(*(f"_q{i}" for i in range(len(shares))))
 
 
 # Parameters of the irrigation and drainage assessments.
@@ -398,8 +402,8 @@ def top_classes(probabilities: Column, n: int) -> Column:
 
 def reliable(df: DataFrame, value: str, rule: str) -> DataFrame:
     """Rows with value up to mean + population deviation (``deviation``) or up to the 75th percentile (``quartile``)."""
-    bound = {"deviation": F.avg(value) + F.stddev_pop(value), "quartile": F.percentile(value, 0.75)}[rule]
-    return df.crossJoin(F.broadcast(df.agg(bound.alias("_b")))).filter(F.col(value) <= F.col("_b")).drop("_b")
+    bound = quantiles(df, {"_b": (value, 0.75)}) if rule == "quartile" else df.agg((F.avg(value) + F.stddev_pop(value)).alias("_b"))
+    return df.crossJoin(F.broadcast(bound)).filter(F.col(value) <= F.col("_b")).drop("_b")
 
 
 def ranked_by(df: DataFrame, column: str, order: list[str], into: str = "position") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamworks.operators.quantiles import quantiles
+
 # The ten grades, and their classes high, middle and low.
 GRADES = ["一等", "二等", "三等", "四等", "五等", "六等", "七等", "八等", "九等", "十等"]
 GRADE_CLASS = {"高等": GRADES[:3], "中等": GRADES[3:6], "低等": GRADES[6:]}
@@ -134,12 +136,10 @@ def crosstab_shares(df: DataFrame, row: str, column: str, names: list) -> DataFr
     return df.groupBy(row).agg(*((F.sum((F.col(column) == v).cast("int")) / n).alias(str(v)) for v in names))
 
 
-def describe(df: DataFrame, column: str, quantiles: list[float]) -> DataFrame:
+def describe(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quantiles."""
-    return df.agg(
-        F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("least"), F.max(column).alias("most"),
-        *(F.percentile(column, q).alias(f"q{round(100 * q):02d}") for q in quantiles),
-    )
+    plain = df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("least"), F.max(column).alias("most"))
+    return plain.crossJoin(F.broadcast(quantiles(df, {f"q{round(100 * q):02d}": (column, q) for q in shares})))
 
 
 def zonal(cells: DataFrame, zone: str, bands: dict[str, list[str]]) -> DataFrame:

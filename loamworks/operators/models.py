@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from loamworks.operators.aggregates import regression_report
 from loamworks.operators.joins import near_pairs, nearest
+from loamworks.operators.quantiles import quantiles
 from loamworks.operators.sampling import hash_split
 from loamworks.session import ship, staged
 
@@ -38,7 +39,7 @@ def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def robust_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns minus median over the quartile range."""
-    stats = df.agg(*(F.percentile(c, q).alias(f"_{n}_{c}") for c in columns for n, q in (("a", 0.25), ("m", 0.5), ("b", 0.75))))
+    stats = quantiles(df, {f"_{n}_{c}": (c, q) for c in columns for n, q in (("a", 0.25), ("m", 0.5), ("b", 0.75))})
     out = {c: F.when(F.col(c).isNotNull(), F.coalesce(F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_b_{c}") - F.col(f"_a_{c}")), F.lit(0.0))) for c in columns}
     return df.crossJoin(F.broadcast(stats)).withColumns(out).drop(*(f"_{n}_{c}" for c in columns for n in "amb"))
 
@@ -154,10 +155,15 @@ def per_label(df: DataFrame, features: list[str], labels: list[str], key: str) -
 
 
 def segmented(df: DataFrame, segment: str, features: list[str], label: str) -> DataFrame:
-    """A classifier per segment, each applied to its own segment; predictions united."""
+    """A classifier per segment, each applied to its own segment; predictions united.
+
+    Rows are written once, in a folder for each segment, so a fit reads its own rows only. There is one fit and one
+    branch of the union for each segment: meant for tens of segments. Rows without segment have no prediction.
+    """
     out = None
-    for (name,) in sorted(df.select(segment).distinct().collect()):
-        part = df.filter(F.col(segment) == name)
+    rows = staged(df.filter(F.col(segment).isNotNull()).withColumn("_segment", F.col(segment)), "segments", partition="_segment")
+    for (name,) in sorted(df.select(segment).filter(F.col(segment).isNotNull()).distinct().collect()):
+        part = rows.filter(F.col("_segment") == name).drop("_segment")
         found = predict(forest(part, features, label, trees=6, depth=4, classify=True), part, features)
         out = found if out is None else out.unionByName(found)
     return out

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loamworks.operators.graph import components
 from loamworks.operators.joins import near_pairs, nearest, points_in_polygons
+from loamworks.operators.quantiles import quantiles
 from loamworks.session import ship, staged
 
 # The five labels of the outlier status.
@@ -125,12 +126,15 @@ def nearest_to_centre(df: DataFrame, key: str, by: str, features: list[str], sha
     """Rows within the exact ``share`` percentile of distances to their class mean."""
     means = df.groupBy(by).agg(*(F.avg(f).alias(f"_{f}") for f in features))
     d = df.join(means, by).select(key, by, F.sqrt(sum(((F.col(f) - F.col(f"_{f}")) ** 2 for f in features), F.lit(0.0))).alias("distance"))
-    cut = d.groupBy(by).agg(F.percentile("distance", share).alias("_cut"))
+    cut = quantiles(d, {"_cut": ("distance", share)}, [by])
     return d.join(cut, by).filter(F.col("distance") <= F.col("_cut")).drop("_cut")
 
 
 def weighted_sample(df: DataFrame, weight: str, by: str, n: int, seed: int) -> DataFrame:
-    """n rows per group without replacement, chance by weight: the smallest of -ln(u) / w; u comes from a hash, so reruns agree."""
+    """n rows per group without replacement, chance by weight: the smallest of -ln(u) / w; u comes from a hash, so reruns agree.
+
+    Tasks keep their own n smallest of a group before anything is sent, so a group's window holds n rows a task.
+    """
     columns = [c for c, t in df.dtypes if not t.startswith("array")]
     u = (F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1_000_003)) + 0.5) / 1_000_003
     ranked = df.withColumn("_k", -F.log(u) / F.greatest(F.col(weight), F.lit(1e-12)))
@@ -178,10 +182,12 @@ def copy_small_groups(df: DataFrame, by: list[str], least: int) -> DataFrame:
 
 def resample_small_groups(df: DataFrame, by: list[str], least: int, order: list, seed: int = 42) -> DataFrame:
     """Small groups filled up to ``least`` rows by seeded picks with replacement; larger ones as they are."""
-    ranked = df.withColumns({"_r": F.row_number().over(Window.partitionBy(*by).orderBy(*order)), "_n": F.count("*").over(Window.partitionBy(*by))})
-    slots = ranked.filter(F.col("_r") == 1).filter(F.col("_n") < least).select(*by, "_n", F.explode(F.sequence(F.col("_n") + 1, F.lit(least).cast("long"))).alias("_slot"))
+    small = df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") < least)
+    # only rows of small groups are ranked: fewer than ``least`` in a window
+    ranked = df.join(small.select(*by), by, "left_semi").withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    slots = small.select(*by, "_n", F.explode(F.sequence(F.col("_n") + 1, F.lit(least).cast("long"))).alias("_slot"))
     picks = slots.withColumn("_r", (F.pmod(F.xxhash64(F.lit(seed), "_slot", *by), F.col("_n")) + 1).cast("int")).drop("_n", "_slot")
-    return ranked.drop("_n", "_r").unionByName(picks.join(ranked.drop("_n"), [*by, "_r"]).drop("_r"))
+    return df.unionByName(picks.join(ranked, [*by, "_r"]).select(*df.columns))
 
 
 def drop_small_classes(df: DataFrame, by: str, least: int, dirty: list[str] | None = None) -> DataFrame:

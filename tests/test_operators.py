@@ -14,6 +14,7 @@ from loamworks.operators import grid as G
 from loamworks.operators import hydrology as H
 from loamworks.operators import joins as J
 from loamworks.operators import models as L
+from loamworks.operators import quantiles as Q
 from loamworks.operators import sampling as B
 from loamworks.sources import tables as T
 from loamworks.sources.fixtures import Tables
@@ -104,6 +105,14 @@ def test_helpers_fill_gaps_only(spark):
     assert G.padded(g, 3, 3).count() == 100 + 10 * 6
 
 
+def test_quantiles_are_percentiles(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "cast(pow(id % 97, 2) as double) AS p", "CASE WHEN id % 7 > 0 THEN cast(id as int) END AS q").unionByName(spark.createDataFrame([(5, None, 4)], "k long, p double, q int"))
+    asked = {"a": ("p", 0.1), "b": ("p", 0.5), "c": ("q", 0.999), "d": ("q", 0.0)}
+    assert rows(Q.quantiles(df, asked)) == rows(df.agg(*(F.percentile(c, s) for c, s in asked.values())))
+    assert rows(Q.quantiles(df.filter("k < 5"), asked, ["k"])) == rows(df.filter("k < 5").groupBy("k").agg(*(F.percentile(c, s) for c, s in asked.values())))
+    assert rows(Q.quantiles(df.limit(0), asked)) == [(None,) * 4] and Q.quantiles(df.limit(0), asked, ["k"]).count() == 0
+
+
 def test_synthetic_samples_stay_in_range(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2], float(i), float(-i)) for i in range(20)] + [(20, "a", None, 1.0)], "id int, k string, p double, q double")
     made = B.uniform_samples(df, "k", ["p", "q"], 50).groupBy("k").agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).collect()
