@@ -6,8 +6,11 @@ with the smallest residues. Reading tests every chunk's checksum, inflates, and
 any of the five filters with numpy. The hash is the sign pattern of the low 8 x 8
 cosine-transform coefficients of the picture averaged down to 32 x 32.
 
-Null payloads count as empty; an empty payload is stored as one row of zeros. Equal
-payloads give equal bytes. A damaged image raises ``ValueError`` naming the chunk.
+Null payloads count as empty; an empty payload is stored as one row of zeros. Very long
+ones are one tall image. Equal payloads and repeated rows give equal bytes; so do payloads
+that differ in zeros at the end only, which is why their unpadded size is kept. An empty
+table gives no rows. Other columns stay as they are; those named as a result are replaced.
+A damaged image raises ``ValueError`` naming the chunk.
 """
 
 from __future__ import annotations
@@ -52,10 +55,10 @@ def chunks(data: bytes) -> Iterator[tuple[bytes, bytes]]:
     if data[:8] != SIGNATURE:
         raise ValueError("not a PNG")
     at = 8
-    while at < len(data):
+    while at + 8 <= len(data):
         size, kind = struct.unpack_from(">I4s", data, at)
         body = data[at + 8 : at + 8 + size]
-        if len(body) != size or struct.unpack_from(">I", data, at + 8 + size)[0] != zlib.crc32(kind + body):
+        if len(data) < at + 12 + size or struct.unpack_from(">I", data, at + 8 + size)[0] != zlib.crc32(kind + body):
             raise ValueError(f"chunk {kind!r} is damaged")
         yield kind, body
         if kind == b"IEND":
@@ -123,9 +126,9 @@ def _down(a: np.ndarray, n: int) -> np.ndarray:
 
 
 def cosine_hash(pixels: np.ndarray) -> str:
-    """64 bits in hex: which low-frequency coefficients lie above their median."""
-    small = _down(_down(pixels.astype(np.float32), 32).T, 32).T
-    low = (_LOW @ small @ _LOW.T).ravel()
+    """64 bits in hex: which low-frequency coefficients, rounded so that none hangs on the order of additions, lie above their median."""
+    small = _down(_down(pixels.astype(np.float64), 32).T, 32).T
+    low = np.round((_LOW @ small @ _LOW.T).ravel(), 6)
     bits = low > np.median(low[1:])
     return np.packbits(bits).tobytes().hex()
 

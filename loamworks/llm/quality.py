@@ -4,8 +4,11 @@ Statistics are made in tasks from the whole text. The trees are fitted with nump
 at most ``TRAIN_ROWS`` labelled rows, flattened into arrays (feature, threshold, left,
 value) and applied to whole batches: all rows step down a tree together.
 
-Null and empty texts have statistics of zero and get a score like any other text.
-Repeated rows score alike. Column names other than ``doc_id`` and ``text`` are never read.
+Null and empty texts have statistics of zero and get a score like any other text. Very
+long texts are read whole, in time in proportion to their length. Equal texts and repeated
+rows score alike. Without labels of both kinds all texts score the share of label 1, one
+half without any. An empty table gives no rows. Column names other than ``doc_id`` and
+``text`` are never read; a column named as the score is replaced.
 """
 
 from __future__ import annotations

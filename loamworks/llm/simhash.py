@@ -46,8 +46,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 WIDE, FIRST_RADIUS, WIDE_RADIUS = 8, 22, 120
 #: Candidates are copies at 4 / 5 or more, in whole numbers.
 SIMILAR, OF = 4, 5
-#: Sets per block, and shingles per block, of a component of candidates.
-BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
+#: Sets per stripe of a component of candidates where there is one stripe (their number grows with the root of the sets), and shingles per stripe.
+BLOCK, BLOCK_SHINGLES = 64, 1_000_000
 #: Parts into which the nodes of a component are dealt.
 PARTS = 16
 #: Distinct fingerprints per stripe where there is one stripe, and rows of a tile.
@@ -260,7 +260,8 @@ def similar_links(docs: DataFrame, fps: DataFrame, groups: DataFrame, shingle: i
     """(a, b) links between nodes that connect all that are similar inside the components ``groups`` (member, label) of candidates.
 
     ``docs`` has id, row_hash and text, ``fps`` id, row_hash and node. The text of one document stands for a node.
-    Components of more than ``block`` sets are cut into stripes, and each pair of stripes is compared by itself.
+    Components of more than ``block`` sets are cut into stripes, as many as the root of their sets over ``block``, and each
+    pair of stripes is compared by itself.
     """
     least = fps.groupBy("node").agg(F.min(F.struct("id", "row_hash")).alias("first"))
     chosen = least.join(groups, least.node == groups.member).select("node", "label", "first.id", "first.row_hash")
@@ -273,10 +274,10 @@ def similar_links(docs: DataFrame, fps: DataFrame, groups: DataFrame, shingle: i
             yield pa.RecordBatch.from_arrays([batch["node"], batch["label"], pa.array([x.tobytes() for x in sets], pa.binary()), sizes], ["node", "label", "hashes", "size"])
 
     sets = staged(texts.mapInArrow(read, "node long, label long, hashes binary, size long"), "sets")
-    stripes = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / BLOCK_SHINGLES)).cast("int")
-    # at most one row for each block of sets or shingles
+    stripes = F.ceil(F.greatest(F.sqrt(F.count("*") / block), F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    # no more rows than one for each ``block`` sets
     large = sets.groupBy("label").agg(stripes.alias("stripes")).filter("stripes > 1")
-    dealt = sets.join(F.broadcast(large), "label", "left").withColumn("stripes", F.coalesce("stripes", F.lit(1)))
+    dealt = sets.join(large, "label", "left").withColumn("stripes", F.coalesce("stripes", F.lit(1)))
     dealt = dealt.withColumn("s", F.expr("cast(pmod(xxhash64(node), stripes) as int)")).withColumn("t", F.explode(F.expr("sequence(0, stripes - 1)")))
     item = ["label", "low", "high"]
     sent = dealt.select("label", F.least("s", "t").alias("low"), F.greatest("s", "t").alias("high"), "s", "node", "hashes")
