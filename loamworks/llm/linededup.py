@@ -5,10 +5,11 @@ of at least ``LEAST`` code points that several documents hold lose all their lin
 except those in the document with the smallest id.
 
 The lines' 128-bit key hashes are staged once, by batch. Batches of ascending id ranges go
-through the runs: a batch's distinct keys anti-join the runs of the batches before it;
-keys that are left form a new run, sorted by hash. When a level holds ``FANOUT`` runs
-they are merged into one run of the next level, so a batch meets few runs. Since ids
-ascend from batch to batch, the run that holds a key holds its smallest document.
+through the runs: a batch's distinct keys merge-join the runs of the batches before it;
+keys that none of them has form a new run, in hash buckets and sorted by hash, so that no
+later join exchanges or sorts it. When a level holds ``FANOUT`` runs they are merged into
+one run of the next level, so a batch meets few runs. Since ids ascend from batch to
+batch, the run that holds a key holds its smallest document.
 
 A hot line is summed up before any exchange (one row per key and task), and the join
 that brings the verdict back to its lines is an equi-join that Spark splits when skewed.
@@ -23,11 +24,12 @@ whatever their names.
 from __future__ import annotations
 
 import functools
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamworks.llm.common import LAST_ID, discard, spare, staged, whole
+from loamworks.llm.common import LAST_ID, shared_dir, spare, staged, whole
 
 # The blanks of the key, x20 and x09 to x0D, and the letters that are folded.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -48,27 +50,61 @@ def lines_of(text: Column) -> Column:
 
 
 class Runs:
-    """Levels of Parquet runs of (h1, h2, first), each sorted by hash within its files."""
-
-    def __init__(self, spark, fanout: int = FANOUT):
-        self.spark, self.fanout, self.levels = spark, fanout, []
-
-    def all(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
-
-    def add(self, run: DataFrame) -> None:
-        """A new run at the lowest level; full levels are compacted into the next and their runs deleted."""
-        at, new = 0, staged(run.sortWithinPartitions("h1", "h2"), "run")
+    """Levels of runs (h1, h2, first): tables in hash buckets, sorted by hash in each, so that merge joins on the hash neither exchange nor sort them."""
+
+    #: What lets a scan of one sorted file per bucket count as sorted.
+    SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+        self.spark, self.fanout = spark, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[str]] = []
+        self.names: list[str] = []
+        self.top = shared_dir(spark)
+        self.before = spark.conf.get(self.SORTED)
+
+    def __enter__(self) -> Runs:
+        self.spark.conf.set(self.SORTED, "true")
+        return self
+
+    def __exit__(self, *_) -> None:
+        """The tables leave the catalog; their files stay for what reads them later."""
+        self.spark.conf.set(self.SORTED, self.before)
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def save(self, df: DataFrame) -> str:
+        """Write rows that are dealt by (h1, h2), as after a join on them: one file for each bucket."""
+        name = f"run_{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", f"{self.top}/{name}").saveAsTable(name)
+        self.names.append(name)
+        return name
+
+    def plain(self, name: str) -> DataFrame:
+        """A table's files without their buckets: Spark splits a join of skewed rows only if it exchanges both sides."""
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(f"{self.top}/{name}")
+
+    def seen(self, keys: DataFrame) -> DataFrame:
+        """``keys`` with ``seen``, the smallest id that the runs have for a key: a merge join with each run. A key is in one run at most."""
+        runs = [name for level in self.levels for name in level]
+        for k, name in enumerate(runs):
+            run = self.spark.table(name).filter("seen is null").select("h1", "h2", F.col("first").alias(f"seen{k}"))
+            keys = keys.join(run.hint("merge"), ["h1", "h2"], "left")
+        found = F.coalesce(F.lit(None).cast("long"), *(f"seen{k}" for k in range(len(runs))))
+        return keys.withColumn("seen", found).drop(*(f"seen{k}" for k in range(len(runs))))
+
+    def add(self, name: str) -> None:
+        """A new run at the lowest level; full levels are compacted into the next."""
+        at = 0
         while True:
             if at == len(self.levels):
                 self.levels.append([])
-            self.levels[at].append(new)
+            self.levels[at].append(name)
             if len(self.levels[at]) < self.fanout:
                 return
             full, self.levels[at] = self.levels[at], []
-            new = staged(union(full).repartition("h1", "h2").sortWithinPartitions("h1", "h2"), "run")
-            for old in full:
-                discard(old)
+            fresh = union([self.plain(n).filter("seen is null").select("h1", "h2", "first", "seen") for n in full])
+            name = self.save(fresh.repartition(self.buckets, "h1", "h2"))
             at += 1
 
 
@@ -94,20 +130,16 @@ def verdicts(docs: DataFrame, batches: int | None = None, least: int = LEAST) ->
     # a batch's lines lie in a folder of their own: a batch reads no others
     number = F.expr(f"aggregate(array({', '.join(f'{e}L' for e in edges)}), 0, (m, e) -> m + cast(id > e as int))") if edges else F.lit(0)
     lines = staged(hashed.withColumn("batch", number), "lines", partition="batch")
-    runs, parts = Runs(docs.sparkSession), []
-    for k in range(len(edges) + 1):
-        batch = lines.filter(F.col("batch") == k)
-        keys = batch.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        older = [r.withColumnRenamed("first", "seen") for r in runs.all()]
-        if older:
-            keys = keys.join(union(older), ["h1", "h2"], "left")  # a key is in one run at most
-        else:
-            keys = keys.withColumn("seen", F.lit(None).cast("long"))
-        keys = staged(keys.withColumn("first", F.coalesce("seen", "low")), "keys")
-        if k < len(edges):
-            runs.add(keys.filter("seen is null").select("h1", "h2", "first"))
-        shared = keys.filter("first < high").select("h1", "h2", "first")
-        parts.append(batch.join(shared, ["h1", "h2"]).filter("id > first").select("id", "row_hash", "pos"))
+    parts = []
+    with Runs(docs.sparkSession) as runs:
+        for k in range(len(edges) + 1):
+            batch = lines.filter(F.col("batch") == k)
+            keys = runs.seen(batch.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high")))
+            name = runs.save(keys.select("h1", "h2", F.coalesce("seen", "low").alias("first"), "high", "seen"))
+            shared = runs.plain(name).filter("first < high").select("h1", "h2", "first")
+            parts.append(batch.join(shared, ["h1", "h2"]).filter("id > first").select("id", "row_hash", "pos"))
+            if k < len(edges):
+                runs.add(name)
     return union(parts)
 
 

@@ -429,6 +429,26 @@ def test_line_dedup_keeps_columns(odd):
     assert linededup.dedup(odd.limit(0)).count() == 0
 
 
+def test_old_runs_are_neither_exchanged_nor_sorted(spark):
+    wide = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with linededup.Runs(spark) as runs:
+            for n in (100, 200, 300):
+                keys = spark.range(n).selectExpr("xxhash64(id) AS h1", "xxhash64(id, 1) AS h2", "id AS low").groupBy("h1", "h2").agg(F.min("low").alias("low"))
+                met = runs.seen(keys)
+                plan = met._jdf.queryExecution().executedPlan().toString()
+                scans = sum(map(len, runs.levels))
+                # the new keys are exchanged once and sorted; the runs are scanned in their order
+                assert plan.count("SortMergeJoin") == scans and plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [h1") <= 1
+                assert met.filter("seen is not null").count() == (n - 100 if n > 100 else 0)
+                runs.add(runs.save(met.selectExpr("h1", "h2", "coalesce(seen, low) AS first", "low AS high", "seen")))
+            assert [len(level) for level in runs.levels] == [1, 1]
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("run_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
+
+
 def test_batches_read_their_own_lines(odd):
     found = linededup.verdicts(odd, 4)
     assert found.filter("pos is null").count() == 0 and linededup.edges_of(odd.filter("doc_id is null"), 4) == [(1 << 63) - 1]
