@@ -85,7 +85,13 @@ def _(t):
     return merged.groupBy("zone_id").agg(F.count("*").alias("n_cells"))
 
 
-@query("G5_merge_groups")
+@query(
+    "G5_merge_groups",
+    f"WITH RECURSIVE z AS (SELECT zone_id, n_cells AS area FROM zones), m AS (SELECT zone_id FROM z WHERE area < 33), n AS (SELECT a AS src, b AS dst FROM {EDGES} e UNION ALL SELECT b, a FROM {EDGES} e2), "
+    "w AS (SELECT src, dst FROM n WHERE src IN (SELECT zone_id FROM m) AND dst IN (SELECT zone_id FROM m)), reach AS (SELECT src AS node, src AS pt FROM w UNION SELECT reach.node, w.dst FROM reach JOIN w ON w.src = reach.pt), "
+    "g AS (SELECT node AS zone_id, min(pt) AS target FROM reach GROUP BY 1), t AS (SELECT n.src AS zone_id, n.dst AS target, row_number() OVER (PARTITION BY n.src ORDER BY z.area DESC, n.dst) AS q FROM n JOIN z ON z.zone_id = n.dst WHERE n.src IN (SELECT zone_id FROM m) AND n.src NOT IN (SELECT zone_id FROM g)) "
+    "SELECT CAST(zone_id AS BIGINT) AS zone_id, CAST(target AS BIGINT) AS target FROM g UNION ALL SELECT CAST(zone_id AS BIGINT), CAST(target AS BIGINT) FROM t WHERE q = 1",
+)
 def _(t):
     return P.merge_groups(t.cells.select("r", "c", F.col("zone_id").cast("long").alias("zone_id")), "zone_id", 33)
 
@@ -107,9 +113,19 @@ def _(t):
     return P.split_oversized(t.cells.select("zone_id", "r", "c"), "zone_id", 12)
 
 
-@query("G7_fill_holes")
+HOLE = "(r % 10 BETWEEN 3 AND 4) AND (c % 12 BETWEEN 4 AND 6)"
+
+
+@query(
+    "G7_fill_holes",
+    region_sql(f"SELECT CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, 1 AS v FROM cells WHERE {HOLE}") + ", span AS (SELECT min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM cells), "
+    f"open AS (SELECT DISTINCT label FROM src JOIN lab ON src.r * {ROW} + src.c = node, span WHERE r IN (r0, r1) OR c IN (c0, c1)), "
+    f"t AS (SELECT label, n.zone_id, count(*) AS k FROM src a JOIN lab ON a.r * {ROW} + a.c = node JOIN cells n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 AND {STEP4} WHERE NOT ((n.r % 10 BETWEEN 3 AND 4) AND (n.c % 12 BETWEEN 4 AND 6)) GROUP BY 1, 2), "
+    "b AS (SELECT label, zone_id FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY k DESC, zone_id) AS q FROM t) x WHERE q = 1 AND label NOT IN (SELECT label FROM open)) "
+    f"SELECT CAST(zone_id AS BIGINT) AS zone_id, count(*) AS n_cells FROM (SELECT zone_id FROM cells WHERE NOT ({HOLE}) UNION ALL SELECT b.zone_id FROM src JOIN lab ON src.r * {ROW} + src.c = node LEFT JOIN b USING (label)) u GROUP BY 1",
+)
 def _(t):
-    holed = t.cells.select("r", "c", F.when(F.expr("(r % 10 BETWEEN 3 AND 4) AND (c % 12 BETWEEN 4 AND 6)"), None).otherwise(F.col("zone_id")).alias("zone_id"))
+    holed = t.cells.select("r", "c", F.when(F.expr(HOLE), None).otherwise(F.col("zone_id")).alias("zone_id"))
     return P.fill_holes(holed, "zone_id").groupBy("zone_id").agg(F.count("*").alias("n_cells"))
 
 
@@ -186,7 +202,10 @@ def _(t):
     return t.zones.select("zone_id", F.round(F.sqrt(dx * dx + dy * dy), 4).alias("diameter"))
 
 
-@query("J13_identity_parts")
+KEYED = "SELECT CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, concat_ws('|', zone_id, dz, pos) AS v FROM cells"
+
+
+@query("J13_identity_parts", f"{region_sql(KEYED)} SELECT label, min(v) AS key, count(*) AS n_cells FROM src JOIN lab ON src.r * {ROW} + src.c = node GROUP BY 1")
 def _(t):
     named = P.regions(t.cells.withColumn("key", F.concat_ws("|", "zone_id", "dz", "pos")), "key")
     return named.groupBy("label").agg(F.min("v").alias("key"), F.count("*").alias("n_cells"))
@@ -197,13 +216,29 @@ def _(t):
     return A.dissolve(P.regions(t.cells, "dl").select("r", "c", F.col("v").alias("dl"), "label"), ["label"], ["dl"]).select("label", "dl", "area")
 
 
-@query("F20_generalise")
+SMOOTH = (
+    "WITH k AS (SELECT a.r, a.c, n.dz AS v FROM cells a JOIN cells n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 AND (a.r <> n.r OR a.c <> n.c) GROUP BY 1, 2, 3 HAVING count(*) >= 5) "
+    "SELECT CAST(cells.r AS BIGINT) AS r, CAST(cells.c AS BIGINT) AS c, coalesce(k.v, cells.dz) AS v FROM cells LEFT JOIN k ON cells.r = k.r AND cells.c = k.c"
+)
+GAP = "({a}.r-{b}.r)*({a}.r-{b}.r)+({a}.c-{b}.c)*({a}.c-{b}.c)"
+
+
+@query(
+    "F20_generalise",
+    f"{region_sql(SMOOTH)}, s AS (SELECT label, count(*) AS n FROM lab GROUP BY 1), kept AS (SELECT r, c, v FROM src JOIN lab ON src.r * {ROW} + src.c = node JOIN s USING (label) WHERE n >= 20), lost AS (SELECT * FROM src WHERE r * {ROW} + c NOT IN (SELECT r * {ROW} + c FROM kept)), "
+    f"b AS (SELECT lost.v AS old, kept.v AS new, row_number() OVER (PARTITION BY lost.r, lost.c ORDER BY {GAP.format(a='lost', b='kept')}, kept.r, kept.c) AS q FROM lost LEFT JOIN kept ON abs(lost.r-kept.r) <= 12 AND abs(lost.c-kept.c) <= 12 AND {GAP.format(a='lost', b='kept')} <= 144) "
+    "SELECT dz, count(*) AS n_cells FROM (SELECT v AS dz FROM kept UNION ALL SELECT coalesce(new, old) FROM b WHERE q = 1) u GROUP BY 1",
+)
 def _(t):
     g = P.generalise(t.cells.select("r", "c", "dz"), "dz", 20, 12)
     return g.groupBy("dz").agg(F.count("*").alias("n_cells"))
 
 
-@query("F21_rule_repair")
+@query(
+    "F21_rule_repair",
+    f"WITH bad AS (SELECT r, c, dz FROM cells WHERE dl = 3 AND dz > 4), k AS (SELECT r, c, dz FROM cells WHERE dz <= 4), b AS (SELECT bad.r, bad.c, coalesce(k.dz, bad.dz) AS dz, row_number() OVER (PARTITION BY bad.r, bad.c ORDER BY {GAP.format(a='bad', b='k')}, k.r, k.c) AS q "
+    f"FROM bad LEFT JOIN k ON abs(bad.r-k.r) <= 20 AND abs(bad.c-k.c) <= 20 AND {GAP.format(a='bad', b='k')} <= 400) SELECT r, c, dz FROM b WHERE q = 1 UNION ALL SELECT r, c, dz FROM cells WHERE NOT (dl = 3 AND dz > 4)",
+)
 def _(t):
     # land class 3 may carry geology 1 to 4 only
     cells = t.cells.select("r", "c", "dl", "dz")
@@ -263,6 +298,15 @@ def _(t):
     return H.channel_relief(t.cells, "dem", 12)
 
 
-@query("F26_ridge_valley")
+def accumulation_sql(sign: str) -> str:
+    """(node, acc) by walking down the surface, or down the inverted one."""
+    return f"{FLOW} SELECT node, count(*) AS acc FROM walk GROUP BY 1".replace("a.dem", f"{sign}a.dem").replace("n.dem", f"{sign}n.dem")
+
+
+@query(
+    "F26_ridge_valley",
+    f"WITH RECURSIVE one AS (SELECT 1), up AS ({accumulation_sql('')}), down AS ({accumulation_sql('-')}), t AS (SELECT a.r, a.c, a.dem - avg(n.dem) AS tpi FROM {NEAR.format(k=3)} GROUP BY a.r, a.c, a.dem) "
+    f"SELECT t.r, t.c, CASE WHEN tpi > 0 AND up.acc = 1 THEN 1 WHEN tpi < 0 AND down.acc = 1 THEN -1 ELSE 0 END AS line FROM t LEFT JOIN up ON up.node = CAST(t.r AS BIGINT) * {ROW} + t.c LEFT JOIN down ON down.node = CAST(t.r AS BIGINT) * {ROW} + t.c",
+)
 def _(t):
     return H.ridge_valley(t.cells.select("r", "c", "dem"), "dem", 3)

@@ -105,6 +105,60 @@ def test_helpers_fill_gaps_only(spark):
     assert G.padded(g, 3, 3).count() == 100 + 10 * 6
 
 
+def test_fill_is_the_lowest_pass(spark):
+    import heapq
+
+    cells = Tables(spark, DATA).cells.select("r", "c", "dem")
+    z = {(r["r"], r["c"]): r["dem"] for r in cells.collect()}
+    around = lambda p: [(p[0] + i, p[1] + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
+    level = {p: v for p, v in z.items() if v is not None and any(z.get(q) is None for q in around(p))}
+    heap = [(v, p) for p, v in level.items()]
+    heapq.heapify(heap)
+    done = set()
+    while heap:
+        v, p = heapq.heappop(heap)
+        if p not in done:
+            done.add(p)
+            for q in around(p):
+                if z.get(q) is not None and max(v, z[q]) < level.get(q, float("inf")):
+                    level[q] = max(v, z[q])
+                    heapq.heappush(heap, (level[q], q))
+    assert {(r["r"], r["c"]): r["filled"] for r in H.fill_sinks(cells, "dem").collect()} == {p: level.get(p) for p in z}
+
+
+def test_merge_loop_one_by_one(spark):
+    cells = Tables(spark, DATA).cells.select("r", "c", "zone_id", (F.col("dl") % 3).alias("k"))
+    rows_ = cells.collect()
+    zone, k = {(r["r"], r["c"]): r["zone_id"] for r in rows_}, {(r["r"], r["c"]): r["k"] for r in rows_}
+    while True:
+        size, klass, touch = {}, {}, {}
+        for p, z in zone.items():
+            size[z] = size.get(z, 0) + 1
+            klass[z] = min(klass.get(z, k[p]), k[p])
+            for q in ((p[0], p[1] + 1), (p[0] + 1, p[1])):
+                if q in zone and zone[q] != z:
+                    touch.setdefault(z, set()).add(zone[q])
+                    touch.setdefault(zone[q], set()).add(z)
+        root = {z: z for z in size}
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        moved = False
+        for z, n in size.items():
+            best = min(((-size[o], o) for o in touch.get(z, ()) if klass[o] == klass[z]), default=None) if n < 41 else None
+            if best:
+                moved = True
+                a, b = find(z), find(best[1])
+                root[max(a, b)] = min(a, b)
+        if not moved:
+            break
+        zone = {p: find(z) for p, z in zone.items()}
+    assert {(r["r"], r["c"]): r["zone_id"] for r in P.merge_small(cells, "zone_id", "k", 41, pairing=True).collect()} == zone
+
+
 def test_quantiles_are_percentiles(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "cast(pow(id % 97, 2) as double) AS p", "CASE WHEN id % 7 > 0 THEN cast(id as int) END AS q").unionByName(spark.createDataFrame([(5, None, 4)], "k long, p double, q int"))
     asked = {"a": ("p", 0.1), "b": ("p", 0.5), "c": ("q", 0.999), "d": ("q", 0.0)}
