@@ -219,11 +219,14 @@ def id_type(path: str) -> str:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of each document's pieces, and their ids (binary, of ``id_type``) if asked for."""
-    schema = wider(docs.select("doc_id"), "piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
+    """doc_id, piece, start, length and ids_crc32 of each document's pieces, and their ids (binary, of ``id_type``) if asked for.
+
+    ``nth`` numbers the pieces of a task: it tells repeated rows apart.
+    """
+    schema = wider(docs.select("doc_id"), "piece int, start long, length long, ids_crc32 long, nth long" + (", ids binary" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, narrow = encoder(path), id_type(path)
+        encode, narrow, made = encoder(path), id_type(path), 0
         for batch in batches:
             rows = []
             for k, text in enumerate(batch["text"].to_pylist()):
@@ -231,17 +234,18 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
                 rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end]), ids[start:end].astype(narrow).tobytes() if with_ids else None) for piece, (start, end) in enumerate(cut(ids, capacity))]
             if rows:
                 k, piece, *longs, held = zip(*rows, strict=True)
-                more = [pa.array(held, pa.binary())] if with_ids else []
+                more = [pa.array(np.arange(made, made + len(k)))] + ([pa.array(held, pa.binary())] if with_ids else [])
+                made += len(k)
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(k, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in longs), *more], schema.names)
 
     return docs.select("doc_id", whole().alias("text")).mapInArrow(run, schema)
 
 
 def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int = CAPACITY, ranked: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``found`` (written pieces with doc_id, piece, length, ids_crc32) with sequence_id and offset: those below the capacity, and the full ones.
+    """``found`` (written pieces with doc_id, piece, length, ids_crc32, nth) with sequence_id and offset: those below the capacity, and the full ones.
 
     The driver gets capacity numbers and sends back the slot table, a few rows per length. Ranks are by
-    (salt, doc_id, piece, ids_crc32) within a length.
+    (salt, doc_id, piece, ids_crc32, nth) within a length; ``nth`` spreads repeated rows over the salts.
     """
     spark, part = found.sparkSession, found.filter(F.col("length") < capacity)
     histogram = np.zeros(capacity + 1, np.int64)
@@ -251,10 +255,10 @@ def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int
     slots = plan(histogram)
     table = slots.table()
     salts = spark.createDataFrame([(n, -(-int(histogram[n]) // ranked)) for n in np.flatnonzero(histogram).tolist()], "length long, salts long")
-    salted = part.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts"))
+    salted = part.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "nth"), "salts"))
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = counts.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
-    within = salted.withColumn("within", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
+    within = salted.withColumn("within", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "nth")) - 1)
     within = within.join(before.hint("shuffle_hash"), ["length", "salt"])  # the window's partitioning serves the join
     numbered = within.withColumn("rank", F.col("within") + F.col("before")).select(*found.columns, "rank")
     schema = wider(found, "sequence_id long, offset long")
@@ -275,7 +279,7 @@ def placed(found: DataFrame, plan: Callable[[np.ndarray], Slots], capacity: int
 def packed_pieces(docs: DataFrame, path: str, plan: Callable[[np.ndarray], Slots] = best_two_fit, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
     part, full = placed(staged(pieces(docs, path, capacity), "pieces"), plan, capacity)
-    return part.unionByName(full)
+    return part.unionByName(full).drop("nth")
 
 
 def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
