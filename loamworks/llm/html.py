@@ -46,8 +46,8 @@ TEXTLESS = frozenset("title script style noscript template button select textare
 MARKED = frozenset("nav header footer aside dialog".split())
 #: Words of a class or id that name a block beside the article, and those that only tell how its name is meant.
 MARKED_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adbox adsense banner sponsor sponsors sponsored promo promos promotion cookie cookies consent gdpr notice notices alert alerts popup modal newsletter subscribe subscription signup "
-    "sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead header footer copyright comment comments commentlist reply replies respond disqus "
+    "ad ads advert adverts advertisement advertising adbox adsense adsbygoogle banner taboola outbrain sponsor sponsors sponsored promo promos promotion cookie cookies consent gdpr notice notices alert alerts announcement disclaimer toast snackbar overlay paywall popup modal newsletter subscribe subscription signup "
+    "sidebar sidebars widget widgets menu menus nav navbar topnav subnav sidenav topbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead header footer copyright comment comments commentlist reply replies respond disqus "
     "share sharing social related recommended recommendations login search".split()
 )
 TELLING_WORDS = frozenset("no not non has have with without free open closed off enabled disabled hide show".split())
@@ -153,12 +153,13 @@ class Lines(HTMLParser):
             self.forms += 1
             now = now._replace(form=self.forms)
         if not around.marked:
+            kind = next((value for name, value in attrs if name == "role" and value in ("article", "main")), tag)
             if self.is_marked(tag, attrs, around):
                 self.regions += 1
                 now = now._replace(region=self.regions, marked=True)
-            elif tag == "article" and not around.article or tag == "main" and not around.region:
+            elif kind == "article" and not around.article or kind == "main" and not around.region:
                 self.regions += 1
-                now = now._replace(region=self.regions, article=tag == "article")
+                now = now._replace(region=self.regions, article=kind == "article")
         self.open.append(now)
 
     def imply_ends(self, tag: str) -> None:

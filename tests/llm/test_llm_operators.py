@@ -181,6 +181,7 @@ PARAGRAPHS = "".join(f"<p>{x}</p>" for x in SENTENCES)
         "<article><ul><li class=ad>Buy" + "".join(f"<li>{x}" for x in SENTENCES) + "</ul></article>",
         "<article class='post comments-open'>" + PARAGRAPHS + "<article class=comment-body><p>A reader says a lot of things about this, at length.</p></article></article>",
         "<main><nav>Up Down</nav><article>" + PARAGRAPHS + "</article></main><div>Beside the article stands this rather long and dense unmarked block.</div>",
+        "<div role=main><div class=topnav>Up</div>" + PARAGRAPHS + "</div><div>Beside the article stands this rather long and dense unmarked block.</div>",
         "<body><table><tr><td>Home<td>" + PARAGRAPHS + "<td>Soon</table>",
         "<body>" + "".join(f"<p>{x}</p>" for x in SENTENCES[:3]) + f"<p><a href=/>{SENTENCES[3]}</a></p>" + "".join(f"<p>{x}</p>" for x in SENTENCES[4:]),
     ],
