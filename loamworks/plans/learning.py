@@ -349,10 +349,16 @@ def _(t):
     return L.predict(model, s, SITE_FEATURES).select("site_id", F.round("prediction", 4).alias("prediction"))
 
 
-@query("G12_lagged_regression")
+@query(
+    "G12_lagged_regression",
+    "WITH z AS (SELECT zone_id, avg(b2) AS v, avg(b3) AS w FROM cells GROUP BY 1), l AS (SELECT DISTINCT a.zone_id AS s, n.zone_id AS d FROM cells a JOIN cells n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 WHERE a.zone_id <> n.zone_id), "
+    "x AS (SELECT z.zone_id, any_value(z.v) AS y, any_value(z.w) AS w, avg(n.v) AS lag FROM z JOIN l ON l.s = z.zone_id JOIN z n ON n.zone_id = l.d GROUP BY 1), "
+    "c AS (SELECT var_pop(lag) AS aa, var_pop(w) AS bb, covar_pop(lag, w) AS ab, covar_pop(lag, y) AS ay, covar_pop(w, y) AS b_y, avg(lag) AS ma, avg(w) AS mb, avg(y) AS my FROM x), k AS (SELECT (bb * ay - ab * b_y) / (aa * bb - ab * ab) AS ka, (aa * b_y - ab * ay) / (aa * bb - ab * ab) AS kb, ma, mb, my FROM c) "
+    "SELECT 'lag' AS term, round(ka, 5) AS coefficient FROM k UNION ALL SELECT 'w', round(kb, 5) FROM k UNION ALL SELECT 'intercept', round(my - ka * ma - kb * mb, 5) FROM k",
+)
 def _(t):
     from loamworks.operators import graph as P
 
     z = t.cells.groupBy("zone_id").agg(F.avg("b2").alias("v"), F.avg("b3").alias("w"))
     lagged = P.spatial_lag(z, P.contiguity(t.cells, "zone_id"), "zone_id", "v").filter("lag is not null")
-    return L.lagged_regression(lagged, ["lag", "w"], "v")
+    return rounded(L.lagged_regression(lagged, ["lag", "w"], "v"), "coefficient", digits=5)
