@@ -331,7 +331,8 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, wide_
     # a large component's label is one key: its nodes are dealt into parts, and each part gets its smallest id
     parted = joined.filter("label is not null").withColumn("part", F.pmod(F.xxhash64("node"), F.lit(PARTS)))
     smallest = parted.groupBy("label").agg(F.min("first").alias("component")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
-    together = parted.join(smallest, ["label", "part"]).select("node", "label", "component")
+    # not left to the optimizer: it sizes the smaller side before it is dealt to all parts
+    together = parted.join(smallest.hint("merge"), ["label", "part"]).select("node", "label", "component")
     return fps.select("id", "row_hash", "fp", "node").join(staged(alone.unionByName(together), "by-node"), "node")
 
 
