@@ -224,14 +224,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     ``nth`` numbers the pieces of a task: it tells repeated rows apart.
     """
     schema = wider(docs.select("doc_id"), "piece int, start long, length long, ids_crc32 long, nth long" + (", ids binary" if with_ids else ""))
+    narrow = id_type(path) if with_ids else None  # found by the driver: workers hold the vocabulary once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, narrow, made = encoder(path), id_type(path), 0
+        encode, made = encoder(path), 0
         for batch in batches:
             rows = []
             for k, text in enumerate(batch["text"].to_pylist()):
                 ids = np.append(encode(text), np.uint32(END)).astype("<u4")
-                rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end]), ids[start:end].astype(narrow).tobytes() if with_ids else None) for piece, (start, end) in enumerate(cut(ids, capacity))]
+                rows += [(k, piece, start, end - start, zlib.crc32(ids[start:end]), ids[start:end].astype(narrow).tobytes() if narrow else None) for piece, (start, end) in enumerate(cut(ids, capacity))]
             if rows:
                 k, piece, *longs, held = zip(*rows, strict=True)
                 more = [pa.array(np.arange(made, made + len(k)))] + ([pa.array(held, pa.binary())] if with_ids else [])
@@ -295,9 +296,9 @@ def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     schema = "sequence_id long, n_tokens long, n_segments int, doc_ids array<long>, pieces array<int>, cu_seqlens array<int>, ids binary, positions binary"
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in schema.split(", ")]
-    every = np.arange(capacity, dtype=np.int64)
+    every, narrow = np.arange(capacity, dtype=np.int64), id_type(path)
 
-    def assemble(number: int, held: list[tuple], narrow: str) -> tuple:
+    def assemble(number: int, held: list[tuple]) -> tuple:
         parts = [np.frombuffer(h[2], narrow) for h in held]
         sizes = np.array([len(x) for x in parts], np.int64)
         ends = np.cumsum(sizes)
@@ -308,7 +309,7 @@ def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         return number, total, len(held), [h[0] for h in held], [h[1] for h in held], [0, *ends.tolist()], ids.tobytes(), (every - starts).astype("<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, rows, narrow = None, [], [], id_type(path)
+        now, held, rows = None, [], []
 
         def out() -> pa.RecordBatch:
             found = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -319,13 +320,13 @@ def matrices(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             for number, *piece in zip(*(batch[c].to_pylist() for c in ("sequence_id", "doc_id", "piece", "ids")), strict=True):
                 if number != now:
                     if held:
-                        rows.append(assemble(now, held, narrow))
+                        rows.append(assemble(now, held))
                     now, held = number, []
                     if len(rows) == 256:
                         yield out()
                 held.append(piece)
         if held:
-            rows.append(assemble(now, held, narrow))
+            rows.append(assemble(now, held))
         if rows:
             yield out()
 
