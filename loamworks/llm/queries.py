@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loamworks.llm import bpe, fingerprints, html, linededup, media, packing, quality, simhash, toxicity
+from loamworks.llm import bpe, collocations, fingerprints, html, linededup, media, packing, quality, simhash, toxicity
 from loamworks.llm.common import table
 
 
@@ -50,6 +50,11 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.matrices(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language of documents; null texts and tables without words give none."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -63,6 +68,7 @@ QUERIES = {
         op8_media_columns,
         op9_simhash_near_dedup,
         op10_token_matrices,
+        op11_collocations,
     )
 }
-ORACLES = {"op5_line_dedup": linededup.DIGEST_SQL}
+ORACLES = {"op5_line_dedup": linededup.DIGEST_SQL, "op11_collocations": collocations.COLLOCATIONS_SQL}
