@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loamworks.llm import bpe, collocations, fingerprints, html, linededup, media, packing, quality, simhash, toxicity
+from loamworks.llm import bpe, collocations, fingerprints, html, linededup, media, negatives, packing, quality, simhash, toxicity, windows
 from loamworks.llm.common import table
 
 
@@ -55,6 +56,17 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in windows of 2048 tokens; null and empty texts are one token, repeated rows are packed each."""
+    return windows.packed_windows(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three hard negatives for each anchor and positive of embeddings; rows that cannot be scored take no part."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.expr(negatives.SHIFTED))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,6 +81,8 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_token_matrices,
         op11_collocations,
+        op12_packing,
+        op13_hard_negatives,
     )
 }
-ORACLES = {"op5_line_dedup": linededup.DIGEST_SQL, "op11_collocations": collocations.COLLOCATIONS_SQL}
+ORACLES = {"op5_line_dedup": linededup.DIGEST_SQL, "op11_collocations": collocations.COLLOCATIONS_SQL, "op13_hard_negatives": negatives.NEGATIVES_SQL}
