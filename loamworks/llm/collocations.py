@@ -175,20 +175,23 @@ def counted(shard: DataFrame, step: int, shards: int, since) -> DataFrame:
     return found.groupBy("h1", "h2").agg(F.min("k").alias("k"), F.min("since").alias("since"), F.sum("n").alias("n"))
 
 
-def mark(table: np.ndarray, frequent: DataFrame, step: int) -> bool:
-    """Enter ``step`` in the slots of the frequent phrases that have none yet; whether there were any. The driver gets one bit per slot at most."""
-    slot = f"h1 & {len(table) - 1}L"
-    bits = frequent.select(F.expr(f"shiftright({slot}, 6)").alias("word"), F.expr(f"shiftleft(1L, cast({slot} & 63L as int))").alias("bit"))
-    got = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    words, held = got["word"].to_numpy(), got["bits"].to_numpy()
-    if not len(words):
-        return False
-    set_bits = np.unpackbits(held.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    at, bit = np.nonzero(set_bits)
-    slots = words[at] * 64 + bit
-    fresh = slots[table[slots] == NEVER]
-    table[fresh] = step
-    return len(fresh) > 0
+def mark(tables: list[np.ndarray], frequent: DataFrame, step: int) -> bool:
+    """Enter ``step`` in the slots of the frequent phrases that have none yet, in the table of their length; whether there were any.
+
+    The driver gets one bit per slot at most.
+    """
+    slot = f"h1 & {len(tables[0]) - 1}L"
+    bits = frequent.filter(F.col("k") <= len(tables)).select("k", F.expr(f"shiftright({slot}, 6)").alias("word"), F.expr(f"shiftleft(1L, cast({slot} & 63L as int))").alias("bit"))
+    got = bits.groupBy("k", "word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    lengths, words, held = (got[c].to_numpy() for c in ("k", "word", "bits"))
+    at, bit = np.nonzero(np.unpackbits(held.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    slots, new = words[at] * 64 + bit, False
+    for k, table in enumerate(tables, 1):
+        mine = slots[lengths[at] == k]
+        fresh = mine[table[mine] == NEVER]
+        table[fresh] = step
+        new |= len(fresh) > 0
+    return new
 
 
 def frequent_phrases(tokens: DataFrame, shards: int = SHARDS, least: int = LEAST, slots: int = SLOTS) -> DataFrame:
@@ -211,13 +214,12 @@ def frequent_phrases(tokens: DataFrame, shards: int = SHARDS, least: int = LEAST
             if previous:
                 discard(runs.plain(previous))
             fresh = runs.plain(state).filter((F.col("n") >= least) & (F.col("before") < least))
-            for k in range(1, LONGEST):
-                if mark(since[k - 1], fresh.filter(F.col("k") == k), step + 1):
-                    last = step + 1
+            if mark(since[:-1], fresh, step + 1):
+                last = step + 1
             held.unpersist()
             step += 1
         final = runs.plain(state).filter(F.col("n") >= least).select("h1", "h2", "k", F.col("n").alias("f"))
-        mark(since[-1], final.filter(F.col("k") == LONGEST), step)
+        mark(since, final, step)  # the longest ones; the others have theirs
         names = named(tokens, spark.sparkContext.broadcast(since)).groupBy("h1", "h2").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
         out = staged(final.join(names, ["h1", "h2"]).select("lang", "k", "phrase", "f"), "phrases")
         discard(runs.plain(state))
