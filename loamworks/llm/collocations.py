@@ -23,19 +23,20 @@ not read, so none can clash.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamworks.llm.common import discard, staged
 from loamworks.llm.linededup import Runs
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
-SHARDS, SLOTS, CHUNK_WORDS = 4, 1 << 23, 1 << 20
+SHARDS, SLOTS, CHUNK_WORDS = 4, 1 << 22, 1 << 20
 NEVER = 255
 #: Frequent phrases that a task of the naming scan remembers at most as named; beyond that it starts anew.
 NAMED = 1 << 20
@@ -150,7 +151,16 @@ def numbers_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, list[np.ndarr
     return np.frombuffer(batch["ids"][k].as_py(), np.int32), [np.frombuffer(batch[lane][k].as_py(), "<u8") for lane in ("lane1", "lane2")]
 
 
-def counted(shard: DataFrame, step: int, shards: int, since) -> DataFrame:
+def sent(tables: list[np.ndarray], spark: SparkSession) -> Broadcast:
+    """The tables for the tasks of one job. Nearly all bytes of a table are alike, so deflated they are small; the caller destroys them."""
+    return spark.sparkContext.broadcast([zlib.compress(t.tobytes(), 1) for t in tables])
+
+
+def received(tables: Broadcast) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(t), np.uint8) for t in tables.value]
+
+
+def counted(shard: DataFrame, step: int, shards: int, tables: Broadcast) -> DataFrame:
     """h1, h2, k, since, n: the phrases that are active in this step, with their counts in the shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,13 +168,14 @@ def counted(shard: DataFrame, step: int, shards: int, since) -> DataFrame:
             fixed = [pa.array(np.full(len(n), length, np.int32)), pa.array(active.astype(np.int32)), pa.array(n.astype(np.int64))]
             return pa.RecordBatch.from_arrays([signed(lanes[0]), short(lanes[1]), *fixed], ["h1", "h2", "k", "since", "n"])
 
+        since = received(tables)
         for batch in batches:
             for k in range(batch.num_rows):
                 ids, lanes = numbers_of(batch, k)
                 if step < shards:
                     n = np.bincount(ids, minlength=len(lanes[0]))[1:]
                     yield rows(1, [lane[1:] for lane in lanes], np.zeros(len(n), np.int32), n)
-                for length, _, active, mine in phrases(ids, lanes, since.value):
+                for length, _, active, mine in phrases(ids, lanes, since):
                     now = np.flatnonzero((active <= step) & (step < active.astype(np.int32) + shards))
                     if len(now):
                         first, second = (lane[now] for lane in mine)
@@ -201,7 +212,7 @@ def frequent_phrases(tokens: DataFrame, shards: int = SHARDS, least: int = LEAST
     state, step, last = None, 0, 0
     with Runs(spark) as runs:
         while step < last + shards:
-            held = spark.sparkContext.broadcast(since[:-1])
+            held = sent(since[:-1], spark)
             found = counted(tokens.filter(F.col("shard") == step % shards), step, shards, held)
             if state is None:
                 both = found.withColumn("before", F.lit(0).cast("long"))
@@ -216,22 +227,24 @@ def frequent_phrases(tokens: DataFrame, shards: int = SHARDS, least: int = LEAST
             fresh = runs.plain(state).filter((F.col("n") >= least) & (F.col("before") < least))
             if mark(since[:-1], fresh, step + 1):
                 last = step + 1
-            held.unpersist()
+            held.destroy()
             step += 1
         final = runs.plain(state).filter(F.col("n") >= least).select("h1", "h2", "k", F.col("n").alias("f"))
         mark(since, final, step)  # the longest ones; the others have theirs
-        names = named(tokens, spark.sparkContext.broadcast(since)).groupBy("h1", "h2").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
+        held = sent(since, spark)
+        names = named(tokens, held).groupBy("h1", "h2").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
         out = staged(final.join(names, ["h1", "h2"]).select("lang", "k", "phrase", "f"), "phrases")
+        held.destroy()
         discard(runs.plain(state))
     return out
 
 
-def named(tokens: DataFrame, since) -> DataFrame:
+def named(tokens: DataFrame, sent_tables: Broadcast) -> DataFrame:
     """h1, h2, lang, phrase of all phrases whose slot is that of a frequent one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        tables = since.value
+        tables = received(sent_tables)
         mask = np.uint64(len(tables[0]) - 1)
         for batch in batches:
             for k in range(batch.num_rows):

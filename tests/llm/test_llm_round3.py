@@ -103,10 +103,10 @@ def test_steps_interleave_lengths(shipped):
     """Longer phrases are active before the words' own cycle ends."""
     tokens = staged(collocations.chunks(shipped.createDataFrame([("a b c d", "en")] * 4000, "text string, lang string").repartition(4), 4, 400), "t", partition="shard")
     since = [np.full(1 << 10, collocations.NEVER, np.uint8) for _ in range(4)]
-    held = shipped.sparkContext.broadcast(since)
+    held = collocations.sent(since, shipped)
     one = collocations.counted(tokens.filter("shard = 0"), 0, 4, held)
     assert {r["k"] for r in one.select("k").distinct().collect()} == {1} and collocations.mark(since[:-1], one.filter("n >= 30"), 1)
-    two = collocations.counted(tokens.filter("shard = 1"), 1, 4, shipped.sparkContext.broadcast(since))
+    two = collocations.counted(tokens.filter("shard = 1"), 1, 4, collocations.sent(since, shipped))
     assert {r["k"] for r in two.select("k").distinct().collect()} == {1, 2}
 
 
