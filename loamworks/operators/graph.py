@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamworks.operators.grid import _along, majority_filter, nearest_source, padded
+from loamworks.operators.grid import _along, majority_filter, nearest_source, neighbours, padded
 from loamworks.session import discard, staged
 
 #: A cell's number is its row times this plus its column.
@@ -187,15 +187,38 @@ def drop_small_regions(cells: DataFrame, value: str, least: int, eight: bool = F
     return named.join(kept, "label", "left_semi").select("r", "c", F.col("v").alias(value), "label")
 
 
-def nearest_value(cells: DataFrame, known: Column, value: str, reach: int) -> DataFrame:
-    """Cells with ``value`` replaced, where it is not ``known``, by that of the nearest known cell within ``reach`` (ties: smallest cell number)."""
+def nearest_value(cells: DataFrame, known: Column, value: str, reach: int | None = None) -> DataFrame:
+    """Cells with ``value`` replaced, where it is not ``known``, by that of the nearest known cell (ties: smallest cell number), if asked for within ``reach``."""
     found = nearest_source(cells, known, reach, F.col(value))
     return found.withColumn(value, F.when(known, F.col(value)).otherwise(F.coalesce("_held", value))).drop("_d2", "_held")
 
 
-def generalise(cells: DataFrame, value: str, least: int, reach: int) -> DataFrame:
-    """Majority filter, then regions below ``least`` cells refilled from the nearest kept region."""
-    smooth = staged(majority_filter(cells.select("r", "c", value), value), "smooth")
+def boundary_clean(cells: DataFrame, value: str) -> DataFrame:
+    """Zone boundaries smoothed by expanding and shrinking: first zones of higher priority grow by a cell into those of lower, then the cells go back where they came from the inside of a zone.
+
+    Values of more cells come first, of equals the smaller value. Expanding, a cell takes the value of
+    highest priority among itself and its eight neighbours. Shrinking does the same the other way round: it takes the value of lowest
+    priority. A cell whose neighbours all had its own value keeps it either way; null values have no priority and stay.
+    """
+    sizes = cells.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
+    # a row per zone, never per cell; ranks are made of what each zone knows of itself, so nothing is numbered in one task
+    key = F.struct(F.col("_n").alias("n"), (-F.col(value)).alias("v"))
+    own = cells.join(sizes, value, "left").select("r", "c", F.col(value), F.when(F.col(value).isNotNull(), key).alias("_key"))
+
+    def passed(df: DataFrame, pick) -> DataFrame:
+        n = neighbours(df, "_key")
+        around = [F.col(f"n{i}") for i in range(8)]
+        return n.withColumn("_key", F.when(F.col("_key").isNotNull(), pick("_key", *around))).drop(*(f"n{i}" for i in range(8)))
+
+    grown = staged(passed(own, F.greatest), "grown")
+    shrunk = passed(grown, F.least)
+    return shrunk.select("r", "c", F.when(F.col("_key").isNotNull(), -F.col("_key.v")).cast(cells.schema[value].dataType).alias(value))
+
+
+def generalise(cells: DataFrame, value: str, least: int, reach: int | None = None, clean: bool = False) -> DataFrame:
+    """Majority filter, if asked for the cleaning of boundaries, then regions below ``least`` cells refilled from the nearest kept region."""
+    smooth = majority_filter(cells.select("r", "c", value), value)
+    smooth = staged(boundary_clean(smooth, value) if clean else smooth, "smooth")
     kept = drop_small_regions(smooth, value, least).select("r", "c", F.lit(True).alias("_kept"))
     return nearest_value(smooth.join(kept, ["r", "c"], "left").withColumn("_kept", F.coalesce("_kept", F.lit(False))), F.col("_kept"), value, reach).drop("_kept")
 

@@ -1,20 +1,25 @@
 """Neighbourhood operators on the cell table (r, c, bands...).
 
-A focal box is separable: sums, minima and maxima pass along rows, then along columns,
-each pass one window over a row or a column. Nothing is exploded by the box.
-Cells that are not in the table, and null values, count for nothing. So that what lies
-in a row reaches the rows beside it where a column's cell is absent, gaps within rows are
-first filled with helper cells, as far as the box reaches; they hold no values and do not
-come out. A grid without gaps gets helpers at the ends of its rows only.
+Boxes are computed in tiles with a halo (``tiles``): one exchange, then two running passes
+over arrays, so a wide box costs a cell no more than a narrow one. Cells that are not in the
+table, and null values, count for nothing. Neighbours and weighted passes go by windows along
+rows and columns; so that what lies in a row reaches the rows beside it where a column's cell
+is absent, gaps within rows are first filled with helper cells, as far as the pass reaches;
+they hold no values and do not come out.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loamworks.operators.tiles import boxes
+from loamworks.session import ship
 
 
 def _along(axis: str, low: int, high: int):
@@ -36,17 +41,9 @@ def padded(cells: DataFrame, left: int, right: int) -> DataFrame:
     return spaced.select(*kept, "c", F.explode(found.cast("array<int>")).alias("_place")).select(*kept, F.col("_place").alias("c"), (F.col("_place") == c).alias("_own"))
 
 
-def boxed(cells: DataFrame, values: dict[str, tuple[Callable, Column]], low: int, high: int) -> DataFrame:
-    """The cells with, for each name, an aggregate (sum, min or max) of an expression over the box from ``low`` to ``high`` in both directions."""
-    start = padded(cells, high, -low).withColumns({n: F.when(F.col("_own"), v) for n, (_, v) in values.items()})
-    rows = start.withColumns({n: f(n).over(_along("r", low, high)) for n, (f, _) in values.items()})
-    out = rows.withColumns({n: f(n).over(_along("c", low, high)) for n, (f, _) in values.items()})
-    return out.filter("_own").select(*cells.columns, *(n for n in values if n not in cells.columns))
-
-
 def focal_sums(cells: DataFrame, values: dict[str, Column], k: int) -> DataFrame:
     """The cells with, for each name, the sum of its expression over the (2k + 1) x (2k + 1) box."""
-    return boxed(cells, {n: (F.sum, v) for n, v in values.items()}, -k, k)
+    return boxes(cells, {n: ("sum", v) for n, v in values.items()}, -k, k)
 
 
 def focal_statistics(cells: DataFrame, band: str, k: int, prefix: str = "focal") -> DataFrame:
@@ -60,12 +57,12 @@ def focal_statistics(cells: DataFrame, band: str, k: int, prefix: str = "focal")
 
 def focal_extreme(cells: DataFrame, band: str, k: int, which: str, into: str) -> DataFrame:
     """Least or greatest value in the box."""
-    found = boxed(cells, {"_x": ({"min": F.min, "max": F.max}[which], F.col(band))}, -k, k)
+    found = boxes(cells, {"_x": (which, F.col(band))}, -k, k)
     return found.withColumn(into, F.col("_x")).drop("_x")
 
 
 def _extremes(cells: DataFrame, band: str, k: int) -> DataFrame:
-    return boxed(cells, {"_lo": (F.min, F.col(band)), "_hi": (F.max, F.col(band))}, -k, k)
+    return boxes(cells, {"_lo": ("min", F.col(band)), "_hi": ("max", F.col(band))}, -k, k)
 
 
 def relief(cells: DataFrame, band: str, k: int, into: str = "relief") -> DataFrame:
@@ -182,28 +179,90 @@ def relative_position(cells: DataFrame, band: str, k: int) -> DataFrame:
     return out.withColumn("position", F.try_divide(F.col(band) - F.col("_lo"), F.col("_hi") - F.col("_lo"))).drop("_hi", "_lo")
 
 
-def nearest_source(cells: DataFrame, source: Column, reach: int, held: Column | None = None) -> DataFrame:
-    """The cells with ``_d2``, the squared distance to the nearest source cell (ties: smallest row, then column), and ``_held``, that cell's ``held``; null beyond ``reach``.
+#: Rows whose sources and cells meet in one task.
+STRIP = 8
 
-    First the nearest source within the column, by windows up and down; then the least over the columns within reach,
-    by one window along the row.
+
+def _envelope(at: list[int], high: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Lower envelope of the parabolas (x - at)^2 + high, ``at`` ascending: which of them are in it, and from where each is lowest.
+
+    Parabolas that touch it in one point stay, so that ties can be told.
+    """
+    kept, start = [], []
+    for k, (x, h) in enumerate(zip(at, high, strict=True)):
+        from_ = -math.inf
+        while kept:
+            y = at[kept[-1]]
+            from_ = (h + x * x - high[kept[-1]] - y * y) / (2 * (x - y))
+            if from_ >= start[-1]:
+                break
+            kept.pop()
+            start.pop()
+            from_ = -math.inf
+        kept.append(k)
+        start.append(from_)
+    return np.array(kept, np.int64), np.array(start)
+
+
+def _row_nearest(row: int, columns: np.ndarray, site_c: np.ndarray, site_r: np.ndarray) -> np.ndarray:
+    """Position of the nearest site for each of a row's columns; sites ascend by column, one per column. Ties: smallest site row, then column."""
+    kept, start = _envelope(site_c.tolist(), ((site_r - row) ** 2).tolist())
+    now = np.searchsorted(start, columns, side="right") - 1
+    best, tied = kept[now], np.ones(len(columns), bool)
+    while True:
+        tied = tied & (now > 0) & (start[now] == columns)
+        if not tied.any():
+            return best
+        now = np.where(tied, now - 1, now)
+        other = kept[now]
+        better = tied & ((site_r[other] < site_r[best]) | ((site_r[other] == site_r[best]) & (site_c[other] < site_c[best])))
+        best = np.where(better, other, best)
+
+
+def nearest_source(cells: DataFrame, source: Column, reach: int | None = None, held: Column | None = None) -> DataFrame:
+    """The cells with ``_d2``, the squared distance to the nearest source cell (ties: smallest row, then column), and ``_held``, that cell's ``held``.
+
+    However far it is; with a ``reach``, null beyond it. Along a column each source is nearest to a stretch of rows, which ends
+    half way to the next source: it is sent to those rows. There the sources of all columns are parabolas, and their lower
+    envelope gives every cell its nearest one, in time linear in the row. Absent cells are no obstacle. A task holds
+    ``STRIP`` rows.
     """
-    up = Window.partitionBy("c").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("c").orderBy("r").rowsBetween(0, Window.unboundedFollowing)
-    at = F.when(F.col("_own") & source, F.struct(F.col("r").alias("r"), (F.lit(None).cast("int") if held is None else held).alias("held")))
-    found = padded(cells, reach, reach).withColumn("_at", at)
-    found = found.withColumns({"_above": F.last("_at", ignorenulls=True).over(up), "_below": F.first("_at", ignorenulls=True).over(down)})
-    nearer = F.when(F.col("_below").isNull() | (F.col("r") - F.col("_above.r") <= F.col("_below.r") - F.col("r")), F.col("_above")).otherwise(F.col("_below"))
-    found = found.withColumn("_near", nearer).withColumn("_near", F.when(F.abs(F.col("_near.r") - F.col("r")) <= reach, F.struct(F.col("_near.r").alias("r"), F.col("c").alias("c"), F.col("_near.held").alias("held"))))
-    found = found.withColumn("_all", F.collect_list("_near").over(_along("r", -reach, reach))).filter("_own")
-    d2 = lambda x: (x["r"] - F.col("r")) * (x["r"] - F.col("r")) + (x["c"] - F.col("c")) * (x["c"] - F.col("c"))
-    least = F.array_min(F.transform("_all", lambda x: F.struct(d2(x).alias("d2"), x["r"].alias("r"), x["c"].alias("c"), x["held"].alias("held"))))
-    found = found.withColumn("_least", least).withColumn("_least", F.when(F.col("_least.d2") <= reach * reach, F.col("_least")))
-    return found.select(*cells.columns, F.col("_least.d2").alias("_d2"), F.col("_least.held").alias("_held"))
-
-
-def distance(cells: DataFrame, source: Column, reach: int, into: str = "distance") -> DataFrame:
-    """Distance in cells to the nearest source cell, null beyond ``reach``."""
+    ship(cells.sparkSession)
+    found = cells.filter(source).select("r", "c", (F.lit(None).cast("int") if held is None else held).alias("_held"))
+    first, last = cells.agg(F.min("r"), F.max("r")).first()
+    w = Window.partitionBy("c").orderBy("r")
+    before, after = F.lag("r").over(w), F.lead("r").over(w)
+    low = F.coalesce(F.floor((before + F.col("r")) / 2) + 1, F.lit(first))
+    high = F.coalesce(F.floor((F.col("r") + after) / 2), F.lit(last))
+    if reach is not None:
+        low, high = F.greatest(low, F.col("r") - reach), F.least(high, F.col("r") + reach)
+    stretch = found.select("c", F.col("r").alias("_site"), "_held", low.cast("int").alias("_low"), high.cast("int").alias("_high")).filter("_low <= _high")
+    sites = stretch.select("c", "_site", "_held", F.explode(F.sequence("_low", "_high")).alias("r"))
+    schema = T.StructType([*cells.schema.fields, T.StructField("_d2", T.LongType()), T.StructField("_held", found.schema["_held"].dataType)])
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        sites, cells = left.sort_by([("r", "ascending"), ("c", "ascending")]), right.sort_by("r").drop_columns("_strip")
+        rows, columns = (cells[x].to_numpy().astype(np.int64) for x in ("r", "c"))
+        site_row, site_c, site_r = (sites[x].to_numpy().astype(np.int64) for x in ("r", "c", "_site"))
+        best = np.full(len(rows), -1)
+        for row in np.unique(rows):
+            mine, those = (slice(*np.searchsorted(x, (row, row + 1))) for x in (rows, site_row))
+            if those.stop > those.start:
+                best[mine] = _row_nearest(int(row), columns[mine], site_c[those], site_r[those]) + those.start
+        none = best < 0
+        at = np.where(none, 0, best)
+        d2 = (site_r[at] - rows) ** 2 + (site_c[at] - columns) ** 2 if len(site_r) else np.zeros(len(rows), np.int64)
+        if reach is not None:
+            none |= d2 > reach * reach
+        value = sites["_held"].take(pa.array(np.where(none, None, at), pa.int64())) if len(site_r) else pa.nulls(len(rows), sites.schema.field("_held").type)
+        return pa.table([*cells.columns, pa.array(d2, mask=none), value], [*cells.column_names, "_d2", "_held"])
+
+    strip = F.floor(F.col("r") / STRIP).alias("_strip")
+    return sites.select("*", strip).groupBy("_strip").cogroup(cells.select(*(F.col(x).alias(x) for x in cells.columns), strip).groupBy("_strip")).applyInArrow(work, schema)
+
+
+def distance(cells: DataFrame, source: Column, reach: int | None = None, into: str = "distance") -> DataFrame:
+    """Distance in cells to the nearest source cell; with a ``reach``, null beyond it."""
     found = nearest_source(cells, source, reach)
     return found.withColumn(into, F.sqrt(F.col("_d2").cast("double"))).drop("_d2", "_held")
 

@@ -2,36 +2,43 @@
 
 Accumulation and basins use pointer doubling: after k rounds every cell knows the cell
 2**k steps downstream, and what it has gathered from upstream cells nearer than that.
-Rounds grow with the logarithm of the longest flow path.
+Rounds grow with the logarithm of the longest flow path. Sinks are filled from tiles flooded on
+their own and a graph of the passes between them; flats drain by the steps to their outlets.
 """
 
 from __future__ import annotations
 
+import functools
+import heapq
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamworks.operators.graph import ROW, components
 from loamworks.operators.grid import AROUND, neighbours
-from loamworks.operators.graph import ROW
-from loamworks.session import discard, ship, staged
+from loamworks.operators.tiles import SIDE, Tile, dealt, per_tile
+from loamworks.session import discard, staged
 
 # The codes of the eight flow directions, clockwise from the east.
 CODES = [1, 2, 4, 8, 16, 32, 64, 128]
 
 
-def flow_direction(cells: DataFrame, band: str) -> DataFrame:
-    """``direction``: code of the neighbour with the steepest drop (ties: the first clockwise from the east); 0 for a pit, null without value."""
-    n = neighbours(cells, band)
-    drops = [(F.col(band) - F.col(f"n{i}")) / (math.sqrt(2) if i % 2 else 1.0) for i in range(8)]
-    best = F.greatest(*drops)
-    code = F.when(F.col(band).isNotNull(), 0)
-    pick = F.lit(None).cast("int")
+def flow_code(z: Column, around: list[Column]) -> Column:
+    """Code of the steepest of eight neighbours (ties: the first clockwise from the east), 0 if none is lower, null without value."""
+    drops = [(z - n) / (math.sqrt(2) if i % 2 else 1.0) for i, n in enumerate(around)]
+    best, pick = F.greatest(*drops), F.lit(None).cast("int")
     for d, c in zip(drops, CODES, strict=True):
         pick = F.coalesce(pick, F.when((d == best) & (d > 0), c))
-    return n.withColumn("direction", F.coalesce(pick, code)).drop(*(f"n{i}" for i in range(8)))
+    return F.coalesce(pick, F.when(z.isNotNull(), 0))
+
+
+def flow_direction(cells: DataFrame, band: str) -> DataFrame:
+    """``direction``: code of the neighbour with the steepest drop; 0 for a pit or a flat (``flow_over_flats`` drains these), null without value."""
+    n = neighbours(cells, band)
+    return n.withColumn("direction", flow_code(F.col(band), [F.col(f"n{i}") for i in range(8)])).drop(*(f"n{i}" for i in range(8)))
 
 
 def downstream(cells: DataFrame, direction: str = "direction") -> DataFrame:
@@ -92,56 +99,261 @@ def channel_relief(cells: DataFrame, band: str, least: int) -> DataFrame:
     return found.select("r", "c", "base_level", (F.col("z") - F.col("base_level")).alias("above"), (F.col("_top") - F.col("z")).alias("valley_depth"))
 
 
-def fill_sinks(cells: DataFrame, band: str, tile: int = 64) -> DataFrame:
+#: Stands for the outside in the graph of spill levels; every other label is a cell number.
+OUTSIDE = -1
+HALF = [(0, 1), (1, -1), (1, 0), (1, 1)]
+
+
+def _flooded(z: np.ndarray, seeds: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Level and label of each cell of a tile: the lowest way to a seed, and the seed it leads to. ``z`` has an empty (NaN) border."""
+    width = z.shape[1]
+    steps = [dr * width + dc for dr, dc in AROUND]
+    height = z.ravel().tolist()
+    level, label = [math.inf] * len(height), labels.ravel().tolist()
+    heap = []
+    for at in np.flatnonzero(seeds).tolist():
+        level[at] = height[at]
+        heap.append((height[at], at))
+    heapq.heapify(heap)
+    while heap:
+        here, at = heapq.heappop(heap)
+        if here > level[at]:
+            continue
+        for step in steps:
+            to = at + step
+            up = height[to]
+            if up == up:  # not a gap
+                up = max(up, here)
+                if up < level[to]:
+                    level[to], label[to] = up, label[at]
+                    heapq.heappush(heap, (up, to))
+    return np.array(level).reshape(z.shape), np.array(label, np.int64).reshape(z.shape)
+
+
+def _tile_floods(cells: DataFrame, band: str, side: int) -> DataFrame:
+    """Rows of two kinds: cells (r, c, z, w: level to the tile's edge or the outside, a: label) and passes (a, b: labels, w: lowest level between them).
+
+    A cell on the tile's edge is a label of its own, one beside a gap or the grid's end is the outside. A rim of two
+    cells tells which of the next tile's cells are outside.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        tile = Tile(table, rim=1)
+        held, there = tile.column("z")
+        z = np.where(there, held, np.nan)
+        own = tile.array(tile.own, False)
+        gap = ~there
+        around = np.zeros(z.shape, bool)  # a neighbour that is a gap; cells of the rim's outer row do not count
+        other = np.zeros(z.shape, bool)
+        for dr, dc in AROUND:
+            around[1:-1, 1:-1] |= gap[1 + dr : z.shape[0] - 1 + dr, 1 + dc : z.shape[1] - 1 + dc]
+            other[1:-1, 1:-1] |= (there & ~own)[1 + dr : z.shape[0] - 1 + dr, 1 + dc : z.shape[1] - 1 + dc]
+        number = (np.arange(z.shape[0])[:, None] + tile.r0) * np.int64(ROW) + np.arange(z.shape[1])[None, :] + tile.c0
+        names = np.where(around, OUTSIDE, number)
+        inside = np.where(own, z, np.nan)
+        w, label = _flooded(inside, own & there & (around | other), names)
+        # the next tile's cells stand at their own level under their own label
+        w, label = np.where(own, w, np.where(there, z, np.inf)), np.where(own, label, names)
+        parts = []
+        for dr, dc in HALF:
+            rows, columns = slice(0, z.shape[0] - dr), slice(max(-dc, 0), z.shape[1] - max(dc, 0))
+            rows2, columns2 = slice(dr, z.shape[0]), slice(max(dc, 0), z.shape[1] + min(dc, 0))
+            meet = there[rows, columns] & there[rows2, columns2] & (own[rows, columns] | own[rows2, columns2]) & (label[rows, columns] != label[rows2, columns2])
+            a, b = label[rows, columns][meet], label[rows2, columns2][meet]
+            parts.append((np.minimum(a, b), np.maximum(a, b), np.maximum(w[rows, columns][meet], w[rows2, columns2][meet])))
+        a, b, level = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((level, b, a))
+        a, b, level = a[order], b[order], level[order]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
+        i, j = np.nonzero(own & there)
+        n, m = len(i), len(first)
+        none = pa.nulls
+        both = lambda x, y, kind: pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x, kind), y if isinstance(y, pa.Array) else pa.array(y, kind)])
+        return pa.table(
+            [
+                pa.array([True] * n + [False] * m, pa.bool_()),
+                both((i + tile.r0).astype(np.int32), none(m, pa.int32()), pa.int32()),
+                both((j + tile.c0).astype(np.int32), none(m, pa.int32()), pa.int32()),
+                both(z[i, j], none(m, pa.float64()), pa.float64()),
+                both(w[i, j], level[first], pa.float64()),
+                both(label[i, j], a[first], pa.int64()),
+                both(none(n, pa.int64()), b[first], pa.int64()),
+            ],
+            ["is_cell", "r", "c", "z", "w", "a", "b"],
+        )
+
+    deal = dealt(cells.select("r", "c", F.col(band).cast("double").alias("z")), side, -2, 2)
+    return per_tile(deal, work, "is_cell boolean, r int, c int, z double, w double, a long, b long")
+
+
+def _settled(passes: pa.Table) -> pa.Table:
+    """(grp, w): the level at which each group joins the outside, passes taken from the lowest up."""
+    order = np.argsort(passes["w"].to_numpy(), kind="stable")
+    a, b, w = (passes[c].to_numpy()[order].tolist() for c in ("a", "b", "w"))
+    root, held, found = {}, {}, {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for x, y, level in zip(a, b, w, strict=True):
+        x, y = top(x), top(y)
+        if x == y:
+            continue
+        x, y = (x, y) if x == top(OUTSIDE) or (y != top(OUTSIDE) and len(held.get(x, (x,))) >= len(held.get(y, (y,)))) else (y, x)
+        root[y] = x
+        mine = held.pop(y, [y])
+        if x == top(OUTSIDE):
+            found.update(dict.fromkeys(mine, level))
+        else:
+            held.setdefault(x, [x]).extend(mine)
+    return pa.table([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.float64())], ["grp", "w"])
+
+
+def spill_levels(passes: DataFrame, small: int = 1 << 18) -> DataFrame:
+    """(label, level): how high water of each label must stand to run to the outside, over the passes (a, b, w).
+
+    Boruvka rounds: each group of labels takes its lowest pass, rises to it and joins the group behind it; groups that
+    have joined the outside are done. The groups at least halve in a round, so rounds grow with their logarithm. What is
+    left of at most ``small`` passes is settled in one task.
+    """
+    passes = staged(passes.select("a", "b", "w"), "passes")
+    ends = passes.select(F.col("a").alias("label")).unionAll(passes.select(F.col("b").alias("label"))).distinct().filter(F.col("label") != OUTSIDE)
+    open_, done = staged(ends.select("label", F.col("label").alias("grp"), F.lit(-math.inf).alias("level")), "levels"), []
+    while passes.count() > small:
+        both = passes.unionAll(passes.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")).filter(F.col("a") != OUTSIDE)
+        lowest = staged(both.groupBy("a").agg(F.min(F.struct("w", "b")).alias("m")).select("a", "m.w", "m.b"), "lowest")
+        joined = staged(components(lowest.select("a", "b")).filter(F.col("node") != OUTSIDE), "joined")
+        risen = open_.join(lowest.select(F.col("a").alias("grp"), "w"), "grp", "left").join(joined.select(F.col("node").alias("grp"), F.col("label").alias("_root")), "grp", "left")
+        risen = staged(risen.select("label", F.coalesce("_root", "grp").alias("grp"), F.greatest("level", "w").alias("level")), "levels")
+        to = lambda end: joined.select(F.col("node").alias(end), F.col("label").alias(f"_{end}"))  # noqa: B023, E731
+        moved = passes.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"), "w").filter("a != b")
+        merged = staged(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("w").alias("w")), "passes")
+        done.append(staged(risen.filter(F.col("grp") == OUTSIDE).select("label", "level"), "settled"))
+        left = staged(risen.filter(F.col("grp") != OUTSIDE), "levels")
+        for old in (open_, passes, lowest, joined, risen):
+            discard(old)
+        passes, open_ = merged, left
+    last = passes.withColumn("_all", F.lit(True)).groupBy("_all").applyInArrow(_settled, "grp long, w double")
+    out = open_.join(last, "grp").select("label", F.greatest("level", "w").alias("level"))
+    for part in done:
+        out = out.unionByName(part)
+    return out
+
+
+def fill_sinks(cells: DataFrame, band: str, tile: int = SIDE) -> DataFrame:
     """``filled``: the least level at which water from a cell reaches the grid's edge (or a cell beside nulls).
 
-    Tiles relax on their own (w = max(z, least neighbour w)) with a rim of one cell from the tiles beside them, round
-    after round until no cell changes; a task holds one tile. Levels only fall, so rounds end.
+    Each tile is flooded once from its edge: a cell gets its level there and the label of the edge cell it runs to. The
+    lowest passes between labels make a graph far smaller than the grid; ``spill_levels`` finds how high each label stands.
+    A cell is filled to the higher of the two. No round goes over the cells.
     """
-    ship(cells.sparkSession)
-    state = staged(cells.select("r", "c", F.col(band).cast("double").alias("z")).withColumn("w", F.lit(math.inf)), "fill")
-    offsets = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
-
-    def relax(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["own"].to_numpy()
-        r0, c0 = int(pdf["r"].min()), int(pdf["c"].min())
-        z = np.full((int(pdf["r"].max()) - r0 + 3, int(pdf["c"].max()) - c0 + 3), np.nan)
-        w, mine = np.full(z.shape, np.inf), np.zeros(z.shape, bool)
-        i, j = pdf["r"].to_numpy() - r0 + 1, pdf["c"].to_numpy() - c0 + 1
-        z[i, j], w[i, j], mine[i, j] = pdf["z"].to_numpy(), pdf["w"].to_numpy(), own
-        gap = np.isnan(z)
-        edge = mine & ~gap & _beside(gap)
-        w[edge] = z[edge]
-        w[gap] = np.inf
-        while True:
-            low = np.min([np.roll(np.roll(w, a, 0), b, 1) for a, b in offsets if a or b], axis=0)
-            new = np.where(mine & ~gap & ~edge, np.minimum(w, np.maximum(z, low)), w)
-            if (new == w).all():
-                break
-            w = new
-        out = pdf[own][["r", "c", "z"]].copy()
-        out["w"], out["changed"] = w[i[own], j[own]], w[i[own], j[own]] != pdf["w"].to_numpy()[own]
-        return out
+    found = staged(_tile_floods(cells, band, tile), "floods", partition="is_cell")
+    inside = found.filter("is_cell").select("r", "c", "z", "w", "a")
+    levels = spill_levels(found.filter("not is_cell").groupBy("a", "b").agg(F.min("w").alias("w")))
+    # what runs to the outside within its tile is done; the other labels hold a tile's cells at most
+    behind = inside.filter(F.col("a") != OUTSIDE).join(levels.withColumnRenamed("label", "a"), "a", "left").select("r", "c", "z", F.greatest("w", "level").alias("filled"))
+    whole = inside.filter(F.col("a") == OUTSIDE).select("r", "c", "z", F.col("w").alias("filled")).unionByName(behind)
+    gaps = cells.filter(F.col(band).isNull()).select("r", "c", F.lit(None).cast("double").alias("z"), F.lit(None).cast("double").alias("filled"))
+    return whole.unionByName(gaps).withColumnRenamed("z", band)
+
+
+#: Stands for no way to an outlet or to higher ground.
+FAR = 1 << 30
+
+
+def _waves(start: np.ndarray, z: np.ndarray, may: np.ndarray) -> np.ndarray:
+    """Steps over equal heights: each cell that ``may`` change gets the least of its start and its neighbours' steps plus one. The arrays' border is empty."""
+    steps = [dr * z.shape[1] + dc for dr, dc in AROUND]
+    d, level, open_ = start.ravel().copy(), z.ravel(), may.ravel()
+    waiting = {int(v): np.flatnonzero(d == v) for v in np.unique(d[d < FAR])}
+    front, now = np.zeros(0, np.int64), -1
+    while waiting or len(front):
+        now = now if len(front) else min(waiting)
+        front = np.concatenate((front, waiting.pop(now, front[:0])))
+        front = front[d[front] == now]
+        reached = [front[:0]]
+        for step in steps:
+            to = front + step
+            to = to[open_[to] & (level[to] == level[front]) & (d[to] > now + 1)]
+            d[to] = now + 1
+            reached.append(to)
+        front, now = np.unique(np.concatenate(reached)), now + 1
+    return d.reshape(z.shape)
+
+
+def flow_over_flats(cells: DataFrame, band: str, side: int = SIDE) -> DataFrame:
+    """``direction`` as ``flow_direction``, but cells of a flat go on towards its outlets, and away from higher ground where both agree.
+
+    A flat cell has neighbours on all sides, none of them lower. Its steps over equal heights to the nearest cell that flows on
+    or lies on the edge (``low``), and those from the nearest cell beside higher ground (``high``), make a slope of 2 low - high;
+    it flows where that falls most steeply. Two steps of ``low`` outweigh one of ``high``, so every flat that has an outlet drains.
+    Codes of 0 are left to cells on the edge and to pits without outlet. Tiles search on their own, with a rim of one cell,
+    until no steps change: rounds grow with the tiles that a flat crosses, and only flats take part.
+    """
+    n = neighbours(cells, band)
+    z, around = F.col(band), [F.col(f"n{i}") for i in range(8)]
+    any_ = lambda test: functools.reduce(Column.__or__, [F.coalesce(test(x), F.lit(False)) for x in around])
+    code = flow_code(z, around)
+    n = n.withColumns({"direction": code, "_edge": functools.reduce(Column.__or__, [x.isNull() for x in around]), "_level": any_(lambda x: x == z), "_higher": any_(lambda x: x > z)})
+    n = staged(n.select(*cells.columns, "direction", "_level", "_higher", ((F.col("direction") == 0) & ~F.col("_edge")).alias("_flat")), "directions")
+    state = n.filter("_level").select(
+        "r", "c", F.col(band).cast("double").alias("z"), F.col("_flat").alias("flat"),
+        F.when(F.col("_flat"), FAR).otherwise(0).alias("low"), F.when(F.col("_flat") & F.col("_higher"), 1).otherwise(FAR).alias("high"),
+    )
+    state = staged(state, "steps")
+    columns = ["r", "c", "z", "flat", "low", "high"]
+
+    def arrays(table: pa.Table) -> tuple[Tile, dict[str, np.ndarray]]:
+        tile = Tile(table, rim=1)
+        held = {x: tile.column(x)[0] for x in columns[2:]}
+        there = tile.array(np.ones(table.num_rows, bool), False)
+        held["z"] = np.where(there, held["z"], np.nan)
+        for x in ("low", "high"):
+            held[x] = np.where(there, held[x], FAR)
+        return tile, held
+
+    def search(table: pa.Table) -> pa.Table:
+        tile, held = arrays(table)
+        own = table.filter(table["_own"])
+        may = held["flat"] & tile.array(tile.own, False)
+        at = tuple(x[tile.own] for x in tile.at)
+        low, high = _waves(held["low"], held["z"], may)[at], _waves(np.where(held["flat"], held["high"], FAR), held["z"], may)[at]
+        changed = (low != held["low"][at]) | (high != held["high"][at])
+        return pa.table([*(own[x] for x in columns[:4]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(changed)], [*columns, "changed"])
+
+    def point(table: pa.Table) -> pa.Table:
+        tile, held = arrays(table)
+        high = np.where(held["high"] == FAR, 0, held["high"])
+        # an outlet lies below all of its flat; a way straight on is shorter than one across
+        slope = np.where(held["flat"], 2 * held["low"] - high, -(1 << 20)).astype(np.float64)
+        slope[np.isnan(held["z"]) | (held["flat"] & (held["low"] == FAR))] = np.inf
+        mine = held["flat"] & tile.array(tile.own, False) & (held["low"] < FAR)
+        i, j = np.nonzero(mine)
+        best, to = np.zeros(len(i)), np.zeros(len(i), np.int32)
+        for (dr, dc), code_ in zip(AROUND, CODES, strict=True):
+            drop = (slope[i, j] - slope[i + dr, j + dc]) / (math.sqrt(2) if dr and dc else 1.0)
+            drop[held["z"][i + dr, j + dc] != held["z"][i, j]] = 0
+            to[drop > best] = code_
+            best = np.maximum(best, drop)
+        return pa.table([pa.array((i + tile.r0).astype(np.int32)), pa.array((j + tile.c0).astype(np.int32)), pa.array(to)], ["r", "c", "_to"])
 
     while True:
-        tr, tc = F.floor(F.col("r") / tile), F.floor(F.col("c") / tile)
-        seen = F.array_distinct(F.array(*(F.struct(F.floor((F.col("r") + i) / tile).alias("tr"), F.floor((F.col("c") + j) / tile).alias("tc")) for i, j in offsets)))
-        dealt = state.select("r", "c", "z", "w", tr.alias("_tr"), tc.alias("_tc"), F.explode(seen).alias("t")).select("r", "c", "z", "w", "t.tr", "t.tc", ((F.col("_tr") == F.col("t.tr")) & (F.col("_tc") == F.col("t.tc"))).alias("own"))
-        state = staged(dealt.groupBy("tr", "tc").applyInPandas(relax, "r int, c int, z double, w double, changed boolean"), "fill")
+        found = staged(per_tile(dealt(state.select(*columns), side, -1, 1), search, "r int, c int, z double, flat boolean, low int, high int, changed boolean"), "steps")
+        discard(state)
+        state = found
         if state.filter("changed").isEmpty():
             break
-        state = state.drop("changed")
-    return state.select("r", "c", F.col("z").alias(band), F.when(F.col("z").isNotNull(), F.col("w")).alias("filled"))
+    to = per_tile(dealt(state.select(*columns), side, -1, 1), point, "r int, c int, _to int")
+    turned = n.filter("_flat").join(to, ["r", "c"], "left").withColumn("direction", F.coalesce("_to", "direction"))
+    return n.filter("_flat is null or not _flat").select(*cells.columns, "direction").unionByName(turned.select(*cells.columns, "direction"))
 
 
-def _beside(mask: np.ndarray) -> np.ndarray:
-    """Cells with a marked neighbour."""
-    out = np.zeros_like(mask)
-    for a in (-1, 0, 1):
-        for b in (-1, 0, 1):
-            if a or b:
-                out |= np.roll(np.roll(mask, a, 0), b, 1)
-    return out
+def drained(cells: DataFrame, band: str) -> DataFrame:
+    """(r, c, band, filled, direction): sinks filled, then directions over the filled surface: every cell's flow reaches the edge."""
+    filled = staged(fill_sinks(cells, band), "filled")
+    return flow_over_flats(filled, "filled")
 
 
 def ridge_valley(cells: DataFrame, band: str, k: int) -> DataFrame:

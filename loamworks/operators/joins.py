@@ -172,7 +172,7 @@ def along_line(lines: DataFrame, cells: DataFrame, key: str, vertices: str, band
     return sample_grid(points, cells, [band])
 
 
-def height_above(cells: DataFrame, source: Column, band: str, reach: int) -> DataFrame:
-    """``hand``: band minus the band of the nearest source cell within ``reach`` cells (ties: smallest row, then column), else null."""
-    found = nearest_source(cells.select("*"), source & F.col(band).isNotNull(), reach, F.col(band))
+def height_above(cells: DataFrame, source: Column, band: str, reach: int | None = None) -> DataFrame:
+    """``hand``: band minus the band of the nearest source cell (ties: smallest row, then column); with a ``reach`` in cells, null beyond it."""
+    found = nearest_source(cells, source & F.col(band).isNotNull(), reach, F.col(band))
     return found.select("r", "c", (F.col(band) - F.col("_held")).alias("hand"))

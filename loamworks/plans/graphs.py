@@ -226,24 +226,36 @@ GAP = "({a}.r-{b}.r)*({a}.r-{b}.r)+({a}.c-{b}.c)*({a}.c-{b}.c)"
 @query(
     "F20_generalise",
     f"{region_sql(SMOOTH)}, s AS (SELECT label, count(*) AS n FROM lab GROUP BY 1), kept AS (SELECT r, c, v FROM src JOIN lab ON src.r * {ROW} + src.c = node JOIN s USING (label) WHERE n >= 20), lost AS (SELECT * FROM src WHERE r * {ROW} + c NOT IN (SELECT r * {ROW} + c FROM kept)), "
-    f"b AS (SELECT lost.v AS old, kept.v AS new, row_number() OVER (PARTITION BY lost.r, lost.c ORDER BY {GAP.format(a='lost', b='kept')}, kept.r, kept.c) AS q FROM lost LEFT JOIN kept ON abs(lost.r-kept.r) <= 12 AND abs(lost.c-kept.c) <= 12 AND {GAP.format(a='lost', b='kept')} <= 144) "
+    f"b AS (SELECT lost.v AS old, kept.v AS new, row_number() OVER (PARTITION BY lost.r, lost.c ORDER BY {GAP.format(a='lost', b='kept')}, kept.r, kept.c) AS q FROM lost LEFT JOIN kept ON true) "
     "SELECT dz, count(*) AS n_cells FROM (SELECT v AS dz FROM kept UNION ALL SELECT coalesce(new, old) FROM b WHERE q = 1) u GROUP BY 1",
 )
 def _(t):
-    g = P.generalise(t.cells.select("r", "c", "dz"), "dz", 20, 12)
+    g = P.generalise(t.cells.select("r", "c", "dz"), "dz", 20)
     return g.groupBy("dz").agg(F.count("*").alias("n_cells"))
 
 
+def cleaned_sql(source: str) -> str:
+    """Expand and shrink by priority (more cells first, then the smaller value) of ``source`` (r, c, v): ranks go up and down the list of values."""
+    ranks = f"rk AS (SELECT v, row_number() OVER (ORDER BY count(*), -v) AS k FROM {source} WHERE v IS NOT NULL GROUP BY v), kd AS (SELECT r, c, k FROM {source} LEFT JOIN rk USING (v))"
+    step = lambda a, b, f: f"{b} AS (SELECT a.r, a.c, CASE WHEN any_value(a.k) IS NOT NULL THEN {f}(n.k) END AS k FROM {a} a JOIN {a} n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 GROUP BY a.r, a.c)"
+    return f"{ranks}, {step('kd', 'up', 'max')}, {step('up', 'dn', 'min')}, clean AS (SELECT r, c, v FROM dn LEFT JOIN rk USING (k))"
+
+
+@query("F20_boundary_clean", f"WITH o AS (SELECT r, c, dz AS v FROM cells), {cleaned_sql('o')} SELECT r, c, v AS dz FROM clean")
+def _(t):
+    return P.boundary_clean(t.cells.select("r", "c", "dz"), "dz")
+
+
 @query(
     "F21_rule_repair",
     f"WITH bad AS (SELECT r, c, dz FROM cells WHERE dl = 3 AND dz > 4), k AS (SELECT r, c, dz FROM cells WHERE dz <= 4), b AS (SELECT bad.r, bad.c, coalesce(k.dz, bad.dz) AS dz, row_number() OVER (PARTITION BY bad.r, bad.c ORDER BY {GAP.format(a='bad', b='k')}, k.r, k.c) AS q "
-    f"FROM bad LEFT JOIN k ON abs(bad.r-k.r) <= 20 AND abs(bad.c-k.c) <= 20 AND {GAP.format(a='bad', b='k')} <= 400) SELECT r, c, dz FROM b WHERE q = 1 UNION ALL SELECT r, c, dz FROM cells WHERE NOT (dl = 3 AND dz > 4)",
+    "FROM bad LEFT JOIN k ON true) SELECT r, c, dz FROM b WHERE q = 1 UNION ALL SELECT r, c, dz FROM cells WHERE NOT (dl = 3 AND dz > 4)",
 )
 def _(t):
     # land class 3 may carry geology 1 to 4 only
     cells = t.cells.select("r", "c", "dl", "dz")
     known = ~((F.col("dl") == 3) & (F.col("dz") > 4))
-    fixed = P.nearest_value(cells, known & (F.col("dz") <= 4), "dz", 20)
+    fixed = P.nearest_value(cells, known & (F.col("dz") <= 4), "dz")
     return cells.withColumn("_ok", known).join(fixed.select("r", "c", F.col("dz").alias("_new")), ["r", "c"]).select("r", "c", F.when(F.col("_ok"), F.col("dz")).otherwise(F.col("_new")).alias("dz"))
 
 
@@ -277,6 +289,19 @@ def _(t):
     return H.fill_sinks(t.cells, "dem").withColumn("depth", F.col("filled") - F.col("dem"))
 
 
+@query("H1_flow_over_flats")
+def _(t):
+    # ground in steps of 40, then filled: flats everywhere
+    stepped = t.cells.select("r", "c", (F.floor(F.col("dem") / 40) * 40.0).alias("dem"))
+    return H.drained(stepped, "dem")
+
+
+@query("H2_drained_accumulation")
+def _(t):
+    found = H.accumulate(H.downstream(H.drained(t.cells.select("r", "c", "dem"), "dem")))
+    return found.select((F.col("node") / ROW).cast("int").alias("r"), (F.col("node") % ROW).cast("int").alias("c"), "acc")
+
+
 @query("H4_channels", f"{FLOW} SELECT CAST(node // {ROW} AS INT) AS r, CAST(node % {ROW} AS INT) AS c, count(*) AS acc FROM walk GROUP BY node HAVING count(*) >= 12")
 def _(t):
     return H.channels(H.flow_accumulation(t.cells, "dem"), 12).select("r", "c", "acc")

@@ -145,7 +145,13 @@ def watered(t):
     return G.distance(t.cells.select("r", "c", "water"), F.col("water") == 1, 6)
 
 
-@query("F9_distance", f"WITH {WATER} SELECT a.r, a.c, round(sqrt(d2), 4) AS distance, round(exp(-sqrt(d2) / 3), 5) AS decay FROM cells a LEFT JOIN d ON a.r = d.r AND a.c = d.c")
+@query("F9_distance", "WITH v AS (SELECT r, c FROM cells WHERE water = 1) SELECT a.r, a.c, round(sqrt(min((a.r-v.r)*(a.r-v.r)+(a.c-v.c)*(a.c-v.c))), 4) AS distance, round(exp(-sqrt(min((a.r-v.r)*(a.r-v.r)+(a.c-v.c)*(a.c-v.c))) / 3), 5) AS decay FROM cells a LEFT JOIN v ON true GROUP BY 1, 2")
+def _(t):
+    d = G.distance(t.cells.select("r", "c", "water"), F.col("water") == 1)
+    return d.select("r", "c", F.round("distance", 4).alias("distance"), F.round(F.exp(-F.col("distance") / 3), 5).alias("decay"))
+
+
+@query("F9_distance_cut", f"WITH {WATER} SELECT a.r, a.c, round(sqrt(d2), 4) AS distance, round(exp(-sqrt(d2) / 3), 5) AS decay FROM cells a LEFT JOIN d ON a.r = d.r AND a.c = d.c")
 def _(t):
     return watered(t).select("r", "c", F.round("distance", 4).alias("distance"), F.round(F.exp(-F.col("distance") / 3), 5).alias("decay"))
 

@@ -458,10 +458,10 @@ def _(t):
 @query(
     "J16_height_above_drainage",
     "WITH v AS (SELECT r, c, dem FROM cells WHERE water = 1 AND dem IS NOT NULL), p AS (SELECT a.r, a.c, a.dem - v.dem AS hand, row_number() OVER (PARTITION BY a.r, a.c ORDER BY (a.r-v.r)*(a.r-v.r)+(a.c-v.c)*(a.c-v.c), v.r, v.c) AS k "
-    "FROM cells a JOIN v ON abs(a.r-v.r) <= 6 AND abs(a.c-v.c) <= 6 AND (a.r-v.r)*(a.r-v.r)+(a.c-v.c)*(a.c-v.c) <= 36) SELECT a.r, a.c, hand FROM cells a LEFT JOIN p ON a.r = p.r AND a.c = p.c AND k = 1",
+    "FROM cells a CROSS JOIN v) SELECT a.r, a.c, hand FROM cells a LEFT JOIN p ON a.r = p.r AND a.c = p.c AND k = 1",
 )
 def _(t):
-    return J.height_above(t.cells, F.col("water") == 1, "dem", 6)
+    return J.height_above(t.cells, F.col("water") == 1, "dem")
 
 
 @query(
