@@ -9,11 +9,14 @@ and main on pages that have one of these, and in blocks of links on pages withou
 ratios are smoothed with a Gaussian along the page and split into two clusters. A line
 is dense if its own ratio and the smoothed one both belong to the upper cluster.
 
-Dense lines select content regions, which are kept with their short lines. A region is
-a marked element, or the article (else main) element around a line. Without these it is
-the smallest container around a dense line that holds other lines too, without what is
-marked or in blocks of links. Nothing else decides: without dense lines there is no text.
-A form is a marked element unless it holds most of the page's unmarked text.
+Dense lines say where the content is. If an article or main element holds one, all lines of
+these elements are kept whatever their own ratio, short articles and text of main beside an
+article too, but articles that are mostly links. A part of an article whose name may be what it is
+about (id ``related`` or ``copyright``, class ``social-history``) is kept if most of it is at least half as dense; names of
+layout, adverts and reader comments decide alone. Without article and main the smallest container
+around a dense line that holds other lines too is kept, and the containers beside it of the
+same element that are mostly sentences, without what is marked or in blocks of links. Without dense
+lines there is no text. A form is a marked element unless it holds most of the page's unmarked text.
 
 Null and empty pages give an empty text, and so do pages of nothing but menus. Very long
 pages are parsed whole; time grows with their length. Repeated rows and equal pages give
@@ -47,9 +50,15 @@ MARKED = frozenset("nav header footer aside dialog".split())
 #: Words of a class or id that name a block beside the article, and those that only tell how its name is meant.
 MARKED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox adsense adsbygoogle banner taboola outbrain sponsor sponsors sponsored promo promos promotion cookie cookies consent gdpr notice notices alert alerts announcement disclaimer toast snackbar overlay paywall popup modal newsletter subscribe subscription signup "
-    "sidebar sidebars widget widgets menu menus nav navbar topnav subnav sidenav topbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead header footer copyright comment comments commentlist reply replies respond disqus "
+    "sidebar sidebars widget widgets menu menus nav navbar topnav subnav sidenav topbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead header footer copyright comment comments commentlist reply replies respond responses disqus "
     "share sharing social related recommended recommendations login search".split()
 )
+#: Those that say so inside an article whatever stands beside them, and those that may well be what a part of it is about.
+STRONG_WORDS = frozenset("ad ads advert adverts advertisement advertising adbox adsense adsbygoogle taboola outbrain sponsor sponsors sponsored promo promos promotion comment comments commentlist reply replies respond responses disqus".split())
+TOPIC_WORDS = frozenset("related recommended recommendations copyright cookie cookies consent social share sharing search login notice notices alert alerts announcement disclaimer header footer banner menu menus navigation subscription widget widgets".split())
+#: What goes with them in the name of a block.
+FILLER_WORDS = frozenset("area article articles bar block body box bottom button buttons card cards container content div group icons info inner item items left link links list main module news outer page panel part post posts right row section site stories story text title top wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TELLING_WORDS = frozenset("no not non has have with without free open closed off enabled disabled hide show".split())
 #: What may be called a header and holds a title all the same, and the marks that an article element itself may bear.
 TITLED_WORDS = frozenset("post entry article story content title page".split())
@@ -71,16 +80,21 @@ ENDS = (
 )
 MARKED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: What an element's name and attributes say.
+MARK, ASK = 1, 2
+#: A line that reads like a sentence.
+SENTENCE = re.compile(r"\S+\s+\S+\s+\S.*[.!?…。！？:]['\"»”’)\]]*$")
 #: Smoothing width in lines.
 SIGMA = 1.5
 
 
-def marks(value: str, titled: bool) -> bool:
-    """Whether a class or id value names a block beside the article; ``titled``: inside an article, where headers hold titles.
+def marks(value: str, titled: bool) -> list[tuple[frozenset[str], frozenset[str]]]:
+    """For each name in a class or id value that names a block beside the article: the words that say so, and its others.
 
     A name is judged by its first and its last word, whole: ``cookie-notice`` and ``sidebar_left`` name such a block,
-    ``has-sidebar``, ``page-with-sidebar``, ``ad-free`` and ``leading`` do not.
+    ``has-sidebar``, ``page-with-sidebar``, ``ad-free`` and ``leading`` do not. ``titled``: inside an article, where headers hold titles.
     """
+    out = []
     for name in value.split():
         words = [w.lower() for w in WORDS.findall(name)]
         if not words or TELLING_WORDS.intersection(words):
@@ -89,17 +103,18 @@ def marks(value: str, titled: bool) -> bool:
         if found == {"header"} and (titled or TITLED_WORDS.intersection(words)):
             continue
         if found:
-            return True
-    return False
+            out.append((found, frozenset(words) - MARKED_WORDS))
+    return out
 
 
 class Open(NamedTuple):
-    """What holds inside an open element: its name, whether text counts, the region, whether that is marked, the form, the container."""
+    """What holds inside an open element: its name, whether text counts, the region, whether that is marked, or in question, the form, the container."""
 
     name: str
     textless: bool = False
     region: int = 0
     marked: bool = False
+    asked: bool = False
     article: bool = False
     form: int = 0
     container: int = 0
@@ -111,6 +126,7 @@ class Line(NamedTuple):
     linked: int
     region: int
     marked: bool
+    asked: bool
     form: int
     container: int
 
@@ -123,7 +139,7 @@ class Lines(HTMLParser):
         self.open: list[Open] = []
         self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.parents = [0]
+        self.parents, self.names = [0], [""]
         self.tags = self.linked = self.regions = self.forms = 0
 
     def here(self) -> Open:
@@ -132,7 +148,7 @@ class Lines(HTMLParser):
     def end_line(self) -> None:
         if text := " ".join("".join(self.parts).split()):
             here = self.here()
-            self.lines.append(Line(text, self.tags, self.linked, here.region, here.marked, here.form, here.container))
+            self.lines.append(Line(text, self.tags, self.linked, here.region, here.marked, here.asked, here.form, here.container))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -148,16 +164,18 @@ class Lines(HTMLParser):
         now = around._replace(name=tag, textless=around.textless or tag in TEXTLESS)
         if tag in CONTAINERS:
             self.parents.append(around.container)
+            self.names.append(tag)
             now = now._replace(container=len(self.parents) - 1)
         if tag == "form" and not around.form:
             self.forms += 1
             now = now._replace(form=self.forms)
         if not around.marked:
             kind = next((value for name, value in attrs if name == "role" and value in ("article", "main")), tag)
-            if self.is_marked(tag, attrs, around):
+            how = self.is_marked(tag, attrs, around)
+            if how == MARK or how == ASK and not around.asked:
                 self.regions += 1
-                now = now._replace(region=self.regions, marked=True)
-            elif kind == "article" and not around.article or kind == "main" and not around.region:
+                now = now._replace(region=self.regions, marked=how == MARK, asked=how == ASK)
+            elif not around.asked and (kind == "article" and not around.article or kind == "main" and not around.region):
                 self.regions += 1
                 now = now._replace(region=self.regions, article=kind == "article")
         self.open.append(now)
@@ -182,21 +200,26 @@ class Lines(HTMLParser):
                 return
 
     @staticmethod
-    def is_marked(tag: str, attrs: list[tuple[str, str | None]], around: Open) -> bool:
-        """Whether the element, by its name or attributes, is none of the article's."""
+    def is_marked(tag: str, attrs: list[tuple[str, str | None]], around: Open) -> int:
+        """MARK if the element, by its name or attributes, is none of the article's; ASK if it lies in one and only a name speaks against it."""
         if tag in ("html", "body", "main"):
-            return False
+            return 0
         if tag == "article":
             names = [token.lower().replace("_", "-").split("-") for name, value in attrs if name in ("class", "id") and value for token in value.split()]
-            return any(words[0] in OTHER_ARTICLES and not TELLING_WORDS.intersection(words) for words in names)
+            return MARK if any(words[0] in OTHER_ARTICLES and not TELLING_WORDS.intersection(words) for words in names) else 0
         if tag in MARKED and not (tag == "header" and around.region):
-            return True
+            return MARK
+        how = 0
         for name, value in attrs:
-            if name in ("class", "id") and value and marks(value, bool(around.region)) or name == "role" and value in MARKED_ROLES:
-                return True
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and HIDDEN.search(value):
-                return True
-        return False
+            if name == "role" and value in MARKED_ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and HIDDEN.search(value):
+                return MARK
+            for found, rest in marks(value, bool(around.region)) if name in ("class", "id") and value else ():
+                asked = found <= TOPIC_WORDS and len(found) == 1 and not rest if name == "id" else bool(rest - FILLER_WORDS)
+                if not around.region or found & STRONG_WORDS or not asked:
+                    return MARK
+                if not (name == "id" and tag in HEADINGS):  # a heading's id is where links lead to
+                    how = ASK
+        return how
 
     def handle_startendtag(self, tag, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -267,31 +290,47 @@ def main_text(html: str) -> str:
     region = np.array([x.region for x in lines])
     region[(region == 0) & marked] = parser.regions + 1
     named = bool((~marked & (region > 0)).any())
-    linked = np.array([x.linked for x in lines])
-    aside = marked | ((region == 0) if named else smooth(np.minimum(1.0, linked / sizes)) > 0.5)
-    ratios = np.where(aside, 0.0, (sizes - np.minimum(linked, sizes)) / (1 + np.array([x.tags for x in lines])))
+    linked = np.minimum(np.array([x.linked for x in lines]), sizes)
+    aside = marked | ((region == 0) if named else smooth(linked / sizes) > 0.5)
+    ratios = np.where(aside, 0.0, (sizes - linked) / (1 + np.array([x.tags for x in lines])))
     smoothed = smooth(ratios)
     least = threshold(smoothed)
     dense = (smoothed >= least) & (ratios >= least)
+    if not dense.any():  # lines much alike: the smoothed ratio may peak where no line's own does
+        dense = (smoothed >= least) & (2 * ratios >= least)
     if named:
-        keep = np.isin(region, region[dense]) & (~marked | dense)
+        keep = in_regions(region, np.array([x.asked for x in lines]), sizes, linked, dense, 2 * ratios >= least, parser.regions + 2) & (~marked | dense)
     else:
-        keep = dense | under(np.array([x.container for x in lines]), dense, parser.parents) & ~aside
+        prose = np.array([bool(SENTENCE.search(x.text)) for x in lines]) & ~aside
+        keep = dense | around_dense(np.array([x.container for x in lines]), dense, prose, sizes, parser) & ~aside
     return "\n".join(x.text for x, k in zip(lines, keep, strict=True) if k)
 
 
-def under(container: np.ndarray, dense: np.ndarray, parents: list[int]) -> np.ndarray:
-    """Which lines lie in the smallest container around a dense line that holds other lines too; each line's container, and each container's, are given."""
-    held = np.bincount(container, minlength=len(parents))
+def in_regions(region: np.ndarray, asked: np.ndarray, sizes: np.ndarray, linked: np.ndarray, dense: np.ndarray, near: np.ndarray, regions: int) -> np.ndarray:
+    """Lines of the articles, if one has a dense line: of all whose text is not mostly links; of parts in question, those of mostly (``near``) dense text."""
+    if not dense[region > 0].any():
+        return np.zeros(len(region), bool)
+    total, links, thick, close = (np.bincount(region, x, regions) for x in (sizes, linked, sizes * dense, sizes * near))
+    whole = (thick > 0) | (2 * links <= total)
+    whole[0] = False
+    return np.where(asked, (2 * close >= total)[region], whole[region])
+
+
+def around_dense(container: np.ndarray, dense: np.ndarray, prose: np.ndarray, sizes: np.ndarray, parser: Lines) -> np.ndarray:
+    """Lines in the smallest container around a dense line that holds other lines too, and in those beside it of the same element that are mostly sentences."""
+    parents, names = parser.parents, parser.names
+    held, total, told = (np.bincount(container, x, len(parents)) for x in (np.ones(len(container)), sizes, sizes * prose))
     for k in range(len(parents) - 1, 0, -1):  # a container comes after the one around it
-        held[parents[k]] += held[k]
+        for count in (held, total, told):
+            count[parents[k]] += count[k]
     chosen = np.zeros(len(parents), bool)
     for k in set(container[dense].tolist()):
         while k and held[k] == 1:
             k = parents[k]
         chosen[k] = True
+    beside = {(parents[k], names[k]) for k in np.flatnonzero(chosen).tolist() if k}
     for k in range(1, len(parents)):
-        chosen[k] |= chosen[parents[k]]
+        chosen[k] |= bool(chosen[parents[k]]) or ((parents[k], names[k]) in beside and 2 * told[k] >= total[k] > 0)
     return chosen[container]
 
 
