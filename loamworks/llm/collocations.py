@@ -13,7 +13,8 @@ their size is fixed and two phrases that share a slot share the earlier step. Th
 counts some phrases more than needed, each still for one whole cycle; what is frequent is
 decided by the counts, which are kept by 96 bits of hash in bucketed tables. A task sums
 its counts before the exchange; completed rare phrases leave the table at each step.
-Words of the frequent phrases come from one more scan.
+Words of the frequent phrases come from one more scan, in rounds over ever larger parts: a
+round names what it holds of the phrases that still have no name, so a phrase is sent few times.
 
 Null text is empty, null lang counts as ``und``; texts without words add nothing. Repeated
 rows count each. A very long text is one chunk of its own. Ties in score go by count, then
@@ -38,7 +39,9 @@ from loamworks.llm.linededup import Runs
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 SHARDS, SLOTS, CHUNK_WORDS = 4, 1 << 22, 1 << 20
 NEVER = 255
-#: Frequent phrases that a task of the naming scan remembers at most as named; beyond that it starts anew.
+#: Parts of the naming scan; its rounds end at these.
+PARTS, ROUNDS = 64, (1, 2, 4, 8, 16, 32, 64)
+#: Phrases that a task of the naming scan remembers at most as named; beyond that it starts anew.
 NAMED = 1 << 20
 # What ends a piece, and the letters that are folded (as bytes).
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -61,13 +64,14 @@ class Numbers(dict):
 
 
 def chunks(docs: DataFrame, shards: int = SHARDS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """shard, lang, n_words, ids (int32: 0 between pieces), lane1 and lane2 (hashes of the numbered words), words (one a line)."""
-    schema = "shard int, lang string, n_words long, ids binary, lane1 binary, lane2 binary, words binary"
+    """shard, part (of the naming scan), lang, n_words, ids (int32: 0 between pieces), lane1 and lane2 (hashes of the numbered words), words (one a line)."""
+    schema = "shard int, part int, lang string, n_words long, ids binary, lane1 binary, lane2 binary, words binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        made, held = TaskContext.get().partitionId(), {}
+        task, held = TaskContext.get().partitionId(), {}
+        made = task
 
         def out(lang: str) -> pa.RecordBatch:
             nonlocal made
@@ -76,9 +80,9 @@ def chunks(docs: DataFrame, shards: int = SHARDS, chunk_words: int = CHUNK_WORDS
             digests = b"".join(xxhash.xxh3_128_digest(seed + w) for w in numbers)
             lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
             made += 1
-            row = [made % shards, lang, int(np.count_nonzero(ids)), ids.tobytes(), lanes[:, 0].tobytes(), lanes[:, 1].tobytes(), b"\n".join(numbers)]
-            kinds = [pa.int32(), pa.string(), pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["shard", "lang", "n_words", "ids", "lane1", "lane2", "words"])
+            row = [made % shards, zlib.crc32(b"%d %d" % (task, made)) % PARTS, lang, int(np.count_nonzero(ids)), ids.tobytes(), lanes[:, 0].tobytes(), lanes[:, 1].tobytes(), b"\n".join(numbers)]
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["shard", "part", "lang", "n_words", "ids", "lane1", "lane2", "words"])
 
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"].to_pylist(), strict=True):
@@ -230,21 +234,29 @@ def frequent_phrases(tokens: DataFrame, shards: int = SHARDS, least: int = LEAST
             held.destroy()
             step += 1
         final = runs.plain(state).filter(F.col("n") >= least).select("h1", "h2", "k", F.col("n").alias("f"))
-        mark(since, final, step)  # the longest ones; the others have theirs
-        held = sent(since, spark)
-        names = named(tokens, held).groupBy("h1", "h2").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
-        out = staged(final.join(names, ["h1", "h2"]).select("lang", "k", "phrase", "f"), "phrases")
-        held.destroy()
-        discard(runs.plain(state))
-    return out
+        names, open_ = None, final
+        for start, end in zip((0, *ROUNDS), ROUNDS):
+            unnamed = [np.full(slots, NEVER, np.uint8) for _ in range(LONGEST)]
+            if not mark(unnamed, open_, step):
+                break
+            held, sought = sent(since[:-1], spark), sent(unnamed, spark)
+            found = named(tokens.filter(F.col("part").between(start, end - 1)), held, sought).groupBy("h1", "h2").agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"))
+            found = staged(found.join(open_, ["h1", "h2"]), "names")
+            names = names.unionByName(found) if names else found
+            open_ = open_.join(found, ["h1", "h2"], "left_anti")
+            held.destroy()
+            sought.destroy()
+        if names is None:
+            return spark.createDataFrame([], "lang string, k int, phrase string, f long")
+        return names.select("lang", "k", "phrase", "f")
 
 
-def named(tokens: DataFrame, sent_tables: Broadcast) -> DataFrame:
-    """h1, h2, lang, phrase of all phrases whose slot is that of a frequent one."""
+def named(tokens: DataFrame, activation: Broadcast, unnamed: Broadcast) -> DataFrame:
+    """h1, h2, lang, phrase of all phrases whose slot is that of a frequent one without name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        tables = received(sent_tables)
+        since, tables = received(activation), received(unnamed)
         mask = np.uint64(len(tables[0]) - 1)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -259,7 +271,7 @@ def named(tokens: DataFrame, sent_tables: Broadcast) -> DataFrame:
 
                 one = np.flatnonzero(tables[0][lanes[0][1:] & mask] != NEVER) + 1
                 add(lanes[0][one], lanes[1][one], lambda i: words[one[i]])
-                for length, starts, _, mine in phrases(ids, lanes, tables[:-1]):
+                for length, starts, _, mine in phrases(ids, lanes, since):
                     hit = np.flatnonzero(tables[length - 1][mine[0] & mask] != NEVER)
                     if len(hit):
                         kind, _ = summed(mine[0][hit], mine[1][hit])
