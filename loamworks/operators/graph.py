@@ -7,6 +7,8 @@ shared folder after every round, so rounds grow with the logarithm of a chain's
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -242,13 +244,38 @@ def moran(values: DataFrame, links: DataFrame, key: str, value: str) -> DataFram
     return lagged.agg((F.sum(F.col("z") * F.col("lag")) / F.sum(F.when(F.col("lag").isNotNull(), 1)) * F.count("z") / F.sum(F.col("z") * F.col("z"))).alias("i"))
 
 
-def gower_pairs(df: DataFrame, key: str, block: str, numbers: list[str], names: list[str], least: float) -> DataFrame:
-    """(a, b, similarity) within a block, a < b, of similarity at least ``least``: range-scaled differences and mismatch flags, averaged.
+def gower_pairs(df: DataFrame, key: str, numbers: list[str], names: list[str], least: float) -> DataFrame:
+    """(a, b, similarity) of all pairs, a < b, of similarity at least ``least``: range-scaled differences and mismatch flags, averaged.
 
-    ``block`` bounds what is compared; choose one whose groups stay small, such as a spatial bucket.
+    The threshold bounds what may differ: with f features a similarity of s leaves a summed difference of f (1 - s). If that is below
+    1, all names are equal: rows meet by their names, and by buckets of that width of each number, neighbours included. A pair meets once.
+    The result itself grows with the square of a dense place's rows; ``gower_links`` only counts.
     """
+    f = len(numbers) + len(names)
+    room = f * (1 - least) + 1e-9
     span = df.agg(*(F.max(n).alias(f"_hi_{n}") for n in numbers), *(F.min(n).alias(f"_lo_{n}") for n in numbers))
-    scaled = df.crossJoin(F.broadcast(span)).select(key, block, *((F.coalesce(F.try_divide(F.col(n), F.col(f"_hi_{n}") - F.col(f"_lo_{n}")), F.lit(0.0))).alias(n) for n in numbers), *names)
-    other = scaled.select(F.col(key).alias("_k"), block, *(F.col(n).alias(f"_{n}") for n in [*numbers, *names]))
-    gap = sum([F.abs(F.col(n) - F.col(f"_{n}")) for n in numbers] + [(F.col(n) != F.col(f"_{n}")).cast("int") for n in names], F.lit(0.0)) / (len(numbers) + len(names))
-    return scaled.join(other, block).filter(F.col(key) < F.col("_k")).select(F.col(key).alias("a"), F.col("_k").alias("b"), (1 - gap).alias("similarity")).filter(F.col("similarity") >= least)
+    scaled = df.crossJoin(F.broadcast(span)).select(key, *((F.coalesce(F.try_divide(F.col(n), F.col(f"_hi_{n}") - F.col(f"_lo_{n}")), F.lit(0.0))).alias(n) for n in numbers), *names)
+    buckets = [f"_b{i}" for i in range(len(numbers))]
+    left = scaled.withColumns({b: F.floor(F.col(n) / room).cast("long") for b, n in zip(buckets, numbers, strict=True)})
+    right = left.select(F.col(key).alias("_k"), *(F.col(n).alias(f"_{n}") for n in [*numbers, *names]), *buckets)
+    for b in buckets:
+        right = right.withColumn(b, F.explode(F.array(F.col(b) - 1, F.col(b), F.col(b) + 1)))
+    met = functools.reduce(Column.__and__, [left[b] == right[b] for b in buckets] + ([F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names] if room < 1 else []), F.col(key) < F.col("_k"))
+    gap = sum([F.abs(F.col(n) - F.col(f"_{n}")) for n in numbers] + [(F.col(n) != F.col(f"_{n}")).cast("int") for n in names], F.lit(0.0)) / f
+    return left.join(right, met).select(F.col(key).alias("a"), F.col("_k").alias("b"), (1 - gap).alias("similarity")).filter(F.col("similarity") >= least)
+
+
+def gower_links(df: DataFrame, key: str, numbers: list[str], names: list[str], least: float) -> DataFrame:
+    """(key, representative, n_links): rows of equal features are one, named by the smallest key; how many other rows each is similar to.
+
+    Copies are not paired: representatives are, and carry how many rows they stand for. Counts are summed before any exchange of pairs.
+    """
+    same = df.groupBy(*numbers, *names).agg(F.min(key).alias("representative"), F.count("*").alias("_n"))
+    same = staged(same, "alike")
+    pairs = gower_pairs(same, "representative", numbers, names, least)
+    n = same.select(F.col("representative").alias("_k"), "_n")
+    both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = both.join(n, F.col("b") == F.col("_k")).groupBy("a").agg(F.sum("_n").alias("_others"))
+    counted = same.join(linked, F.col("representative") == F.col("a"), "left").select(*numbers, *names, "representative", (F.coalesce("_others", F.lit(0)) + F.col("_n") - 1).alias("n_links"))
+    match = functools.reduce(Column.__and__, [df[c].eqNullSafe(counted[c]) for c in [*numbers, *names]])
+    return df.join(counted, match).select(df[key], "representative", "n_links")

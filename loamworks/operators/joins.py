@@ -39,33 +39,39 @@ def _cell(x: str, y: str, size: float) -> tuple[Column, Column]:
     return F.floor(F.col(x) / size), F.floor(F.col(y) / size)
 
 
-def near_pairs(left: DataFrame, right: DataFrame, radius: float, x: str = "x", y: str = "y") -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame, radius: float, x: str = "x", y: str = "y", within: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of points within ``radius``; columns of the right are prefixed with ``n_``; ``dist2`` is the squared distance.
 
-    The right side is copied to the nine buckets around it; a pair meets in one bucket only.
+    The right side is copied to the nine buckets around it; a pair meets in one bucket only. Points of different values in the
+    columns ``within`` never meet.
     """
     gx, gy = _cell(x, y, radius)
     around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     a = left.withColumns({"_gx": gx, "_gy": gy})
     b = right.select(*(F.col(c).alias(f"n_{c}") for c in right.columns), gx.alias("_hx"), gy.alias("_hy"))
-    b = b.withColumn("_o", F.explode(around)).select("*", (F.col("_hx") + F.col("_o.i")).alias("_gx"), (F.col("_hy") + F.col("_o.j")).alias("_gy")).drop("_hx", "_hy", "_o")
+    b = b.withColumns({c: F.col(f"n_{c}") for c in within}).withColumn("_o", F.explode(around)).select("*", (F.col("_hx") + F.col("_o.i")).alias("_gx"), (F.col("_hy") + F.col("_o.j")).alias("_gy")).drop("_hx", "_hy", "_o")
     dx, dy = F.col(x) - F.col(f"n_{x}"), F.col(y) - F.col(f"n_{y}")
-    return a.join(b, ["_gx", "_gy"]).withColumn("dist2", dx * dx + dy * dy).filter(F.col("dist2") <= radius * radius).drop("_gx", "_gy")
+    return a.join(b, ["_gx", "_gy", *within]).withColumn("dist2", dx * dx + dy * dy).filter(F.col("dist2") <= radius * radius).drop("_gx", "_gy")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, right_key: str, k: int = 1, other: bool = False, bounded: bool = False) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, right_key: str, k: int = 1, other: bool = False, bounded: bool = False, within: tuple[str, ...] = ()) -> DataFrame:
     """The ``k`` nearest right points of each left point, as ``rank`` 1 to k (ties by the right key).
 
     The search begins within ``radius``; points that have fewer than ``k`` there are looked up again with the doubled
     radius, until each has ``k`` or has met every right point. ``bounded`` searches within ``radius`` only; those who
     find fewer then have fewer rows. With ``other`` a point is not its own neighbour. Without ``radius`` the first one
     is that of a disc that would hold k points if they were spread evenly. Points without coordinates find nothing.
+    Neighbours have equal values in the columns ``within``. Of right points on one spot only as many of the smallest keys
+    go in as can be among the k, so a spot that holds a third of all points gives no point more than that many pairs.
 
     Rounds: each is written before the next, and only open points go on. At the radius of a round, only left points
     in thin places are open, so a round's pairs stay near k times the open points unless the right side is uneven.
     """
     w = Window.partitionBy(key).orderBy("dist2", f"n_{right_key}")
-    placed = right.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    spot = Window.partitionBy("x", "y", *within).orderBy(right_key)
+    placed = right.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("_spot", F.row_number().over(spot)).filter(F.col("_spot") <= k + int(other)).drop("_spot")
+    if not bounded:
+        placed = staged(placed, "placed")
     open_ = left.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     if radius is None or not bounded:
         n, *box = placed.agg(F.count("*"), F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
@@ -74,7 +80,7 @@ def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, r
         radius = radius or max(wide * math.sqrt(k / max(1, n)), 1e-9)
     found, size = None, radius
     while True:
-        pairs = near_pairs(open_, placed, size)
+        pairs = near_pairs(open_, placed, size, within=within)
         if other:
             pairs = pairs.filter(F.col(key) != F.col(f"n_{right_key}"))
         ranked = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -22,7 +22,7 @@ from loamworks.operators.aggregates import regression_report
 from loamworks.operators.joins import near_pairs, nearest
 from loamworks.operators.quantiles import quantiles
 from loamworks.operators.sampling import hash_split
-from loamworks.session import ship, staged
+from loamworks.session import discard, ship, staged
 
 
 def assembled(df: DataFrame, features: list[str]) -> DataFrame:
@@ -270,11 +270,12 @@ def retrain(old: DataFrame, new: DataFrame, features: list[str], label: str):
 
 def clusters(df: DataFrame, features: list[str], ks: list[int], seed: int = 42) -> list[tuple[int, float, float]]:
     """(k, cost, silhouette) of k-means on standardised features."""
-    flat = assembled(standardise(df, features), features)
+    flat = assembled(standardise(df, features), features).select("features").persist()
     out = []
     for k in ks:
         model = KMeans(k=k, seed=seed).fit(flat)
         out.append((k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(flat)))))
+    flat.unpersist()
     return out
 
 
@@ -285,33 +286,34 @@ def elbow(costs: list[tuple[int, float]]) -> int:
     return costs[far.index(max(far))][0]
 
 
-def representatives(df: DataFrame, key: str, by: str, features: list[str], k: int, seed: int = 42, rounds: int = 20) -> DataFrame:
-    """The row nearest to each cluster centre of each class: k-means of all classes at once, one aggregate a round.
+def representatives(df: DataFrame, key: str, by: str, features: list[str], k: int, seed: int = 42, rounds: int = 200, settled: str | None = None) -> DataFrame:
+    """(key, class, cluster): the row nearest to each cluster centre of each class: k-means of all classes at once, one aggregate a round.
 
-    Centres, k rows per class, go through the driver; ``rounds`` ends k-means as MLlib's maxIter does. A class of fewer
-    rows has fewer clusters; rows with a null feature are in none.
+    Rounds go on until no centre moves; a column of the name ``settled`` tells whether that was before ``rounds`` of them. Centres
+    stay tables and are joined by class. A class of fewer rows has fewer clusters; rows with a null feature are in none.
     """
-    spark, rows = df.sparkSession, staged(df.select(key, by, *(F.col(f).cast("double").alias(f) for f in features)).dropna(), "points")
+    rows = staged(df.select(key, by, *(F.col(f).cast("double").alias(f) for f in features)).dropna(), "points")
     w = Window.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), key), key)
+    at = F.array(*features)
     first = rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k)
-    centres = [(r[by], r["_n"] - 1, [r[f] for f in features]) for r in first.collect()]
-    schema = T.StructType([T.StructField(by, df.schema[by].dataType), *T.StructType.fromDDL("cluster int, at array<double>").fields])
+    centres = staged(first.select(by, (F.col("_n") - 1).alias("cluster"), at.alias("at")), "centres")
 
-    def assigned() -> DataFrame:
-        table = spark.createDataFrame(centres, schema).groupBy(by).agg(F.collect_list(F.struct("cluster", "at")).alias("_centres"))
+    def assigned(centres: DataFrame) -> DataFrame:
+        table = centres.groupBy(by).agg(F.collect_list(F.struct("cluster", "at")).alias("_centres"))
         d = lambda x: sum(((F.col(f) - F.get(x["at"], F.lit(i))) ** 2 for i, f in enumerate(features)), F.lit(0.0))
         least = F.array_min(F.transform("_centres", lambda x: F.struct(d(x).alias("d"), x["cluster"].alias("cluster"))))
-        return rows.join(F.broadcast(table), by).withColumn("_least", least).select(key, by, *features, F.col("_least.d").alias("_d"), F.col("_least.cluster").alias("cluster"))
+        return rows.join(table, by).withColumn("_least", least).select(key, by, *features, F.col("_least.d").alias("_d"), F.col("_least.cluster").alias("cluster"))
 
+    still = False
     for _ in range(rounds):
-        means = assigned().groupBy(by, "cluster").agg(F.array(*(F.avg(f) for f in features)).alias("at")).collect()
-        new = [(r[by], r["cluster"], r["at"]) for r in means]
-        still = {c[:2]: c[2] for c in centres} == {c[:2]: c[2] for c in new}
-        centres = new
+        moved = staged(assigned(centres).groupBy(by, "cluster").agg(F.array(*(F.round(F.avg(f), 12) for f in features)).alias("at")), "centres")
+        still = moved.join(centres, [by, "cluster", "at"], "left_anti").isEmpty()
+        discard(centres)
+        centres = moved
         if still:
             break
-    best = Window.partitionBy(by, "cluster").orderBy("_d", key)
-    return assigned().withColumn("_n", F.row_number().over(best)).filter("_n = 1").select(key, by, "cluster")
+    best = assigned(centres).groupBy(by, "cluster").agg(F.min(F.struct("_d", key)).alias("_m"))
+    return best.select(F.col(f"_m.{key}").alias(key), by, "cluster", *([F.lit(still).alias(settled)] if settled else []))
 
 
 def lagged_regression(df: DataFrame, features: list[str], label: str) -> DataFrame:

@@ -141,19 +141,28 @@ def weighted_sample(df: DataFrame, weight: str, by: str, n: int, seed: int) -> D
     return ranked.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy("_k", *columns))).filter(F.col("_r") <= n).drop("_k", "_r")
 
 
-def density_downsample(df: DataFrame, key: str, by: str, features: list[str], n: int, radius: float, k: int = 5, seed: int = 42) -> DataFrame:
-    """n rows per class, rather those in thin places: weight is the distance to the k-th neighbour on the first two principal axes."""
+def density_weights(df: DataFrame, key: str, by: str, features: list[str], k: int = 5) -> DataFrame:
+    """(key, weight): distance to the k-th neighbour of the same class, on the first two principal axes of the features (two features: as they are).
+
+    However far that is; in a class of fewer others the farthest of them counts, a row alone in its class weighs 0.
+    """
     from pyspark.ml.feature import PCA, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    flat = VectorAssembler(inputCols=features, outputCol="_f").transform(df)
-    axes = PCA(k=2, inputCol="_f", outputCol="_p").fit(flat).transform(flat).withColumn("_a", vector_to_array("_p"))
-    at = axes.select(key, by, F.get("_a", F.lit(0)).alias("x"), F.get("_a", F.lit(1)).alias("y"))
-    pairs = near_pairs(at, at, radius).filter((F.col(by) == F.col(f"n_{by}")) & (F.col(key) != F.col(f"n_{key}")))
-    w = Window.partitionBy(key).orderBy("dist2", f"n_{key}")
-    kth = pairs.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).groupBy(key).agg(F.sqrt(F.max("dist2")).alias("weight"))
-    weighted = df.join(kth, key, "left").withColumn("weight", F.coalesce("weight", F.lit(radius)))
-    return weighted_sample(weighted, "weight", by, n, seed)
+    if len(features) == 2:
+        at = df.select(key, by, *(F.col(f).alias(a) for f, a in zip(features, "xy", strict=True)))
+    else:
+        flat = VectorAssembler(inputCols=features, outputCol="_f").transform(df)
+        axes = PCA(k=2, inputCol="_f", outputCol="_p").fit(flat).transform(flat).withColumn("_a", vector_to_array("_p"))
+        at = axes.select(key, by, F.get("_a", F.lit(0)).alias("x"), F.get("_a", F.lit(1)).alias("y"))
+    near = nearest(at, at, key, None, key, k=k, other=True, within=(by,))
+    far = near.groupBy(key).agg(F.sqrt(F.max("dist2")).alias("weight"))
+    return df.select(key).join(far, key, "left").select(key, F.coalesce("weight", F.lit(0.0)).alias("weight"))
+
+
+def density_downsample(df: DataFrame, key: str, by: str, features: list[str], n: int, k: int = 5, seed: int = 42) -> DataFrame:
+    """n rows per class, rather those in thin places: a row's chance goes by ``density_weights``."""
+    return weighted_sample(df.join(density_weights(df, key, by, features, k), key), "weight", by, n, seed)
 
 
 def class_targets(df: DataFrame, by: str, target: int, low: int, high: int) -> DataFrame:
@@ -197,13 +206,20 @@ def drop_small_classes(df: DataFrame, by: str, least: int, dirty: list[str] | No
     return kept.join(big, by, "left_semi")
 
 
-def interpolate(df: DataFrame, key: str, by: str, features: list[str], radius: float, k: int, each: int, seed: int = 42, apart: float = 0.0) -> DataFrame:
-    """Synthetic rows between a point and one of its k nearest of the same class; those closer than ``apart`` to their base are left out."""
-    pairs = near_pairs(df, df, radius).filter((F.col(by) == F.col(f"n_{by}")) & (F.col(key) != F.col(f"n_{key}")))
-    near = pairs.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("dist2", f"n_{key}"))).filter(F.col("_n") <= k)
+def interpolate(df: DataFrame, key: str, by: str, features: list[str], k: int, each: int, seed: int = 42, apart: float = 0.0) -> DataFrame:
+    """``each`` synthetic rows for every point whose class has another: between the point and one of the k nearest of its class (by x and y), however far.
+
+    With ``apart``, rows (their x and y must be features) that lie closer than that to any given point of any class are left out.
+    """
+    near = nearest(df, df, key, None, key, k=k, other=True, within=(by,))
     made = near.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(each)))).withColumn("_u", (F.pmod(F.xxhash64(F.lit(seed), key, f"n_{key}", "_i"), F.lit(1_000_003)) + 0.5) / 1_000_003)
     picked = made.withColumn("_p", F.row_number().over(Window.partitionBy(key, "_i").orderBy(F.xxhash64(F.lit(seed), key, f"n_{key}", "_i"), f"n_{key}"))).filter("_p = 1")
-    return picked.filter(F.sqrt("dist2") * F.col("_u") >= apart).select(key, by, F.col("_i").alias("copy"), *((F.col(f) + F.col("_u") * (F.col(f"n_{f}") - F.col(f))).alias(f) for f in features))
+    found = picked.select(key, by, F.col("_i").alias("copy"), *((F.col(f) + F.col("_u") * (F.col(f"n_{f}") - F.col(f))).alias(f) for f in features))
+    if not apart:
+        return found
+    found = staged(found, "made")
+    close = near_pairs(found.select(key, "copy", "x", "y"), df.select("x", "y").distinct(), apart).filter(F.col("dist2") < apart * apart).select(key, "copy").distinct()
+    return found.join(close, [key, "copy"], "left_anti")
 
 
 def uniform_samples(df: DataFrame, by: str, features: list[str], each: int, seed: int = 42) -> DataFrame:
@@ -239,21 +255,28 @@ def count_parameters(df: DataFrame, by: str) -> DataFrame:
 
 def density_features(points: DataFrame, key: str, size: float, radius: float | None = None, k: int = 4) -> DataFrame:
     """``cell_n``: points in the same square of ``size``; ``density``: 1 / mean distance to the k nearest, sought from ``radius`` on."""
-    square = [F.floor(F.col("x") / size), F.floor(F.col("y") / size)]
-    w = Window.partitionBy(*square)
+    placed = points.withColumns({"_sx": F.floor(F.col("x") / size), "_sy": F.floor(F.col("y") / size)})
+    counts = placed.groupBy("_sx", "_sy").agg(F.count("*").alias("cell_n"))
     near = nearest(points, points, key, radius, key, k=k, other=True).groupBy(key).agg(F.try_divide(F.lit(1.0), F.avg(F.sqrt("dist2"))).alias("density"))
-    return points.withColumn("cell_n", F.count("*").over(w)).join(near, key, "left")
+    # points without coordinates are one square of their own
+    counted = placed.join(counts.withColumnsRenamed({"_sx": "_tx", "_sy": "_ty"}), F.col("_sx").eqNullSafe(F.col("_tx")) & F.col("_sy").eqNullSafe(F.col("_ty")))
+    return counted.select(*points.columns, "cell_n").join(near, key, "left")
 
 
 def density_clusters(points: DataFrame, key: str, eps: float, least: int) -> DataFrame:
-    """``cluster`` (its smallest core id; null: noise): cores have ``least`` points within ``eps``, themselves included; a border point joins its nearest core."""
-    pairs = staged(near_pairs(points.select(key, "x", "y"), points.select(key, "x", "y"), eps).select(F.col(key).alias("a"), F.col(f"n_{key}").alias("b"), "dist2"), "pairs")
-    cores = pairs.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("a")
-    between = pairs.join(cores, "a", "left_semi").join(cores.withColumnRenamed("a", "b"), "b", "left_semi")
-    labels = components(between)
-    named = cores.join(labels, cores.a == labels.node, "left").select(F.col("a").alias("b"), F.coalesce("label", "a").alias("cluster"))
-    best = pairs.join(named, "b").withColumn("_n", F.row_number().over(Window.partitionBy("a").orderBy("dist2", "b"))).filter("_n = 1")
-    return points.join(best.select(F.col("a").alias(key), "cluster"), key, "left")
+    """``cluster`` (its smallest core id; null: noise): cores have ``least`` points within ``eps``, themselves included; a border point joins its nearest core (ties: smallest id).
+
+    Points on one spot are all cores or none and near the same others: spots are paired, with their numbers of points, not points.
+    """
+    placed = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    spots = staged(placed.groupBy("x", "y").agg(F.min(key).cast("long").alias("a"), F.count("*").alias("n")), "spots")
+    pairs = staged(near_pairs(spots, spots, eps).select("a", F.col("n_a").alias("b"), F.col("n_n").alias("n"), "dist2"), "pairs")
+    cores = pairs.groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("a")
+    between = pairs.filter("a < b").join(cores, "a", "left_semi").join(cores.withColumnRenamed("a", "b"), "b", "left_semi")
+    named = cores.join(components(between), F.col("a") == F.col("node"), "left").select(F.col("a").alias("b"), F.coalesce("label", "a").alias("cluster"))
+    best = pairs.join(named, "b").groupBy("a").agg(F.min(F.struct("dist2", "b", "cluster")).alias("m")).select("a", F.col("m.cluster").alias("cluster"))
+    found = spots.join(best, "a", "left").select("x", "y", "cluster")
+    return points.join(found, ["x", "y"], "left").select(*points.columns, "cluster")
 
 
 def local_outlier_factor(points: DataFrame, key: str, k: int, radius: float | None = None) -> DataFrame:

@@ -165,15 +165,19 @@ def _(t):
     return near.unionByName(same).distinct()
 
 
-@query(
-    "G11_gower_pairs",
-    "WITH m AS (SELECT max(ph) - min(ph) AS p, max(val) - min(val) AS v FROM sites) SELECT a.site_id AS a, b.site_id AS b, round(1 - (abs(a.ph / p - b.ph / p) + abs(a.val / v - b.val / v) + CASE WHEN a.cls <> b.cls THEN 1 ELSE 0 END) / 3, 4) AS similarity "
-    "FROM sites a JOIN sites b ON floor(a.x / 10) = floor(b.x / 10) AND floor(a.y / 10) = floor(b.y / 10) AND a.site_id < b.site_id, m WHERE 1 - (abs(a.ph / p - b.ph / p) + abs(a.val / v - b.val / v) + CASE WHEN a.cls <> b.cls THEN 1 ELSE 0 END) / 3 >= 0.9",
-)
+ALIKE = "1 - (abs(a.ph / p - b.ph / p) + abs(a.val / v - b.val / v) + CASE WHEN a.cls <> b.cls THEN 1 ELSE 0 END) / 3"
+SPANS = "WITH m AS (SELECT max(ph) - min(ph) AS p, max(val) - min(val) AS v FROM sites)"
+
+
+@query("G11_gower_pairs", f"{SPANS} SELECT a.site_id AS a, b.site_id AS b, round({ALIKE}, 4) AS similarity FROM sites a JOIN sites b ON a.site_id < b.site_id, m WHERE {ALIKE} >= 0.9")
+def _(t):
+    return rounded(P.gower_pairs(t.sites, "site_id", ["ph", "val"], ["cls"], 0.9), "similarity")
+
+
+@query("G11_gower_links", f"{SPANS}, g AS (SELECT a.site_id, count(*) AS n FROM sites a JOIN sites b ON a.site_id <> b.site_id, m WHERE {ALIKE} >= 0.9 GROUP BY 1), k AS (SELECT ph, val, cls, min(site_id) AS representative FROM sites GROUP BY ALL) "
+       "SELECT site_id, representative, coalesce(n, 0) AS n_links FROM sites JOIN k USING (ph, val, cls) LEFT JOIN g USING (site_id)")
 def _(t):
-    # pairs are sought among neighbours: squares hold about as many sites however many there are
-    s = t.sites.withColumn("square", F.concat_ws(",", F.floor(F.col("x") / 10), F.floor(F.col("y") / 10)))
-    return rounded(P.gower_pairs(s, "site_id", "square", ["ph", "val"], ["cls"], 0.9), "similarity")
+    return P.gower_links(t.sites.select("site_id", "ph", "val", "cls"), "site_id", ["ph", "val"], ["cls"], 0.9)
 
 
 ZV = "z AS (SELECT zone_id, avg(b2) AS v FROM cells GROUP BY 1), l AS (SELECT DISTINCT a.zone_id AS s, n.zone_id AS d FROM cells a JOIN cells n ON n.r BETWEEN a.r - 1 AND a.r + 1 AND n.c BETWEEN a.c - 1 AND a.c + 1 WHERE a.zone_id <> n.zone_id)"

@@ -78,7 +78,16 @@ def keyed(t):
 @query("B7_density_downsample")
 def _(t):
     s = t.sites.select("site_id", "cls", "x", "y", "ph", "val").withColumnsRenamed({"x": "sx", "y": "sy"})
-    return B.density_downsample(s, "site_id", "cls", ["sx", "sy", "ph"], 50, 4.0).select("site_id", "cls")
+    return B.density_downsample(s, "site_id", "cls", ["sx", "sy", "ph"], 50).select("site_id", "cls")
+
+
+@query(
+    "B7_density_weights",
+    f"WITH n AS (SELECT a.site_id, sqrt({D2}) AS d, row_number() OVER (PARTITION BY a.site_id ORDER BY {D2}, b.site_id) AS k FROM sites a JOIN sites b ON a.cls = b.cls AND a.site_id <> b.site_id) "
+    "SELECT s.site_id, coalesce(round(max(d), 5), 0) AS weight FROM sites s LEFT JOIN n ON n.site_id = s.site_id AND k <= 5 GROUP BY 1",
+)
+def _(t):
+    return rounded(B.density_weights(t.sites, "site_id", "cls", ["x", "y"], 5), "weight", digits=5)
 
 
 TARGETS = "WITH n AS (SELECT dz, count(*) AS n FROM cells GROUP BY 1), t AS (SELECT dz, n, CAST(CASE WHEN n <= 1000 THEN n WHEN n > 1700 THEN 1200 ELSE least(n, floor((n + 1200) / 2)) END AS BIGINT) AS goal FROM n)"
@@ -115,7 +124,19 @@ def _(t):
 
 @query("B11_interpolate")
 def _(t):
-    return B.interpolate(t.sites, "site_id", "cls", ["x", "y", "ph"], 6.0, 3, 2)
+    return B.interpolate(t.sites, "site_id", "cls", ["x", "y", "ph"], 3, 2)
+
+
+@query("B11_interpolate_counts", "SELECT cls, 2 * count(*) AS n, true AS inside FROM sites GROUP BY 1 HAVING count(*) > 1")
+def _(t):
+    made = B.interpolate(t.sites, "site_id", "cls", ["x", "y", "ph"], 3, 2)
+    span = t.sites.groupBy("cls").agg(F.min("ph").alias("lo"), F.max("ph").alias("hi"))
+    return made.join(span, "cls").groupBy("cls").agg(F.count("*").alias("n"), F.every(F.col("ph").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9)).alias("inside"))
+
+
+@query("B11_interpolate_apart")
+def _(t):
+    return B.interpolate(t.sites, "site_id", "cls", ["x", "y", "ph"], 3, 2, apart=0.2)
 
 
 RANGED = "WITH s AS (SELECT cls, min(ph) AS lo, max(ph) AS hi, count(*) AS n FROM sites GROUP BY 1) "
@@ -168,14 +189,14 @@ def _(t):
 
 @query("B16_clusters_elbow")
 def _(t):
-    found = L.clusters(t.cells, ["b2", "b3", "b4"], [2, 3, 4, 5])
+    found = L.clusters(t.cells, ["b2", "b3", "b4"], list(range(2, 21)))
     best = L.elbow([(k, c) for k, c, _ in found])
     return t.spark.createDataFrame([(k, c, s, k == best) for k, c, s in found], "k int, cost double, silhouette double, elbow boolean")
 
 
 @query("B17_representatives")
 def _(t):
-    return L.representatives(keyed(t), "id", "dz", ["b2", "b3"], 4)
+    return L.representatives(keyed(t), "id", "dz", ["b2", "b3"], 4, settled="settled")
 
 
 @query("B18_hash_split")
