@@ -8,12 +8,16 @@ whose candidates are near by construction; the exact test is a filter on them.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamworks.operators.grid import nearest_source
-from loamworks.session import staged
+from loamworks.session import ship, staged
 
 
 def chain(left: DataFrame, rights: list[tuple[DataFrame, list[str]]], how: str = "left") -> DataFrame:
@@ -115,13 +119,91 @@ def box_ring(x0: str, y0: str, x1: str, y1: str) -> Column:
     return F.array(*(F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))))
 
 
+#: Edges that a cell of a polygon's cover may have and still not be cut.
+FEW = 16
+
+
+def _cover(x: np.ndarray, y: np.ndarray, finest: float) -> list[tuple[int, int, int, np.ndarray]]:
+    """Cells (level, column, row, edges) that cover a closed ring: a cell of level e is ``finest`` times 2**e wide.
+
+    Cells that no edge meets have none and lie wholly inside. A cell with edges is cut in four until it has few of them or is of
+    the finest level; its edges are those that a ray to the right from a point in it may cross.
+    """
+    if len(x) < 2 or not (np.isfinite(x).all() and np.isfinite(y).all()):
+        return []
+    ax, ay, bx, by = x[:-1], y[:-1], x[1:], y[1:]
+    left, right, low, high = np.minimum(ax, bx), np.maximum(ax, bx), np.minimum(ay, by), np.maximum(ay, by)
+    level = max(0, math.ceil(math.log2(max(float(right.max() - left.min()), float(high.max() - low.min()), finest) / finest)))
+    wide = finest * 2.0**level
+    corners = lambda lo, hi: range(math.floor(lo / wide), math.floor(hi / wide) + 1)
+    todo = [(level, i, j, np.arange(len(ax))) for i in corners(left.min(), right.max()) for j in corners(low.min(), high.max())]
+    out = []
+    while todo:
+        level, i, j, edges = todo.pop()
+        wide = finest * 2.0**level
+        x0, y0, x1, y1, more = i * wide, j * wide, (i + 1) * wide, (j + 1) * wide, 1e-9 * wide
+        edges = edges[(low[edges] <= y1 + more) & (high[edges] >= y0 - more) & (right[edges] >= x0 - more)]
+        if not len(edges):
+            continue
+        near = edges[left[edges] <= x1 + more]
+        side = [(bx[near] - ax[near]) * (cy - ay[near]) - (by[near] - ay[near]) * (cx - ax[near]) for cx in (x0 - more, x1 + more) for cy in (y0 - more, y1 + more)]
+        if not ((np.min(side, axis=0) <= 0) & (np.max(side, axis=0) >= 0)).any():
+            cx, cy, e = (x0 + x1) / 2, (y0 + y1) / 2, edges
+            crossed = (ay[e] > cy) != (by[e] > cy)
+            e = e[crossed]
+            if np.count_nonzero(cx < (bx[e] - ax[e]) * (cy - ay[e]) / (by[e] - ay[e]) + ax[e]) % 2:
+                out.append((level, i, j, e[:0]))
+        elif level == 0 or len(edges) <= FEW:
+            out.append((level, i, j, edges))
+        else:
+            todo += [(level - 1, 2 * i + a, 2 * j + b, edges) for a in (0, 1) for b in (0, 1)]
+    return out
+
+
+def polygon_cover(polygons: DataFrame, finest: float, ring: str = "ring") -> DataFrame:
+    """One row per cell of each polygon's cover: ``_level``, ``_gx``, ``_gy`` and ``_edges`` (empty: wholly inside), with the polygon's columns but its ring.
+
+    A large polygon has few large cells inside and small ones along its ring; a long ring is cut by cell.
+    """
+    ship(polygons.sparkSession)
+    kept = [c for c in polygons.columns if c != ring]
+    edge = "array<struct<ax: double, ay: double, bx: double, by: double>>"
+    schema = T.StructType([*(polygons.schema[c] for c in kept), *T.StructType.fromDDL(f"_level int, _gx long, _gy long, _edges {edge}").fields])
+    kind = pa.list_(pa.struct([(n, pa.float64()) for n in ("ax", "ay", "bx", "by")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, cells, held = [], [], []
+            for k, points in enumerate(batch["_ring"]):
+                if not points.is_valid:
+                    continue
+                x, y = (points.values.field(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in (0, 1))
+                for level, i, j, edges in _cover(x, y, finest):
+                    at.append(k)
+                    cells.append((level, i, j))
+                    held.append([{"ax": x[e], "ay": y[e], "bx": x[e + 1], "by": y[e + 1]} for e in edges.tolist()])
+            level, gx, gy = zip(*cells, strict=True) if cells else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(batch[c].take(pa.array(at, pa.int64())) for c in kept), pa.array(level, pa.int32()), pa.array(gx, pa.int64()), pa.array(gy, pa.int64()), pa.array(held, kind)], schema.names)
+
+    plain = F.transform(ring, lambda v: F.struct(v["x"].cast("double").alias("x"), v["y"].cast("double").alias("y")))
+    return polygons.select(*kept, plain.alias("_ring")).mapInArrow(run, schema)
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, bucket: float, ring: str = "ring", x: str = "x", y: str = "y") -> DataFrame:
-    """Points joined with the polygons they lie in. Polygons have their envelope in x0, y0, x1, y1 and meet the buckets that it covers."""
-    gx, gy = _cell(x, y, bucket)
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket))
-    covered = polygons.withColumn("_gx", F.explode(span("x0", "x1"))).withColumn("_gy", F.explode(span("y0", "y1")))
-    inside = (F.col(x) >= F.col("x0")) & (F.col(x) <= F.col("x1")) & (F.col(y) >= F.col("y0")) & (F.col(y) <= F.col("y1"))
-    return points.withColumns({"_gx": gx, "_gy": gy}).join(covered, ["_gx", "_gy"]).filter(inside & in_ring(F.col(x), F.col(y), F.col(ring))).drop("_gx", "_gy")
+    """Points joined with the polygons they lie in (without their rings, which are closed arrays of struct x, y).
+
+    A point meets a polygon in one cell of its cover at most, whose finest cells are ``bucket`` wide, and is tested against that
+    cell's edges only; ``in_ring`` says what counts as inside. Points are sent once per level that a cover has, a few.
+    """
+    cover = staged(polygon_cover(polygons, bucket, ring), "cover")
+    levels = sorted(r["_level"] for r in cover.select("_level").distinct().collect())
+    level = F.explode(F.array(*(F.lit(e) for e in levels)) if levels else F.array().cast("array<int>"))
+    asked = points.withColumn("_level", level)
+    wide = F.lit(bucket) * F.pow(F.lit(2.0), F.col("_level"))
+    asked = asked.withColumns({"_gx": F.floor(F.col(x) / wide).cast("long"), "_gy": F.floor(F.col(y) / wide).cast("long")})
+    crossed = F.size(F.filter("_edges", lambda e: ((e["ay"] > F.col(y)) != (e["by"] > F.col(y))) & (F.col(x) < (e["bx"] - e["ax"]) * (F.col(y) - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])))
+    met = asked.join(cover, ["_level", "_gx", "_gy"])
+    return met.filter((F.size("_edges") == 0) | (crossed % 2 == 1)).drop("_level", "_gx", "_gy", "_edges")
 
 
 def one_polygon_each(points: DataFrame, polygons: DataFrame, key: str, polygon: str, bucket: float) -> DataFrame:

@@ -390,6 +390,23 @@ def _(t):
     return J.points_in_polygons(t.sites, z, 10.0).select("site_id", "zone_id")
 
 
+#: A concave ring and one over everything; the corners of the first are off the grid of the points.
+BENT = [(3.03, 1.04), (61.02, 7.01), (95.07, 88.02), (50.01, 20.03), (9.06, 70.05), (3.03, 1.04)]
+EDGES = ", ".join(f"({ax}, {ay}, {bx}, {by})" for (ax, ay), (bx, by) in zip(BENT, BENT[1:], strict=False))
+
+
+@query(
+    "J9_overlapping_polygons",
+    f"WITH e(px, py, qx, qy) AS (VALUES {EDGES}), n AS (SELECT site_id, count(*) FILTER (WHERE (py > y) <> (qy > y) AND x < CAST(qx - px AS DOUBLE) * (y - py) / CAST(qy - py AS DOUBLE) + px) AS n FROM sites CROSS JOIN e GROUP BY 1), b AS (SELECT min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM zones) "
+    f"SELECT site_id, zone_id FROM sites JOIN zones ON {INSIDE} UNION ALL SELECT site_id, -1 FROM n WHERE n % 2 = 1 UNION ALL SELECT site_id, -2 FROM sites JOIN b ON {INSIDE}",
+)
+def _(t):
+    z = t.zones.select("zone_id", J.box_ring("x0", "y0", "x1", "y1").alias("ring"))
+    bent = t.zones.limit(1).select(F.lit(-1).alias("zone_id"), F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in BENT)).alias("ring"))
+    all_ = t.zones.agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")).select(F.lit(-2).alias("zone_id"), J.box_ring("x0", "y0", "x1", "y1").alias("ring"))
+    return J.points_in_polygons(t.sites, z.unionByName(bent).unionByName(all_), 4.0).select("site_id", "zone_id")
+
+
 @query("J9_one_polygon_each", f"SELECT site_id, min(zone_id) AS zone_id FROM sites LEFT JOIN zones ON {INSIDE} GROUP BY 1")
 def _(t):
     z = t.zones.withColumn("ring", J.box_ring("x0", "y0", "x1", "y1"))
