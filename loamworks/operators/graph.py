@@ -244,6 +244,51 @@ def moran(values: DataFrame, links: DataFrame, key: str, value: str) -> DataFram
     return lagged.agg((F.sum(F.col("z") * F.col("lag")) / F.sum(F.when(F.col("lag").isNotNull(), 1)) * F.count("z") / F.sum(F.col("z") * F.col("z"))).alias("i"))
 
 
+#: Rows that are numbered in one task, about.
+NUMBERED = 100_000
+
+
+def numbered(df: DataFrame, key: str, into: str) -> DataFrame:
+    """The rows with a number from 0 on, in an order of hashes: by parts of about ``NUMBERED`` rows, whose sizes say where each begins."""
+    parts = max(1, -(-df.count() // NUMBERED))
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)))
+    sizes = parted.groupBy("_part").agg(F.count("*").alias("_n"))
+    start = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(F.xxhash64(key), key)) - 1
+    return parted.withColumn("_w", within).join(F.broadcast(start), "_part").withColumn(into, F.col("_w") + F.col("_start")).drop("_part", "_w", "_start")
+
+
+def permuted_neighbours(values: DataFrame, links: DataFrame, key: str, draws: int, seed: int) -> DataFrame:
+    """(key, draw, at): for each draw and each neighbour of a zone, the number of a zone that stands in for it, any but itself with equal chance."""
+    n = values.count()
+    degree = links.groupBy(F.col("src").alias(key)).agg(F.count("*").alias("_d"))
+    zones = numbered(values.select(key), key, "_own").join(degree, key)
+    each = zones.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_d").cast("int"))))
+    other = F.pmod(F.xxhash64(F.lit(seed), key, "draw", "_j"), F.lit(max(n - 1, 1)))
+    return each.select(key, "draw", (other + (other >= F.col("_own")).cast("int")).alias("at"))
+
+
+def moran_test(values: DataFrame, links: DataFrame, key: str, value: str, draws: int = 199, seed: int = 42) -> DataFrame:
+    """(i, expected, mean, std, p): Moran's I and its pseudo significance by conditional permutations.
+
+    A draw keeps each zone's value and gives it as many neighbours as it has, drawn from all other zones. ``p`` is the share of draws
+    (the observation counted among them) whose I lies at least as far from the expected -1 / (n - 1). One job over (zone, draw).
+    """
+    mean = values.agg(F.avg(value).alias("_m"))
+    z = staged(numbered(values.filter(F.col(value).isNotNull()).crossJoin(F.broadcast(mean)).select(key, (F.col(value) - F.col("_m")).alias("z")), key, "_number"), "deviations")
+    known = links.join(z.select(F.col(key).alias("src")), "src", "left_semi").join(z.select(F.col(key).alias("dst")), "dst", "left_semi")
+    observed = moran(z, known, key, "z").withColumn("draw", F.lit(0))
+    drawn = permuted_neighbours(z, known, key, draws, seed).join(z.select(F.col("_number").alias("at"), F.col("z").alias("_v")), "at")
+    lagged = drawn.groupBy("draw", key).agg(F.avg("_v").alias("lag")).join(z.select(key, "z"), key)
+    spread = z.agg((F.count("z") / F.sum(F.col("z") * F.col("z"))).alias("_k"), (-1 / (F.count("*") - 1)).alias("expected"))
+    made = lagged.groupBy("draw").agg((F.sum(F.col("z") * F.col("lag")) / F.count("*")).alias("i")).crossJoin(F.broadcast(spread)).select("draw", (F.col("i") * F.col("_k")).alias("i"), "expected")
+    seen = observed.select(F.col("i").alias("_i"))
+    far = F.abs(F.col("i") - F.col("expected")) >= F.abs(F.col("_i") - F.col("expected"))
+    return made.crossJoin(F.broadcast(seen)).agg(
+        F.first("_i").alias("i"), F.first("expected").alias("expected"), F.avg("i").alias("mean"), F.stddev_pop("i").alias("std"), ((F.sum(far.cast("int")) + 1) / (F.count("*") + 1)).alias("p")
+    )
+
+
 def gower_pairs(df: DataFrame, key: str, numbers: list[str], names: list[str], least: float) -> DataFrame:
     """(a, b, similarity) of all pairs, a < b, of similarity at least ``least``: range-scaled differences and mismatch flags, averaged.
 

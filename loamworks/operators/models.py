@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -206,43 +207,120 @@ def inverse_distance(targets: DataFrame, sites: DataFrame, key: str, site: str,
     return targets.join(near.groupBy(key).agg((F.sum(w * F.col(f"n_{value}")) / F.sum(w)).alias("idw")), key, "left")
 
 
-def kriging(targets: DataFrame, sites: DataFrame, key: str, site: str, value: str, radius: float | None, sill: float, scale: float, nugget: float = 0.0, k: int = 8, other: bool = False) -> DataFrame:
-    """``kriged``: ordinary kriging from the k nearest sites, sought from ``radius`` on, under an exponential variogram; one small linear system per target.
+class Variogram(NamedTuple):
+    """A variogram model: ``exponential`` (1 - exp(-h / scale)) or ``spherical`` (flat from ``scale`` on), times the sill, plus the nugget beyond 0."""
 
-    With ``other`` a target is left out of its own sites.
-    """
-    ship(targets.sparkSession)
-    near = nearest(targets, sites, key, radius, site, k=k, other=other)
-    grouped = near.groupBy(key, "x", "y").agg(F.sort_array(F.collect_list(F.struct("rank", "n_x", "n_y", F.col(f"n_{value}").alias("v")))).alias("s"))
+    model: str
+    nugget: float
+    sill: float
+    scale: float
 
-    def gamma(h: np.ndarray) -> np.ndarray:
-        return np.where(h > 0, nugget + sill * (1 - np.exp(-h / scale)), 0.0)
+    def shape(self, h: np.ndarray) -> np.ndarray:
+        t = h / self.scale
+        return 1 - np.exp(-t) if self.model == "exponential" else np.where(t < 1, 1.5 * t - 0.5 * t**3, 1.0)
 
-    @F.pandas_udf("double")
-    def solve(x: pd.Series, y: pd.Series, s: pd.Series) -> pd.Series:
-        out = []
-        for px, py, around in zip(x, y, s, strict=True):
-            p = np.array([[r["n_x"], r["n_y"], r["v"]] for r in around])
-            n = len(p)
-            a = np.ones((n + 1, n + 1))
-            a[n, n] = 0
-            a[:n, :n] = gamma(np.hypot(p[:, 0, None] - p[None, :, 0], p[:, 1, None] - p[None, :, 1]))
-            b = np.append(gamma(np.hypot(p[:, 0] - px, p[:, 1] - py)), 1.0)
-            out.append(float(np.linalg.lstsq(a, b, rcond=None)[0][:n] @ p[:, 2]))
-        return pd.Series(out)
+    def gamma(self, h: np.ndarray) -> np.ndarray:
+        return np.where(h > 0, self.nugget + self.sill * self.shape(h), 0.0)
 
-    return targets.join(grouped.select(key, solve("x", "y", "s").alias("kriged")), key, "left")
 
+def _line(f: np.ndarray, g: np.ndarray, w: np.ndarray) -> tuple[float, float, float]:
+    """(error, nugget, sill) of the weighted least squares fit g = nugget + sill f with neither below 0."""
+    total, ff, gg = w.sum(), (w * f).sum(), (w * g).sum()
+    spread = (w * f * f).sum() - ff * ff / total
+    sill = ((w * f * g).sum() - ff * gg / total) / spread if spread > 1e-12 else 0.0
+    nugget = (gg - sill * ff) / total
+    if sill < 0:
+        nugget, sill = gg / total, 0.0
+    if nugget < 0:
+        nugget, sill = 0.0, max(0.0, (w * f * g).sum() / max((w * f * f).sum(), 1e-300))
+    return float((w * (g - nugget - sill * f) ** 2).sum()), float(nugget), float(sill)
 
-def regression_kriging(df: DataFrame, features: list[str], label: str, key: str, radius: float) -> DataFrame:
-    """(model, r2, ...) on held-out sites: the forest alone, and with its residuals interpolated from the nearest sites."""
-    split = hash_split(df, key, 0.25)
-    train, test = split.filter("part = 'train'"), split.filter("part = 'test'")
+
+def fit_variogram(bins: DataFrame, models: tuple[str, ...] = ("spherical", "exponential")) -> Variogram:
+    """The model with the least weighted squared error (weight: a bin's pairs by its distance) to the rows of ``variogram``.
+
+    The driver gets one row per bin. For each model the scale is sought on a grid that is refined around its best place; nugget and
+    sill follow from each scale by least squares.
+    """
+    rows = bins.filter("n > 0 and distance > 0").select("distance", "gamma", "n").orderBy("distance").collect()
+    if not rows:
+        return Variogram(models[0], 0.0, 0.0, 1.0)
+    h, g, n = (np.array([r[c] for r in rows], float) for c in ("distance", "gamma", "n"))
+    w, best = n / h, None
+    for model in models:
+        low, high = h.min() / 5, h.max() * 3
+        for _ in range(6):
+            scales = np.geomspace(low, high, 41)
+            fits = [(*_line(Variogram(model, 0.0, 1.0, x).shape(h), g, w), x) for x in scales]
+            at = min(range(len(fits)), key=lambda k: fits[k][0])
+            low, high = scales[max(at - 1, 0)], scales[min(at + 1, 40)]
+            if best is None or fits[at][0] < best[0]:
+                best = (fits[at][0], Variogram(model, fits[at][1], fits[at][2], float(fits[at][3])))
+    return best[1]
+
+
+def kriging(
+    targets: DataFrame, sites: DataFrame, key: str, site: str, value: str, radius: float | None, sill: float, scale: float, nugget: float = 0.0, k: int = 8, other: bool = False,
+    model: str = "exponential", variance: str | None = None,
+) -> DataFrame:
+    """``kriged``: ordinary kriging from the k nearest sites, sought from ``radius`` on; a column of the name ``variance`` holds the kriging variance.
+
+    One small linear system per target; those of a batch with equally many sites are solved at once, sites on one spot by least
+    squares. With ``other`` a target is left out of its own sites. Null without any site.
+    """
+    ship(targets.sparkSession)
+    near = nearest(targets, sites.filter(F.col(value).isNotNull()), key, radius, site, k=k, other=other)
+    grouped = near.groupBy(key, "x", "y").agg(F.sort_array(F.collect_list(F.struct("rank", "n_x", "n_y", F.col(f"n_{value}").cast("double").alias("v")))).alias("s"))
+    law = Variogram(model, nugget, sill, scale)
+
+    @F.pandas_udf("kriged double, variance double")
+    def solve(x: pd.Series, y: pd.Series, s: pd.Series) -> pd.DataFrame:
+        out = np.full((len(x), 2), np.nan)
+        sizes = s.map(len).to_numpy()
+        place = np.column_stack((x, y)).astype(float)
+        for n in np.unique(sizes):
+            rows = np.flatnonzero(sizes == n)
+            p = np.array([[(r["n_x"], r["n_y"], r["v"]) for r in s.iloc[i]] for i in rows], float)
+            a = np.ones((len(rows), n + 1, n + 1))
+            a[:, n, n] = 0
+            gap = p[:, :, None, :2] - p[:, None, :, :2]
+            a[:, :n, :n] = law.gamma(np.hypot(gap[..., 0], gap[..., 1]))
+            away = p[:, :, :2] - place[rows][:, None, :]
+            b = np.concatenate((law.gamma(np.hypot(away[..., 0], away[..., 1])), np.ones((len(rows), 1))), axis=1)
+            weights = np.einsum("nij,nj->ni", np.linalg.pinv(a), b)
+            out[rows, 0], out[rows, 1] = (weights[:, :n] * p[:, :, 2]).sum(1), np.maximum((weights * b).sum(1), 0)
+        return pd.DataFrame(out, columns=["kriged", "variance"])
+
+    solved = grouped.select(key, solve("x", "y", "s").alias("_k")).select(key, F.col("_k.kriged").alias("kriged"), *([F.col("_k.variance").alias(variance)] if variance else []))
+    return targets.join(solved, key, "left")
+
+
+def _residuals_kriged(train: DataFrame, test: DataFrame, features: list[str], label: str, key: str, reach: float, bins: int) -> tuple[DataFrame, DataFrame, Variogram]:
+    """Predictions of a forest for ``test``, the same with its kriged residuals, and the variogram that was fitted to these."""
     model = forest(train, features, label, trees=8, depth=4)
-    residual = predict(model, train, features).withColumn("residual", F.col(label) - F.col("prediction")).select(F.col(key).alias("site"), "x", "y", "residual")
-    plain = predict(model, test, features)
-    both = inverse_distance(plain, residual, key, "site", "residual", radius).withColumn("prediction", F.col("prediction") + F.coalesce("idw", F.lit(0.0)))
-    return regression_report(plain, label, "prediction").withColumn("model", F.lit("forest")).unionByName(regression_report(both, label, "prediction").withColumn("model", F.lit("forest + residuals")))
+    residual = staged(predict(model, train, features).select(F.col(key).alias("site"), "x", "y", (F.col(label) - F.col("prediction")).alias("residual")), "residuals")
+    law = fit_variogram(variogram(residual, "site", "residual", reach, bins))
+    plain = staged(predict(model, test, features), "plain")
+    both = kriging(plain, residual, key, "site", "residual", None, law.sill, law.scale, law.nugget, model=law.model, variance="variance")
+    return plain, both.withColumn("prediction", F.col("prediction") + F.coalesce("kriged", F.lit(0.0))).drop("kriged"), law
+
+
+def regression_kriging(df: DataFrame, features: list[str], label: str, key: str, reach: float, bins: int = 10) -> DataFrame:
+    """(model, r2, ..., chosen, variogram, nugget, sill, scale) on held-out sites: the forest alone, and with its residuals kriged; the better one is ``chosen``."""
+    split = hash_split(df, key, 0.25)
+    plain, both, law = _residuals_kriged(split.filter("part = 'train'"), split.filter("part = 'test'"), features, label, key, reach, bins)
+    report = regression_report(plain, label, "prediction").withColumn("model", F.lit("forest")).unionByName(regression_report(both, label, "prediction").withColumn("model", F.lit("forest + kriged residuals")))
+    best = report.agg(F.max_by("model", F.struct("r2", F.length("model"))).alias("_best"))
+    fitted = {"variogram": F.lit(law.model), "nugget": F.lit(law.nugget), "sill": F.lit(law.sill), "scale": F.lit(law.scale)}
+    return report.crossJoin(F.broadcast(best)).withColumn("chosen", F.col("model") == F.col("_best")).drop("_best").withColumns(fitted)
+
+
+def best_predictions(df: DataFrame, targets: DataFrame, features: list[str], label: str, key: str, reach: float, bins: int = 10) -> DataFrame:
+    """(key, prediction, variance, model) of targets that have the features and x, y: by the forest, with kriged residuals if these did better on held-out sites."""
+    chosen = regression_kriging(df, features, label, key, reach, bins).filter("chosen").first()["model"]
+    plain, both, _ = _residuals_kriged(df, targets, features, label, key, reach, bins)
+    found = plain.withColumn("variance", F.lit(None).cast("double")) if chosen == "forest" else both
+    return found.select(key, "prediction", "variance", F.lit(chosen).alias("model"))
 
 
 def boosted(df: DataFrame, features: list[str], label: str, rounds: int = 10, depth: int = 3, seed: int = 42):

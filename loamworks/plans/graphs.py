@@ -200,6 +200,11 @@ def _(t):
     return rounded(P.moran(zone_values(t), P.contiguity(t.cells, "zone_id"), "zone_id", "v"), "i", digits=5)
 
 
+@query("G12_moran_test")
+def _(t):
+    return rounded(P.moran_test(zone_values(t), P.contiguity(t.cells, "zone_id"), "zone_id", "v", 99), "i", "expected", "mean", "std", "p", digits=5)
+
+
 @query("G13_diameter", "SELECT zone_id, round(sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0)), 4) AS diameter FROM zones")
 def _(t):
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")

@@ -338,6 +338,20 @@ def _(t):
     return rounded(L.kriging(t.sites.select("site_id", "x", "y"), s, "site_id", "s_id", "ph", None, 2.0, 5.0, other=True).select("site_id", "kriged"), "kriged")
 
 
+@query("L12_kriging_variance")
+def _(t):
+    s = t.sites.select(F.col("site_id").alias("s_id"), "x", "y", "ph")
+    law = L.fit_variogram(L.variogram(t.sites, "site_id", "ph", 10.0, 10))
+    found = L.kriging(t.sites.select("site_id", "x", "y"), s, "site_id", "s_id", "ph", None, law.sill, law.scale, law.nugget, other=True, model=law.model, variance="variance")
+    return rounded(found.select("site_id", "kriged", "variance"), "kriged", "variance")
+
+
+@query("L12_best_predictions")
+def _(t):
+    s = sites_ml(t)
+    return rounded(L.best_predictions(s, s, SITE_FEATURES, "ph2", "site_id", 10.0), "prediction", "variance")
+
+
 @query("L12_regression_kriging")
 def _(t):
     return L.regression_kriging(sites_ml(t), SITE_FEATURES, "ph2", "site_id", 10.0)
