@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamworks.operators.quantiles import quantiles
+from loamworks.session import staged
 
 # The ten grades, and their classes high, middle and low.
 GRADES = ["一等", "二等", "三等", "四等", "五等", "六等", "七等", "八等", "九等", "十等"]
@@ -117,17 +118,24 @@ def first_record(df: DataFrame, key: str, values: list[str], order: list[str]) -
     return df.groupBy(key).agg(least).select(key, *(F.col(f"_row.{v}").alias(v) for v in values))
 
 
+def ranked(values: DataFrame, order: list[str], into: str) -> DataFrame:
+    """The rows with their place in ``order``, from 0: dealt by ranges, placed within a range, and moved on by the rows of the ranges before it."""
+    dealt = staged(values.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))  # a row per range
+    start = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return dealt.withColumn("_w", within).join(start, "_part").withColumn(into, (F.col("_w") + F.col("_start")).cast("int")).drop("_part", "_w", "_start")
+
+
 def codes(df: DataFrame, column: str, into: str = "code") -> DataFrame:
-    """Ordered labels as 0, 1, ...; the distinct labels are ranked and joined back."""
-    ranks = df.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(into, F.dense_rank().over(Window.orderBy(column)) - 1)
-    return df.join(ranks, column, "left")
+    """Ordered labels as 0, 1, ...; the distinct labels are ranked by ranges and joined back."""
+    return df.join(ranked(df.select(column).filter(F.col(column).isNotNull()).distinct(), [column], into), column, "left")
 
 
 def codes_by_appearance(df: DataFrame, column: str, order: str, into: str = "code") -> DataFrame:
     """Labels numbered by their first appearance in ``order``."""
     firsts = df.groupBy(column).agg(F.min(order).alias("_first"))
-    ranks = firsts.select(column, (F.row_number().over(Window.orderBy("_first", column)) - 1).alias(into))
-    return df.join(ranks, column, "left")
+    return df.join(ranked(firsts, ["_first", column], into).drop("_first"), column, "left")
 
 
 def crosstab_shares(df: DataFrame, row: str, column: str, names: list) -> DataFrame:
@@ -143,12 +151,23 @@ def describe(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
 
 
 def zonal(cells: DataFrame, zone: str, bands: dict[str, list[str]]) -> DataFrame:
-    """One row per zone; for each band the statistics asked for: mean, std, min, max, sum, count, range, median."""
+    """One row per zone; for each band the statistics asked for: mean, std, min, max, sum, count, range, median, or a percentile such as p90.
+
+    Medians and percentiles are exact and interpolated; no zone's values meet in one task.
+    """
     make = {
         "mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max, "sum": F.sum, "count": F.count,
-        "range": lambda b: F.max(b) - F.min(b), "median": F.median,
+        "range": lambda b: F.max(b) - F.min(b),
     }
-    return cells.groupBy(zone).agg(*(make[s](b).alias(f"{b}_{s}") for b, stats in bands.items() for s in stats))
+    share = lambda s: 0.5 if s == "median" else float(s[1:]) / 100
+    names = [f"{b}_{s}" for b, stats in bands.items() for s in stats]
+    plain = [make[s](b).alias(f"{b}_{s}") for b, stats in bands.items() for s in stats if s in make]
+    placed = {f"{b}_{s}": (b, share(s)) for b, stats in bands.items() for s in stats if s not in make}
+    found = cells.groupBy(zone).agg(*plain) if plain else cells.select(zone).distinct()
+    if placed:
+        cuts = quantiles(cells, placed, [zone]).withColumnRenamed(zone, "_zone")
+        found = found.join(cuts, F.col(zone).eqNullSafe(F.col("_zone")), "left")
+    return found.select(zone, *names)
 
 
 def centroids(cells: DataFrame, zone: str) -> DataFrame:

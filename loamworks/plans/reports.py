@@ -205,6 +205,14 @@ def _(t):
     return rounded(z.join(m, "zone_id"), "dem_mean", "dem_std")
 
 
+@query(
+    "A18_zonal_percentiles",
+    "SELECT zone_id, round(quantile_cont(b2, 0.1), 4) AS b2_p10, round(quantile_cont(b2, 0.5), 4) AS b2_median, round(quantile_cont(b2, 0.9), 4) AS b2_p90, round(quantile_cont(dem, 0.25), 4) AS dem_p25, count(dem) AS dem_count FROM cells GROUP BY 1",
+)
+def _(t):
+    return rounded(A.zonal(t.cells, "zone_id", {"b2": ["p10", "median", "p90"], "dem": ["p25", "count"]}), "b2_p10", "b2_median", "b2_p90", "dem_p25")
+
+
 @query("A19_centroids", "SELECT zone_id, round(avg(c + 0.5), 4) AS x, round(avg(r + 0.5), 4) AS y, min(c) AS x_min, min(r) AS y_min, max(c) + 1 AS x_max, max(r) + 1 AS y_max FROM cells GROUP BY 1")
 def _(t):
     return rounded(A.centroids(t.cells, "zone_id"), "x", "y")

@@ -552,8 +552,8 @@ def _(t):
 
 @query("W2_group_number", "SELECT site_id, layer, lab_id, dense_rank() OVER (ORDER BY layer, flag) - 1 AS grp FROM samples")
 def _(t):
-    groups = t.samples.select("layer", "flag").distinct().withColumn("grp", F.dense_rank().over(Window.orderBy("layer", "flag")).cast("long") - 1)
-    return t.samples.join(F.broadcast(groups), ["layer", "flag"]).select("site_id", "layer", "lab_id", "grp")
+    groups = A.ranked(t.samples.select("layer", "flag").distinct(), ["layer", "flag"], "grp").withColumn("grp", F.col("grp").cast("long"))
+    return t.samples.join(groups, ["layer", "flag"]).select("site_id", "layer", "lab_id", "grp")
 
 
 @query("W6_largest", "SELECT site_id, val FROM sites ORDER BY val DESC, site_id LIMIT 15")
