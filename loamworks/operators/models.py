@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -343,6 +343,92 @@ def boosted(df: DataFrame, features: list[str], label: str, rounds: int = 10, de
     return GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, seed=seed).fit(assembled(df, features))
 
 
+class QuantileTrees(NamedTuple):
+    """Boosted trees for one quantile: a start value, the rate, and per tree its splits {node: (feature, edge)} and leaves {node: value}; node n has the children 2n and 2n + 1."""
+
+    features: list[str]
+    start: float
+    rate: float
+    trees: list[tuple[dict[int, tuple[int, float]], dict[int, float]]]
+
+    def node(self, splits: dict[int, tuple[int, float]]) -> Column:
+        """The leaf of a row, by comparisons alone."""
+
+        def below(n: int) -> Column:
+            if n not in splits:
+                return F.lit(n)
+            feature, edge = splits[n]
+            return F.when(F.col(self.features[feature]) <= edge, below(2 * n)).otherwise(below(2 * n + 1))
+
+        return below(1)
+
+    def value(self) -> Column:
+        out = F.lit(self.start)
+        for splits, leaves in self.trees:
+            table = F.create_map(*(F.lit(x) for leaf in leaves.items() for x in leaf))
+            out = out + self.rate * F.coalesce(F.element_at(table, self.node(splits)), F.lit(0.0))
+        return out
+
+
+def _best_split(g: np.ndarray, n: np.ndarray, least: int) -> tuple[float, int]:
+    """(gain, bin) of the cut behind a bin that raises the sum of squared gradient means most; gain 0 without any."""
+    left_g, left_n = np.cumsum(g)[:-1], np.cumsum(n)[:-1]
+    right_g, right_n = g.sum() - left_g, n.sum() - left_n
+    ok = (left_n >= least) & (right_n >= least)
+    if not ok.any():
+        return 0.0, 0
+    gain = np.where(ok, left_g**2 / np.maximum(left_n, 1) + right_g**2 / np.maximum(right_n, 1) - g.sum() ** 2 / max(n.sum(), 1), 0)
+    at = int(gain.argmax())
+    return float(gain[at]), at
+
+
+def boosted_quantile(df: DataFrame, features: list[str], label: str, share: float, rounds: int = 12, depth: int = 3, rate: float = 0.3, bins: int = 32, least: int = 20) -> QuantileTrees:
+    """Gradient boosting on the pinball loss of a quantile ``share``.
+
+    A level of a tree is one aggregate: gradient sums by (node, feature, bin); the driver gets 2^depth x features x bins numbers and
+    takes the best cuts. A leaf's value is the exact quantile of its rows' residuals. Bin edges are exact quantiles of the features.
+    Rows with a null feature or label take no part.
+    """
+    rows = staged(df.select(*(F.col(f).cast("double").alias(f) for f in features), F.col(label).cast("double").alias("_y")).dropna(), "rows")
+    asked = {f"e{i}_{k}": (f, k / bins) for i, f in enumerate(features) for k in range(1, bins)}
+    got = quantiles(rows, asked | {"start": ("_y", share)}).first()
+    if got is None or got["start"] is None:
+        return QuantileTrees(features, 0.0, rate, [])
+    edges = [sorted({got[f"e{i}_{k}"] for k in range(1, bins)}) for i in range(len(features))]
+    place = lambda i: F.aggregate(F.array(*(F.lit(e) for e in edges[i])), F.lit(0), lambda n, e: n + (F.col(features[i]) > e).cast("int"))
+    model = QuantileTrees(features, float(got["start"]), rate, [])
+    state = staged(rows.select(*features, "_y", F.array(*(place(i) for i in range(len(features)))).alias("_bins"), F.lit(model.start).alias("_f")), "boosting")
+    for _ in range(rounds):
+        splits: dict[int, tuple[int, float]] = {}
+        for level in range(depth):
+            node = model.node(splits)
+            slope = F.when(F.col("_y") > F.col("_f"), share).otherwise(share - 1)
+            sums = state.select(node.alias("node"), slope.alias("g"), F.posexplode("_bins").alias("feature", "bin")).filter(F.col("node") >= 2**level)
+            table = sums.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.count("*").alias("n")).collect()
+            held: dict[int, dict[int, np.ndarray]] = {}
+            for r in table:
+                held.setdefault(r["node"], {}).setdefault(r["feature"], np.zeros((2, bins)))[:, r["bin"]] = r["g"], r["n"]
+            for n, by_feature in held.items():
+                gain, at, feature = max(((*_best_split(*x, least), -i) for i, x in by_feature.items()), key=lambda t: (t[0], t[2]))
+                feature = -feature
+                if gain > 1e-9 and at < len(edges[feature]):
+                    splits[n] = feature, edges[feature][at]
+        leaf = state.select(model.node(splits).alias("leaf"), (F.col("_y") - F.col("_f")).alias("d"))
+        leaves = {r["leaf"]: float(r["v"]) for r in quantiles(leaf, {"v": ("d", share)}, ["leaf"]).collect()}
+        model.trees.append((splits, leaves))
+        step = F.element_at(F.create_map(*(F.lit(x) for one in leaves.items() for x in one)), model.node(splits))
+        before, state = state, staged(state.withColumn("_f", F.col("_f") + rate * step), "boosting")
+        discard(before)
+    discard(state)
+    return model
+
+
+def quantile_band(df: DataFrame, targets: DataFrame, features: list[str], label: str, low: float = 0.05, high: float = 0.95, **how) -> DataFrame:
+    """``targets`` with ``low`` and ``high``: bounds between which a row's label lies with a chance of ``high`` - ``low``; crossed bounds are exchanged."""
+    one, two = (boosted_quantile(df, features, label, q, **how).value() for q in (low, high))
+    return targets.withColumns({"_a": one, "_b": two}).withColumns({"low": F.least("_a", "_b"), "high": F.greatest("_a", "_b")}).drop("_a", "_b")
+
+
 def tree_rules(df: DataFrame, features: list[str], label: str, depth: int = 3) -> str:
     """A decision tree's rules as text."""
     return DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=depth, seed=42).fit(assembled(df, features)).toDebugString

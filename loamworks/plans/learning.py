@@ -371,6 +371,14 @@ def _(t):
     return L.predict(L.boosted(s, SITE_FEATURES, "ph2", 5), s, SITE_FEATURES).select("site_id", F.round("prediction", 4).alias("prediction"))
 
 
+@query("L13_quantile_band")
+def _(t):
+    # bounds are learned from the training part of the sites, and given for all
+    s = B.hash_split(sites_ml(t), "site_id", 0.3)
+    found = L.quantile_band(s.filter("part = 'train'"), s, SITE_FEATURES, "ph2", rounds=6)
+    return rounded(found.select("site_id", "part", "ph2", "low", "high"), "ph2", "low", "high")
+
+
 @query("L14_tree_rules")
 def _(t):
     s = sites_ml(t)
