@@ -28,7 +28,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamworks.llm.common import LAST_ID, staged, whole
+from loamworks.llm.common import LAST_ID, discard, staged, whole
 from loamworks.operators.graph import components
 
 HEAVIEST, PART = 15, 4096
@@ -85,50 +85,101 @@ def masks(radius: int, within: int = (1 << 64) - 1, blocks: int | None = None) -
     return [sum(c) for c in combinations(cuts, blocks - radius)]
 
 
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def tables(radius: int) -> tuple[Column, Column]:
+    """The masks of the block tables, and for each those that cut its keys again in the bits that it leaves open."""
+    coarse = masks(radius)
+    finer = [[m | x for x in masks(radius, ~m & (1 << 64) - 1)] for m in coarse]
+    return F.array(*(F.lit(signed(m)) for m in coarse)), F.array(*(F.array(*(F.lit(signed(m)) for m in row)) for row in finer))
+
+
+def keyed(values: DataFrame, fp: str, radius: int, *carried: str) -> DataFrame:
+    """(fp, carried, table, key): a row for each value and block table."""
+    rough, _ = tables(radius)
+    return values.select(fp, *carried, F.posexplode(rough).alias("table", "mask")).select(fp, *carried, "table", F.col(fp).bitwiseAND(F.col("mask")).alias("key"))
+
+
+def split(keys: DataFrame, sizes: DataFrame, fp: str, radius: int, hot: int, *carried: str) -> DataFrame:
+    """(fp, carried, table, sub, part): keys that are in ``sizes``, those of more than ``hot`` values cut again (``sub`` -1: not cut).
+
+    A part fixes three quarters of the bits then, so no more than 2^16 values share it, whatever the table holds.
+    """
+    _, fine = tables(radius)
+    shared = keys.join(sizes, ["table", "key"])
+    one = F.array(F.struct(F.lit(-1).alias("sub"), F.col("key").alias("key")))
+    cut = F.transform(F.get(fine, F.col("table")), lambda m, i: F.struct(i.alias("sub"), F.col(fp).bitwiseAND(m).alias("key")))
+    return shared.select(fp, *carried, "table", F.inline(F.when(F.col("n") > hot, cut).otherwise(one)).alias("sub", "part"))
+
+
+def first_meeting(gap: Column, radius: int) -> Column:
+    """Whether a pair with the differing bits ``gap`` meets here first: in the first table, and there in the first part, where it is together."""
+    rough, fine = tables(radius)
+    first = lambda table: F.array_position(F.transform(table, lambda m: gap.bitwiseAND(m) == 0), True) - 1
+    return (F.col("table") == first(rough)) & ((F.col("sub") < 0) | (F.col("sub") == first(F.get(fine, F.col("table")))))
+
+
 def near(queries: DataFrame, corpus: DataFrame, radius: int = 3, fp: str = "fp", hot: int = HOT) -> DataFrame:
     """(query, found, distance): all pairs of a distinct query value and a distinct corpus value within ``radius`` bits.
 
     Equal values are pairs too; null values are in none. Copies are put together first, so a group of copies is one value.
     A key that more than ``hot`` values share is cut again: block tables of the bits that it leaves open, in which two of
-    its values agree on all but a few bits. A pair that meets in several tables is taken in the first of them.
+    its values agree on all but a few bits. A pair that meets in several tables is taken in the first of them. The pairs of
+    a close family grow with its square: for a table against itself ``near_classes`` tells of them without putting them out.
     """
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    coarse = masks(radius)
-    finer = [[m | x for x in masks(radius, ~m & (1 << 64) - 1)] for m in coarse]
-    rough = F.array(*(F.lit(signed(m)) for m in coarse))
-    fine = F.array(*(F.array(*(F.lit(signed(m)) for m in row)) for row in finer))
-
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        values = df.select(F.col(fp).alias(name)).filter(F.col(name).isNotNull()).distinct()
-        return values.select(name, F.posexplode(rough).alias("table", "mask")).select(name, "table", F.col(name).bitwiseAND(F.col("mask")).alias("key"))
-
-    def split(df: DataFrame, name: str) -> DataFrame:
-        """Values whose key others share, hot keys cut again (``sub`` -1: not cut)."""
-        shared = keyed(df, name).join(sizes, ["table", "key"])
-        whole_ = F.array(F.struct(F.lit(-1).alias("sub"), F.col("key").alias("key")))
-        cut = F.transform(F.get(fine, F.col("table")), lambda m, i: F.struct(i.alias("sub"), F.col(name).bitwiseAND(m).alias("key")))
-        return shared.select(name, "table", F.inline(F.when(F.col("n") > hot, cut).otherwise(whole_)).alias("sub", "part"))
-
-    same = queries is corpus
-    both = keyed(queries, "fp") if same else keyed(queries, "fp").withColumn("q", F.lit(1)).unionByName(keyed(corpus, "fp").withColumn("q", F.lit(0)))
-    n = both.groupBy("table", "key").agg(F.count("*").alias("n"), *(() if same else (F.min("q").alias("a"), F.max("q").alias("b"))))
-    sizes = staged((n.filter("n > 1") if same else n.filter("a < b")).select("table", "key", "n"), "keys")
-    met = split(queries, "query").join(split(corpus, "found"), ["table", "sub", "part"])
+
+    def distinct(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(fp).alias(name)).filter(F.col(name).isNotNull()).distinct()
+
+    ours, theirs = keyed(distinct(queries, "query"), "query", radius), keyed(distinct(corpus, "found"), "found", radius)
+    sides = ours.select("table", "key", F.lit(1).alias("q")).unionAll(theirs.select("table", "key", F.lit(0).alias("q")))
+    sizes = staged(sides.groupBy("table", "key").agg(F.count("*").alias("n"), F.min("q").alias("a"), F.max("q").alias("b")).filter("a < b").select("table", "key", "n"), "keys")
+    met = split(ours, sizes, "query", radius, hot).join(split(theirs, sizes, "found", radius, hot), ["table", "sub", "part"])
     gap = F.col("query").bitwiseXOR(F.col("found"))
-    first = lambda table: F.array_position(F.transform(table, lambda m: gap.bitwiseAND(m) == 0), True) - 1
-    once = (F.col("table") == first(rough)) & ((F.col("sub") < 0) | (F.col("sub") == first(F.get(fine, F.col("table")))))
-    pairs = met.filter((F.bit_count(gap) <= radius) & once).select("query", "found", F.bit_count(gap).alias("distance"))
-    if not same:
-        return pairs
-    return pairs.filter("query <> found").unionByName(queries.select(F.col(fp).alias("query")).filter("query is not null").distinct().select("query", F.col("query").alias("found"), F.lit(0).alias("distance")))
+    return met.filter((F.bit_count(gap) <= radius) & first_meeting(gap, radius)).select("query", "found", F.bit_count(gap).alias("distance"))
+
 
+def near_classes(values: DataFrame, radius: int = 3, fp: str = "fp", hot: int = HOT) -> DataFrame:
+    """(fp, n_near, near_class) of each distinct value that has others within ``radius`` bits: how many, and the smallest value (as a signed long) that is reached over such neighbours.
+
+    No pair is written or exchanged: tasks count a value's neighbours and keep the smallest of them as the pairs arise. The
+    links of values to their smallest neighbours make classes; as long as values of different classes are neighbours, every
+    such class is linked to its smallest neighbouring class, which at least halves their number. Only block keys that two
+    classes share are looked at again, so a family that is one class already costs nothing then.
+    """
+    gap = F.col("query").bitwiseXOR(F.col("found"))
 
-def near_classes(values: DataFrame, radius: int = 3, fp: str = "fp") -> DataFrame:
-    """(fp, n_near, near_class) of each distinct value that has others within ``radius`` bits: how many, and the smallest value (as a signed long) that is reached over such neighbours."""
-    pairs = staged(near(values, values, radius, fp).filter("distance > 0").select("query", "found"), "near")
-    counts = pairs.groupBy(F.col("query").alias("fp")).agg(F.count("*").alias("n_near"))
-    labels = components(pairs, "query", "found")
-    return counts.join(labels, counts.fp == labels.node).select("fp", "n_near", F.col("label").alias("near_class"))
+    def met(keys: DataFrame, sizes: DataFrame, *carried: str) -> DataFrame:
+        ours = split(keys, sizes, "fp", radius, hot, *carried)
+        theirs = ours.select(F.col("fp").alias("found"), *(F.col(c).alias(f"found_{c}") for c in carried), "table", "sub", "part")
+        return ours.withColumnRenamed("fp", "query").join(theirs, ["table", "sub", "part"]).filter((F.bit_count(gap) <= radius) & (F.col("query") != F.col("found")))
+
+    keys = keyed(values.select(F.col(fp).alias("fp")).filter("fp is not null").distinct(), "fp", radius)
+    sizes = staged(keys.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
+    pairs = met(keys, sizes).filter(first_meeting(gap, radius))
+    counts = staged(pairs.groupBy(F.col("query").alias("fp")).agg(F.count("*").alias("n_near"), F.min("found").alias("low")), "near")
+    links = components(counts, "fp", "low")
+    classes = staged(counts.join(links, counts.fp == links.node).select("fp", "n_near", F.col("label").alias("near_class")), "classes")
+    discard(sizes)
+    discard(counts)
+    while True:
+        keys = keyed(classes, "fp", radius, "near_class")
+        mixed = keys.groupBy("table", "key").agg(F.count("*").alias("n"), F.min("near_class").alias("a"), F.max("near_class").alias("b")).filter("a < b")
+        sizes = staged(mixed.select("table", "key", "n"), "keys")
+        across = met(keys, sizes, "near_class").filter("near_class <> found_near_class")
+        links = staged(across.groupBy("near_class").agg(F.min("found_near_class").alias("low")), "links")
+        done = links.isEmpty()
+        if not done:
+            labels = components(links, "near_class", "low")
+            merged = classes.join(labels, classes.near_class == labels.node, "left").select("fp", "n_near", F.coalesce("label", "near_class").alias("near_class"))
+            before, classes = classes, staged(merged, "classes")
+            discard(before)
+        discard(sizes)
+        discard(links)
+        if done:
+            return classes
 
 
 def following(docs: DataFrame) -> DataFrame:
@@ -179,7 +230,7 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     after = heads.select(F.lead("range").over(Window.orderBy("range")).alias("above"), F.min("range").over(Window.partitionBy()).alias("bottom"), "fp")
     first = after.select(F.coalesce("above", "bottom").alias("range"), F.col("fp").alias("beyond"))
     joined = ahead.join(F.broadcast(first), "range").withColumn("next_fp", F.when(F.col("last"), F.col("beyond")).otherwise(F.col("within")))
-    joined = joined.join(staged(near_classes(found), "near"), "fp", "left")
+    joined = joined.join(near_classes(found), "fp", "left")
     return joined.select(
         "doc_id",
         "n_chars",

@@ -376,6 +376,26 @@ def test_block_tables_find_all(spark):
         assert classes.get(x, (0, x)) == (n, values[root[k]])
 
 
+def test_a_close_family_is_counted_without_its_pairs(spark, monkeypatch):
+    """All values within one bit of a centre and many within two: no table that is written has more than a few rows a value."""
+    center, rng = 0x0123456789ABCDEF, random.Random(3)
+    family = {center} | {center ^ 1 << k for k in range(64)} | {center ^ (1 << a | 1 << b) for a, b in (rng.sample(range(64), 2) for _ in range(900))}
+    far = {rng.getrandbits(64) for _ in range(50)}
+    chain = {0xF0F0 << 16 | (1 << 3 * i) - 1 for i in range(12)}  # each three bits from the next
+    many = sorted(x - (1 << 64) if x >> 63 else x for x in family | far | chain)
+    written, staged_ = [], fingerprints.staged
+    monkeypatch.setattr(fingerprints, "staged", lambda df, label, **how: written.append((label, staged_(df, label, **how).count())) or staged_(df, label, **how))
+    df = spark.createDataFrame([(x,) for x in many for _ in range(2)], "fp long").repartition(7)
+    links = {x: [y for y in many if y != x and differing(x % (1 << 64), y % (1 << 64)) <= 3] for x in many}
+    root = brute_classes([x % (1 << 64) for x in many], 3)
+    expected = {x: (len(links[x]), many[root[i]]) for i, x in enumerate(many) if links[x]}
+    for hot in (2, fingerprints.HOT):
+        written.clear()
+        assert {r["fp"]: (r["n_near"], r["near_class"]) for r in fingerprints.near_classes(df, hot=hot).collect()} == expected
+        assert sum(map(len, links.values())) > 100 * len(many) and max(n for label, n in written if label != "keys") <= len(many)
+        assert max(n for label, n in written if label == "keys") <= 20 * len(many)
+
+
 def test_one_id_is_cut_into_ranges(spark):
     rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " + "x" * (i % 11)) for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
