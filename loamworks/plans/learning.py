@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loamworks.operators import folds as V
 from loamworks.operators import joins as J
 from loamworks.operators import models as L
 from loamworks.operators import sampling as B
@@ -290,6 +291,17 @@ def _(t):
     return t.spark.createDataFrame([(n, e, ",".join(f)) for n, e, f in s], "n int, rmse double, features string")
 
 
+@query("L5_cross_validated_search")
+def _(t):
+    return rounded(V.search_folds(sites_ml(t), SITE_FEATURES, "ph2", "site_id", trees=(2, 4, 8), depths=(2, 3, 4)), "rmse", "spread", "r2")
+
+
+@query("L6_cross_validated_elimination")
+def _(t):
+    s = V.eliminate_by_folds(sites_ml(t), SITE_FEATURES, "ph2", "site_id", folds=5, trees=4, depth=3)
+    return t.spark.createDataFrame([(n, e, ",".join(f), c) for n, e, f, c in s], "n int, rmse double, features string, chosen boolean")
+
+
 @query("L7_importances")
 def _(t):
     s = sites_ml(t)
@@ -301,6 +313,16 @@ def _(t):
     return L.per_label(sites_ml(t), SITE_FEATURES, ["ph", "ph2"], "site_id")
 
 
+#: Eighteen soil properties of a site, each following place and acidity in its own measure.
+PROPERTIES = {f"property_{i}": F.col("ph") * (1 + i % 3) + F.col("x") * (i % 5) / 10 + F.sin(F.col("y") / (i + 2)) for i in range(18)}
+
+
+@query("L8_eighteen_properties")
+def _(t):
+    found = V.scores_per_label(sites_ml(t).withColumns(PROPERTIES), SITE_FEATURES, list(PROPERTIES), "site_id", folds=3, trees=3, depth=4)
+    return rounded(found, "rmse", "r2")
+
+
 @query("L9_segmented_models")
 def _(t):
     s = sites_ml(t).withColumn("segment", F.when(F.col("x") > 50, "east").otherwise("west"))
