@@ -94,4 +94,7 @@ def test_empty_and_odd_tables(spark, table):
     assert empty.count() == 0 and not any(forests.means) and V.fold_scores(empty, forests).count() == 0
     same = spark.createDataFrame([(1, 2.0, 3.0)] * 40 + [(None, 2.0, 3.0)], "id int, f double, y double")
     state, forests = V.fold_forests(same, ["f"], ["y"], "id", folds=2, trees=4, depth=2)
+    odd = spark.createDataFrame([(i, float(i), float("nan") if i % 2 else float("inf")) for i in range(9)] + [(9, float("nan"), 1.0)], "id int, f double, y double")
+    rest, none = V.fold_forests(odd, ["f"], ["y"], "id", folds=2, trees=2, depth=1)
+    assert rest.count() == 9 and not any(none.means) and V.fold_scores(rest, none).count() == 0
     assert state.count() == 41 and not any(forests.splits)  # one key has one fold and one weight; nothing can be cut
