@@ -11,8 +11,11 @@ counts. It emits a spanning forest of the links it found and never the pairs, so
 large group of near copies gives no more rows than it has members.
 
 For copies by similarity the tiles only find candidates. Nodes are distinct sets of
-shingle hashes, and all pairs inside a component of candidates are tested by the exact
-Jaccard similarity of their sets: a task holds two blocks of one component.
+shingle hashes, and inside a component of candidates they are tested by the exact
+Jaccard similarity of their sets. A large component is dealt into blocks, a few of its
+sets go into every block, and each block is one task's work; a family of near copies is
+one cluster then. The cluster of most sets needs no look inside: only the sets outside it
+meet all of the component that is not of their own cluster, stripe by stripe.
 
 Components of the links come from alternating large-star and small-star steps, each
 round written to the shared folder.
@@ -46,8 +49,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 WIDE, FIRST_RADIUS, WIDE_RADIUS = 8, 22, 120
 #: Candidates are copies at 4 / 5 or more, in whole numbers.
 SIMILAR, OF = 4, 5
-#: Sets per stripe of a component of candidates where there is one stripe (their number grows with the root of the sets), and shingles per stripe.
-BLOCK, BLOCK_SHINGLES = 64, 1_000_000
+#: Sets of a block of a component of candidates, and shingles of a block or stripe; sets that go into every block of a component.
+BLOCK, BLOCK_SHINGLES, HUBS = 64, 1_000_000, 4
 #: Parts into which the nodes of a component are dealt.
 PARTS = 16
 #: Distinct fingerprints per stripe where there is one stripe, and rows of a tile.
@@ -225,16 +228,22 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, stripe: int = STRIPE, w
     return sent.repartition(tasks, "item").mapInArrow(run, "a long, b long")
 
 
-def similar(sets: list[np.ndarray], first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def similar(sets: list[np.ndarray], first: int | None = None, cluster: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect all sets (sorted hashes) with a Jaccard similarity of SIMILAR / OF or more as (from, to) positions: a forest.
 
-    With ``first`` only the pairs of one of the first sets and one of the others are compared.
+    With ``first`` only the pairs of one of the first sets and one of the others are compared. Sets of equal ``cluster`` are
+    connected beforehand: they are not compared, and the links are those between clusters.
     """
     n = len(sets)
     sizes = np.array([len(x) for x in sets], np.int64)
     ends = np.cumsum(sizes)
     names, flat = np.unique(np.concatenate(sets), return_inverse=True)
     marked, forest = np.zeros(len(names), bool), Forest(n)
+    before = forest.root.copy()
+    if cluster is not None:
+        _, least, which = np.unique(cluster, return_index=True, return_inverse=True)
+        before = least[which]
+        forest.link(np.arange(n), before)
     for i in range(n if first is None else first):
         others = np.arange(i + 1 if first is None else first, n)
         others = others[forest.root[others] != forest.root[i]]  # pairs that are connected already need no look
@@ -252,7 +261,8 @@ def similar(sets: list[np.ndarray], first: int | None = None) -> tuple[np.ndarra
         marked[mine] = False
         others = others[shared * OF >= (sizes[i] + sizes[others] - shared) * SIMILAR]
         forest.link(np.full(len(others), i), others)
-    moved = np.flatnonzero(forest.root != np.arange(n))
+    moved = np.unique(before)
+    moved = moved[forest.root[moved] != moved]
     return moved, forest.root[moved]
 
 
@@ -260,8 +270,10 @@ def similar_links(docs: DataFrame, fps: DataFrame, groups: DataFrame, shingle: i
     """(a, b) links between nodes that connect all that are similar inside the components ``groups`` (member, label) of candidates.
 
     ``docs`` has id, row_hash and text, ``fps`` id, row_hash and node. The text of one document stands for a node.
-    Components of more than ``block`` sets are cut into stripes, as many as the root of their sets over ``block``, and each
-    pair of stripes is compared by itself.
+    Components of more than ``block`` sets are cut into blocks, each with the same HUBS sets beside its own. What the blocks
+    leave apart is then compared by stripes: the sets outside a component's largest cluster with each other and with that
+    cluster. A family of near copies so costs work in proportion to its sets; the sets outside it, to their number times
+    the component's.
     """
     least = fps.groupBy("node").agg(F.min(F.struct("id", "row_hash")).alias("first"))
     chosen = least.join(groups, least.node == groups.member).select("node", "label", "first.id", "first.row_hash")
@@ -274,36 +286,67 @@ def similar_links(docs: DataFrame, fps: DataFrame, groups: DataFrame, shingle: i
             yield pa.RecordBatch.from_arrays([batch["node"], batch["label"], pa.array([x.tobytes() for x in sets], pa.binary()), sizes], ["node", "label", "hashes", "size"])
 
     sets = staged(texts.mapInArrow(read, "node long, label long, hashes binary, size long"), "sets")
-    stripes = F.ceil(F.greatest(F.sqrt(F.count("*") / block), F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / BLOCK_SHINGLES)).cast("int")
     # no more rows than one for each ``block`` sets
-    large = sets.groupBy("label").agg(stripes.alias("stripes")).filter("stripes > 1")
-    dealt = sets.join(large, "label", "left").withColumn("stripes", F.coalesce("stripes", F.lit(1)))
-    dealt = dealt.withColumn("s", F.expr("cast(pmod(xxhash64(node), stripes) as int)")).withColumn("t", F.explode(F.expr("sequence(0, stripes - 1)")))
+    large = staged(sets.groupBy("label").agg(blocks.alias("blocks")).filter("blocks > 1"), "large")
+    dealt = sets.join(large, "label", "left").withColumn("low", F.expr("cast(pmod(xxhash64(node), coalesce(blocks, 1)) as int)"))
+    hub = F.pmod(F.xxhash64("node", F.lit(SEED)), F.lit(HUBS))
+    hubs = sets.join(large, "label").groupBy("label", "blocks", hub).agg(F.min("node").alias("node")).select("label", "node", F.explode(F.expr("sequence(0, blocks - 1)")).alias("low"))
+    # a hub's own block has it already
+    beside = hubs.join(sets, ["label", "node"]).join(dealt.select("label", "node", "low"), ["label", "node", "low"], "left_anti")
+    row = ["label", "low", F.col("low").alias("high"), F.col("low").alias("s"), "node", "hashes", F.col("node").alias("cluster")]
+    inside = compared(dealt.select(*row).unionByName(beside.select(*row)))
+    if large.isEmpty():
+        return inside
+    inside = staged(inside, "inside")
+    clusters = components(inside).withColumnRenamed("label", "cluster")
+    named = sets.join(large, "label").join(clusters, "node", "left").select("label", "node", "hashes", "size", F.coalesce("cluster", "node").alias("cluster"))
+    return inside.unionByName(compared(striped(staged(named, "clusters"), block)))
+
+
+def striped(sets: DataFrame, block: int) -> DataFrame:
+    """The sets (label, node, hashes, size, cluster) by pairs of stripes of their component: ``low``, ``high`` and their own stripe ``s``.
+
+    The sets outside the largest cluster (ties: the smallest) come first, in as many stripes as the root of their number over
+    ``block``; each of theirs meets all. Stripes of the largest cluster meet those only. Components of one cluster are left out.
+    """
+    counts = sets.groupBy("label", "cluster").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    main = counts.groupBy("label").agg(F.max(F.struct("n", (-F.col("cluster")).alias("least"), "size")).alias("m"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    stripes = lambda n, size: F.ceil(F.greatest(F.sqrt(n / block), size / BLOCK_SHINGLES)).cast("int")
+    rest = stripes(F.col("n") - F.col("m.n"), F.col("size") - F.col("m.size"))
+    plan = main.filter("n > m.n").select("label", (-F.col("m.least")).alias("main"), rest.alias("rest"), stripes(F.col("m.n"), F.col("m.size")).alias("more"))
+    own = F.expr("cast(if(cluster = main, rest + pmod(xxhash64(node), more), pmod(xxhash64(node), rest)) as int)")
+    met = F.explode(F.expr("sequence(0, if(cluster = main, rest, rest + more) - 1)"))
+    sent = sets.join(plan, "label").withColumn("s", own).withColumn("t", met)
+    return sent.select("label", F.least("s", "t").alias("low"), F.greatest("s", "t").alias("high"), "s", "node", "hashes", "cluster")
+
+
+def compared(sent: DataFrame) -> DataFrame:
+    """(a, b) links between nodes, as ``similar`` finds them in each (label, low, high): a group's task holds its sets."""
     item = ["label", "low", "high"]
-    sent = dealt.select("label", F.least("s", "t").alias("low"), F.greatest("s", "t").alias("high"), "s", "node", "hashes")
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def compared(rows: list[tuple]) -> list[tuple[int, int]]:
+    def linked(rows: list[tuple]) -> list[tuple[int, int]]:
         rows.sort(key=lambda r: r[0])
         n = sum(r[0] == rows[0][0] for r in rows)
-        a, b = similar([np.frombuffer(r[2], np.uint64) for r in rows], n if n < len(rows) else None)
+        a, b = similar([np.frombuffer(r[2], np.uint64) for r in rows], n if n < len(rows) else None, np.array([r[3] for r in rows], np.int64))
         return [(rows[i][1], rows[j][1]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
 
+    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
             found = []
-            for key, *row in zip(zip(*(batch[c].to_pylist() for c in item), strict=True), *(batch[c].to_pylist() for c in ("s", "node", "hashes")), strict=True):
+            for key, *row in zip(zip(*(batch[c].to_pylist() for c in item), strict=True), *(batch[c].to_pylist() for c in ("s", "node", "hashes", "cluster")), strict=True):
                 if key != now:
-                    found += compared(held) if held else []
+                    found += linked(held) if held else []
                     now, held = key, []
                 held.append(row)
             yield out(found)
         if held:
-            yield out(compared(held))
-
-    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+            yield out(linked(held))
 
     return sent.repartition(tasks, *item).sortWithinPartitions(*item).mapInArrow(run, "a long, b long")
 

@@ -898,3 +898,34 @@ def test_similar_sets_by_brute_force(spark, block):
                 low, high = sorted((label[i], label[j]))
                 label = [low if x == high else x for x in label]
     assert [found.get(i, i) for i in range(60)] == label and len(set(label)) > 1
+
+
+@pytest.mark.parametrize("block", [5, 16])
+def test_a_family_of_near_copies_costs_its_sets(spark, block):
+    """A third of all sets is one family; no set of it is sent but to its block and to the few stripes of the sets outside."""
+    rng = random.Random(11)
+    base, rest = [f"w{i}" for i in range(120)], []
+    texts = [" ".join(f"v{i}x{j}" if j == i % 120 else w for j, w in enumerate(base)) for i in range(100)]
+    for i in range(12):  # near a member of the family, near one another, or alone
+        rest.append(" ".join(w if j < 108 + i % 7 else f"u{i // 2}x{j}" for j, w in enumerate(base)))
+    texts += rest + [" ".join(f"z{rng.randrange(9999)}" for _ in range(50)) for _ in range(8)]
+    sets = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, row_hash long, text string")
+    groups = spark.createDataFrame([(i, 0) for i in range(len(texts))], "member long, label long")
+    links = simhash.similar_links(docs, docs.selectExpr("id", "row_hash", "id as node"), groups, 5, block)
+    found = {r["node"]: r["label"] for r in simhash.components(links).collect()}
+    want = simhash.Forest(len(texts))
+    whole = [set(s.tolist()) for s in sets]
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(whole[i] & whole[j]) >= 4 * len(whole[i] | whole[j]):
+                want.link(np.array([i]), np.array([j]))
+    assert [found.get(i, i) for i in range(len(texts))] == want.root.tolist()
+    rows = [(0, i, s.tobytes(), len(s), int(want.root[i])) for i, s in enumerate(sets)]
+    sent = simhash.striped(spark.createDataFrame(rows, "label long, node long, hashes binary, size long, cluster long"), block)
+    family = int(np.bincount(want.root).argmax())
+    times = {r["node"]: r["count"] for r in sent.groupBy("node").count().collect()}
+    outside = sum(x != family for x in want.root)
+    assert 0 < outside <= 20 and max(n for i, n in times.items() if want.root[i] == family) <= 1 + (outside / block) ** 0.5
+    assert simhash.compared(sent).isEmpty()  # nothing was left apart
+    assert simhash.striped(spark.createDataFrame([r for r in rows if r[4] == family], sent.sparkSession.createDataFrame(rows[:1], "label long, node long, hashes binary, size long, cluster long").schema), block).isEmpty()
