@@ -43,22 +43,50 @@ def _cell(x: str, y: str, size: float) -> tuple[Column, Column]:
     return F.floor(F.col(x) / size), F.floor(F.col(y) / size)
 
 
-def near_pairs(left: DataFrame, right: DataFrame, radius: float, x: str = "x", y: str = "y", within: tuple[str, ...] = ()) -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame, radius: float, x: str = "x", y: str = "y", within: tuple[str, ...] = (), copy_left: bool = False) -> DataFrame:
     """Pairs of points within ``radius``; columns of the right are prefixed with ``n_``; ``dist2`` is the squared distance.
 
-    The right side is copied to the nine buckets around it; a pair meets in one bucket only. Points of different values in the
-    columns ``within`` never meet.
+    The right side is copied to the nine buckets around it, or the left one with ``copy_left``; a pair meets in one bucket
+    only. Points of different values in the columns ``within`` never meet.
     """
-    gx, gy = _cell(x, y, radius)
-    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    a = left.withColumns({"_gx": gx, "_gy": gy})
-    b = right.select(*(F.col(c).alias(f"n_{c}") for c in right.columns), gx.alias("_hx"), gy.alias("_hy"))
-    b = b.withColumns({c: F.col(f"n_{c}") for c in within}).withColumn("_o", F.explode(around)).select("*", (F.col("_hx") + F.col("_o.i")).alias("_gx"), (F.col("_hy") + F.col("_o.j")).alias("_gy")).drop("_hx", "_hy", "_o")
+    a = left.withColumns(dict(zip(("_gx", "_gy"), _cell(x, y, radius), strict=True)))
+    b = right.select(*(F.col(c).alias(f"n_{c}") for c in right.columns), *(F.col(c) for c in within)).withColumns(dict(zip(("_gx", "_gy"), _cell(f"n_{x}", f"n_{y}", radius), strict=True)))
+    a, b = (_around(a), b) if copy_left else (a, _around(b))
     dx, dy = F.col(x) - F.col(f"n_{x}"), F.col(y) - F.col(f"n_{y}")
     return a.join(b, ["_gx", "_gy", *within]).withColumn("dist2", dx * dx + dy * dy).filter(F.col("dist2") <= radius * radius).drop("_gx", "_gy")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, right_key: str, k: int = 1, other: bool = False, bounded: bool = False, within: tuple[str, ...] = ()) -> DataFrame:
+def _around(df: DataFrame) -> DataFrame:
+    """The rows in their own bucket and the eight around it."""
+    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    return df.withColumn("_o", F.explode(around)).withColumns({"_gx": F.col("_gx") + F.col("_o.i"), "_gy": F.col("_gy") + F.col("_o.j")}).drop("_o")
+
+
+#: Right points that a square as wide as the first radius of a search may hold, and the most halvings to get there.
+FULL, HALVINGS = 256, 24
+
+
+def _first_radius(placed: DataFrame, radius: float, within: tuple[str, ...], full: int) -> float:
+    """``radius`` halved until no square of this width holds more than ``full`` points (or HALVINGS times).
+
+    Only points of squares that hold more are counted again, in the next three widths at once, until a width fits.
+    """
+    crowded = lambda e: placed.groupBy(*(c.alias(n) for c, n in zip(_cell("x", "y", radius / 2**e), ("_gx", "_gy"), strict=True)), *within).count().filter(F.col("count") > full)
+    for e in range(0, HALVINGS, 4):
+        above = crowded(e)
+        if above.isEmpty():
+            return radius / 2**e
+        gx, gy = _cell("x", "y", radius / 2**e)
+        placed = staged(placed.withColumns({"_gx": gx, "_gy": gy}).join(above.drop("count"), ["_gx", "_gy", *within], "left_semi").select("x", "y", *within), "crowded")
+        wide = F.lit(radius) / F.pow(F.lit(2.0), F.col("_e"))
+        sizes = placed.withColumn("_e", F.explode(F.sequence(F.lit(e + 1), F.lit(e + 3)))).groupBy("_e", F.floor(F.col("x") / wide).alias("_gx"), F.floor(F.col("y") / wide).alias("_gy"), *within).count()
+        fits = sizes.groupBy("_e").agg(F.max("count").alias("n")).filter(F.col("n") <= full).agg(F.min("_e").alias("e")).first()["e"]
+        if fits is not None:
+            return radius / 2**fits
+    return radius / 2**HALVINGS
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, right_key: str, k: int = 1, other: bool = False, bounded: bool = False, within: tuple[str, ...] = (), full: int = FULL) -> DataFrame:
     """The ``k`` nearest right points of each left point, as ``rank`` 1 to k (ties by the right key).
 
     The search begins within ``radius``; points that have fewer than ``k`` there are looked up again with the doubled
@@ -68,33 +96,36 @@ def nearest(left: DataFrame, right: DataFrame, key: str, radius: float | None, r
     Neighbours have equal values in the columns ``within``. Of right points on one spot only as many of the smallest keys
     go in as can be among the k, so a spot that holds a third of all points gives no point more than that many pairs.
 
-    Rounds: each is written before the next, and only open points go on. At the radius of a round, only left points
-    in thin places are open, so a round's pairs stay near k times the open points unless the right side is uneven.
+    Rounds: each is written before the next, and only open points go on. The first radius is halved until no square of
+    its width holds more than ``full`` right points (at least 4 k), so places that are dense without being one spot are done
+    at small radii. A point that is still open has fewer than k right points within the last radius; where both sides are
+    the same points, a square so holds some 9 k open ones at most, and no right point meets more than a multiple of k of
+    them in a round. Left points that crowd where the right side has none are not bounded so.
     """
     w = Window.partitionBy(key).orderBy("dist2", f"n_{right_key}")
     spot = Window.partitionBy("x", "y", *within).orderBy(right_key)
     placed = right.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("_spot", F.row_number().over(spot)).filter(F.col("_spot") <= k + int(other)).drop("_spot")
-    if not bounded:
-        placed = staged(placed, "placed")
+    placed = staged(placed, "placed")
     open_ = left.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     if radius is None or not bounded:
         n, *box = placed.agg(F.count("*"), F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
         low_x, high_x, low_y, high_y = open_.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
         wide = 0.0 if not n or low_x is None else float(max(high_x, box[1]) - min(low_x, box[0]) + max(high_y, box[3]) - min(low_y, box[2]))
         radius = radius or max(wide * math.sqrt(k / max(1, n)), 1e-9)
-    found, size = None, radius
+    last = radius if bounded else wide
+    found, size = None, _first_radius(placed, radius, within, max(full, 4 * k))
     while True:
-        pairs = near_pairs(open_, placed, size, within=within)
+        pairs = near_pairs(open_, placed, size, within=within, copy_left=True)
         if other:
             pairs = pairs.filter(F.col(key) != F.col(f"n_{right_key}"))
         ranked = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        if bounded or size >= wide:  # every right point was met
+        if size >= last:  # every right point was met, or every one within the bound
             return ranked if found is None else found.unionByName(ranked)
         ranked = staged(ranked, "nearest")
-        full = ranked.groupBy(key).count().filter(F.col("count") == k).select(key)
-        done = ranked.join(full, key, "left_semi")
+        complete = ranked.groupBy(key).count().filter(F.col("count") == k).select(key)
+        done = ranked.join(complete, key, "left_semi")
         found = done if found is None else found.unionByName(done)
-        open_ = staged(open_.join(full, key, "left_anti"), "open")
+        open_ = staged(open_.join(complete, key, "left_anti"), "open")
         if open_.isEmpty():
             return found
         size *= 2

@@ -50,6 +50,29 @@ def test_a_crowded_spot_makes_few_pairs(spark):
     assert clusters.filter("x = 7 and cluster is not null").count() == 1000 + (7 % 3 != 0)
 
 
+@pytest.mark.parametrize("bounded", [False, True])
+def test_a_dense_place_makes_few_pairs(spark, monkeypatch, bounded):
+    """A third of all points lies in a place a millionth as wide as the others' and on no common spot."""
+    rng, k, n = random.Random(4), 3, 900
+    rows = [(i, *(((500 + rng.random() / 1000, 500 + rng.random() / 1000) if i % 3 == 0 else (rng.random() * 1000, rng.random() * 1000)))) for i in range(n)]
+    met = []
+
+    def counted(*args, **kwargs):
+        found = J.staged(pairs(*args, **kwargs), "counted")
+        met.append(found.count())
+        return found
+
+    pairs = J.near_pairs
+    monkeypatch.setattr(J, "near_pairs", counted)
+    df, reach = spark.createDataFrame(rows, "id int, x double, y double"), 60.0
+    got = {}
+    for r in sorted(J.nearest(df, df, "id", reach if bounded else None, "id", k=k, other=True, bounded=bounded, full=20).collect(), key=lambda r: (r["id"], r["rank"])):
+        got.setdefault(r["id"], []).append(r["n_id"])
+    best = {p[0]: [(d, i) for d, i in sorted((d2(p, q), q[0]) for q in rows if q[0] != p[0])[:k] if not bounded or d <= reach**2] for p in rows}
+    assert got == {i: [j for _, j in b] for i, b in best.items() if b}
+    assert len(met) > 8 and max(met) < 27 * k * n / 4 and sum(met) < (n / 3) ** 2 / 2
+
+
 def test_density_clusters(points):
     eps, least = 1.3, 4
     near = {p[0]: [q[0] for q in POINTS if d2(p, q) <= eps * eps] for p in POINTS}
