@@ -9,9 +9,10 @@ So lengths are interleaved, and every active phrase has seen each shard exactly
 when it is complete. Steps end a cycle after the last activation.
 
 When a phrase became frequent is looked up in tables of ``SLOTS`` bytes, one per length:
-their size is fixed and two phrases that share a slot share the earlier step. That only
-counts some phrases more than needed, each still for one whole cycle; what is frequent is
-decided by the counts, which are kept by 96 bits of hash in bucketed tables. A task sums
+their size is fixed and two phrases that share a slot share the earlier step, but no phrase
+becomes active before its subphrases are. So sharing only counts some phrases more than
+needed, each still for one whole cycle; what is frequent is decided by the counts, which are
+kept by 96 bits of hash in bucketed tables. A task sums
 its counts before the exchange; completed rare phrases leave the table at each step.
 Words of the frequent phrases come from one more scan, in rounds over ever larger parts: a
 round names what it holds of the phrases that still have no name, so a phrase is sent few times.
@@ -76,7 +77,8 @@ def chunks(docs: DataFrame, shards: int = SHARDS, chunk_words: int = CHUNK_WORDS
         def out(lang: str) -> pa.RecordBatch:
             nonlocal made
             numbers, parts, _ = held.pop(lang)
-            ids, seed = np.concatenate(parts), lang.encode() + b"\0"
+            # With its length before it, no language and word run together like another's.
+            ids, seed = np.concatenate(parts), b"%d:" % len(lang.encode()) + lang.encode()
             digests = b"".join(xxhash.xxh3_128_digest(seed + w) for w in numbers)
             lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
             made += 1
@@ -129,7 +131,8 @@ def phrases(ids: np.ndarray, lanes: list[np.ndarray], since: list[np.ndarray]) -
         yield length, starts, active[starts], mine
         if length < LONGEST:
             frequent = np.full(len(active), NEVER, np.uint8)
-            frequent[starts] = since[length - 1][mine[0] & mask]
+            # A slot may be older than the phrase, whose longer phrases must not start before it does.
+            frequent[starts] = np.maximum(since[length - 1][mine[0] & mask], active[starts])
             hashes = [np.zeros(len(active), np.uint64) for _ in lanes]
             for whole, h in zip(hashes, mine, strict=True):
                 whole[starts] = h

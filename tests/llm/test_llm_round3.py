@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -99,6 +100,27 @@ def test_each_phrase_is_counted_for_one_cycle(shipped):
     assert found["x1 y1 z2 w"] == sum(i % 21 == 8 for i in range(3000)) and found["y6 z0"] == sum(i % 21 == 6 for i in range(3000))
 
 
+def test_shared_slots_lose_no_count_of_late_words(shipped):
+    """Words that are frequent only after the last shard, before pairs whose slots others have filled long before."""
+    rng, texts = random.Random(1), []
+    for _ in range(4):
+        texts.append(" ".join(f"c{rng.randrange(60)}" for _ in range(20_000)))
+        texts += [f"late{i} c{i} c{i + 1} c{i + 2}" for i in range(40)]
+    docs = shipped.createDataFrame([(t, "en") for t in texts], "text string, lang string").coalesce(1)
+    tokens = staged(collocations.chunks(docs, 4, sum(len(t.split()) for t in texts) // 4), "t", partition="shard")
+    assert tokens.select("shard").distinct().count() == 4
+    found = {r["phrase"]: r["f"] for r in collocations.frequent_phrases(tokens, 4, 4, 1 << 12).collect()}
+    for i in range(40):
+        words = f"late{i} c{i} c{i + 1} c{i + 2}".split()
+        assert [found.get(" ".join(words[:k])) for k in (1, 2, 3, 4)] == [4] * 4
+
+
+def test_languages_with_zero_characters_stay_apart(shipped):
+    rows = [("b\0c b\0c", "a"), ("c c c", "a\0b"), ("0c c", "a:1"), ("c", "")] * 3
+    docs = shipped.createDataFrame(rows, "text string, lang string")
+    assert sorted(tuple(r) for r in collocations.collocations(docs, least=2, slots=1 << 10).collect()) == brute_collocations(rows, 2)
+
+
 def test_steps_interleave_lengths(shipped):
     """Longer phrases are active before the words' own cycle ends."""
     tokens = staged(collocations.chunks(shipped.createDataFrame([("a b c d", "en")] * 4000, "text string, lang string").repartition(4), 4, 400), "t", partition="shard")
