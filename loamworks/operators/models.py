@@ -96,10 +96,10 @@ def mutual_information(df: DataFrame, feature: str, label: str, bins: int) -> Da
     return p.agg(F.lit(feature).alias("feature"), F.sum(F.col("p") * F.log(F.col("p") / (F.col("px") * F.col("py")))).alias("score"))
 
 
-def mutual_information_ranking(df: DataFrame, features: list[str], label: str, bins: int) -> DataFrame:
+def mutual_information_ranking(df: DataFrame, features: list[str], label: str, bins: int, digits: int = 12) -> DataFrame:
     """(feature, score, rank): the mutual information of every feature with the label, the highest first (ties by name); one pass over the rows for all.
 
-    A row with a null feature or label counts for nothing there. What is left after counting has bins x classes rows a feature.
+    Scores that are equal at ``digits`` are ties: who shows fewer asks for them here, so that ranks go with what is shown. A row with a null feature or label counts for nothing there. What is left after counting has bins x classes rows a feature.
     """
     span = df.agg(*(f(x).cast("double").alias(f"_{n}_{x}") for x in features for n, f in (("lo", F.min), ("hi", F.max))))
     spread = F.array(*(F.struct(F.lit(x).alias("feature"), F.col(x).cast("double").alias("v"), F.col(f"_lo_{x}").alias("lo"), F.col(f"_hi_{x}").alias("hi")) for x in features))
@@ -109,7 +109,7 @@ def mutual_information_ranking(df: DataFrame, features: list[str], label: str, b
     of = lambda *keys: F.sum("n").over(Window.partitionBy("feature", *keys))
     part = n.withColumns({"_t": of(), "_x": of("x"), "_y": of("y")})
     scores = part.groupBy("feature").agg(F.sum(F.col("n") / F.col("_t") * F.log(F.col("n") * F.col("_t") / (F.col("_x") * F.col("_y")))).alias("score"))
-    return scores.withColumn("rank", F.row_number().over(Window.orderBy(F.round("score", 12).desc(), "feature")))
+    return scores.withColumn("rank", F.row_number().over(Window.orderBy(F.round("score", digits).desc(), "feature")))
 
 
 def forest(df: DataFrame, features: list[str], label: str, trees: int = 20, depth: int = 5, seed: int = 42, classify: bool = False):

@@ -269,7 +269,7 @@ RANKED = ["b2", "b3", "b4", "b8", "b11", "b12"]
 
 @query("L4_feature_ranking", "SELECT feature, score, row_number() OVER (ORDER BY score DESC, feature) AS rank FROM (" + " UNION ALL ".join(f"SELECT * FROM ({MI.format(f=f)}) q" for f in RANKED) + ") u")
 def _(t):
-    return rounded(L.mutual_information_ranking(t.cells, RANKED, "dz", 8), "score", digits=6)
+    return rounded(L.mutual_information_ranking(t.cells, RANKED, "dz", 8, digits=6), "score", digits=6)
 
 
 SITE_FEATURES = ["x", "y", "val"]
