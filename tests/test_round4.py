@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from loamworks.operators import graph as P
 from loamworks.operators import models as L
 
 
@@ -14,3 +17,12 @@ def test_ranks_follow_the_scores_that_are_shown(spark):
     ranked = lambda **how: {r["feature"]: (round(r["score"], 6), r["rank"]) for r in L.mutual_information_ranking(table, ["b", "a"], "y", 2, **how).collect()}
     assert ranked() == {"b": (0.0, 1), "a": (0.0, 2)}
     assert ranked(digits=6) == {"a": (0.0, 1), "b": (0.0, 2)}
+
+
+def test_no_grid_is_broadcast_by_the_size_of_its_files(spark):
+    cells = spark.range(90_000).select((F.col("id") / 300).cast("int").alias("r"), (F.col("id") % 300).cast("int").alias("c"))
+    cells = cells.withColumn("v", F.when((F.col("r") == 7) & (F.col("c") == 7), 9).otherwise((F.col("c") / 100).cast("int")))
+    found = P.generalise(cells, "v", 20)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (found, P.regions(cells, "v"))]
+    assert not any("Broadcast" in plan for plan in plans)
+    assert {(r["v"], r["count"]) for r in found.groupBy("v").count().collect()} == {(0, 30_000), (1, 30_000), (2, 30_000)}
