@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loamworks.operators import folds as V
 from loamworks.operators import graph as P
 from loamworks.operators import models as L
 
@@ -26,3 +27,18 @@ def test_no_grid_is_broadcast_by_the_size_of_its_files(spark):
     plans = [df._jdf.queryExecution().executedPlan().toString() for df in (found, P.regions(cells, "v"))]
     assert not any("Broadcast" in plan for plan in plans)
     assert {(r["v"], r["count"]) for r in found.groupBy("v").count().collect()} == {(0, 30_000), (1, 30_000), (2, 30_000)}
+
+
+def test_folds_of_one_file_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(V, "DEALT", 100, raising=False)
+    table = spark.range(0, 800, numPartitions=1).select("id", (F.col("id") * 37 % 101).cast("double").alias("a"), (F.col("id") * 53 % 89).cast("double").alias("b"))
+    table = table.withColumn("y", (F.col("a") > 40).cast("int") * 20 + (F.col("b") > 30).cast("int") * 7 + F.col("id") % 4)
+    how = {"folds": 2, "trees": 2, "depth": 2}
+    state, forests = V.fold_forests(table, ["a", "b"], ["y"], "id", **how)
+    assert len(state.inputFiles()) >= 8
+    scores = sorted(map(tuple, V.fold_scores(state, forests).collect()))
+    assert [s[:5] for s in scores] == [("y", 2, 2, f, s[4]) for f, s in enumerate(scores)] and sum(s[4] for s in scores) == 800
+    # a few models at once give what all at once give
+    monkeypatch.setattr(V, "HELD", 100, raising=False)
+    _, blocks = V.fold_forests(table, ["a", "b"], ["y"], "id", **how)
+    assert blocks.splits == forests.splits and blocks.means == forests.means and any(forests.splits)
