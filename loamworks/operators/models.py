@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -448,14 +448,43 @@ def retrain(old: DataFrame, new: DataFrame, features: list[str], label: str):
     return forest(data, features, label, trees=8, depth=4), data
 
 
+def silhouette(found: DataFrame, features: list[str], weight: str) -> float:
+    """Mean silhouette by squared distance over rows that stand for ``weight`` rows each; rows without company in their cluster have 0, and so have all if there is one cluster.
+
+    A copy of a row is one of its company: MLlib's own weights leave all copies of a row out of it. The driver gets a row per cluster.
+    """
+    w = F.col(weight)
+    sums = found.groupBy("prediction").agg(F.sum(w).alias("n"), F.array(*(F.sum(w * F.col(f)) / F.sum(w) for f in features)).alias("m"), F.sum(w * sum((F.col(f) * F.col(f) for f in features), F.lit(0.0))).alias("q"))
+    own, other = [], [F.lit(None).cast("double")] * 2
+    for c, n, m, q in sums.collect():
+        away = sum((F.col(f) * F.col(f) - 2 * F.col(f) * x for f, x in zip(features, m, strict=True)), F.lit(q / n))
+        own.append(F.when(F.col("prediction") == c, away * n / (n - 1) if n > 1 else None))
+        other.append(F.when(F.col("prediction") != c, away))
+    a, b = F.coalesce(*own, F.lit(None).cast("double")), F.least(*other)
+    each = F.coalesce(F.when(a < b, 1 - F.try_divide(a, b)).when(a > b, F.try_divide(b, a) - 1), F.lit(0.0))
+    return float(found.agg(F.sum(w * each) / F.sum(w)).first()[0])
+
+
+#: Different points of a partition that k-means goes through, about.
+POINTS = 50_000
+
+
 def clusters(df: DataFrame, features: list[str], ks: list[int], seed: int = 42) -> list[tuple[int, float, float]]:
-    """(k, cost, silhouette) of k-means on standardised features."""
-    flat = assembled(standardise(df, features), features).select("features").persist()
+    """(k, cost, silhouette) of k-means on standardised features.
+
+    Equal points are one that weighs as many: costs, centres and silhouettes are those of all rows, and a pass over them costs what
+    the different points do. Points are dealt by their values and sorted, so a run gives the same again.
+    """
+    points = assembled(standardise(df.select(*features), features), features).groupBy(*features).agg(F.count("*").cast("double").alias("_n"))
+    points = staged(points, "points")
+    parts = max(1, -(-points.count() // POINTS))
+    flat = assembled(points.repartition(parts, *features).sortWithinPartitions(*features), features).persist()
     out = []
     for k in ks:
-        model = KMeans(k=k, seed=seed).fit(flat)
-        out.append((k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(flat)))))
+        model = KMeans(k=k, seed=seed, weightCol="_n").fit(flat)
+        out.append((k, float(model.summary.trainingCost), silhouette(model.transform(flat), features, "_n")))
     flat.unpersist()
+    discard(points)
     return out
 
 

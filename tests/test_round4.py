@@ -42,3 +42,34 @@ def test_folds_of_one_file_are_dealt_to_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(V, "HELD", 100, raising=False)
     _, blocks = V.fold_forests(table, ["a", "b"], ["y"], "id", **how)
     assert blocks.splits == forests.splits and blocks.means == forests.means and any(forests.splits)
+
+
+def test_clusters_go_through_different_points_with_their_weights(spark, monkeypatch):
+    seen = []
+
+    class Spy(L.KMeans):
+        def fit(self, flat):
+            seen.append(flat.count())
+            return super().fit(flat)
+
+    monkeypatch.setattr(L, "KMeans", Spy)
+    # 1,000 copies of one point and few of the others: two pairs far from each other
+    rows = [(0.0, 0.0)] * 1000 + [(0.0, 1.0)] * 10 + [(9.0, 0.0)] * 5 + [(9.0, 1.0)] * 5 + [(None, 1.0)] * 7
+    table = spark.createDataFrame(rows, "a double, b double")
+    (k, cost, silhouette), _ = L.clusters(table, ["a", "b"], [2, 3])
+    assert seen == [4, 4]
+    a = [x for x, _ in rows if x is not None]
+    b = [y for _, y in rows]
+    deviation = lambda v: (sum(x * x for x in v) / len(v) - (sum(v) / len(v)) ** 2) ** 0.5
+    # the left pair's 1,010 rows and the right pair's 10 lie about their own means; nulls count for b's spread, as in standardise()
+    within = (1000 * 10 / 1010 + 5 * 5 / 10) / deviation(b) ** 2
+    points = [(x / deviation(a), y / deviation(b), x) for x, y in rows if x is not None]
+    mean = lambda v: sum(v) / len(v)
+
+    def one(i):
+        gap = lambda same: [(points[i][0] - p[0]) ** 2 + (points[i][1] - p[1]) ** 2 for j, p in enumerate(points) if (p[2] == points[i][2]) == same and j != i]
+        own, other = mean(gap(True)), mean(gap(False))
+        return (other - own) / max(own, other)
+
+    want = (1000 * one(0) + 10 * one(1000) + 5 * one(1010) + 5 * one(1015)) / 1020
+    assert k == 2 and abs(cost - within) < 1e-6 and abs(silhouette - want) < 1e-9
