@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loamworks.operators import counts as N
 from loamworks.operators import folds as V
 from loamworks.operators import graph as P
 from loamworks.operators import models as L
@@ -73,3 +74,17 @@ def test_clusters_go_through_different_points_with_their_weights(spark, monkeypa
 
     want = (1000 * one(0) + 10 * one(1000) + 5 * one(1010) + 5 * one(1015)) / 1020
     assert k == 2 and abs(cost - within) < 1e-6 and abs(silhouette - want) < 1e-9
+
+
+def test_links_are_counted_without_pairs(spark, monkeypatch):
+    monkeypatch.setattr(N, "DEALT", 300)
+    monkeypatch.setattr(P, "gower_pairs", None)
+    # numbers on a lattice whose steps meet the threshold again and again, as exactly as doubles do; some copies
+    rows = [(i, i * 37 % 101 % 21 / 20, i * 53 % 97 % 31 / 30 * 7 - 3, "pqr"[i * i % 3]) for i in range(500)] + [(500, 0.5, 0.5, None)]
+    table = spark.createDataFrame(rows, "id int, a double, b double, c string")
+    like = lambda x, y: 1 - (abs(x[1] / 1.0 - y[1] / 1.0) + abs(x[2] / 7.0 - y[2] / 7.0) + (x[3] != y[3])) / 3 >= 0.9
+    found = {r["id"]: r["n_links"] for r in P.gower_links(table, "id", ["a", "b"], ["c"], 0.9).collect()}
+    assert found == {x[0]: sum(like(x, y) for y in rows if x[3] is not None and x is not y) for x in rows}
+    assert any(abs(abs(x[1] - y[1]) + abs(x[2] - y[2]) / 7 - 0.3) < 1e-12 for x in rows for y in rows)
+    one = {r["id"]: r["n_links"] for r in P.gower_links(table, "id", ["a"], [], 0.9).collect()}
+    assert one == {x[0]: sum(1 - abs(x[1] - y[1]) >= 0.9 for y in rows if x is not y) for x in rows}
