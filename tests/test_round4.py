@@ -76,6 +76,20 @@ def test_clusters_go_through_different_points_with_their_weights(spark, monkeypa
     assert k == 2 and abs(cost - within) < 1e-6 and abs(silhouette - want) < 1e-9
 
 
+def test_pairs_of_a_dense_place_meet_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(P, "HELD", 40, raising=False)
+    rows = [(i, i * 37 % 101 / 1000, i * 53 % 97 / 1000, "pq"[i % 2]) for i in range(300)] + [(300, 1.0, 1.0, "p"), (301, 0.0, 0.0, None)]
+    table = spark.createDataFrame(rows, "id int, x double, y double, c string")
+    like = lambda x, y: 1 - (abs(x[1] - y[1]) + abs(x[2] - y[2]) + (x[3] != y[3])) / 3
+    for least in (0.98, 0.9, 0.6):
+        found = P.gower_pairs(table, "id", ["x", "y"], ["c"], least)
+        want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[3] and b[3] and like(a, b) >= least}
+        assert sorted((r["a"], r["b"]) for r in found.collect()) == sorted(want)
+    # the place is dealt to many keys of the join, though all its rows lie in one square
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_part" in plan and "SortMergeJoin" in plan
+
+
 def test_links_are_counted_without_pairs(spark, monkeypatch):
     monkeypatch.setattr(N, "DEALT", 300)
     monkeypatch.setattr(P, "gower_pairs", None)
